@@ -101,33 +101,36 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
                     F.col(f"__best.{_S_MOD}").alias(_S_MOD)))
 
 
-def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns) -> DataFrame:
-    """Row set of ``target FULL OUTER JOIN stg ON key`` built skew-safely.
-
-    Returns target columns plus the internal staging columns; rows from the
-    staging side only carry nulls in the target columns.
+def _join_with_staging(keyed_t: DataFrame, null_t: DataFrame | None,
+                       keyed_s: DataFrame, null_s: DataFrame | None,
+                       c: Scd2Columns) -> DataFrame:
+    """Row set of ``target FULL OUTER JOIN staging ON key`` built skew-safely.
+
+    Inputs are already split into non-null-key and null-key parts.  Returns
+    the target columns plus the internal staging columns; staging-only rows
+    carry nulls in the target columns.
     """
-    tt = _types(target)
+    tt = _types(keyed_t)
+    st = _types(keyed_s)
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
     tcols = c.target_columns + list(c.extra)
 
-    keyed_t = target.where(F.col(c.key).isNotNull())
-    null_t = target.where(F.col(c.key).isNull())
-    keyed_s = stg.where(F.col(_S_KEY).isNotNull())
-    null_s = stg.where(F.col(_S_KEY).isNull())
-
-    # target rows with their (at most one after dedup) staging partner
-    left = keyed_t.join(keyed_s, keyed_t[c.key] == keyed_s[_S_KEY], "left").select(
+    # target rows with their staging partner (one per key after dedup)
+    out = keyed_t.join(keyed_s, keyed_t[c.key] == keyed_s[_S_KEY], "left").select(
         *[keyed_t[x] for x in tcols], *[keyed_s[x] for x in s_cols])
-    # staging rows whose key has no target row at all
+    # staging rows whose key has no target row at all; distinct() combines
+    # map-side, so a key that is hot in the target costs one row per task
     tkeys = keyed_t.select(F.col(c.key).alias("__t_key")).distinct()
-    right_only = keyed_s.join(tkeys, keyed_s[_S_KEY] == tkeys["__t_key"], "left_anti")
-    stg_only = right_only.unionByName(null_s)
-    stg_only = stg_only.select(
-        *[F.lit(None).cast(tt[x]).alias(x) for x in tcols], *s_cols)
-    # null-key target rows can never match
-    null_t = null_t.select(*tcols, *[F.lit(None).cast(stg.schema[x].dataType).alias(x) for x in s_cols])
-    return left.unionByName(null_t).unionByName(stg_only)
+    stg_only = keyed_s.join(tkeys, keyed_s[_S_KEY] == tkeys["__t_key"], "left_anti")
+    if null_s is not None:
+        stg_only = stg_only.unionByName(null_s)
+    out = out.unionByName(stg_only.select(
+        *[F.lit(None).cast(tt[x]).alias(x) for x in tcols], *s_cols))
+    if null_t is not None:
+        # null-key target rows never match; they skip the shuffle
+        out = out.unionByName(null_t.select(
+            *tcols, *[F.lit(None).cast(st[x]).alias(x) for x in s_cols]))
+    return out
 
 
 def _any(conds: list[Column]) -> Column:
@@ -191,21 +194,18 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
     stg = _conform_staging(staging, target, c)
     if dedup_staging is None:
         dedup_staging = mode == "default"
+    keyed_s = stg.where(F.col(_S_KEY).isNotNull())
+    null_s = stg.where(F.col(_S_KEY).isNull())
+    if dedup_staging:
+        keyed_s = latest_per_key(keyed_s, c)
+    keyed = F.col(c.key).isNotNull()
     if mode == "compat":
-        if dedup_staging:
-            stg = latest_per_key(stg.where(F.col(_S_KEY).isNotNull()), c).unionByName(
-                stg.where(F.col(_S_KEY).isNull()))
-        joined = _join_with_staging(target, stg, c)
+        joined = _join_with_staging(target.where(keyed), target.where(~keyed),
+                                    keyed_s, null_s, c)
         return joined.withColumn("action", _compat_action(c)), None
-
-    current = target.where(_is_current(c) & F.col(c.key).isNotNull())
-    history = target.where(~(_is_current(c) & F.col(c.key).isNotNull()))
-    keyed = stg.where(F.col(_S_KEY).isNotNull())
-    if dedup_staging:
-        keyed = latest_per_key(keyed, c)
-    stg = keyed.unionByName(stg.where(F.col(_S_KEY).isNull()))
-    joined = _join_with_staging(current, stg, c)
-    return joined.withColumn("action", _default_action(c, feed)), history
+    live = _is_current(c) & keyed
+    joined = _join_with_staging(target.where(live), None, keyed_s, null_s, c)
+    return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 
 def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("cdc",)
+FAMILIES = ("cdc", "merge")
 
 
 def _modules():
