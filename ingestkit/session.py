@@ -76,3 +76,24 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
+
+
+class scoped_conf:
+    """Set SQL confs for the duration of a ``with`` block, then restore."""
+
+    def __init__(self, spark: SparkSession, settings: dict[str, str]):
+        self.spark, self.settings, self.saved = spark, settings, {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, str(v))
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False

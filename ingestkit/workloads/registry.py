@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("cdc", "merge")
+FAMILIES = ("cdc", "merge", "ingest")
 
 
 def _modules():
