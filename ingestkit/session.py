@@ -97,3 +97,22 @@ class scoped_conf:
             else:
                 self.spark.conf.set(k, v)
         return False
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ingestkit`` importable in Python workers (for Arrow UDFs).
+
+    The package folder is added to the job's files once per application;
+    PySpark workers put the files root on ``sys.path``.  Skipped when the
+    package is already importable from an installed location.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    if "site-packages" not in pkg:
+        spark.sparkContext.addFile(pkg, recursive=True)
+    _SHIPPED.add(app)
