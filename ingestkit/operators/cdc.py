@@ -21,13 +21,10 @@ Two semantics are offered:
   inherits the old end date, and staging duplicates fan out.
 
 Plan shape (both modes): one shuffle per side, no caches.  The join is
-written as ``target LEFT JOIN staging`` plus ``staging LEFT ANTI JOIN
-distinct(target keys)`` rather than a full outer join: a full outer sort
-merge join buffers every row of a key in memory and AQE cannot split a
-skewed full outer join, while the left join's streamed side can be split
-by AQE and the distinct keys are combined map-side.  Null keys never
-match, so they bypass the join entirely (they would all hash into one
-task).  Every joined row is turned into its 1-2 output rows by a single
+the skew-safe full outer join of :mod:`ingestkit.operators.joins`
+(``target LEFT JOIN staging`` plus ``staging LEFT ANTI JOIN
+distinct(target keys)``, null keys routed around the shuffle), with the
+target - the side that may hold many rows per key - streamed.  Every joined row is turned into its 1-2 output rows by a single
 ``inline(array(struct, ...))`` generator.
 """
 
@@ -39,6 +36,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ingestkit.operators.joins import full_outer_join
+
 # Fixed values used by the original jobs.
 HIGH_DATE = "9999-12-31"
 INSERT_SOURCE_CODE = "bronze_data"
@@ -101,36 +100,13 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
                     F.col(f"__best.{_S_MOD}").alias(_S_MOD)))
 
 
-def _join_with_staging(keyed_t: DataFrame, null_t: DataFrame | None,
-                       keyed_s: DataFrame, null_s: DataFrame | None,
-                       c: Scd2Columns) -> DataFrame:
-    """Row set of ``target FULL OUTER JOIN staging ON key`` built skew-safely.
-
-    Inputs are already split into non-null-key and null-key parts.  Returns
-    the target columns plus the internal staging columns; staging-only rows
-    carry nulls in the target columns.
-    """
-    tt = _types(keyed_t)
-    st = _types(keyed_s)
+def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns) -> DataFrame:
+    """Row set of ``target FULL OUTER JOIN staging ON key`` (skew-safe form,
+    see :mod:`ingestkit.operators.joins`); staging-only rows carry nulls in
+    the target columns."""
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
-    tcols = c.target_columns + list(c.extra)
-
-    # target rows with their staging partner (one per key after dedup)
-    out = keyed_t.join(keyed_s, keyed_t[c.key] == keyed_s[_S_KEY], "left").select(
-        *[keyed_t[x] for x in tcols], *[keyed_s[x] for x in s_cols])
-    # staging rows whose key has no target row at all; distinct() combines
-    # map-side, so a key that is hot in the target costs one row per task
-    tkeys = keyed_t.select(F.col(c.key).alias("__t_key")).distinct()
-    stg_only = keyed_s.join(tkeys, keyed_s[_S_KEY] == tkeys["__t_key"], "left_anti")
-    if null_s is not None:
-        stg_only = stg_only.unionByName(null_s)
-    out = out.unionByName(stg_only.select(
-        *[F.lit(None).cast(tt[x]).alias(x) for x in tcols], *s_cols))
-    if null_t is not None:
-        # null-key target rows never match; they skip the shuffle
-        out = out.unionByName(null_t.select(
-            *tcols, *[F.lit(None).cast(st[x]).alias(x) for x in s_cols]))
-    return out
+    return full_outer_join(target.select(*c.target_columns, *c.extra), stg.select(*s_cols),
+                           [c.key], [_S_KEY])
 
 
 def _any(conds: list[Column]) -> Column:
@@ -194,17 +170,13 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
     stg = _conform_staging(staging, target, c)
     if dedup_staging is None:
         dedup_staging = mode == "default"
-    keyed_s = stg.where(F.col(_S_KEY).isNotNull())
-    null_s = stg.where(F.col(_S_KEY).isNull())
     if dedup_staging:
-        keyed_s = latest_per_key(keyed_s, c)
-    keyed = F.col(c.key).isNotNull()
+        keyed = F.col(_S_KEY).isNotNull()
+        stg = latest_per_key(stg.where(keyed), c).unionByName(stg.where(~keyed))
     if mode == "compat":
-        joined = _join_with_staging(target.where(keyed), target.where(~keyed),
-                                    keyed_s, null_s, c)
-        return joined.withColumn("action", _compat_action(c)), None
-    live = _is_current(c) & keyed
-    joined = _join_with_staging(target.where(live), None, keyed_s, null_s, c)
+        return _join_with_staging(target, stg, c).withColumn("action", _compat_action(c)), None
+    live = _is_current(c) & F.col(c.key).isNotNull()
+    joined = _join_with_staging(target.where(live), stg, c)
     return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 
@@ -272,3 +244,23 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
     if order_by_key:
         result = result.orderBy(c.key)
     return result
+
+
+def scd2_write_back(target_table: str, staging: DataFrame, **options) -> dict[str, object]:
+    """Apply ``staging`` to a dimension *table* and store the result.
+
+    The new dimension is written to a fresh folder under the work root
+    first - that cuts the lineage (Spark refuses to overwrite a table it is
+    reading) and leaves a complete copy if the swap is interrupted - and
+    then replaces the table's contents.  With the default semantics a
+    repeated run with the same feed rewrites identical rows.
+    """
+    from ingestkit.session import scratch_dir
+    from ingestkit.sinks.tables import replace_from_staged
+
+    spark = staging.sparkSession
+    result = scd2_apply(spark.table(target_table), staging, **options)
+    stage = scratch_dir(spark, "scd2-stage")
+    result.write.parquet(stage)
+    replace_from_staged(spark.read.parquet(stage), target_table)
+    return {"table": target_table, "staging": stage}

@@ -126,6 +126,20 @@ def append_with_reconcile(df: DataFrame, name: str, *,
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
+def replace_from_staged(staged: DataFrame, name: str, *, partitions_only: bool = False) -> None:
+    """Overwrite table ``name`` with ``staged`` (data that does not read the
+    table itself, e.g. written under the work root).
+
+    ``partitions_only=True`` replaces just the partitions present in
+    ``staged`` (dynamic partition overwrite); otherwise the whole table.
+    """
+    spark = staged.sparkSession
+    staged = staged.select(*spark.table(name).columns)
+    mode = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if partitions_only else "static"}
+    with scoped_conf(spark, mode):
+        staged.write.mode("overwrite").insertInto(name)
+
+
 def _describe(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return {r.col_name: r.data_type for r in rows}
@@ -186,9 +200,6 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
         else:
             df.coalesce(files).write.format(provider or "parquet").save(stage)
     staged = spark.read.format(provider or "parquet").load(stage)
-    staged = staged.select(*spark.table(name).columns)
-    mode = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if parts else "static"}
-    with scoped_conf(spark, mode):
-        staged.write.mode("overwrite").insertInto(name)
+    replace_from_staged(staged, name, partitions_only=bool(parts))
     return {"table": name, "method": "rewrite", "input_bytes": total,
             "target_files": files, "staging": stage}

@@ -42,6 +42,7 @@ class TopicSource:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None     # caps a Kafka micro-batch
 
 
 def topic_glob(folder: str, topics: str) -> str:
@@ -53,12 +54,14 @@ def topic_glob(folder: str, topics: str) -> str:
 def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
     """A streaming DataFrame with the message columns."""
     if src.brokers:
-        return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", src.brokers)
-                .option("subscribe", src.topics)
-                .option("startingOffsets", src.starting_offsets)
-                .option("failOnDataLoss", str(src.fail_on_data_loss).lower())
-                .load())
+        reader = (spark.readStream.format("kafka")
+                  .option("kafka.bootstrap.servers", src.brokers)
+                  .option("subscribe", src.topics)
+                  .option("startingOffsets", src.starting_offsets)
+                  .option("failOnDataLoss", str(src.fail_on_data_loss).lower()))
+        if src.max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", src.max_offsets_per_trigger)
+        return reader.load()
     if not src.folder:
         raise ValueError("TopicSource needs brokers or a folder")
     reader = spark.readStream.schema(MESSAGE_SCHEMA)

@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.operators.cdc import classify_changes, scd2_apply
+from ingestkit.operators.cdc import classify_changes, scd2_apply, scd2_write_back
+from ingestkit.session import scratch_dir, unique_table
 from ingestkit.workloads.common import table
 
 AS_OF = "2021-01-02"
@@ -89,8 +90,19 @@ def scd2_delta_compat(spark, sf_dir):
     return scd2_apply(silver, bronze, feed="delta", mode="compat")
 
 
+def scd2_table_write_back(spark, sf_dir):
+    # the dimension as a table; the same feed applied twice (second run is a no-op)
+    silver, bronze = _inputs(spark, sf_dir)
+    name = unique_table(spark, "dim_customer")
+    silver.write.format("parquet").option("path", scratch_dir(spark, "tbl-dim")).saveAsTable(name)
+    for _ in range(2):
+        scd2_write_back(name, bronze, feed="full", as_of=AS_OF)
+    return spark.table(name)
+
+
 QUERIES = {
     "scd2_actions": scd2_actions,
+    "scd2_table_write_back": scd2_table_write_back,
     "scd2_full": scd2_full,
     "scd2_full_compat": scd2_full_compat,
     "scd2_delta": scd2_delta,
@@ -180,6 +192,7 @@ SELECT sk_id, attr, mod_dt, data_src_cd, is_current, eff_start_dt, eff_end_dt,
 FROM enriched
 """,
     "scd2_full": _default_result("full"),
+    "scd2_table_write_back": _default_result("full"),
     "scd2_full_compat": _COMPAT_RESULT,
     "scd2_delta": _default_result("delta"),
     "scd2_delta_compat": _COMPAT_RESULT,

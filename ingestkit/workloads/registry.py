@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("cdc", "merge", "ingest", "streams")
+FAMILIES = ("cdc", "joins", "merge", "ingest", "streams")
 
 
 def _modules():
