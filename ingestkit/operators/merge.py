@@ -98,9 +98,28 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
     """The target as it reads after the merge: target rows plus new rows.
 
-    To persist, append :func:`merge_new_rows` to the target table (see
-    ``ingestkit.sinks.tables.append_table``); this function is the
-    side-effect-free view of the result.
+    This is the side-effect-free view of the result; to persist, use
+    :func:`merge_into_table`, which appends only the new rows.
     """
     added = merge_new_rows(target, source, keys, **kw)
     return target.select(*added.columns).unionByName(added)
+
+
+def merge_into_table(target_table: str, source: DataFrame, keys: Sequence[str], **kw) -> int:
+    """Insert-only MERGE into a table: append only the new rows.
+
+    The existing rows are never rewritten (the target is only read for its
+    keys inside the window, which partition pruning bounds for a
+    date-partitioned table).  The append is one job commit, so a failed run
+    leaves the table unchanged and, in the default mode, running the merge
+    again inserts nothing.  Returns the number of rows inserted.
+    """
+    from pyspark.sql import Observation
+
+    from ingestkit.sinks.tables import append_table
+
+    spark = source.sparkSession
+    added = merge_new_rows(spark.table(target_table), source, keys, **kw)
+    obs = Observation("merge_inserted")
+    append_table(added.observe(obs, F.count(F.lit(1)).alias("rows")), target_table)
+    return int(obs.get["rows"])

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ingestkit.operators.merge import dedup_first, merge_insert_only
+from ingestkit.operators.merge import dedup_first, merge_insert_only, merge_into_table
+from ingestkit.session import scratch_dir, unique_table
 from ingestkit.workloads.common import table
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -40,7 +41,21 @@ def merge_insert_only_compat_q(spark, sf_dir):
     return _merge(spark, sf_dir, "compat")
 
 
+def merge_into_table_q(spark, sf_dir):
+    # the earlier load as a table; the same merge twice (second adds nothing)
+    li = table(spark, sf_dir, "lineitem")
+    name = unique_table(spark, "lineitem_tgt")
+    (li.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("date"))
+       .write.format("parquet").option("path", scratch_dir(spark, "tbl-lineitem-tgt"))
+       .saveAsTable(name))
+    for _ in range(2):
+        merge_into_table(name, li, KEYS, order_by=ORDER, tie_breakers=TIES,
+                         bound_column="l_shipdate", lower=LOWER, upper=UPPER)
+    return spark.table(name)
+
+
 QUERIES = {
+    "merge_into_table": merge_into_table_q,
     "dedup_first": dedup_first_q,
     "merge_insert_only": merge_insert_only_q,
     "merge_insert_only_compat": merge_insert_only_compat_q,
@@ -55,9 +70,7 @@ SELECT * EXCLUDE (row_num) FROM (
 _TGT = f"tgt AS (SELECT * FROM lineitem WHERE l_shipdate < DATE '{LOADED_BEFORE}')"
 _WIN = "{a}.l_shipdate >= DATE '" + LOWER + "' AND {a}.l_shipdate < DATE '" + UPPER + "'"
 
-ORACLE = {
-    "dedup_first": _DEDUP.format(where=""),
-    "merge_insert_only": f"""
+_DEFAULT_MERGE = f"""
 WITH {_TGT},
 src AS ({_DEDUP.format(where="WHERE " + _WIN.format(a="lineitem"))})
 SELECT * FROM tgt
@@ -66,7 +79,12 @@ SELECT * FROM src WHERE NOT EXISTS (
   SELECT 1 FROM tgt WHERE {_WIN.format(a="tgt")}
     AND tgt.l_orderkey IS NOT DISTINCT FROM src.l_orderkey
     AND tgt.l_linenumber IS NOT DISTINCT FROM src.l_linenumber)
-""",
+"""
+
+ORACLE = {
+    "dedup_first": _DEDUP.format(where=""),
+    "merge_into_table": _DEFAULT_MERGE,
+    "merge_insert_only": _DEFAULT_MERGE,
     "merge_insert_only_compat": f"""
 WITH {_TGT},
 src AS ({_DEDUP.format(where="")})
