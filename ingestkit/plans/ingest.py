@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ingestkit.plans.sql import transform
-from ingestkit.sinks.tables import (append_with_reconcile, overwrite_table)
+from ingestkit.sinks.tables import REPORT_SCHEMA, append_with_reconcile, overwrite_table
 from ingestkit.sources.delimited import read_delimited
 
 
@@ -43,11 +44,14 @@ def ingest_batch(spark: SparkSession, spec: BatchIngest) -> DataFrame:
     """Run the ingest; returns the load report (one row)."""
     df = ingest_frame(spark, spec)
     if spec.mode == "overwrite":
-        overwrite_table(df, spec.target_table, fmt=spec.table_format, path=spec.table_path,
+        obs = Observation(f"overwrite_{abs(hash(spec.target_table))}")
+        overwrite_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), spec.target_table,
+                        fmt=spec.table_format, path=spec.table_path,
                         partition_by=spec.partition_cols or None)
-        n = spark.table(spec.target_table).count()
-        from ingestkit.sinks.tables import REPORT_SCHEMA
-        return spark.createDataFrame([(spec.target_table, n, 0, n, n, True)], REPORT_SCHEMA)
+        src = int(obs.get["rows"])
+        after = spark.table(spec.target_table).count()
+        row = (spec.target_table, src, 0, after, after, after == src)
+        return spark.createDataFrame([row], REPORT_SCHEMA)
     if spec.mode != "append":
         raise ValueError(f"mode must be 'append' or 'overwrite', not {spec.mode!r}")
     return append_with_reconcile(df, spec.target_table,

@@ -56,6 +56,9 @@ class StreamIngest:
     checkpoint: str | None = None
     table_format: str = "parquet"
     table_path: str | None = None
+    # sink options passed through, e.g. {"fanout-enabled": "true"} for a
+    # table format whose partitioned writer can keep files open per partition
+    options: dict[str, str] = field(default_factory=dict)
 
 
 def start_ingest(spark: SparkSession, spec: StreamIngest) -> StreamingQuery:
@@ -67,6 +70,8 @@ def start_ingest(spark: SparkSession, spec: StreamIngest) -> StreamingQuery:
                       spec.checkpoint or checkpoint_for(spark, spec.target_table)))
     if spec.table_path:
         writer = writer.option("path", spec.table_path)
+    for k, v in spec.options.items():
+        writer = writer.option(k, v)
     if spec.partition_cols:
         writer = writer.partitionBy(*spec.partition_cols)
     return with_trigger(writer, spec.trigger).toTable(spec.target_table)
