@@ -388,8 +388,10 @@ def _native():
         from pyspark.sql.avro import functions as avro_fns
     except ImportError:
         return None
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return None
     if "loaded" not in _NATIVE_STATE:
-        spark = SparkSession.getActiveSession()
         try:
             spark.range(0).select(avro_fns.to_avro(F.struct(F.lit(1).alias("a")))).schema
             _NATIVE_STATE["loaded"] = True

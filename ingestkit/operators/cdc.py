@@ -100,13 +100,19 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
                     F.col(f"__best.{_S_MOD}").alias(_S_MOD)))
 
 
-def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns) -> DataFrame:
+def _join_with_staging(target: DataFrame, keyed_s: DataFrame, null_s: DataFrame,
+                       c: Scd2Columns) -> DataFrame:
     """Row set of ``target FULL OUTER JOIN staging ON key`` (skew-safe form,
     see :mod:`ingestkit.operators.joins`); staging-only rows carry nulls in
-    the target columns."""
+    the target columns.  Null-key staging rows never match and are added
+    afterwards, so the keyed staging keeps the hash partitioning of its
+    per-key reduction (a union in front of the join would lose it)."""
+    tt = _types(target)
+    tcols = c.target_columns + list(c.extra)
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
-    return full_outer_join(target.select(*c.target_columns, *c.extra), stg.select(*s_cols),
-                           [c.key], [_S_KEY])
+    joined = full_outer_join(target.select(*tcols), keyed_s.select(*s_cols), [c.key], [_S_KEY])
+    return joined.unionByName(null_s.select(
+        *[F.lit(None).cast(tt[x]).alias(x) for x in tcols], *s_cols))
 
 
 def _any(conds: list[Column]) -> Column:
@@ -170,13 +176,15 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
     stg = _conform_staging(staging, target, c)
     if dedup_staging is None:
         dedup_staging = mode == "default"
+    keyed = F.col(_S_KEY).isNotNull()
+    keyed_s, null_s = stg.where(keyed), stg.where(~keyed)
     if dedup_staging:
-        keyed = F.col(_S_KEY).isNotNull()
-        stg = latest_per_key(stg.where(keyed), c).unionByName(stg.where(~keyed))
+        keyed_s = latest_per_key(keyed_s, c)
     if mode == "compat":
-        return _join_with_staging(target, stg, c).withColumn("action", _compat_action(c)), None
+        joined = _join_with_staging(target, keyed_s, null_s, c)
+        return joined.withColumn("action", _compat_action(c)), None
     live = _is_current(c) & F.col(c.key).isNotNull()
-    joined = _join_with_staging(target.where(live), stg, c)
+    joined = _join_with_staging(target.where(live), keyed_s, null_s, c)
     return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 

@@ -40,13 +40,23 @@ def overwrite_table(df: DataFrame, name: str, *, fmt: str = "orc", path: str | N
 
 
 def create_table(df: DataFrame, name: str, *, fmt: str = "parquet", path: str | None = None,
-                 partition_by: list[str] | None = None) -> None:
-    """Create an empty table with ``df``'s schema."""
-    writer = df.limit(0).write.format(fmt).mode("error")
+                 partition_by: list[str] | None = None,
+                 bucket_by: tuple[int, list[str]] | None = None, empty: bool = True) -> None:
+    """Create a table with ``df``'s schema (and, with ``empty=False``, rows).
+
+    ``bucket_by=(n, keys)`` hash-buckets and sorts the files by ``keys``:
+    joins and aggregations on those keys then read the table without a
+    shuffle (the other side is shuffled into the same ``n`` partitions).
+    Choose ``n`` so that one bucket of the whole table is a few hundred MB.
+    """
+    writer = (df.limit(0) if empty else df).write.format(fmt).mode("error")
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        n, keys = bucket_by
+        writer = writer.bucketBy(n, *keys).sortBy(*keys)
     writer.saveAsTable(name)
 
 

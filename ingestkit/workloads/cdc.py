@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.operators.cdc import classify_changes, scd2_apply, scd2_write_back
 from ingestkit.session import scratch_dir, unique_table
+from ingestkit.sinks.tables import create_table
 from ingestkit.workloads.common import table
 
 AS_OF = "2021-01-02"
@@ -91,10 +92,12 @@ def scd2_delta_compat(spark, sf_dir):
 
 
 def scd2_table_write_back(spark, sf_dir):
-    # the dimension as a table; the same feed applied twice (second run is a no-op)
+    # the dimension as a table bucketed by key (its side of the join reads
+    # without a shuffle); the same feed applied twice (second run is a no-op)
     silver, bronze = _inputs(spark, sf_dir)
     name = unique_table(spark, "dim_customer")
-    silver.write.format("parquet").option("path", scratch_dir(spark, "tbl-dim")).saveAsTable(name)
+    create_table(silver, name, path=scratch_dir(spark, "tbl-dim"), bucket_by=(8, ["sk_id"]),
+                 empty=False)
     for _ in range(2):
         scd2_write_back(name, bronze, feed="full", as_of=AS_OF)
     return spark.table(name)
