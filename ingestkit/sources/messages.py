@@ -10,7 +10,7 @@ the same columns, so decoding and SQL are identical.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ class TopicSource:
     fail_on_data_loss: bool = False
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None     # caps a Kafka micro-batch
+    options: dict[str, str] = field(default_factory=dict)   # e.g. {"kafka.group.id": "g"}
 
 
 def topic_glob(folder: str, topics: str) -> str:
@@ -61,6 +62,8 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
                   .option("failOnDataLoss", str(src.fail_on_data_loss).lower()))
         if src.max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", src.max_offsets_per_trigger)
+        for k, v in src.options.items():
+            reader = reader.option(k, v)
         return reader.load()
     if not src.folder:
         raise ValueError("TopicSource needs brokers or a folder")

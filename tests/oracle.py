@@ -77,6 +77,8 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = local_session(8)
+    if os.environ.get("ORACLE_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck(sf_dir)
     qs, os_ = queries(), oracle_sql()
     bad = 0

@@ -115,3 +115,12 @@ def test_null_keys_bypass_join(spark):
     nulls = sorted((r.attr, r.is_current) for r in out.where("sk_id IS NULL").collect())
     # the null-key dimension row passes through; the null-key feed row is inserted
     assert nulls == [("n", True), ("z", True)]
+
+
+def test_flag_deletes_and_order(spark):
+    out = scd2_apply(_target(spark), _staging(spark), feed="full", as_of="2021-01-02",
+                     flag_deletes=True, order_by_key=True)
+    rows = out.collect()
+    assert [r.sk_id for r in rows] == sorted(r.sk_id for r in rows)
+    deleted = [(r.sk_id, r.is_current) for r in rows if r.is_deleted]
+    assert deleted == [(3, False)]

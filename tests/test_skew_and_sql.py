@@ -40,3 +40,10 @@ def test_run_sql_in_a_database(spark):
     assert short in tables
     dbs = [r[0] for r in run_sql(spark, "SHOW DATABASES").collect()]
     assert db in dbs
+
+
+def test_statement_lines_keep_apart(spark):
+    from ingestkit.plans.sql import load_statement, transform
+    text = load_statement(["SELECT id AS temp", "FROM genericTempView;"])
+    assert text == "SELECT id AS temp\nFROM genericTempView"
+    assert [r.temp for r in transform(spark.range(2), text).collect()] == [0, 1]
