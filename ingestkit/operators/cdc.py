@@ -89,15 +89,14 @@ def _conform_staging(staging: DataFrame, target: DataFrame, c: Scd2Columns) -> D
 
 def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
     """One staging row per key: latest modification date, then the largest
-    attribute values as a deterministic tie-break.  A hash aggregate with
-    map-side combine, so a hot key is reduced before the shuffle; its output
-    is already hash-partitioned by key, which the join below reuses."""
+    attribute values (nulls lowest) as a deterministic tie-break.  Planned
+    as a two-phase top-1 (partial before the shuffle, so a hot key is cut
+    to one row per map task); its output is hash-partitioned by key, which
+    the join reuses."""
+    from ingestkit.operators.merge import dedup_first
     payload = [_s_attr(i) for i in range(len(c.attrs))]
-    order = F.struct(F.col(_S_MOD), *[F.col(p) for p in payload])
-    best = F.max_by(F.struct(*[F.col(p) for p in payload], F.col(_S_MOD)), order)
-    return (stg.groupBy(_S_KEY).agg(best.alias("__best"))
-            .select(_S_KEY, *[F.col(f"__best.{p}").alias(p) for p in payload],
-                    F.col(f"__best.{_S_MOD}").alias(_S_MOD)))
+    return dedup_first(stg, [_S_KEY], [F.col(_S_MOD).desc_nulls_last()],
+                       [F.col(p).desc_nulls_last() for p in payload])
 
 
 def _join_with_staging(target: DataFrame, keyed_s: DataFrame, null_s: DataFrame,
