@@ -43,3 +43,23 @@ def test_csv_scan_is_pruned_to_used_columns(spark):
     plan = _plan(queries()["gsod_style_cast"](spark, SF_SMALL))
     scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
     assert "ReadSchema: struct<event_id:string,ts:string,event_type:string,value:string>" in scan
+
+
+def test_merge_window_prunes_a_date_partitioned_target(spark):
+    import datetime as dt
+
+    from ingestkit.operators.merge import merge_new_rows
+    from ingestkit.session import scratch_dir, unique_table
+
+    name = unique_table(spark, "ptarget")
+    rows = [(k, dt.date(2019, 1 + (k % 3), 1 + k % 27)) for k in range(60)]
+    spark.createDataFrame(rows, "k int, d date").write.partitionBy("d").format("parquet") \
+        .option("path", scratch_dir(spark, "tbl")).saveAsTable(name)
+    src = spark.createDataFrame(rows, "k int, d date")
+    added = merge_new_rows(spark.table(name), src, ["k"], order_by=["d"], bound_column="d",
+                           lower="2019-02-01", upper="2019-03-01")
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines()
+                if "FileScan parquet" in line and name.split(".")[1] in line)
+    assert "PartitionFilters: [isnotnull(d" in scan and "2019-02-01" in scan
+    assert added.count() == 0
