@@ -179,7 +179,9 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
     to the target, so a huge partition is split and small ones merged.  The
     result is staged and then swapped in with INSERT OVERWRITE (dynamic
     partition mode, so only the rewritten partitions change), because Spark
-    refuses to overwrite a table it is reading.
+    refuses to overwrite a table it is reading.  The staged copy stays in
+    the returned ``staging`` folder; should the swap itself be interrupted,
+    ``replace_from_staged`` can be run again from it.
     """
     info = _describe(spark, name)
     provider = (info.get("Provider") or "").lower()
@@ -193,10 +195,17 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
     location = info["Location"]
     total = _bytes_under(spark, location)
     parts = _partition_columns(spark, name)
-    if where and not parts:
-        # the swap replaces whole partitions; without partitions a filter
-        # would replace the table with a subset of itself
-        raise ValueError("where= needs a partitioned table (filter on partition columns)")
+    if where:
+        # the swap replaces whole partitions, so the filter may only select
+        # partitions; a row-level filter would drop the rows it leaves out
+        if not parts:
+            raise ValueError("where= needs a partitioned table (filter on partition columns)")
+        part_schema = T.StructType([f for f in spark.table(name).schema.fields if f.name in parts])
+        try:
+            # an empty frame with only the partition columns: nothing else resolves
+            spark.createDataFrame([], part_schema).where(where).schema
+        except AnalysisException as err:
+            raise ValueError(f"where= may only use partition columns {parts}: {where!r}") from err
     files = max(1, math.ceil(total / target_file_bytes))
     stage = scratch_dir(spark, "compact-stage")
     with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(target_file_bytes)}):
@@ -209,7 +218,8 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
                 clustered(df, parts).write.partitionBy(*parts).format(provider or "parquet").save(stage)
         else:
             df.coalesce(files).write.format(provider or "parquet").save(stage)
-    staged = spark.read.format(provider or "parquet").load(stage)
+    # the table's own schema, not partition-value inference, types the copy
+    staged = spark.read.format(provider or "parquet").schema(spark.table(name).schema).load(stage)
     replace_from_staged(staged, name, partitions_only=bool(parts))
     return {"table": name, "method": "rewrite", "input_bytes": total,
             "target_files": files, "staging": stage}

@@ -90,3 +90,22 @@ def test_stream_restart_adds_each_message_once(spark):
     publish_batch(second, folder, "t", F.col("v"))
     run_to_end(start_ingest(spark, spec))
     assert sorted(r.a for r in spark.table(spec.target_table).collect()) == list(range(15))
+
+
+def test_compaction_rejects_row_level_filter(spark):
+    name = unique_table(spark, "smallq")
+    spark.range(100).selectExpr("id", "CAST(id % 2 AS INT) AS p").write.partitionBy("p") \
+        .format("parquet").option("path", scratch_dir(spark, "tbl")).saveAsTable(name)
+    with pytest.raises(ValueError):
+        compact_table(spark, name, where="id < 10")
+    assert spark.table(name).count() == 100
+
+
+def test_compaction_keeps_string_partition_values(spark):
+    name = unique_table(spark, "strpart")
+    df = spark.range(30).selectExpr("id", "lpad(CAST(id % 3 AS STRING), 4, '0') AS p")
+    df.repartition(6).write.partitionBy("p").format("parquet") \
+        .option("path", scratch_dir(spark, "tbl")).saveAsTable(name)
+    compact_table(spark, name, target_file_bytes=1 << 30)
+    assert sorted(r.p for r in spark.table(name).select("p").distinct().collect()) == \
+        ["0000", "0001", "0002"]
