@@ -52,6 +52,15 @@ def work_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def durable_root(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself (the same in every
+    application), for state that must survive a restart, e.g. stream
+    checkpoints.  ``work_root`` is an application-specific subfolder."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or \
+        spark.conf.get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else work_root(spark)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the work root (nothing is created)."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -20,13 +20,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ingestkit.functions.json_codec import decode_json
 from ingestkit.plans.sql import transform
-from ingestkit.session import work_root
+from ingestkit.session import durable_root
 from ingestkit.sources.messages import TopicSource, read_topic_stream
 
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
-    """A stable checkpoint folder for a named stream (restarts resume)."""
-    return f"{work_root(spark)}/streams/{name}"
+    """A stable checkpoint folder for a named stream: the same path in every
+    application, so a restarted job resumes where the last one committed."""
+    return f"{durable_root(spark)}/streams/{name}"
 
 
 def with_trigger(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:

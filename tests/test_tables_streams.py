@@ -109,3 +109,13 @@ def test_compaction_keeps_string_partition_values(spark):
     compact_table(spark, name, target_file_bytes=1 << 30)
     assert sorted(r.p for r in spark.table(name).select("p").distinct().collect()) == \
         ["0000", "0001", "0002"]
+
+
+def test_default_checkpoint_is_stable_across_applications(spark):
+    from ingestkit.session import durable_root, work_root
+    from ingestkit.streaming.ingest import checkpoint_for
+    path = checkpoint_for(spark, "db.t")
+    assert path.startswith(durable_root(spark))
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if configured:
+        assert work_root(spark) not in path or work_root(spark) == durable_root(spark)
