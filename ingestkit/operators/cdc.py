@@ -22,9 +22,10 @@ Two semantics are offered:
 
 Plan shape (both modes): one shuffle per side, no caches.  The join is
 the skew-safe full outer join of :mod:`ingestkit.operators.joins`
-(``target LEFT JOIN staging`` plus ``staging LEFT ANTI JOIN
-distinct(target keys)``, null keys routed around the shuffle), with the
-target - the side that may hold many rows per key - streamed.  Every joined row is turned into its 1-2 output rows by a single
+(``target LEFT JOIN staging`` plus staging anti-joined with its matched
+keys, null keys routed around the shuffle), with the target - the side
+that may hold many rows per key - streamed; a small feed is broadcast and
+the dimension is then not shuffled.  Every joined row is turned into its 1-2 output rows by a single
 ``inline(array(struct, ...))`` generator.
 """
 

@@ -2,7 +2,9 @@
 
 ``left FULL OUTER JOIN right ON keys`` is computed as
 
-    left LEFT JOIN right  ∪  right LEFT ANTI JOIN distinct(left keys)
+    left LEFT JOIN right
+    ∪  right LEFT ANTI JOIN matched
+       where matched = distinct(left keys JOIN distinct(right keys))
 
 which is the same row set for any equi-join (right rows with a partner
 appear in the first part, the rest in the second).  Why not let Spark
@@ -10,9 +12,12 @@ plan the full outer join directly: its sort-merge implementation buffers
 all rows of a key from both sides in memory, and AQE's skew handling
 does not split full outer joins.  In the rewrite the left side is
 streamed (AQE splits a skewed left partition and replicates the matching
-right partition), and the anti join reads the left keys after a
-map-side-combined ``distinct`` (a hot key costs one row per task).  Put
-the side with the larger per-key multiplicity on the left.
+right partition); ``matched`` is at most as large as the right side and
+its ``distinct`` combines a hot key map-side.  When the right side is
+small (a change feed against a large table), Catalyst can broadcast it to
+both joins after its own size check, and the left side is then never
+shuffled at all.  Put the side with the larger per-key multiplicity on
+the left.
 
 Rows whose join key is null can never match; they are routed around the
 shuffle (they would otherwise all hash into one task) and come back
@@ -59,14 +64,18 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
 
     cond = reduce(lambda a, b: a & b,
                   [keyed_l[lk] == keyed_r[rk] for lk, rk in zip(left_keys, right_keys)])
-    matched = keyed_l.join(keyed_r, cond, "left").select(
+    joined = keyed_l.join(keyed_r, cond, "left").select(
         *[keyed_l[c] for c in left.columns], *[keyed_r[c] for c in right.columns])
 
-    lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)]).distinct()
+    lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)])
+    rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(right_keys)]).distinct()
+    on = reduce(lambda a, b: a & b, [lkeys[f"__lk{i}"] == rkeys[f"__rk{i}"]
+                                     for i in range(len(right_keys))])
+    matched = lkeys.join(rkeys, on, "inner").select(*rkeys.columns).distinct()
     anti = reduce(lambda a, b: a & b,
-                  [keyed_r[rk] == lkeys[f"__lk{i}"] for i, rk in enumerate(right_keys)])
-    right_only = keyed_r.join(lkeys, anti, "left_anti").unionByName(null_r)
+                  [keyed_r[rk] == matched[f"__rk{i}"] for i, rk in enumerate(right_keys)])
+    right_only = keyed_r.join(matched, anti, "left_anti").unionByName(null_r)
 
-    return (matched
+    return (joined
             .unionByName(_padded(right_only, left, keep_left=False))
             .unionByName(_padded(null_l, right, keep_left=True)))

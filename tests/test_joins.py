@@ -25,3 +25,16 @@ def test_plan_has_no_full_outer(spark):
     r_df = spark.range(5).selectExpr("id AS b")
     plan = full_outer_join(l_df, r_df, ["a"], ["b"])._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_small_feed_never_shuffles_the_large_side(spark):
+    from ingestkit.session import scoped_conf, scratch_dir
+    big, small = scratch_dir(spark, "big"), scratch_dir(spark, "small")
+    spark.range(200000).selectExpr("id AS k", "id * 3 AS v").write.parquet(big)
+    spark.range(0, 400000, 8000).selectExpr("id AS rk", "id AS rv").write.parquet(small)
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": str(64 * 1024)}):
+        out = full_outer_join(spark.read.parquet(big), spark.read.parquet(small), ["k"], ["rk"])
+        n = out.count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    assert n == 200000 + 25
+    assert "hashpartitioning(k#" not in plan and "hashpartitioning(__lk0" not in plan
