@@ -8,9 +8,10 @@ after it.
 
 ``merge_insert_only`` inserts the source rows whose key is not yet in
 the target inside a date window and never changes existing rows.  It is
-an anti join of the de-duplicated source against the target's distinct
-keys in the window (partition pruning applies to a date-partitioned
-target, and ``distinct`` combines hot keys map-side), followed by an
+an anti join of the de-duplicated source against those of its keys that
+already exist in the target window (partition pruning applies to a
+date-partitioned target; a small source is broadcast so the target is
+not shuffled; ``distinct`` combines hot keys map-side), followed by an
 append.  Two semantics:
 
 * default - the window is applied to the source as a filter and keys
@@ -78,11 +79,22 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     tgt = target
     if bound_column is not None:
         tgt = tgt.where(_bounds(F.col(bound_column), lower, upper))
-    tkeys = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+
+    def unmatched(rows: DataFrame, null_safe: bool) -> DataFrame:
+        # keys of ``rows`` that already exist in the target window: target
+        # keys joined with the distinct source keys (a small source is
+        # broadcast and the target is not shuffled), combined map-side
+        def eq(a, b):
+            return a.eqNullSafe(b) if null_safe else a == b
+        skeys = rows.select(*[F.col(k).alias(f"__s_{k}") for k in keys]).distinct()
+        tkeys = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+        on = reduce(lambda x, y: x & y, [eq(tkeys[f"__t_{k}"], skeys[f"__s_{k}"]) for k in keys])
+        matched = tkeys.join(skeys, on, "inner").select(*skeys.columns).distinct()
+        anti = reduce(lambda x, y: x & y, [eq(rows[k], matched[f"__s_{k}"]) for k in keys])
+        return rows.join(matched, anti, "left_anti")
 
     if mode == "default":
-        cond = [src[k].eqNullSafe(tkeys[f"__t_{k}"]) for k in keys]
-        return src.join(tkeys, reduce(lambda a, b: a & b, cond), "left_anti").select(*cols)
+        return unmatched(src, null_safe=True).select(*cols)
 
     # compat: the source window lives in the ON clause, keys use plain "="
     in_window = (_bounds(F.col(bound_column), lower, upper) if bound_column is not None
@@ -90,9 +102,7 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     flagged = src.withColumn("__in_window", in_window)
     can_match = flagged.where(F.col("__in_window"))
     never = flagged.where(~F.col("__in_window") | F.col("__in_window").isNull())
-    cond = [can_match[k] == tkeys[f"__t_{k}"] for k in keys]
-    unmatched = can_match.join(tkeys, reduce(lambda a, b: a & b, cond), "left_anti")
-    return unmatched.unionByName(never).select(*cols)
+    return unmatched(can_match, null_safe=False).unionByName(never).select(*cols)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
