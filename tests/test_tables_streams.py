@@ -119,3 +119,14 @@ def test_default_checkpoint_is_stable_across_applications(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         assert work_root(spark) not in path or work_root(spark) == durable_root(spark)
+
+
+def test_replayed_batch_replaces_itself(spark):
+    from ingestkit.streaming.ingest import batch_folder_writer
+    out = scratch_dir(spark, "mb")
+    write = batch_folder_writer(out)
+    write(spark.range(5), 0)
+    write(spark.range(3), 1)
+    write(spark.range(3), 1)            # the same batch delivered again
+    got = spark.read.parquet(out).groupBy("batch_id").count().orderBy("batch_id").collect()
+    assert [(r.batch_id, r["count"]) for r in got] == [(0, 5), (1, 3)]
