@@ -63,3 +63,12 @@ def test_merge_window_prunes_a_date_partitioned_target(spark):
                 if "FileScan parquet" in line and name.split(".")[1] in line)
     assert "PartitionFilters: [isnotnull(d" in scan and "2019-02-01" in scan
     assert added.count() == 0
+
+
+def test_scd2_generator_is_whole_stage_codegen(spark):
+    from ingestkit.session import scoped_conf
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        df = queries()["scd2_full"](spark, SF_SMALL)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    gen = next(line for line in text.splitlines() if "Generate inline" in line)
+    assert "*(" in gen
