@@ -130,3 +130,26 @@ def test_replayed_batch_replaces_itself(spark):
     write(spark.range(3), 1)            # the same batch delivered again
     got = spark.read.parquet(out).groupBy("batch_id").count().orderBy("batch_id").collect()
     assert [(r.batch_id, r["count"]) for r in got] == [(0, 5), (1, 3)]
+
+
+def test_glob_path_reads_all_matching_files(spark):
+    base = scratch_dir(spark, "glob")
+    for day in ("2020-01-01", "2020-01-02"):
+        write_delimited(spark.createDataFrame([(day, 1)], "d string, n int"), f"{base}/{day}")
+    got = read_delimited(spark, f"{base}/*/*.csv", "d:date,n:integer")
+    assert sorted(str(r.d) for r in got.collect()) == ["2020-01-01", "2020-01-02"]
+
+
+def test_processing_time_trigger(spark):
+    folder = scratch_dir(spark, "topics")
+    publish_batch(spark.range(4).select(F.to_json(F.struct(F.col("id").alias("a"))).alias("v")),
+                  folder, "t", F.col("v"))
+    spec = StreamIngest(source=TopicSource("t", folder=folder), schema="a:long",
+                        target_table=unique_table(spark, "pt"), trigger="1 second",
+                        checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl"))
+    q = start_ingest(spark, spec)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.a for r in spark.table(spec.target_table).collect()) == [0, 1, 2, 3]
