@@ -166,8 +166,14 @@ def _bytes_under(spark: SparkSession, location: str) -> int:
     return int(fs.getContentSummary(path).getLength())
 
 
+def _has_stream_sink_log(spark: SparkSession, location: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location.rstrip("/") + "/_spark_metadata")
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
+
+
 def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 128 * 1024 * 1024,
-                  where: str | None = None) -> dict[str, object]:
+                  where: str | None = None, allow_stream_sink: bool = False) -> dict[str, object]:
     """Rewrite a table (or the partitions selected by ``where``) into files
     of about ``target_file_bytes``.
 
@@ -193,6 +199,12 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
         return {"table": name, "method": "procedure"}
 
     location = info["Location"]
+    if _has_stream_sink_log(spark, location) and not allow_stream_sink:
+        # a streaming file sink lists its committed files in _spark_metadata;
+        # rewriting the folder drops that log, and with it the guarantee that
+        # readers never see files of an unfinished micro-batch
+        raise ValueError(f"{name} is written by a streaming file sink; stop the stream and pass "
+                         "allow_stream_sink=True to compact it (its sink log is dropped)")
     total = _bytes_under(spark, location)
     parts = _partition_columns(spark, name)
     if where:

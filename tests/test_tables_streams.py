@@ -153,3 +153,17 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert sorted(r.a for r in spark.table(spec.target_table).collect()) == [0, 1, 2, 3]
+
+
+def test_compaction_refuses_a_live_stream_sink_table(spark):
+    folder = scratch_dir(spark, "topics")
+    publish_batch(spark.range(6).select(F.to_json(F.struct(F.col("id").alias("a"))).alias("v")),
+                  folder, "t", F.col("v"))
+    spec = StreamIngest(source=TopicSource("t", folder=folder), schema="a:long",
+                        target_table=unique_table(spark, "sinkt"), trigger="availableNow",
+                        checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl"))
+    run_to_end(start_ingest(spark, spec))
+    with pytest.raises(ValueError):
+        compact_table(spark, spec.target_table)
+    compact_table(spark, spec.target_table, allow_stream_sink=True)
+    assert spark.table(spec.target_table).count() == 6
