@@ -33,6 +33,7 @@ def decode_json(df: DataFrame, schema: str | T.StructType, *, column: str = "val
 
 
 def encode_json(df: DataFrame, columns: Sequence[str] | None = None, *,
-                alias: str = "value") -> F.Column:
+                alias: str | None = None) -> F.Column:
     """A JSON text column holding ``columns`` (default: all) of each row."""
-    return F.to_json(F.struct(*(columns or df.columns)), JSON_OPTIONS).alias(alias)
+    text = F.to_json(F.struct(*(columns or df.columns)), JSON_OPTIONS)
+    return text.alias(alias) if alias else text

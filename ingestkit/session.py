@@ -78,15 +78,6 @@ def unique_table(spark: SparkSession, stem: str, database: str | None = None) ->
     return f"{db}.{stem}_{uuid.uuid4().hex[:10]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-
-
 class scoped_conf:
     """Set SQL confs for the duration of a ``with`` block, then restore."""
 

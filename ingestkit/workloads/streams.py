@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ingestkit.functions.avro import schema_for_spark
-from ingestkit.functions.json_codec import JSON_OPTIONS
+from ingestkit.functions.json_codec import encode_json
 from ingestkit.functions.schema_text import as_struct
 from ingestkit.session import scratch_dir, unique_table
 from ingestkit.sources.messages import TopicSource, publish_batch, read_topic_batch
@@ -27,7 +27,7 @@ SPLIT_TS = "2024-01-16 00:00:00"
 
 
 def _json_value(ev, corrupt: bool = False):
-    text = F.to_json(F.struct(*ev.columns), JSON_OPTIONS)
+    text = encode_json(ev)
     if corrupt:
         text = F.when(F.col("event_type") == "error", F.lit("bad{")).otherwise(text)
     return text
