@@ -9,6 +9,8 @@ zone and handed back as wall-clock (``timestamp_ntz``) values.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ingestkit.functions.avro import schema_for_spark
@@ -127,7 +129,65 @@ def stream_avro_roundtrip(spark, sf_dir):
     return _wall_clock(spark.read.parquet(target))
 
 
+# The trade message as the producer declares it (schema text)
+# and as the consumer declares it (Avro record; price fields in another
+# order, each a union with null as the second branch).
+TRADES_SCHEMA = ("xchange:string,symbol:string,trdate:string,open:float,high:float,low:float,"
+                 "close:float,volume:integer,adj_close:float")
+TRADE_READER = json.dumps({"type": "record", "name": "trade", "fields": [
+    {"name": "xchange", "type": ["string", "null"]},
+    {"name": "symbol", "type": ["string", "null"]},
+    {"name": "trdate", "type": ["string", "null"]},
+    {"name": "high", "type": ["float", "null"]},
+    {"name": "open", "type": ["float", "null"]},
+    {"name": "close", "type": ["float", "null"]},
+    {"name": "low", "type": ["float", "null"]},
+    {"name": "volume", "type": ["int", "null"]},
+    {"name": "adj_close", "type": ["float", "null"]}]})
+
+
+def _trades_topic(spark, sf_dir):
+    # trade-shaped messages derived from lineitem, republished as Avro with
+    # the producer's own field order
+    li = table(spark, sf_dir, "lineitem")
+    trades = li.select(
+        F.col("l_returnflag").alias("xchange"), F.col("l_linestatus").alias("symbol"),
+        F.to_date("l_shipdate").cast("string").alias("trdate"),
+        F.col("l_quantity").alias("open"), F.col("l_extendedprice").alias("high"),
+        F.col("l_discount").alias("low"), F.col("l_tax").alias("close"),
+        F.col("l_linenumber").alias("volume"), F.col("l_quantity").alias("adj_close"))
+    folder = scratch_dir(spark, "topics")
+    publish_batch(trades, folder, "trades", encode_json(trades))
+    run_to_end(publish_avro(spark, TopicSource("trades", folder=folder), TRADES_SCHEMA,
+                            topic="trades-avro", folder=folder,
+                            checkpoint=scratch_dir(spark, "ckpt")))
+    return folder
+
+
+def _decode_trades(spark, sf_dir, writer_schema):
+    folder = _trades_topic(spark, sf_dir)
+    decoded = consume_avro(spark, TopicSource("trades-avro", folder=folder), TRADE_READER,
+                           writer_schema=writer_schema)
+    target = scratch_dir(spark, "trades-decoded")
+    run_to_end(decoded.writeStream.format("parquet").option("path", target)
+               .option("checkpointLocation", scratch_dir(spark, "ckpt"))
+               .trigger(availableNow=True).start())
+    return spark.read.parquet(target)
+
+
+def stream_avro_trades_compat(spark, sf_dir):
+    # the consumer holds only its own schema: positional decode swaps prices
+    return _decode_trades(spark, sf_dir, None)
+
+
+def stream_avro_trades_by_name(spark, sf_dir):
+    # with the writer schema too, fields resolve by name
+    return _decode_trades(spark, sf_dir, schema_for_spark(as_struct(TRADES_SCHEMA)))
+
+
 QUERIES = {
+    "stream_avro_trades_compat": stream_avro_trades_compat,
+    "stream_avro_trades_by_name": stream_avro_trades_by_name,
     "stream_json_decode": stream_json_decode,
     "stream_sql_append": stream_sql_append,
     "stream_partitioned_append": stream_partitioned_append,
@@ -158,7 +218,17 @@ _AVRO_BYTES = " + ".join([
     f"1 + {_varint_len('octet_length(encode(props))')} + octet_length(encode(props))",
 ])
 
+_TRADES_COMMON = """l_returnflag AS xchange, l_linestatus AS symbol,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trdate,
+       l_linenumber AS volume, CAST(l_quantity AS FLOAT) AS adj_close"""
+
 ORACLE = {
+    "stream_avro_trades_compat": f"""SELECT {_TRADES_COMMON},
+       CAST(l_quantity AS FLOAT) AS high, CAST(l_extendedprice AS FLOAT) AS open,
+       CAST(l_discount AS FLOAT) AS close, CAST(l_tax AS FLOAT) AS low FROM lineitem""",
+    "stream_avro_trades_by_name": f"""SELECT {_TRADES_COMMON},
+       CAST(l_quantity AS FLOAT) AS open, CAST(l_extendedprice AS FLOAT) AS high,
+       CAST(l_discount AS FLOAT) AS low, CAST(l_tax AS FLOAT) AS close FROM lineitem""",
     "stream_json_decode": "SELECT " + ", ".join(_null_if_error(c) for c in (
         "event_id", "ts", "user_id", "event_type", "value", "props")) + " FROM events",
     "stream_sql_append": """SELECT event_id, user_id, event_type, value,
