@@ -64,6 +64,7 @@ def apply_schema_text(spark, sf_dir):
 GSOD_STYLE_SQL = """
 SELECT CAST(event_id AS BIGINT) AS event_id,
        try_cast(ts AS DATE) AS rep_date,
+       name,
        event_type,
        try_cast(value AS DOUBLE) AS value
 FROM genericTempView
@@ -71,11 +72,14 @@ FROM genericTempView
 
 
 def gsod_style_cast(spark, sf_dir):
-    # wide all-string source with a header and unparseable cells
+    # wide all-string source with a header, quoted names holding the
+    # separator, and unparseable cells
     path = scratch_dir(spark, "events-wide")
     ev = table(spark, sf_dir, "events")
     wide = ev.select(
-        "event_id", "ts", "user_id", "event_type",
+        "event_id", "ts", "user_id",
+        F.concat_ws(", ", "event_type", F.col("user_id").cast("string")).alias("name"),
+        "event_type",
         F.when(F.col("event_type") == "error", F.lit("n/a"))
          .otherwise(F.col("value").cast("string")).alias("value"),
         "props", F.lit("x").alias("pad1"), F.lit("y").alias("pad2"))
@@ -202,7 +206,8 @@ ORACLE = {
     "csv_quote_off": """SELECT p_partkey, '"' || p_brand AS brand, ' ' || p_type || '"' AS ptype,
        p_size, p_retailprice FROM part""",
     "apply_schema_text": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
-    "gsod_style_cast": """SELECT event_id, CAST(ts AS DATE) AS rep_date, event_type,
+    "gsod_style_cast": """SELECT event_id, CAST(ts AS DATE) AS rep_date,
+       event_type || ', ' || CAST(user_id AS VARCHAR) AS name, event_type,
        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events""",
     "prepared_sql_batch": """SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus,
        l_extendedprice AS price, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem""",

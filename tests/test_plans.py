@@ -42,7 +42,7 @@ def test_dedup_limits_before_the_shuffle(spark):
 def test_csv_scan_is_pruned_to_used_columns(spark):
     plan = _plan(queries()["gsod_style_cast"](spark, SF_SMALL))
     scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
-    assert "ReadSchema: struct<event_id:string,ts:string,event_type:string,value:string>" in scan
+    assert "ReadSchema: struct<event_id:string,ts:string,name:string,event_type:string,value:string>" in scan
 
 
 def test_merge_window_prunes_a_date_partitioned_target(spark):
