@@ -74,11 +74,17 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
 
 
 def as_messages(df: DataFrame, topic: str, value: Column, key: Column | None = None,
-                timestamp: Column | None = None) -> DataFrame:
-    """Rows shaped as messages of ``topic`` (narrow; no shuffle).
+                timestamp: Column | None = None, partitions: int | None = None) -> DataFrame:
+    """Rows shaped as messages of ``topic``.
 
-    Partition is the writing task, offset grows within it.
+    With ``partitions``, rows are spread over that many topic partitions as
+    a producer does: by key hash when there is a key, else round-robin.
+    Without it the step is narrow.  Partition is the writing task, offset
+    grows within it.
     """
+    if partitions:
+        df = (df.repartition(partitions, key) if key is not None
+              else df.repartition(partitions))
     return df.select(
         (key.cast("binary") if key is not None else F.lit(None).cast("binary")).alias("key"),
         value.cast("binary").alias("value"),
@@ -91,9 +97,10 @@ def as_messages(df: DataFrame, topic: str, value: Column, key: Column | None = N
 
 
 def publish_batch(df: DataFrame, folder: str, topic: str, value: Column,
-                  key: Column | None = None, timestamp: Column | None = None) -> None:
+                  key: Column | None = None, timestamp: Column | None = None,
+                  partitions: int | None = None) -> None:
     """Append a batch of rows to a file-backed topic."""
-    as_messages(df, topic, value, key, timestamp).write.mode("append").parquet(
+    as_messages(df, topic, value, key, timestamp, partitions).write.mode("append").parquet(
         f"{folder.rstrip('/')}/{topic}")
 
 

@@ -28,6 +28,11 @@ EVENTS_SCHEMA = ("event_id:long,ts:timestamp,user_id:long,event_type:string,valu
 SPLIT_TS = "2024-01-16 00:00:00"
 
 
+def _partitions(spark) -> int:
+    # topic partitions for the replays: one per core of the session
+    return spark.sparkContext.defaultParallelism
+
+
 def _json_value(ev, corrupt: bool = False):
     text = encode_json(ev)
     if corrupt:
@@ -39,7 +44,7 @@ def _publish_events(spark, sf_dir, folder, topic="events", *, corrupt=False, whe
     ev = table(spark, sf_dir, "events")
     if where is not None:
         ev = ev.where(where)
-    publish_batch(ev, folder, topic, _json_value(ev, corrupt))
+    publish_batch(ev, folder, topic, _json_value(ev, corrupt), partitions=_partitions(spark))
 
 
 def _wall_clock(df):
@@ -157,7 +162,7 @@ def _trades_topic(spark, sf_dir):
         F.col("l_discount").alias("low"), F.col("l_tax").alias("close"),
         F.col("l_linenumber").alias("volume"), F.col("l_quantity").alias("adj_close"))
     folder = scratch_dir(spark, "topics")
-    publish_batch(trades, folder, "trades", encode_json(trades))
+    publish_batch(trades, folder, "trades", encode_json(trades), partitions=_partitions(spark))
     run_to_end(publish_avro(spark, TopicSource("trades", folder=folder), TRADES_SCHEMA,
                             topic="trades-avro", folder=folder,
                             checkpoint=scratch_dir(spark, "ckpt")))
