@@ -94,13 +94,14 @@ def stream_partitioned_append(spark, sf_dir):
 
 
 def stream_microbatch_json(spark, sf_dir):
-    # two topics, one subscription, several micro-batches
+    # two topics, one subscription, a micro-batch per topic's worth of files
     folder = scratch_dir(spark, "topics")
     kinds = F.col("event_type").isin("click", "view", "purchase")
     _publish_events(spark, sf_dir, folder, "events-a", where=kinds)
     _publish_events(spark, sf_dir, folder, "events-b", where=~kinds)
     out = scratch_dir(spark, "microbatch-out")
-    source = TopicSource("events-a,events-b", folder=folder, max_files_per_trigger=2)
+    source = TopicSource("events-a,events-b", folder=folder,
+                         max_files_per_trigger=_partitions(spark))
     run_to_end(start_microbatch(spark, source, EVENTS_SCHEMA, batch_folder_writer(out),
                                 trigger="availableNow", checkpoint=scratch_dir(spark, "ckpt")))
     return _wall_clock(spark.read.parquet(out).drop("batch_id", "topic"))
