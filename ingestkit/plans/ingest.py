@@ -44,13 +44,16 @@ def ingest_batch(spark: SparkSession, spec: BatchIngest) -> DataFrame:
     """Run the ingest; returns the load report (one row)."""
     df = ingest_frame(spark, spec)
     if spec.mode == "overwrite":
+        from ingestkit.sinks.tables import table_exists
+        before = spark.table(spec.target_table).count() if table_exists(spark, spec.target_table) else 0
         obs = Observation(f"overwrite_{abs(hash(spec.target_table))}")
         overwrite_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), spec.target_table,
                         fmt=spec.table_format, path=spec.table_path,
                         partition_by=spec.partition_cols or None)
         src = int(obs.get["rows"])
         after = spark.table(spec.target_table).count()
-        row = (spec.target_table, src, 0, after, after, after == src)
+        # a replace: everything in the table afterwards came from this load
+        row = (spec.target_table, src, before, after, after, after == src)
         return spark.createDataFrame([row], REPORT_SCHEMA)
     if spec.mode != "append":
         raise ValueError(f"mode must be 'append' or 'overwrite', not {spec.mode!r}")

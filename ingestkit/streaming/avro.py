@@ -34,7 +34,7 @@ def avro_stream(spark: SparkSession, source: TopicSource, json_schema: str | T.S
 def publish_avro(spark: SparkSession, source: TopicSource, json_schema: str | T.StructType, *,
                  topic: str, folder: str | None = None, brokers: str | None = None,
                  checkpoint: str, avro_schema: str | None = None, key: str | None = None,
-                 trigger: str = "availableNow") -> StreamingQuery:
+                 trigger: str = "default") -> StreamingQuery:
     """Start the republishing stream (Kafka sink, or a file-backed topic)."""
     out = avro_stream(spark, source, json_schema, avro_schema=avro_schema, key=key)
     if brokers:

@@ -31,7 +31,10 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
 
 
 def with_trigger(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
-    """``availableNow``, ``once``, or a processing-time interval like '1 minute'."""
+    """``default`` (next micro-batch as soon as the last one ends),
+    ``availableNow``, ``once``, or a processing-time interval like '1 minute'."""
+    if trigger == "default":
+        return writer
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
     if trigger == "once":

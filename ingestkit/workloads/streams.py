@@ -112,7 +112,7 @@ def _avro_topic(spark, sf_dir):
     _publish_events(spark, sf_dir, folder)
     run_to_end(publish_avro(spark, TopicSource("events", folder=folder), EVENTS_SCHEMA,
                             topic="events-avro", folder=folder, key="event_id",
-                            checkpoint=scratch_dir(spark, "ckpt")))
+                            checkpoint=scratch_dir(spark, "ckpt"), trigger="availableNow"))
     return folder
 
 
@@ -166,7 +166,7 @@ def _trades_topic(spark, sf_dir):
     publish_batch(trades, folder, "trades", encode_json(trades), partitions=_partitions(spark))
     run_to_end(publish_avro(spark, TopicSource("trades", folder=folder), TRADES_SCHEMA,
                             topic="trades-avro", folder=folder,
-                            checkpoint=scratch_dir(spark, "ckpt")))
+                            checkpoint=scratch_dir(spark, "ckpt"), trigger="availableNow"))
     return folder
 
 
