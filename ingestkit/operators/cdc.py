@@ -272,3 +272,15 @@ def scd2_write_back(target_table: str, staging: DataFrame, **options) -> dict[st
     result.write.parquet(stage)
     replace_from_staged(spark.read.parquet(stage), target_table)
     return {"table": target_table, "staging": stage}
+
+
+def scd2_view(target_table: str, staging_table: str, *, view: str = "merged_cdc",
+              **options) -> DataFrame:
+    """Apply a staging *table* to a dimension *table* and expose the result
+    as a temporary view for SQL (nothing is written)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    result = scd2_apply(spark.table(target_table), spark.table(staging_table), **options)
+    result.createOrReplaceTempView(view)
+    return result

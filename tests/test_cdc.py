@@ -124,3 +124,14 @@ def test_flag_deletes_and_order(spark):
     assert [r.sk_id for r in rows] == sorted(r.sk_id for r in rows)
     deleted = [(r.sk_id, r.is_current) for r in rows if r.is_deleted]
     assert deleted == [(3, False)]
+
+
+def test_scd2_view_over_tables(spark):
+    from ingestkit.operators.cdc import scd2_view
+    from ingestkit.session import scratch_dir, unique_table
+    tgt, stg = unique_table(spark, "silver"), unique_table(spark, "bronze")
+    _target(spark).write.format("parquet").option("path", scratch_dir(spark, "t")).saveAsTable(tgt)
+    _staging(spark).write.format("parquet").option("path", scratch_dir(spark, "s")).saveAsTable(stg)
+    scd2_view(tgt, stg, feed="full", as_of="2021-01-02")
+    rows = spark.sql("SELECT * FROM merged_cdc")
+    assert _rows(rows) == _default_expected("full")
