@@ -62,18 +62,19 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     keyed_l, null_l = left.where(~l_null), left.where(l_null)
     keyed_r, null_r = right.where(~r_null), right.where(r_null)
 
+    # columns are referenced by name (the two sides' names are distinct), so
+    # a self-join of frames with a common lineage stays unambiguous
     cond = reduce(lambda a, b: a & b,
-                  [keyed_l[lk] == keyed_r[rk] for lk, rk in zip(left_keys, right_keys)])
-    joined = keyed_l.join(keyed_r, cond, "left").select(
-        *[keyed_l[c] for c in left.columns], *[keyed_r[c] for c in right.columns])
+                  [F.col(lk) == F.col(rk) for lk, rk in zip(left_keys, right_keys)])
+    joined = keyed_l.join(keyed_r, cond, "left").select(*left.columns, *right.columns)
 
     lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)])
     rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(right_keys)]).distinct()
-    on = reduce(lambda a, b: a & b, [lkeys[f"__lk{i}"] == rkeys[f"__rk{i}"]
+    on = reduce(lambda a, b: a & b, [F.col(f"__lk{i}") == F.col(f"__rk{i}")
                                      for i in range(len(right_keys))])
     matched = lkeys.join(rkeys, on, "inner").select(*rkeys.columns).distinct()
     anti = reduce(lambda a, b: a & b,
-                  [keyed_r[rk] == matched[f"__rk{i}"] for i, rk in enumerate(right_keys)])
+                  [F.col(rk) == F.col(f"__rk{i}") for i, rk in enumerate(right_keys)])
     right_only = keyed_r.join(matched, anti, "left_anti").unionByName(null_r)
 
     return (joined

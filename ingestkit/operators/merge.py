@@ -88,9 +88,10 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
             return a.eqNullSafe(b) if null_safe else a == b
         skeys = rows.select(*[F.col(k).alias(f"__s_{k}") for k in keys]).distinct()
         tkeys = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
-        on = reduce(lambda x, y: x & y, [eq(tkeys[f"__t_{k}"], skeys[f"__s_{k}"]) for k in keys])
+        # by name: target and source may share a lineage (a self-merge)
+        on = reduce(lambda x, y: x & y, [eq(F.col(f"__t_{k}"), F.col(f"__s_{k}")) for k in keys])
         matched = tkeys.join(skeys, on, "inner").select(*skeys.columns).distinct()
-        anti = reduce(lambda x, y: x & y, [eq(rows[k], matched[f"__s_{k}"]) for k in keys])
+        anti = reduce(lambda x, y: x & y, [eq(F.col(k), F.col(f"__s_{k}")) for k in keys])
         return rows.join(matched, anti, "left_anti")
 
     if mode == "default":

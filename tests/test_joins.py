@@ -38,3 +38,12 @@ def test_small_feed_never_shuffles_the_large_side(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert n == 200000 + 25
     assert "hashpartitioning(k#" not in plan and "hashpartitioning(__lk0" not in plan
+
+
+def test_self_join_of_one_lineage(spark):
+    df = spark.range(20).selectExpr("id AS k", "id % 4 AS g", "id * 2 AS v")
+    left = df.select("k", "v")
+    right = df.where("g = 0").select(df.k.alias("k2"), df.v.alias("v2"))
+    got = Counter(tuple(r) for r in full_outer_join(left, right, ["k"], ["k2"]).collect())
+    want = Counter(tuple(r) for r in left.join(right, left.k == right.k2, "full").collect())
+    assert got == want
