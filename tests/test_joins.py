@@ -47,3 +47,18 @@ def test_self_join_of_one_lineage(spark):
     got = Counter(tuple(r) for r in full_outer_join(left, right, ["k"], ["k2"]).collect())
     want = Counter(tuple(r) for r in left.join(right, left.k == right.k2, "full").collect())
     assert got == want
+
+
+side2 = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 1),
+                           st.integers(0, 9)), max_size=8)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(left=side2, right=side2)
+def test_composite_keys(spark, left, right):
+    l_df = spark.createDataFrame(left, "a int, b int, lv int")
+    r_df = spark.createDataFrame(right, "c int, d int, rv int")
+    got = Counter(tuple(r) for r in full_outer_join(l_df, r_df, ["a", "b"], ["c", "d"]).collect())
+    cond = (l_df.a == r_df.c) & (l_df.b == r_df.d)
+    want = Counter(tuple(r) for r in l_df.join(r_df, cond, "full").collect())
+    assert got == want
