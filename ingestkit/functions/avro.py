@@ -204,8 +204,9 @@ def _value_segment(arr: pa.Array, kind: str, valid: np.ndarray):
     return [_segment_from_matrix(mat, np.where(valid, lens, 0))]
 
 
-def _concat_rows(segments, n: int) -> pa.Array:
-    """Row-wise concatenation of per-row byte segments into a binary array."""
+def _concat_rows(segments, n: int, valid: np.ndarray | None = None) -> pa.Array:
+    """Row-wise concatenation of per-row byte segments into a binary array
+    (rows where ``valid`` is False come out null)."""
     row_len = np.zeros(n, dtype=np.int64)
     for lens, _ in segments:
         row_len += lens
@@ -219,12 +220,14 @@ def _concat_rows(segments, n: int) -> pa.Array:
             dest = np.repeat(cursor - seg_off, lens) + np.arange(len(flat))
             out[dest] = flat
         cursor += lens
+    validity = None if valid is None or valid.all() else pa.array(valid, pa.bool_()).buffers()[1]
     return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), n, [None, pa.py_buffer(out_off), pa.py_buffer(out)]).cast(pa.binary())
+        pa.large_binary(), n, [validity, pa.py_buffer(out_off), pa.py_buffer(out)],
+        null_count=-1).cast(pa.binary())
 
 
 def encode_batch(struct_arr: pa.StructArray, schema_json: str | None = None) -> pa.Array:
-    """Avro-encode every row of ``struct_arr`` (a null row encodes all-null)."""
+    """Avro-encode every row of ``struct_arr``; a null row gives a null payload."""
     schema_json = schema_json or schema_for_arrow(struct_arr.type)
     fields = parse_record_schema(schema_json)
     n = len(struct_arr)
@@ -236,13 +239,13 @@ def encode_batch(struct_arr: pa.StructArray, schema_json: str | None = None) ->
         valid = row_valid & (np.ones(n, bool) if child.null_count == 0 else
                              np.asarray(child.is_valid().to_numpy(zero_copy_only=False)))
         if null_branch is not None:
-            # branch numbers < 64 take one zigzag byte
+            # branch numbers < 64 take one zigzag byte; null rows write nothing
             idx = np.where(valid, 2 * value_branch, 2 * null_branch).astype(np.uint8)
-            segments.append((np.ones(n, dtype=np.int64), idx))
-        elif not valid.all():
+            segments.append((row_valid.astype(np.int64), idx[row_valid]))
+        elif not valid[row_valid].all():
             raise ValueError(f"null value for non-nullable Avro field {name!r}")
         segments.extend(_value_segment(child, kind, valid))
-    return _concat_rows(segments, n)
+    return _concat_rows(segments, n, row_valid)
 
 
 # ----------------------------------------------------------------- decode

@@ -46,3 +46,11 @@ def test_truncated_payload_is_null_in_permissive_mode():
                          "fields": [{"name": "s", "type": ["string", "null"]}]})
     bad = pa.array([bytes([0, 10]) + b"abc"], pa.binary())   # says 5 bytes, has 3
     assert decode_batch(bad, schema, mode="PERMISSIVE").to_pylist() == [None]
+
+
+def test_null_row_encodes_to_null():
+    arr = pa.StructArray.from_arrays([pa.array([1, 2], pa.int64())], names=["x"],
+                                     mask=pa.array([False, True]))
+    enc = encode_batch(arr)
+    assert enc.to_pylist()[1] is None and enc.to_pylist()[0] == bytes([0, 2])
+    assert decode_batch(enc, schema_for_arrow(arr.type)).to_pylist() == [{"x": 1}, None]
