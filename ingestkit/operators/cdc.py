@@ -12,7 +12,7 @@ modification date.  Two feeds are supported:
 Two semantics are offered:
 
 * ``mode="default"`` - only current rows are compared; history passes
-  through untouched; attributes are compared null-safely; a vanished key
+  through untouched; keys and attributes are compared null-safely; a vanished key
   is closed on ``as_of`` (full feed) instead of being dropped; staging is
   reduced to one row per key.  Applying the same feed twice is a no-op.
 * ``mode="compat"`` - the original job's results, row for row: every
@@ -100,19 +100,29 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
                        [F.col(p).desc_nulls_last() for p in payload])
 
 
-def _join_with_staging(target: DataFrame, keyed_s: DataFrame, null_s: DataFrame,
-                       c: Scd2Columns) -> DataFrame:
+def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns, *,
+                       null_keys_match: bool) -> DataFrame:
     """Row set of ``target FULL OUTER JOIN staging ON key`` (skew-safe form,
-    see :mod:`ingestkit.operators.joins`); staging-only rows carry nulls in
-    the target columns.  Null-key staging rows never match and are added
-    afterwards, so the keyed staging keeps the hash partitioning of its
-    per-key reduction (a union in front of the join would lose it)."""
-    tt = _types(target)
+    see :mod:`ingestkit.operators.joins`), with presence markers for both
+    sides.
+
+    Non-null keys join with plain ``=``, which keeps the staging's per-key
+    partitioning and a bucketed dimension's layout.  Null keys either never
+    match (``null_keys_match=False``, the original semantics) and are added
+    null-padded, or form one more key value matched by a null-safe join of
+    the null-key rows alone (at most one row per side in a valid dimension).
+    """
     tcols = c.target_columns + list(c.extra)
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
-    joined = full_outer_join(target.select(*tcols), keyed_s.select(*s_cols), [c.key], [_S_KEY])
-    return joined.unionByName(null_s.select(
-        *[F.lit(None).cast(tt[x]).alias(x) for x in tcols], *s_cols))
+    left = target.select(*tcols, F.lit(True).alias("__t_present"))
+    right = stg.select(*s_cols, F.lit(True).alias("__s_present"))
+    if not null_keys_match:
+        return full_outer_join(left, right, [c.key], [_S_KEY])
+    t_null, s_null = F.col(c.key).isNull(), F.col(_S_KEY).isNull()
+    keyed = full_outer_join(left.where(~t_null), right.where(~s_null), [c.key], [_S_KEY])
+    nulls = full_outer_join(left.where(t_null), right.where(s_null), [c.key], [_S_KEY],
+                            null_safe=True)
+    return keyed.unionByName(nulls)
 
 
 def _any(conds: list[Column]) -> Column:
@@ -136,10 +146,8 @@ def _compat_action(c: Scd2Columns) -> Column:
 def _default_action(c: Scd2Columns, feed: str) -> Column:
     n = len(c.attrs)
     changed = _any([~F.col(c.attrs[i]).eqNullSafe(F.col(_s_attr(i))) for i in range(n)])
-    # target side holds current rows with non-null keys only, so a null key
-    # marks a staging-only row and a null staging key an unmatched target row
-    return (F.when(F.col(c.key).isNull(), "INSERT")
-            .when(F.col(_S_KEY).isNull(), "DELETE" if feed == "full" else "NOACTION")
+    return (F.when(F.col("__t_present").isNull(), "INSERT")
+            .when(F.col("__s_present").isNull(), "DELETE" if feed == "full" else "NOACTION")
             .when(changed, "UPSERT")
             .otherwise("NOACTION"))
 
@@ -176,15 +184,15 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
     stg = _conform_staging(staging, target, c)
     if dedup_staging is None:
         dedup_staging = mode == "default"
-    keyed = F.col(_S_KEY).isNotNull()
-    keyed_s, null_s = stg.where(keyed), stg.where(~keyed)
     if dedup_staging:
-        keyed_s = latest_per_key(keyed_s, c)
+        stg = latest_per_key(stg, c)
     if mode == "compat":
-        joined = _join_with_staging(target, keyed_s, null_s, c)
+        # null keys never match (plain "="), as in the original job
+        joined = _join_with_staging(target, stg, c, null_keys_match=False)
         return joined.withColumn("action", _compat_action(c)), None
-    live = _is_current(c) & F.col(c.key).isNotNull()
-    joined = _join_with_staging(target.where(live), keyed_s, null_s, c)
+    # default: a null key is one more key value, so a re-run finds its row
+    live = _is_current(c)
+    joined = _join_with_staging(target.where(live), stg, c, null_keys_match=True)
     return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 

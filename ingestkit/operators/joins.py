@@ -45,10 +45,14 @@ def _padded(df: DataFrame, other: DataFrame, keep_left: bool) -> DataFrame:
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                    right_keys: Sequence[str] | None = None) -> DataFrame:
+                    right_keys: Sequence[str] | None = None, *,
+                    null_safe: bool = False) -> DataFrame:
     """Full outer equi-join; output = left columns then right columns.
 
-    Column names of the two sides must be distinct.
+    Column names of the two sides must be distinct.  ``null_safe=True``
+    matches keys with ``<=>`` (null is one key value); use it only where
+    each side holds at most a few rows per key, since the null group is
+    then an ordinary hash partition.
     """
     right_keys = list(right_keys or left_keys)
     left_keys = list(left_keys)
@@ -58,25 +62,31 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     if clash:
         raise ValueError(f"column names appear on both sides: {sorted(clash)}")
 
-    l_null, r_null = _any_null(left, left_keys), _any_null(right, right_keys)
-    keyed_l, null_l = left.where(~l_null), left.where(l_null)
-    keyed_r, null_r = right.where(~r_null), right.where(r_null)
+    def eq(a: str, b: str) -> Column:
+        return F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
+
+    if null_safe:
+        keyed_l, null_l, keyed_r, null_r = left, None, right, None
+    else:
+        l_null, r_null = _any_null(left, left_keys), _any_null(right, right_keys)
+        keyed_l, null_l = left.where(~l_null), left.where(l_null)
+        keyed_r, null_r = right.where(~r_null), right.where(r_null)
 
     # columns are referenced by name (the two sides' names are distinct), so
     # a self-join of frames with a common lineage stays unambiguous
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(lk) == F.col(rk) for lk, rk in zip(left_keys, right_keys)])
+    cond = reduce(lambda a, b: a & b, [eq(lk, rk) for lk, rk in zip(left_keys, right_keys)])
     joined = keyed_l.join(keyed_r, cond, "left").select(*left.columns, *right.columns)
 
     lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)])
     rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(right_keys)]).distinct()
-    on = reduce(lambda a, b: a & b, [F.col(f"__lk{i}") == F.col(f"__rk{i}")
-                                     for i in range(len(right_keys))])
+    on = reduce(lambda a, b: a & b, [eq(f"__lk{i}", f"__rk{i}") for i in range(len(right_keys))])
     matched = lkeys.join(rkeys, on, "inner").select(*rkeys.columns).distinct()
-    anti = reduce(lambda a, b: a & b,
-                  [F.col(rk) == F.col(f"__rk{i}") for i, rk in enumerate(right_keys)])
-    right_only = keyed_r.join(matched, anti, "left_anti").unionByName(null_r)
-
-    return (joined
-            .unionByName(_padded(right_only, left, keep_left=False))
-            .unionByName(_padded(null_l, right, keep_left=True)))
+    anti = reduce(lambda a, b: a & b, [eq(rk, f"__rk{i}") for i, rk in enumerate(right_keys)])
+    right_only = keyed_r.join(matched, anti, "left_anti")
+    if null_r is not None:
+        right_only = right_only.unionByName(null_r)
+
+    out = joined.unionByName(_padded(right_only, left, keep_left=False))
+    if null_l is not None:
+        out = out.unionByName(_padded(null_l, right, keep_left=True))
+    return out

@@ -38,9 +38,7 @@ def scd2_compat(target, staging):
 
 def _latest(staging):
     best = {}
-    for s in staging:
-        if s[0] is None:
-            continue
+    for s in staging:                       # a null key is one more key value
         rank = ((s[2] is not None, s[2]), (s[1] is not None, s[1] or ""))
         if s[0] not in best or rank > best[s[0]][0]:
             best[s[0]] = (rank, s)
@@ -48,15 +46,16 @@ def _latest(staging):
 
 
 def scd2_default(target, staging, feed, as_of):
-    current = [t for t in target if t[4] is True and t[0] is not None]
-    out = [t for t in target if not (t[4] is True and t[0] is not None)]
+    current = [t for t in target if t[4] is True]
+    out = [t for t in target if t[4] is not True]
     stg = _latest(staging)
     cur_keys = {t[0] for t in current}
     for t in current:
-        s = stg.get(t[0])
-        if s is None:
+        if t[0] not in stg:
             out.append((t[0], t[1], t[2], t[3], False, t[5], as_of) if feed == "full" else t)
-        elif t[1] == s[1]:
+            continue
+        s = stg[t[0]]
+        if t[1] == s[1]:
             out.append(t)
         else:
             out.append((t[0], t[1], t[2], t[3], False, t[5], s[2]))
@@ -64,9 +63,6 @@ def scd2_default(target, staging, feed, as_of):
     for k, s in stg.items():
         if k not in cur_keys:
             out.append((k, s[1], s[2], "bronze_data", True, s[2], H))
-    for s in staging:
-        if s[0] is None:
-            out.append((None, s[1], s[2], "bronze_data", True, s[2], H))
     return out
 
 

@@ -107,14 +107,18 @@ def test_staging_duplicates_reduced_to_latest(spark):
     assert cur == [("y", D(2021, 2, 1))]
 
 
-def test_null_keys_bypass_join(spark):
+def test_null_key_is_one_key_value(spark):
     tgt = _target(spark).unionByName(spark.createDataFrame(
         [(None, "z", D(2020, 1, 1), "bronze_data", True, D(2020, 1, 1), H)], TGT_SCHEMA))
     stg = _staging(spark).unionByName(spark.createDataFrame([(None, "n", D(2021, 1, 1))], STG_SCHEMA))
     out = scd2_apply(tgt, stg, feed="full", as_of="2021-01-02")
     nulls = sorted((r.attr, r.is_current) for r in out.where("sk_id IS NULL").collect())
-    # the null-key dimension row passes through; the null-key feed row is inserted
-    assert nulls == [("n", True), ("z", True)]
+    # default mode matches keys null-safely: the feed's null-key row replaces
+    # the dimension's (one current row per key, and a re-run changes nothing)
+    assert nulls == [("n", True), ("z", False)]
+    again = scd2_apply(spark.createDataFrame(out.collect(), out.schema), stg, feed="full",
+                       as_of="2021-01-02")
+    assert _rows(again) == _rows(out)
 
 
 def test_flag_deletes_and_order(spark):

@@ -55,3 +55,23 @@ def test_hot_key(spark):
     assert _norm(got) == _norm(scd2_default(target, staging, "full", AS_OF))
     got = _spark_rows(scd2_apply(t, s, feed="full", mode="compat"))
     assert _norm(got) == _norm(scd2_compat(target, staging))
+
+
+valid_dims = st.dictionaries(st.integers(0, 6), st.tuples(attrs, st.booleans()), max_size=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(dim=valid_dims, staging=staging_rows, feed=st.sampled_from(["full", "delta"]))
+def test_invariants_on_a_valid_dimension(spark, dim, staging, feed):
+    # a valid dimension: per key one current row, optionally one closed row
+    rows = [(k, a, D[0], "src", True, D[0], H) for k, (a, _) in dim.items()]
+    rows += [(k, "old", D[0], "src", False, D[0], D[0]) for k, (_, hist) in dim.items() if hist]
+    t = spark.createDataFrame(rows, TGT)
+    s = spark.createDataFrame(staging, STG)
+    once = spark.createDataFrame(
+        _spark_rows(scd2_apply(t, s, feed=feed, as_of=AS_OF.isoformat())), TGT)
+    current = Counter(r.sk_id for r in once.collect() if r.is_current)
+    assert all(n == 1 for n in current.values())
+    assert all(r.eff_start_dt <= r.eff_end_dt for r in once.collect() if r.sk_id is not None)
+    twice = _spark_rows(scd2_apply(once, s, feed=feed, as_of=AS_OF.isoformat()))
+    assert _norm(twice) == _norm(_spark_rows(once))

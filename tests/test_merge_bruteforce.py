@@ -27,3 +27,15 @@ def test_random_merge(spark, target, source, mode):
                             lower=LO.isoformat(), upper=HI.isoformat(), mode=mode)
     got = Counter(tuple(r) for r in out.collect())
     assert got == Counter(brute_merge(target, source, LO, HI, mode))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=rows, source=rows)
+def test_default_merge_is_idempotent(spark, target, source):
+    kw = dict(order_by=["d"], tie_breakers=["v"], bound_column="d",
+              lower=LO.isoformat(), upper=HI.isoformat())
+    once = merge_insert_only(spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA),
+                             ["k"], **kw)
+    once = spark.createDataFrame(once.collect(), SCHEMA)
+    twice = merge_insert_only(once, spark.createDataFrame(source, SCHEMA), ["k"], **kw)
+    assert Counter(tuple(r) for r in twice.collect()) == Counter(tuple(r) for r in once.collect())

@@ -72,3 +72,23 @@ def test_scd2_generator_is_whole_stage_codegen(spark):
         text = df._jdf.queryExecution().executedPlan().toString()
     gen = next(line for line in text.splitlines() if "Generate inline" in line)
     assert "*(" in gen
+
+
+def test_bucketed_dimension_is_not_shuffled(spark):
+    from ingestkit.operators.cdc import scd2_apply
+    from ingestkit.session import scoped_conf, scratch_dir, unique_table
+    from ingestkit.sinks.tables import create_table
+    from ingestkit.workloads.cdc import bronze_from_customer, silver_from_customer
+    from ingestkit.workloads.common import table
+
+    customer = table(spark, SF_SMALL, "customer")
+    name = unique_table(spark, "dim_bucketed")
+    create_table(silver_from_customer(customer), name, path=scratch_dir(spark, "tbl"),
+                 bucket_by=(8, ["sk_id"]), empty=False)
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                             "spark.sql.shuffle.partitions": "8"}):
+        out = scd2_apply(spark.table(name), bronze_from_customer(customer), feed="full",
+                         as_of="2021-01-02")
+        plan = _plan(out)
+    assert "Bucketed: true" in plan
+    assert "hashpartitioning(sk_id#" not in plan
