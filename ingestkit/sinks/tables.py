@@ -11,9 +11,10 @@ so existence is checked first.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,23 +116,60 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
+# Above this many partitions in one load, reconciliation counts the whole table.
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def _rows_in(spark: SparkSession, name: str, where: Column | None) -> int:
+    t = spark.table(name)
+    return (t.where(where) if where is not None else t).count()
+
+
+def _touched_filter(df: DataFrame, parts: list[str]) -> Column | None:
+    """A static filter on the partitions ``df`` writes to, or None (whole
+    table) when the load spans more than MAX_TOUCHED_PARTITIONS of them.
+    The values are partition specs, not rows; the filter lets partition
+    pruning limit the counts to those partitions."""
+    specs = df.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(specs) > MAX_TOUCHED_PARTITIONS:
+        return None
+    if not specs:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda x, y: x & y, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, spec)])
+        for spec in specs])
+
+
 def append_with_reconcile(df: DataFrame, name: str, *,
-                          partition_cols: list[str] | None = None) -> DataFrame:
+                          partition_cols: list[str] | None = None,
+                          scope: str = "table") -> DataFrame:
     """Append and report source vs target counts (one row).
 
     The source is counted by an ``observe`` metric of the write itself, so
     it is not read a second time; the target counts come from file footers.
+    ``scope="table"`` counts the whole target (what the original load job
+    printed).  ``scope="touched"`` (partitioned tables) counts only the
+    partitions the load writes to, found by one pass over the source's
+    partition columns; partition pruning then reads just those partitions.
     """
     spark = df.sparkSession
+    if scope not in ("table", "touched"):
+        raise ValueError(f"scope must be 'table' or 'touched', not {scope!r}")
+    parts = partition_cols or (_partition_columns(spark, name) if table_exists(spark, name) else [])
+    where = None
+    if scope == "touched":
+        if not parts:
+            raise ValueError("scope='touched' needs a partitioned table")
+        where = _touched_filter(df, parts)
     obs = Observation(f"load_{abs(hash(name))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    before = spark.table(name).count() if table_exists(spark, name) else 0
+    before = _rows_in(spark, name, where) if table_exists(spark, name) else 0
     if partition_cols:
         append_partitioned(observed, name, partition_cols)
     else:
         append_table(observed, name)
     src = int(obs.get["rows"])
-    after = spark.table(name).count()
+    after = _rows_in(spark, name, where)
     row = (name, src, before, after, after - before, after - before == src)
     return spark.createDataFrame([row], REPORT_SCHEMA)
 

@@ -167,3 +167,15 @@ def test_compaction_refuses_a_live_stream_sink_table(spark):
         compact_table(spark, spec.target_table)
     compact_table(spark, spec.target_table, allow_stream_sink=True)
     assert spark.table(spec.target_table).count() == 6
+
+
+def test_reconcile_touched_partitions_only(spark):
+    name = unique_table(spark, "recon_p")
+    base = spark.range(1000).selectExpr("id", "CAST(id % 10 AS INT) AS p")
+    create_table(base, name, path=scratch_dir(spark, "tbl"), partition_by=["p"], empty=False)
+    load = spark.range(30).selectExpr("id + 5000 AS id", "CAST(id % 3 AS INT) AS p")
+    r = append_with_reconcile(load, name, partition_cols=["p"], scope="touched").collect()[0]
+    # partitions 0, 1, 2 held 100 rows each before the load
+    assert (r.source_rows, r.target_rows_before, r.target_rows_after, r.reconciled) == \
+        (30, 300, 330, True)
+    assert spark.table(name).count() == 1030
