@@ -31,6 +31,7 @@ class BatchIngest:
     partition_cols: list[str] = field(default_factory=list)
     table_format: str = "parquet"     # for overwrite (create/replace)
     table_path: str | None = None
+    reconcile_scope: str = "table"    # or "touched": count only the partitions written
 
 
 def ingest_frame(spark: SparkSession, spec: BatchIngest) -> DataFrame:
@@ -58,4 +59,5 @@ def ingest_batch(spark: SparkSession, spec: BatchIngest) -> DataFrame:
     if spec.mode != "append":
         raise ValueError(f"mode must be 'append' or 'overwrite', not {spec.mode!r}")
     return append_with_reconcile(df, spec.target_table,
-                                 partition_cols=spec.partition_cols or None)
+                                 partition_cols=spec.partition_cols or None,
+                                 scope=spec.reconcile_scope)
