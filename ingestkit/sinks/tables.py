@@ -232,7 +232,9 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
     if provider == "iceberg":
         parts = name.split(".")
         catalog, ident = parts[0], ".".join(parts[1:])
-        args = f"table => '{ident}'" + (f", where => '{where}'" if where else "")
+        def quoted(text: str) -> str:
+            return "'" + text.replace("'", "''") + "'"
+        args = f"table => {quoted(ident)}" + (f", where => {quoted(where)}" if where else "")
         spark.sql(f"CALL {catalog}.system.rewrite_data_files({args})").collect()
         return {"table": name, "method": "procedure"}
 
