@@ -101,7 +101,7 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
 
 
 def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns, *,
-                       null_keys_match: bool) -> DataFrame:
+                       null_keys_match: bool, dedup: bool = False) -> DataFrame:
     """Row set of ``target FULL OUTER JOIN staging ON key`` (skew-safe form,
     see :mod:`ingestkit.operators.joins`), with presence markers for both
     sides.
@@ -120,8 +120,10 @@ def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns, *,
         return full_outer_join(left, right, [c.key], [_S_KEY])
     t_null, s_null = F.col(c.key).isNull(), F.col(_S_KEY).isNull()
     keyed = full_outer_join(left.where(~t_null), right.where(~s_null), [c.key], [_S_KEY])
+    # after the per-key reduction the feed's null-key group is at most one
+    # row, a proven bound, so it is broadcast and the target is not shuffled
     nulls = full_outer_join(left.where(t_null), right.where(s_null), [c.key], [_S_KEY],
-                            null_safe=True)
+                            null_safe=True, broadcast_right=dedup)
     return keyed.unionByName(nulls)
 
 
@@ -192,7 +194,8 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
         return joined.withColumn("action", _compat_action(c)), None
     # default: a null key is one more key value, so a re-run finds its row
     live = _is_current(c)
-    joined = _join_with_staging(target.where(live), stg, c, null_keys_match=True)
+    joined = _join_with_staging(target.where(live), stg, c, null_keys_match=True,
+                                dedup=dedup_staging)
     return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 

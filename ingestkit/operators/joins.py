@@ -46,13 +46,15 @@ def _padded(df: DataFrame, other: DataFrame, keep_left: bool) -> DataFrame:
 
 def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                     right_keys: Sequence[str] | None = None, *,
-                    null_safe: bool = False) -> DataFrame:
+                    null_safe: bool = False, broadcast_right: bool = False) -> DataFrame:
     """Full outer equi-join; output = left columns then right columns.
 
     Column names of the two sides must be distinct.  ``null_safe=True``
     matches keys with ``<=>`` (null is one key value); use it only where
     each side holds at most a few rows per key, since the null group is
-    then an ordinary hash partition.
+    then an ordinary hash partition.  ``broadcast_right=True`` broadcasts
+    the right side into both joins; pass it only when that side's size has
+    a proven bound (e.g. at most one row), never on an estimate.
     """
     right_keys = list(right_keys or left_keys)
     left_keys = list(left_keys)
@@ -75,12 +77,14 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     # columns are referenced by name (the two sides' names are distinct), so
     # a self-join of frames with a common lineage stays unambiguous
     cond = reduce(lambda a, b: a & b, [eq(lk, rk) for lk, rk in zip(left_keys, right_keys)])
-    joined = keyed_l.join(keyed_r, cond, "left").select(*left.columns, *right.columns)
+    build = F.broadcast(keyed_r) if broadcast_right else keyed_r
+    joined = keyed_l.join(build, cond, "left").select(*left.columns, *right.columns)
 
     lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)])
     rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(right_keys)]).distinct()
     on = reduce(lambda a, b: a & b, [eq(f"__lk{i}", f"__rk{i}") for i in range(len(right_keys))])
-    matched = lkeys.join(rkeys, on, "inner").select(*rkeys.columns).distinct()
+    matched = lkeys.join(F.broadcast(rkeys) if broadcast_right else rkeys, on, "inner") \
+        .select(*rkeys.columns).distinct()
     anti = reduce(lambda a, b: a & b, [eq(rk, f"__rk{i}") for i, rk in enumerate(right_keys)])
     right_only = keyed_r.join(matched, anti, "left_anti")
     if null_r is not None:
