@@ -90,3 +90,68 @@ ORACLE = {
     "op7_format_chat": CHAT,
     "op10_shard_tree": SHARD,
 }
+
+_COMPONENTS = """
+reach(n, m) AS (
+  SELECT a, b FROM links UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.m = links.a),
+least_of AS (SELECT n, min(m) AS least_m FROM reach GROUP BY n)
+"""
+
+CAPS = f"""
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+{_COMPONENTS}, degree AS (SELECT a, count(*) AS d FROM links GROUP BY a)
+SELECT vec_id, coalesce(d, 0) AS n_links, least(vec_id, coalesce(least_m, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least_m, vec_id)) AS kept
+FROM embeddings LEFT JOIN degree ON a = vec_id LEFT JOIN least_of ON n = vec_id
+"""
+
+MINHASH = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y USING (s)
+  WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 75 * (p.n + q.n - k)),
+{_COMPONENTS}
+SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles, least(doc_id, coalesce(least_m, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(least_m, doc_id)) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON least_of.n = doc_id
+"""
+
+DECONTAM = r"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM lowered) , (SELECT DISTINCT size FROM windows)
+  WHERE i + size - 1 <= len(w)),
+hits AS (SELECT doc_id, i, places.size, item_id FROM places JOIN windows ON places.p = windows.p AND places.size = windows.size),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM hits) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+ORACLE |= {"op2_cap_filters": CAPS, "op3_minhash": MINHASH, "op9_decontaminate": DECONTAM}

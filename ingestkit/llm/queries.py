@@ -6,12 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import chat, mixing, sharding
+from ingestkit.llm import caps, chat, decontam, minhash, mixing, sharding
 from ingestkit.llm.oracles import ORACLE  # noqa: F401
 from ingestkit.session import work_root
 from ingestkit.workloads.common import table
 
 
+def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_root(spark)
     return mixing.mix_digest(mixing.plan_mix(table(spark, sf_dir, "documents")))
@@ -27,12 +35,20 @@ def op7_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.overlap_digest(decontam.find_overlaps(documents, table(spark, sf_dir, "benchmark")))
+
+
 def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_cap_filters": op2_cap_filters,
+    "op3_minhash": op3_minhash,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chat": op7_format_chat,
+    "op9_decontaminate": op9_decontaminate,
     "op10_shard_tree": op10_shard_tree,
 }

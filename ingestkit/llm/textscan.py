@@ -47,7 +47,7 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     out[0], done = 1, 1
     while done < n:
         step = min(done, n - done)
-        out[done:done + step] = out[:step] * (out[done - 1] * base)
+        out[done:done + step] = out[:step] * (out[done - 1:done] * base)
         done += step
     return out[:n]
 
