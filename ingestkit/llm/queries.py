@@ -6,12 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import caps, chat, decontam, minhash, mixing, sharding
+from ingestkit.llm import caps, chat, decontam, langid, lmscore, minhash, mixing, sharding, tokencount
 from ingestkit.llm.oracles import ORACLE  # noqa: F401
 from ingestkit.session import work_root
 from ingestkit.workloads.common import table
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lmscore.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -20,6 +29,23 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.train_on(documents)
+    held = langid.held_out("doc_id").alias("held_out")
+    return langid.identify(documents.select("doc_id", held, "text"), model).drop("text")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_root(spark)
     return mixing.mix_digest(mixing.plan_mix(table(spark, sf_dir, "documents")))
@@ -45,8 +71,11 @@ def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_cap_filters": op2_cap_filters,
     "op3_minhash": op3_minhash,
+    "op4_count_tokens": op4_count_tokens,
+    "op5_languages": op5_languages,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chat": op7_format_chat,
     "op9_decontaminate": op9_decontaminate,

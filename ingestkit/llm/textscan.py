@@ -9,6 +9,7 @@ inverse power of its start.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,16 +53,20 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     return out[:n]
 
 
-_CACHE: dict[str, np.ndarray] = {}
+def process_cache() -> dict:
+    """A dictionary that lives as long as the worker process (functions are
+    shipped by value, so module globals are new in every task)."""
+    return sys.__dict__.setdefault("_ingestkit_llm_cache", {})
 
 
 def _cached_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    cache = process_cache()
     if n > CHUNK_BYTES * 2:       # one very long text: not kept
         return powers(n, _POWER), powers(n, _INVERSE)
-    if len(_CACHE.get("p", ())) < n:
+    if len(cache.get("p", ())) < n:
         size = min(CHUNK_BYTES * 2, max(n, CHUNK_BYTES + 1))
-        _CACHE["p"], _CACHE["q"] = powers(size, _POWER), powers(size, _INVERSE)
-    return _CACHE["p"][:n], _CACHE["q"][:n]
+        cache["p"], cache["q"] = powers(size, _POWER), powers(size, _INVERSE)
+    return cache["p"][:n], cache["q"][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
