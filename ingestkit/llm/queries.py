@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import caps, chat, decontam, langid, lmscore, minhash, mixing, sharding, tokencount
+from ingestkit.llm import caps, chat, decontam, langid, lmscore, minhash, mixing, repeats, sharding, tokencount
 from ingestkit.llm.oracles import ORACLE  # noqa: F401
 from ingestkit.session import work_root
 from ingestkit.workloads.common import table
@@ -61,6 +61,10 @@ def op7_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.overlap_digest(decontam.find_overlaps(documents, table(spark, sf_dir, "benchmark")))
@@ -78,6 +82,7 @@ QUERIES = {
     "op5_languages": op5_languages,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chat": op7_format_chat,
+    "op8_remove_repeats": op8_remove_repeats,
     "op9_decontaminate": op9_decontaminate,
     "op10_shard_tree": op10_shard_tree,
 }
