@@ -1,438 +1,43 @@
-"""Avro binary payload columns: ``to_avro`` / ``from_avro``.
+"""Avro payload columns, by Spark's own Avro module.
 
-When Spark's Avro module is on the classpath its functions are used as
-they are.  Otherwise the same column functions run as Arrow-batched UDFs
-(``arrow_udf``): Spark partitions the rows, each task encodes or decodes
-whole Arrow batches with numpy, one pass per field over all rows of the
-batch (no per-row Python loop).
-
-Supported records are flat: fields of primitive Avro types (boolean, int,
-long, float, double, bytes, string, with the date / timestamp-micros /
-local-timestamp-micros / timestamp-millis logical types), optionally in a
-two-branch union with null in either order.  Branch numbers follow the
-schema, so ``["string","null"]`` writes null as branch 1.
-
-``from_avro`` with only a reader schema decodes positionally (what a
-consumer without the writer schema gets); given the writer schema too,
-fields are resolved by name.  A corrupt payload yields a null row in
-PERMISSIVE mode and fails the task in FAILFAST mode (the default, as in
-Spark).
+The module is a separate Spark package (``spark-avro``); a cluster that
+uses these functions starts with it.  Nothing is emulated without it.
 """
 
 from __future__ import annotations
 
-import json
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# ----------------------------------------------------------------- schema
-
-_PRIMS = {"boolean", "int", "long", "float", "double", "bytes", "string"}
-
-
-def _field_kind(ftype) -> tuple[str, int | None, int]:
-    """(kind, null_branch, value_branch) of one record field type."""
-    branches = ftype if isinstance(ftype, list) else [ftype]
-    if len(branches) > 2 or (len(branches) == 2 and "null" not in branches):
-        raise NotImplementedError(f"unsupported union {ftype!r}")
-    null_branch = branches.index("null") if "null" in branches else None
-    value_branch = 0 if null_branch != 0 else 1
-    if len(branches) == 1:
-        value_branch = 0
-    t = branches[value_branch]
-    if isinstance(t, dict):
-        logical, base = t.get("logicalType"), t.get("type")
-        if logical == "date" and base == "int":
-            kind = "date"
-        elif logical in ("timestamp-micros", "local-timestamp-micros", "timestamp-millis") \
-                and base == "long":
-            kind = logical
-        elif base in _PRIMS:
-            kind = base
-        else:
-            raise NotImplementedError(f"unsupported field type {t!r}")
-    elif t in _PRIMS:
-        kind = t
-    else:
-        raise NotImplementedError(f"unsupported field type {t!r}")
-    return kind, null_branch, value_branch
-
-
-def parse_record_schema(schema_json: str) -> list[tuple[str, str, int | None, int]]:
-    """Fields of a flat record schema as (name, kind, null_branch, value_branch)."""
-    sch = json.loads(schema_json)
-    if sch.get("type") != "record":
-        raise NotImplementedError("only record schemas are supported")
-    return [(f["name"], *_field_kind(f["type"])) for f in sch["fields"]]
-
-
-_KIND_TO_SPARK = {
-    "boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(),
-    "float": T.FloatType(), "double": T.DoubleType(), "bytes": T.BinaryType(),
-    "string": T.StringType(), "date": T.DateType(), "timestamp-micros": T.TimestampType(),
-    "timestamp-millis": T.TimestampType(), "local-timestamp-micros": T.TimestampNTZType(),
-}
-
-
-def spark_type_of(schema_json: str) -> T.StructType:
-    return T.StructType([T.StructField(n, _KIND_TO_SPARK[k], nb is not None)
-                         for n, k, nb, _ in parse_record_schema(schema_json)])
-
-
-def _avro_type_of_arrow(t: pa.DataType):
-    if pa.types.is_boolean(t):
-        return "boolean"
-    if pa.types.is_int8(t) or pa.types.is_int16(t) or pa.types.is_int32(t):
-        return "int"
-    if pa.types.is_int64(t):
-        return "long"
-    if pa.types.is_float32(t):
-        return "float"
-    if pa.types.is_float64(t):
-        return "double"
-    if pa.types.is_string(t) or pa.types.is_large_string(t):
-        return "string"
-    if pa.types.is_binary(t) or pa.types.is_large_binary(t):
-        return "bytes"
-    if pa.types.is_date32(t):
-        return {"type": "int", "logicalType": "date"}
-    if pa.types.is_timestamp(t):
-        logical = "timestamp-micros" if t.tz else "local-timestamp-micros"
-        return {"type": "long", "logicalType": logical}
-    raise NotImplementedError(f"no Avro mapping for Arrow type {t}")
-
-
-def schema_for_arrow(struct_type: pa.StructType, name: str = "topLevelRecord") -> str:
-    """The schema ``to_avro`` uses when none is given: nullable fields
-    become ``[type, "null"]`` unions."""
-    fields = []
-    for f in struct_type:
-        t = _avro_type_of_arrow(f.type)
-        fields.append({"name": f.name, "type": [t, "null"] if f.nullable else t})
-    return json.dumps({"type": "record", "name": name, "fields": fields})
-
-
-def schema_for_spark(st: T.StructType, name: str = "topLevelRecord") -> str:
-    from pyspark.sql.pandas.types import to_arrow_type
-    return schema_for_arrow(pa.struct([pa.field(f.name, to_arrow_type(f.dataType), f.nullable)
-                                       for f in st.fields]), name)
-
-
-# ----------------------------------------------------------------- encode
-
-def _varint_matrix(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zigzag varints of int64 ``values``: (N, 10) byte matrix and lengths."""
-    v = values.astype(np.int64)
-    z = ((v << 1) ^ (v >> 63)).view(np.uint64)
-    mat = np.zeros((len(z), 10), dtype=np.uint8)
-    lengths = np.ones(len(z), dtype=np.int64)
-    rest = z.copy()
-    for k in range(10):
-        mat[:, k] = (rest & np.uint64(0x7F)).astype(np.uint8)
-        rest = rest >> np.uint64(7)
-        more = rest != 0
-        mat[more, k] |= 0x80
-        lengths += more
-        if not more.any():
-            break
-    return mat, lengths
-
-
-def _segment_from_matrix(mat: np.ndarray, lengths: np.ndarray):
-    mask = np.arange(mat.shape[1])[None, :] < lengths[:, None]
-    return lengths, mat[mask]
-
-
-def _buffers(arr: pa.Array):
-    """(offsets int64, data uint8) of a string/binary array."""
-    arr = arr.cast(pa.large_binary()) if not pa.types.is_large_binary(arr.type) else arr
-    bufs = arr.buffers()
-    offsets = np.frombuffer(bufs[1], dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1]
-    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
-    return offsets, data
 
 
-def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    total = int(lengths.sum())
-    if total == 0:
-        return np.zeros(0, dtype=np.uint8)
-    seg_off = np.cumsum(lengths) - lengths
-    idx = np.repeat(starts - seg_off, lengths) + np.arange(total)
-    return data[idx]
-
-
-def _value_segment(arr: pa.Array, kind: str, valid: np.ndarray):
-    n = len(arr)
-    if kind in ("string", "bytes"):
-        offsets, data = _buffers(arr)
-        lens = np.where(valid, offsets[1:] - offsets[:-1], 0)
-        lmat, llen = _varint_matrix(lens)
-        llen = np.where(valid, llen, 0)
-        l_lengths, l_flat = _segment_from_matrix(lmat, llen)
-        body = _gather(data, offsets[:-1], lens)
-        return [(l_lengths, l_flat), (lens, body)]
-    if kind == "boolean":
-        vals = np.asarray(arr.fill_null(False).to_numpy(zero_copy_only=False), dtype=np.uint8)
-        return [_segment_from_matrix(vals.reshape(n, 1), valid.astype(np.int64))]
-    if kind in ("float", "double"):
-        dt = "<f4" if kind == "float" else "<f8"
-        vals = np.asarray(arr.cast(pa.float32() if kind == "float" else pa.float64())
-                          .fill_null(0).to_numpy(zero_copy_only=False), dtype=dt)
-        w = 4 if kind == "float" else 8
-        mat = vals.view(np.uint8).reshape(n, w)
-        return [_segment_from_matrix(mat, np.where(valid, w, 0))]
-    # int-like: int, long, date, timestamps
-    if pa.types.is_timestamp(arr.type):
-        unit = arr.type.unit
-        ints = arr.cast(pa.timestamp(unit, tz=arr.type.tz)).cast(pa.int64())
-        scale = {"s": 1_000_000, "ms": 1000, "us": 1, "ns": 0}[unit]
-        vals = np.asarray(ints.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        vals = vals // 1000 if unit == "ns" else vals * scale
-        if kind == "timestamp-millis":
-            vals = vals // 1000
-    elif pa.types.is_date32(arr.type):
-        vals = np.asarray(arr.cast(pa.int32()).fill_null(0).to_numpy(zero_copy_only=False),
-                          dtype=np.int64)
-    else:
-        vals = np.asarray(arr.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False),
-                          dtype=np.int64)
-    mat, lens = _varint_matrix(vals)
-    return [_segment_from_matrix(mat, np.where(valid, lens, 0))]
-
-
-def _concat_rows(segments, n: int, valid: np.ndarray | None = None) -> pa.Array:
-    """Row-wise concatenation of per-row byte segments into a binary array
-    (rows where ``valid`` is False come out null)."""
-    row_len = np.zeros(n, dtype=np.int64)
-    for lens, _ in segments:
-        row_len += lens
-    out_off = np.zeros(n + 1, dtype=np.int64)
-    np.cumsum(row_len, out=out_off[1:])
-    out = np.zeros(int(out_off[-1]), dtype=np.uint8)
-    cursor = out_off[:-1].copy()
-    for lens, flat in segments:
-        if len(flat):
-            seg_off = np.cumsum(lens) - lens
-            dest = np.repeat(cursor - seg_off, lens) + np.arange(len(flat))
-            out[dest] = flat
-        cursor += lens
-    validity = None if valid is None or valid.all() else pa.array(valid, pa.bool_()).buffers()[1]
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), n, [validity, pa.py_buffer(out_off), pa.py_buffer(out)],
-        null_count=-1).cast(pa.binary())
-
-
-def encode_batch(struct_arr: pa.StructArray, schema_json: str | None = None) -> pa.Array:
-    """Avro-encode every row of ``struct_arr``; a null row gives a null payload."""
-    schema_json = schema_json or schema_for_arrow(struct_arr.type)
-    fields = parse_record_schema(schema_json)
-    n = len(struct_arr)
-    row_valid = (np.ones(n, bool) if struct_arr.null_count == 0
-                 else np.asarray(struct_arr.is_valid().to_numpy(zero_copy_only=False)))
-    segments = []
-    for name, kind, null_branch, value_branch in fields:
-        child = struct_arr.field(name)
-        valid = row_valid & (np.ones(n, bool) if child.null_count == 0 else
-                             np.asarray(child.is_valid().to_numpy(zero_copy_only=False)))
-        if null_branch is not None:
-            # branch numbers < 64 take one zigzag byte; null rows write nothing
-            idx = np.where(valid, 2 * value_branch, 2 * null_branch).astype(np.uint8)
-            segments.append((row_valid.astype(np.int64), idx[row_valid]))
-        elif not valid[row_valid].all():
-            raise ValueError(f"null value for non-nullable Avro field {name!r}")
-        segments.extend(_value_segment(child, kind, valid))
-    return _concat_rows(segments, n, row_valid)
-
-
-# ----------------------------------------------------------------- decode
-
-class AvroDecodeError(ValueError):
-    pass
-
-
-def _read_varint(data: np.ndarray, pos: np.ndarray, end: np.ndarray, active: np.ndarray):
-    n = len(pos)
-    z = np.zeros(n, dtype=np.uint64)
-    used = np.zeros(n, dtype=np.int64)
-    cont = active.copy()
-    bad = np.zeros(n, dtype=bool)
-    last = max(len(data) - 1, 0)
-    for k in range(10):
-        idx = pos + k
-        inside = idx < end
-        bad |= cont & ~inside
-        take = cont & inside
-        if not take.any():
-            break
-        b = data[np.minimum(idx, last)] if len(data) else np.zeros(n, np.uint8)
-        z[take] |= (b[take] & np.uint8(0x7F)).astype(np.uint64) << np.uint64(7 * k)
-        used[take] = k + 1
-        cont = take & ((b & 0x80) != 0)
-    bad |= cont
-    val = (z >> np.uint64(1)).view(np.int64) ^ -(z & np.uint64(1)).view(np.int64)
-    return val, used, bad
-
-
-def _arrow_type(kind: str) -> pa.DataType:
-    return {"boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(),
-            "float": pa.float32(), "double": pa.float64(), "bytes": pa.binary(),
-            "string": pa.string(), "date": pa.date32(),
-            "timestamp-micros": pa.timestamp("us", tz="UTC"),
-            "timestamp-millis": pa.timestamp("us", tz="UTC"),
-            "local-timestamp-micros": pa.timestamp("us")}[kind]
-
-
-def decode_batch(binary: pa.Array, reader_schema: str, writer_schema: str | None = None,
-                 mode: str = "FAILFAST") -> pa.StructArray:
-    wfields = parse_record_schema(writer_schema or reader_schema)
-    rfields = parse_record_schema(reader_schema)
-    offsets, data = _buffers(binary)
-    n = len(binary)
-    ok = (np.ones(n, bool) if binary.null_count == 0
-          else np.asarray(binary.is_valid().to_numpy(zero_copy_only=False)))
-    present = ok.copy()
-    pos = offsets[:-1].astype(np.int64).copy()
-    end = offsets[1:].astype(np.int64)
-    last = max(len(data) - 1, 0)
-    cols: dict[str, pa.Array] = {}
-    for name, kind, null_branch, value_branch in wfields:
-        has = ok.copy()
-        if null_branch is not None:
-            br, used, bad = _read_varint(data, pos, end, ok)
-            bad |= ok & (br != null_branch) & (br != value_branch)
-            ok &= ~bad
-            pos = pos + np.where(ok, used, 0)
-            has = ok & (br == value_branch)
-        if kind in ("string", "bytes"):
-            ln, used, bad = _read_varint(data, pos, end, has)
-            bad |= has & ((ln < 0) | (pos + used + ln > end))
-            ok &= ~bad
-            has &= ok
-            start = pos + used
-            lens = np.where(has, ln, 0)
-            body = _gather(data, start, lens)
-            off = np.zeros(n + 1, dtype=np.int64)
-            np.cumsum(lens, out=off[1:])
-            validity = pa.array(has, pa.bool_()).buffers()[1]
-            arr = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), n, [validity, pa.py_buffer(off), pa.py_buffer(body)],
-                null_count=-1)
-            if kind == "string":
-                arr = arr.cast(pa.large_string())
-            cols[name] = arr.cast(_arrow_type(kind))
-            pos = pos + np.where(has, used + lens, 0)
-        elif kind in ("float", "double", "boolean"):
-            w = {"float": 4, "double": 8, "boolean": 1}[kind]
-            bad = has & (pos + w > end)
-            ok &= ~bad
-            has &= ok
-            idx = np.minimum(pos[:, None] + np.arange(w)[None, :], last)
-            raw = (data[idx] if len(data) else np.zeros((n, w), np.uint8)).copy()
-            if kind == "boolean":
-                vals = raw[:, 0] != 0
-            else:
-                vals = raw.view("<f4" if kind == "float" else "<f8").reshape(n)
-            cols[name] = pa.array(vals, type=_arrow_type(kind), mask=~has)
-            pos = pos + np.where(has, w, 0)
-        else:
-            v, used, bad = _read_varint(data, pos, end, has)
-            ok &= ~bad
-            has &= ok
-            if kind == "timestamp-millis":
-                v = v * 1000
-            if kind == "int" or kind == "date":
-                bad2 = has & ((v < -2**31) | (v >= 2**31))
-                ok &= ~bad2
-                has &= ok
-                arr = pa.array(v.astype(np.int32), type=pa.int32(), mask=~has)
-                cols[name] = arr.cast(pa.date32()) if kind == "date" else arr
-            else:
-                arr = pa.array(v, type=pa.int64(), mask=~has)
-                cols[name] = arr.cast(_arrow_type(kind)) if kind != "long" else arr
-            pos = pos + np.where(has, used, 0)
-    corrupt = present & ~ok
-    if corrupt.any() and mode.upper() == "FAILFAST":
-        raise AvroDecodeError(f"{int(corrupt.sum())} malformed Avro records in batch")
-    children, names = [], []
-    for name, kind, _nb, _vb in rfields:
-        t = _arrow_type(kind)
-        # a reader field the writer lacks reads as null (its only default)
-        children.append(cols[name].cast(t) if name in cols else pa.nulls(n, t))
-        names.append(name)
-    return pa.StructArray.from_arrays(children, names=names, mask=pa.array(~ok))
-
-
-# ----------------------------------------------------------------- columns
-
-_NATIVE_STATE: dict[str, bool] = {}
-
-
-def _ship() -> None:
-    from pyspark.sql import SparkSession
-
-    from ingestkit.session import ship_package
+def _require_module() -> None:
     spark = SparkSession.getActiveSession()
-    if spark is not None:
-        ship_package(spark)
-
-
-def _native():
-    """Spark's Avro functions if the Avro data source is loaded, else None.
-
-    ``to_avro`` builds a Column even without the module; the failure only
-    shows at analysis, so a tiny plan is analyzed once per process.
-    """
+    loader = spark.sparkContext._jvm.Thread.currentThread().getContextClassLoader()
     try:
-        from pyspark.sql import SparkSession
-        from pyspark.sql.avro import functions as avro_fns
-    except ImportError:
-        return None
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return None
-    if "loaded" not in _NATIVE_STATE:
-        try:
-            spark.range(0).select(avro_fns.to_avro(F.struct(F.lit(1).alias("a")))).schema
-            _NATIVE_STATE["loaded"] = True
-        except Exception:  # AVRO_NOT_LOADED and friends
-            _NATIVE_STATE["loaded"] = False
-    return avro_fns if _NATIVE_STATE["loaded"] else None
-
+        loader.loadClass("org.apache.spark.sql.avro.AvroUtils")
+    except Exception as err:
+        raise RuntimeError("Spark's Avro module is not on the class path; start the session with the "
+                           "spark-avro package of your Spark version") from err
 
-def to_avro(data: Column, schema_json: str | None = None, *, force_fallback: bool = False) -> Column:
-    """Avro-encode a struct column into a binary column."""
-    native = None if force_fallback else _native()
-    if native is not None:
-        return native.to_avro(data, schema_json) if schema_json else native.to_avro(data)
 
-    _ship()
+def to_avro(data: Column, schema: str = "") -> Column:
+    """``data`` encoded as Avro binary.  A null struct has no payload (null),
+    so encode ``struct(data.*)`` where a null message must not become a
+    delete marker of a compacted topic."""
+    from pyspark.sql.avro import functions as A
 
-    @F.arrow_udf(T.BinaryType())
-    def _encode(s: pa.Array) -> pa.Array:
-        return encode_batch(s, schema_json)
+    _require_module()
+    return A.to_avro(data, schema)
 
-    return _encode(data)
 
+def from_avro(value: Column, schema: str, mode: str = "FAILFAST") -> Column:
+    """Avro binary decoded with the reader's schema."""
+    from pyspark.sql.avro import functions as A
 
-def from_avro(data: Column, reader_schema: str, *, writer_schema: str | None = None,
-              mode: str = "FAILFAST", force_fallback: bool = False) -> Column:
-    """Decode an Avro binary column into a struct column."""
-    native = None if force_fallback else _native()
-    if native is not None:
-        options = {"mode": mode}
-        if writer_schema is not None:
-            options["avroSchema"] = reader_schema
-            return native.from_avro(data, writer_schema, options)
-        return native.from_avro(data, reader_schema, options)
-    out_type = spark_type_of(reader_schema)
-    _ship()
+    _require_module()
+    return A.from_avro(value, schema, {"mode": mode})
 
-    @F.arrow_udf(out_type)
-    def _decode(b: pa.Array) -> pa.Array:
-        return decode_batch(b, reader_schema, writer_schema, mode)
 
-    return _decode(data)
+def message_struct(data: str, fields: list[str]) -> Column:
+    """``struct(data.*)``: not null even where ``data`` is."""
+    return F.struct(*[F.col(data)[f].alias(f) for f in fields])

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from ingestkit.functions.schema_text import as_struct
 
-# Timestamps keep up to microseconds (the default pattern stops
-# at milliseconds); an optional zone offset is honoured.
-JSON_OPTIONS = {
+# Written timestamps keep their microseconds (the default pattern stops at
+# milliseconds); reading follows Spark's own rules.
+WRITE_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
@@ -27,13 +27,12 @@ JSON_OPTIONS = {
 def decode_json(df: DataFrame, schema: str | T.StructType, *, column: str = "value",
                 keep: Sequence[str] = (), options: dict[str, str] | None = None) -> DataFrame:
     """Expand the JSON text (or UTF-8 bytes) in ``column`` into columns."""
-    opts = {**JSON_OPTIONS, **(options or {})}
-    parsed = F.from_json(F.col(column).cast("string"), as_struct(schema), opts)
+    parsed = F.from_json(F.col(column).cast("string"), as_struct(schema), options or {})
     return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 
 
 def encode_json(df: DataFrame, columns: Sequence[str] | None = None, *,
                 alias: str | None = None) -> F.Column:
     """A JSON text column holding ``columns`` (default: all) of each row."""
-    text = F.to_json(F.struct(*(columns or df.columns)), JSON_OPTIONS)
+    text = F.to_json(F.struct(*(columns or df.columns)), WRITE_OPTIONS)
     return text.alias(alias) if alias else text

@@ -14,19 +14,21 @@ Two semantics are offered:
 * ``mode="default"`` - only current rows are compared; history passes
   through untouched; keys and attributes are compared null-safely; a vanished key
   is closed on ``as_of`` (full feed) instead of being dropped; staging is
-  reduced to one row per key.  Applying the same feed twice is a no-op.
+  reduced to one row per key; a late row (dated before the current version
+  began) changes nothing, so no interval ends before it starts.  Applying
+  the same feed twice is a no-op.
 * ``mode="compat"`` - the original job's results, row for row: every
   target row (history included) is compared with a null-unsafe ``<>``,
   rows classified DELETE are left out of the result, the new version
-  inherits the old end date, and staging duplicates fan out.
-
-Plan shape (both modes): one shuffle per side, no caches.  The join is
-the skew-safe full outer join of :mod:`ingestkit.operators.joins`
-(``target LEFT JOIN staging`` plus staging anti-joined with its matched
-keys, null keys routed around the shuffle), with the target - the side
-that may hold many rows per key - streamed; a small feed is broadcast and
-the dimension is then not shuffled.  Every joined row is turned into its 1-2 output rows by a single
-``inline(array(struct, ...))`` generator.
+  inherits the old end date, and staging duplicates fan out (history rows
+  times feed rows of a key, which a hot key makes large by definition).
+
+Plan shape: target and feed are joined by one full outer join (one scan and
+one shuffle a side, plus the feed's reduction).  A default-mode delta feed is
+small against the dimension by nature, so it takes the split form of the join
+that lets Spark broadcast it (:mod:`ingestkit.operators.joins`).  Every joined
+row is turned into its 1-2 output rows by a single
+``inline(array(struct, ...))`` generator; nothing is cached.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.operators.joins import full_outer_join
+from ingestkit.operators.joins import full_outer_join, split_outer_join
 
 # Fixed values used by the original jobs.
 HIGH_DATE = "9999-12-31"
@@ -101,30 +103,14 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
 
 
 def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns, *,
-                       null_keys_match: bool, dedup: bool = False) -> DataFrame:
-    """Row set of ``target FULL OUTER JOIN staging ON key`` (skew-safe form,
-    see :mod:`ingestkit.operators.joins`), with presence markers for both
-    sides.
-
-    Non-null keys join with plain ``=``, which keeps the staging's per-key
-    partitioning and a bucketed dimension's layout.  Null keys either never
-    match (``null_keys_match=False``, the original semantics) and are added
-    null-padded, or form one more key value matched by a null-safe join of
-    the null-key rows alone (at most one row per side in a valid dimension).
-    """
+                       null_safe: bool, small_feed: bool) -> DataFrame:
+    """``target FULL OUTER JOIN staging ON key`` with presence markers."""
     tcols = c.target_columns + list(c.extra)
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
     left = target.select(*tcols, F.lit(True).alias("__t_present"))
     right = stg.select(*s_cols, F.lit(True).alias("__s_present"))
-    if not null_keys_match:
-        return full_outer_join(left, right, [c.key], [_S_KEY])
-    t_null, s_null = F.col(c.key).isNull(), F.col(_S_KEY).isNull()
-    keyed = full_outer_join(left.where(~t_null), right.where(~s_null), [c.key], [_S_KEY])
-    # after the per-key reduction the feed's null-key group is at most one
-    # row, a proven bound, so it is broadcast and the target is not shuffled
-    nulls = full_outer_join(left.where(t_null), right.where(s_null), [c.key], [_S_KEY],
-                            null_safe=True, broadcast_right=dedup)
-    return keyed.unionByName(nulls)
+    join = split_outer_join if small_feed else full_outer_join
+    return join(left, right, [c.key], [_S_KEY], null_safe=null_safe)
 
 
 def _any(conds: list[Column]) -> Column:
@@ -150,6 +136,7 @@ def _default_action(c: Scd2Columns, feed: str) -> Column:
     changed = _any([~F.col(c.attrs[i]).eqNullSafe(F.col(_s_attr(i))) for i in range(n)])
     return (F.when(F.col("__t_present").isNull(), "INSERT")
             .when(F.col("__s_present").isNull(), "DELETE" if feed == "full" else "NOACTION")
+            .when(F.col(_S_MOD) < F.col(c.start), "NOACTION")      # late: older than this version
             .when(changed, "UPSERT")
             .otherwise("NOACTION"))
 
@@ -160,7 +147,7 @@ def _is_current(c: Scd2Columns) -> Column:
 
 def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "compat",
                      feed: str = "full", columns: Scd2Columns | None = None,
-                     dedup_staging: bool | None = None) -> DataFrame:
+                     dedup_staging: bool | None = None, null_keys: bool = True) -> DataFrame:
     """Joined target/staging rows with an ``action`` column.
 
     Output: the target columns, ``src_key``/``src_attrs``/``src_mod_dt``
@@ -169,7 +156,7 @@ def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "comp
     part of this output).
     """
     c = columns or Scd2Columns()
-    joined, _history = _classified(target, staging, c, mode, feed, dedup_staging)
+    joined, _history = _classified(target, staging, c, mode, feed, dedup_staging, null_keys)
     out = [*c.target_columns, *c.extra,
            F.col(_S_KEY).alias(c.src_key),
            *[F.col(_s_attr(i)).alias(sa) for i, sa in enumerate(c.src_attrs)],
@@ -177,7 +164,7 @@ def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "comp
     return joined.select(*out)
 
 
-def _classified(target, staging, c, mode, feed, dedup_staging):
+def _classified(target, staging, c, mode, feed, dedup_staging, null_keys):
     if mode not in ("default", "compat"):
         raise ValueError(f"mode must be 'default' or 'compat', not {mode!r}")
     if feed not in ("full", "delta"):
@@ -190,12 +177,12 @@ def _classified(target, staging, c, mode, feed, dedup_staging):
         stg = latest_per_key(stg, c)
     if mode == "compat":
         # null keys never match (plain "="), as in the original job
-        joined = _join_with_staging(target, stg, c, null_keys_match=False)
+        joined = _join_with_staging(target, stg, c, null_safe=False, small_feed=False)
         return joined.withColumn("action", _compat_action(c)), None
     # default: a null key is one more key value, so a re-run finds its row
     live = _is_current(c)
-    joined = _join_with_staging(target.where(live), stg, c, null_keys_match=True,
-                                dedup=dedup_staging)
+    joined = _join_with_staging(target.where(live), stg, c, null_safe=null_keys,
+                                small_feed=feed == "delta")
     return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
 
 
@@ -204,15 +191,17 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
                columns: Scd2Columns | None = None, high_date: str = HIGH_DATE,
                insert_source_code: str = INSERT_SOURCE_CODE,
                dedup_staging: bool | None = None, flag_deletes: bool = False,
-               order_by_key: bool = False) -> DataFrame:
+               order_by_key: bool = False, null_keys: bool = True) -> DataFrame:
     """The dimension after applying ``staging``; see the module docstring.
 
     ``as_of`` is the close date of deleted keys (full feed, default mode);
     it defaults to ``current_date()``, which is not reproducible, so pass
-    it explicitly in jobs that must be re-runnable.
+    it explicitly in jobs that must be re-runnable.  ``null_keys=False`` says
+    that the key is never null: the join then compares with plain ``=`` and
+    keeps a dimension bucketed by key where it is.
     """
     c = columns or Scd2Columns()
-    joined, history = _classified(target, staging, c, mode, feed, dedup_staging)
+    joined, history = _classified(target, staging, c, mode, feed, dedup_staging, null_keys)
     tt = _types(target)
     n = len(c.attrs)
     as_of_col = (F.current_date() if as_of is None
@@ -268,21 +257,43 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
 def scd2_write_back(target_table: str, staging: DataFrame, **options) -> dict[str, object]:
     """Apply ``staging`` to a dimension *table* and store the result.
 
-    The new dimension is written to a fresh folder under the work root
-    first - that cuts the lineage (Spark refuses to overwrite a table it is
-    reading) and leaves a complete copy if the swap is interrupted - and
-    then replaces the table's contents.  With the default semantics a
-    repeated run with the same feed rewrites identical rows.
+    A table partitioned by the current flag (default mode) keeps its history
+    in place: only current rows are read and replaced, newly closed rows are
+    appended.  Closed rows go first, without those that are there already, and
+    the current partition is overwritten last, so a run that was interrupted can
+    be repeated.  Any other table is replaced as a whole.
+
+    Either way the new rows are staged under the work root first, because Spark
+    refuses to overwrite a table it is reading; the staged copy is deleted once
+    the table is written.  With the default semantics a repeated run with the
+    same feed leaves the table as it is.
     """
-    from ingestkit.session import scratch_dir
-    from ingestkit.sinks.tables import replace_from_staged
+    from ingestkit.session import remove_folder, scratch_dir
+    from ingestkit.sinks.tables import _partition_columns, append_table, replace_from_staged
 
     spark = staging.sparkSession
-    result = scd2_apply(spark.table(target_table), staging, **options)
+    c = options.get("columns") or Scd2Columns()
     stage = scratch_dir(spark, "scd2-stage")
-    result.write.parquet(stage)
-    replace_from_staged(spark.read.parquet(stage), target_table)
-    return {"table": target_table, "staging": stage}
+    if _partition_columns(spark, target_table) != [c.is_current] or options.get("mode") == "compat":
+        scd2_apply(spark.table(target_table), staging, **options).write.parquet(stage)
+        replace_from_staged(spark.read.parquet(stage), target_table)
+        remove_folder(spark, stage)
+        return {"table": target_table, "replaced": "table"}
+    live = spark.table(target_table).where(F.col(c.is_current))
+    scd2_apply(live, staging, **options).write.partitionBy(c.is_current).parquet(stage)
+    new = spark.read.schema(spark.table(target_table).schema).parquet(stage)
+    closed = new.where(~F.col(c.is_current))
+    held = spark.table(target_table).where(~F.col(c.is_current))
+    again = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in (c.key, c.start, c.end)]
+    held = held.select(*[F.col(k).alias(f"__{k}") for k in (c.key, c.start, c.end)])
+    append_table(closed.join(held, _all(again), "left_anti").select(*new.columns), target_table)
+    current = new.where(F.col(c.is_current))
+    if current.isEmpty():      # every key was closed
+        spark.sql(f"ALTER TABLE {target_table} DROP IF EXISTS PARTITION (`{c.is_current}` = true)")
+    else:
+        replace_from_staged(current, target_table, partitions_only=True)
+    remove_folder(spark, stage)
+    return {"table": target_table, "replaced": "current rows"}
 
 
 def scd2_view(target_table: str, staging_table: str, *, view: str = "merged_cdc",

@@ -1,27 +1,19 @@
-"""Full outer equi-join that holds up under key skew.
+"""Full outer equi-join.
 
-``left FULL OUTER JOIN right ON keys`` is computed as
+``full_outer_join`` is Spark's own full outer join: one scan and one shuffle
+a side.  Rows whose join key is null can never match; with
+``spread_null_keys`` they are dealt over all tasks instead of hashing into one.
+
+``split_outer_join`` has the same rows, computed as
 
     left LEFT JOIN right
     ∪  right LEFT ANTI JOIN matched
        where matched = distinct(left keys JOIN distinct(right keys))
 
-which is the same row set for any equi-join (right rows with a partner
-appear in the first part, the rest in the second).  Why not let Spark
-plan the full outer join directly: its sort-merge implementation buffers
-all rows of a key from both sides in memory, and AQE's skew handling
-does not split full outer joins.  In the rewrite the left side is
-streamed (AQE splits a skewed left partition and replicates the matching
-right partition); ``matched`` is at most as large as the right side and
-its ``distinct`` combines a hot key map-side.  When the right side is
-small (a change feed against a large table), Catalyst can broadcast it to
-both joins after its own size check, and the left side is then never
-shuffled at all.  Put the side with the larger per-key multiplicity on
-the left.
-
-Rows whose join key is null can never match; they are routed around the
-shuffle (they would otherwise all hash into one task) and come back
-null-padded.
+It reads the sides two and three times.  In return a small right side (a
+change feed against a large table) is broadcast after Spark's own size check
+and the left side is never shuffled, and AQE can split a hot key of the left
+side, which it cannot in a full outer join.  The caller chooses.
 """
 
 from __future__ import annotations
@@ -44,53 +36,64 @@ def _padded(df: DataFrame, other: DataFrame, keep_left: bool) -> DataFrame:
     return df.select(*(cols + nulls if keep_left else nulls + cols))
 
 
-def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                    right_keys: Sequence[str] | None = None, *,
-                    null_safe: bool = False, broadcast_right: bool = False) -> DataFrame:
-    """Full outer equi-join; output = left columns then right columns.
-
-    Column names of the two sides must be distinct.  ``null_safe=True``
-    matches keys with ``<=>`` (null is one key value); use it only where
-    each side holds at most a few rows per key, since the null group is
-    then an ordinary hash partition.  ``broadcast_right=True`` broadcasts
-    the right side into both joins; pass it only when that side's size has
-    a proven bound (e.g. at most one row), never on an estimate.
-    """
-    right_keys = list(right_keys or left_keys)
-    left_keys = list(left_keys)
-    if len(left_keys) != len(right_keys) or not left_keys:
+def _sides(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+           right_keys: Sequence[str] | None) -> tuple[list[str], list[str]]:
+    rk, lk = list(right_keys or left_keys), list(left_keys)
+    if len(lk) != len(rk) or not lk:
         raise ValueError("need the same, non-zero number of keys on both sides")
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"column names appear on both sides: {sorted(clash)}")
+    return lk, rk
+
+
+def _all_equal(pairs, null_safe: bool) -> Column:
+    # by name (the two sides' names are distinct), so a self-join of frames
+    # with a common lineage stays unambiguous
+    return reduce(lambda x, y: x & y, [
+        F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs])
 
-    def eq(a: str, b: str) -> Column:
-        return F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
 
+def full_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                    right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
+                    spread_null_keys: bool = False) -> DataFrame:
+    """Full outer equi-join; output = left columns then right columns.
+
+    Column names of the two sides must be distinct.  ``null_safe=True``
+    matches keys with ``<=>`` (null is one key value).  Otherwise null keys
+    never match; ``spread_null_keys=True`` adds a spread of those rows to the
+    join keys, worth it where many rows have none.
+    """
+    lk, rk = _sides(left, right, left_keys, right_keys)
+    columns = [*left.columns, *right.columns]
+    cond = _all_equal(zip(lk, rk, strict=True), null_safe)
+    if spread_null_keys and not null_safe:
+        def spread(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+            return df.withColumn(name, F.when(_any_null(df, keys), F.xxhash64(*df.columns)).otherwise(F.lit(0)))
+        left, right = spread(left, lk, "__l_spread"), spread(right, rk, "__r_spread")
+        cond = cond & (F.col("__l_spread") == F.col("__r_spread"))
+    return left.join(right, cond, "full").select(*columns)
+
+
+def split_outer_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                     right_keys: Sequence[str] | None = None, *, null_safe: bool = False) -> DataFrame:
+    """The rows of :func:`full_outer_join` for a small or a skewed side; see
+    the module docstring."""
+    lk, rk = _sides(left, right, left_keys, right_keys)
     if null_safe:
         keyed_l, null_l, keyed_r, null_r = left, None, right, None
     else:
-        l_null, r_null = _any_null(left, left_keys), _any_null(right, right_keys)
+        l_null, r_null = _any_null(left, lk), _any_null(right, rk)
         keyed_l, null_l = left.where(~l_null), left.where(l_null)
         keyed_r, null_r = right.where(~r_null), right.where(r_null)
-
-    # columns are referenced by name (the two sides' names are distinct), so
-    # a self-join of frames with a common lineage stays unambiguous
-    cond = reduce(lambda a, b: a & b, [eq(lk, rk) for lk, rk in zip(left_keys, right_keys)])
-    build = F.broadcast(keyed_r) if broadcast_right else keyed_r
-    joined = keyed_l.join(build, cond, "left").select(*left.columns, *right.columns)
-
-    lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(left_keys)])
-    rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(right_keys)]).distinct()
-    on = reduce(lambda a, b: a & b, [eq(f"__lk{i}", f"__rk{i}") for i in range(len(right_keys))])
-    matched = lkeys.join(F.broadcast(rkeys) if broadcast_right else rkeys, on, "inner") \
+    joined = keyed_l.join(keyed_r, _all_equal(zip(lk, rk, strict=True), null_safe), "left") \
+        .select(*left.columns, *right.columns)
+    lkeys = keyed_l.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(lk)])
+    rkeys = keyed_r.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)]).distinct()
+    matched = lkeys.join(rkeys, _all_equal([(f"__lk{i}", f"__rk{i}") for i in range(len(rk))], null_safe), "inner") \
         .select(*rkeys.columns).distinct()
-    anti = reduce(lambda a, b: a & b, [eq(rk, f"__rk{i}") for i, rk in enumerate(right_keys)])
-    right_only = keyed_r.join(matched, anti, "left_anti")
+    right_only = keyed_r.join(matched, _all_equal([(k, f"__rk{i}") for i, k in enumerate(rk)], null_safe), "left_anti")
     if null_r is not None:
         right_only = right_only.unionByName(null_r)
-
     out = joined.unionByName(_padded(right_only, left, keep_left=False))
-    if null_l is not None:
-        out = out.unionByName(_padded(null_l, right, keep_left=True))
-    return out
+    return out if null_l is None else out.unionByName(_padded(null_l, right, keep_left=True))

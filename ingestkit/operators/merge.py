@@ -7,12 +7,11 @@ third of the rows is cut down to one row per map task) and a final one
 after it.
 
 ``merge_insert_only`` inserts the source rows whose key is not yet in
-the target inside a date window and never changes existing rows.  It is
-an anti join of the de-duplicated source against those of its keys that
-already exist in the target window (partition pruning applies to a
-date-partitioned target; a small source is broadcast so the target is
-not shuffled; ``distinct`` combines hot keys map-side), followed by an
-append.  Two semantics:
+the target inside a date window and never changes existing rows: one anti
+join of the de-duplicated source with the target's distinct keys of the
+window (partition pruning applies to a date-partitioned target; ``distinct``
+combines hot keys map-side), followed by an append.  The source is read once;
+its de-duplication and the join share one shuffle.  Two semantics:
 
 * default - the window is applied to the source as a filter and keys
   match null-safely, so running the same merge twice inserts nothing.
@@ -58,52 +57,61 @@ def _bounds(col: Column, lower, upper) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
+# What stands for null in a key column, next to a flag that says so.
+_STAND_IN = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
+             "timestamp_ntz": "1970-01-01 00:00:00", "boolean": "false", "binary": ""}
+
+
+def _key_parts(df: DataFrame, keys: Sequence[str], prefix: str, null_safe: bool) -> list[Column]:
+    """The join key columns: as they are, or as (value, is null) pairs that
+    compare null-safely with plain ``=`` and so share a partitioning."""
+    out = []
+    for i, k in enumerate(keys):
+        if not null_safe:
+            out.append(F.col(k).alias(f"{prefix}{i}"))
+            continue
+        kind = df.schema[k].dataType
+        stand_in = F.lit(_STAND_IN.get(kind.simpleString().split("(")[0], "0")).cast(kind)
+        out += [F.coalesce(F.col(k), stand_in).alias(f"{prefix}{i}"), F.col(k).isNull().alias(f"{prefix}{i}n")]
+    return out
+
+
 def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-                   order_by: Sequence[str | Column] = (), tie_breakers: Sequence[str | Column] = (),
+                   order_by: Sequence[str | Column], tie_breakers: Sequence[str | Column] = (),
                    bound_column: str | None = None, lower=None, upper=None,
                    mode: str = "default", columns: Sequence[str] | None = None) -> DataFrame:
-    """The rows an insert-only merge adds to ``target`` (not yet appended).
+    """The rows an insert-only merge adds to ``target`` (not yet appended),
+    in the target's columns.
 
-    ``lower``/``upper`` form the half-open window ``[lower, upper)`` on
-    ``bound_column`` for both sides.  ``columns`` is the insert column list
-    (defaults to the target's columns); helper columns are never stored.
+    ``order_by`` and ``tie_breakers`` decide which source row of a key is
+    inserted.  ``lower``/``upper`` form the half-open window ``[lower, upper)``
+    on ``bound_column`` for both sides.  ``columns`` is the insert column list
+    (default: all); the target's other columns are null in the inserted rows.
     """
     if mode not in ("default", "compat"):
         raise ValueError(f"mode must be 'default' or 'compat', not {mode!r}")
-    cols = list(columns or target.columns)
+    if not order_by:
+        raise ValueError("a merge needs order_by, else the row inserted for a key is arbitrary")
+    null_safe = mode == "default"
+    listed = list(columns or target.columns)
+    out = [F.col(f.name) if f.name in listed else F.lit(None).cast(f.dataType).alias(f.name)
+           for f in target.schema.fields]
     src = source
-    if mode == "default" and bound_column is not None:
+    if null_safe and bound_column is not None:
         src = src.where(_bounds(F.col(bound_column), lower, upper))
-    src = dedup_first(src, keys, order_by or [keys[0]], tie_breakers)
-
+    parts = _key_parts(source, keys, "__s", null_safe)
+    src = src.select("*", *parts)
+    names = [c for c in src.columns if c not in source.columns]
+    src = dedup_first(src, names, order_by, tie_breakers)
     tgt = target
     if bound_column is not None:
         tgt = tgt.where(_bounds(F.col(bound_column), lower, upper))
-
-    def unmatched(rows: DataFrame, null_safe: bool) -> DataFrame:
-        # keys of ``rows`` that already exist in the target window: target
-        # keys joined with the distinct source keys (a small source is
-        # broadcast and the target is not shuffled), combined map-side
-        def eq(a, b):
-            return a.eqNullSafe(b) if null_safe else a == b
-        skeys = rows.select(*[F.col(k).alias(f"__s_{k}") for k in keys]).distinct()
-        tkeys = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
-        # by name: target and source may share a lineage (a self-merge)
-        on = reduce(lambda x, y: x & y, [eq(F.col(f"__t_{k}"), F.col(f"__s_{k}")) for k in keys])
-        matched = tkeys.join(skeys, on, "inner").select(*skeys.columns).distinct()
-        anti = reduce(lambda x, y: x & y, [eq(F.col(k), F.col(f"__s_{k}")) for k in keys])
-        return rows.join(matched, anti, "left_anti")
-
-    if mode == "default":
-        return unmatched(src, null_safe=True).select(*cols)
-
-    # compat: the source window lives in the ON clause, keys use plain "="
-    in_window = (_bounds(F.col(bound_column), lower, upper) if bound_column is not None
-                 else F.lit(True))
-    flagged = src.withColumn("__in_window", in_window)
-    can_match = flagged.where(F.col("__in_window"))
-    never = flagged.where(~F.col("__in_window") | F.col("__in_window").isNull())
-    return unmatched(can_match, null_safe=False).unionByName(never).select(*cols)
+    there = tgt.select(*_key_parts(target, keys, "__t", null_safe)).distinct()
+    on = reduce(lambda x, y: x & y, [F.col(n) == F.col("__t" + n[3:]) for n in names])
+    if not null_safe and bound_column is not None:
+        # compat: the source window is part of the match condition
+        on = on & F.coalesce(_bounds(F.col(bound_column), lower, upper), F.lit(False))
+    return src.join(there, on, "left_anti").select(*out)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], **kw) -> DataFrame:

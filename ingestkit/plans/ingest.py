@@ -32,13 +32,16 @@ class BatchIngest:
     table_format: str = "parquet"     # for overwrite (create/replace)
     table_path: str | None = None
     reconcile_scope: str = "table"    # or "touched": count only the partitions written
+    null_on_bad_cast: bool = True     # a CAST in ``statement`` that fails gives null
+    options: dict[str, str] = field(default_factory=dict)   # of the file source; they win
 
 
 def ingest_frame(spark: SparkSession, spec: BatchIngest) -> DataFrame:
     """The rows the ingest would load (scan + optional SQL transform)."""
     raw = read_delimited(spark, spec.source_path, spec.schema, fmt=spec.file_format,
-                         header=spec.header, sep=spec.delimiter, quote=spec.quote)
-    return transform(raw, spec.statement, spec.view) if spec.statement else raw
+                         header=spec.header, sep=spec.delimiter, quote=spec.quote, options=spec.options)
+    return transform(raw, spec.statement, spec.view,
+                     null_on_bad_cast=spec.null_on_bad_cast) if spec.statement else raw
 
 
 def ingest_batch(spark: SparkSession, spec: BatchIngest) -> DataFrame:

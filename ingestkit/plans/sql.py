@@ -8,8 +8,13 @@ soon as the statement is planned; the returned DataFrame stays lazy.
 
 from __future__ import annotations
 
+import contextlib
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ingestkit.session import scoped_conf
+
 
 def load_statement(text: str | list[str]) -> str:
     """SQL text from a file's lines: joined with newlines and stripped, so a
@@ -19,22 +24,52 @@ def load_statement(text: str | list[str]) -> str:
     return text.strip().rstrip(";").strip()
 
 
+_BINDING = threading.Lock()
+
+
+@contextlib.contextmanager
+def _bound(spark: SparkSession, views: dict[str, DataFrame]):
+    """The frames under their view names while a statement is analyzed.  One
+    statement at a time; views of the same names are put back afterwards."""
+    with _BINDING:
+        before = {n: spark.table(n) for n in views if any(
+            t.isTemporary and t.name.lower() == n.lower() for t in spark.catalog.listTables())}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        try:
+            yield
+        finally:
+            for name in views:
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
+
+
 def run_sql(spark: SparkSession, statement: str, *, database: str | None = None,
-            views: dict[str, DataFrame] | None = None, args: dict | None = None) -> DataFrame:
-    """Run ``statement``; ``views`` are registered as temp views under their
-    names first (the hand-over from a scan to a SQL transform)."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
+            views: dict[str, DataFrame] | None = None, args: dict | None = None,
+            null_on_bad_cast: bool = False) -> DataFrame:
+    """Run ``statement``; ``views`` are bound under their names while it is
+    analyzed (the hand-over from a scan to a SQL transform).
+
+    ``null_on_bad_cast=True`` analyzes it without ANSI mode: a cell that a
+    CAST cannot convert becomes null instead of failing the job.  The choice
+    is part of the analyzed plan, batch or stream.
+    """
     previous = spark.catalog.currentDatabase()
+    mode = {"spark.sql.ansi.enabled": "false"} if null_on_bad_cast else {}
     if database:
         spark.catalog.setCurrentDatabase(database)
     try:
-        return spark.sql(load_statement(statement), args=args)
+        with _bound(spark, views or {}), scoped_conf(spark, mode):
+            return spark.sql(load_statement(statement), args=args)
     finally:
         if database:
             spark.catalog.setCurrentDatabase(previous)
 
 
-def transform(df: DataFrame, statement: str, view: str = "genericTempView") -> DataFrame:
-    """Apply a SQL transform that reads ``view`` to ``df`` (batch or stream)."""
-    return run_sql(df.sparkSession, statement, views={view: df})
+def transform(df: DataFrame, statement: str, view: str = "genericTempView", *,
+              null_on_bad_cast: bool = True) -> DataFrame:
+    """Apply a SQL transform that reads ``view`` to ``df`` (batch or stream).
+    Supplied statements turn bad cells into nulls unless told otherwise."""
+    return run_sql(df.sparkSession, statement, views={view: df}, null_on_bad_cast=null_on_bad_cast)

@@ -1,14 +1,13 @@
 """Session helpers: a local session for tests/bench and the shared work area.
 
 Scratch tables, stream checkpoints and message replays live under the
-folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent (unit tests, a laptop) is a fresh temporary folder
-created and registered as the checkpoint dir.
+folder the cluster names in ``spark.checkpoint.dir``.  Without it a local
+master gets a temporary folder (everything runs on one machine); on a cluster,
+where executors do not share local disks, that is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -16,8 +15,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
-                  app: str = "ingestkit") -> SparkSession:
+                  app: str = "ingestkit", checkpoint_dir: str | None = None) -> SparkSession:
     """A local[N] session configured the way the tests and bench expect."""
+    checkpoint_dir = checkpoint_dir or tempfile.mkdtemp(prefix="ingestkit-")
     parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,6 +29,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", checkpoint_dir)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,8 +40,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def work_root(spark: SparkSession) -> str:
     """Shared folder for scratch data: the session's checkpoint dir.
 
-    Read from the running context first, then from ``spark.checkpoint.dir``;
-    if neither is set, create a temp folder and register it (test setups).
+    Read from the running context first, then from ``spark.checkpoint.dir``.
+    If neither is set, only a local master gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +49,8 @@ def work_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ingestkit-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")
@@ -99,20 +103,10 @@ class scoped_conf:
         return False
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``ingestkit`` importable in Python workers (for Arrow UDFs).
-
-    The package folder is added to the job's files once per application;
-    PySpark workers put the files root on ``sys.path``.  Skipped when the
-    package is already importable from an installed location.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    if "site-packages" not in pkg:
-        spark.sparkContext.addFile(pkg, recursive=True)
-    _SHIPPED.add(app)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that this library wrote under the work root."""
+    if not path.startswith(work_root(spark) + "/"):
+        raise ValueError(f"{path} is not below the work root")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -5,20 +5,19 @@ All writes go through the session catalog.  With a v2 catalog (a table
 format with its own commit protocol) ``writeTo(...).append()`` is used;
 plain file-source tables take the v1 ``saveAsTable`` path, which matches
 columns by name.  A v1 append would silently *create* a missing table,
-so existence is checked first.
+so existence is checked first; the provider decides between the two.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingestkit.session import scoped_conf, scratch_dir
+from ingestkit.session import remove_folder, scoped_conf, scratch_dir
 
 
 class TableMissing(RuntimeError):
@@ -61,27 +60,19 @@ def create_table(df: DataFrame, name: str, *, fmt: str = "parquet", path: str |
     writer.saveAsTable(name)
 
 
-def _is_v1_rejection(err: Exception) -> bool:
-    # raised at analysis time, before anything is written
-    text = str(err)
-    return "v1 table" in text or "V1 table" in text
-
-
 def append_table(df: DataFrame, name: str) -> None:
     """Append by column name to an existing table; fail if it is absent."""
     spark = df.sparkSession
     if not table_exists(spark, name):
         raise TableMissing(f"table {name} does not exist")
-    try:
-        df.writeTo(name).append()
-    except AnalysisException as err:
-        if not _is_v1_rejection(err):
-            raise
+    if _is_file_table(spark, name):
         writer = df.write.mode("append")
         parts = _partition_columns(spark, name)
         if parts:
             writer = writer.partitionBy(*parts)
         writer.saveAsTable(name)
+    else:
+        df.writeTo(name).append()
 
 
 def clustered(df: DataFrame, partition_cols: list[str]) -> DataFrame:
@@ -116,28 +107,12 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-# Above this many partitions in one load, reconciliation counts the whole table.
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
-def _rows_in(spark: SparkSession, name: str, where: Column | None) -> int:
+def _rows_in(spark: SparkSession, name: str, touched: DataFrame | None, parts: list[str]) -> int:
     t = spark.table(name)
-    return (t.where(where) if where is not None else t).count()
-
-
-def _touched_filter(df: DataFrame, parts: list[str]) -> Column | None:
-    """A static filter on the partitions ``df`` writes to, or None (whole
-    table) when the load spans more than MAX_TOUCHED_PARTITIONS of them.
-    The values are partition specs, not rows; the filter lets partition
-    pruning limit the counts to those partitions."""
-    specs = df.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(specs) > MAX_TOUCHED_PARTITIONS:
-        return None
-    if not specs:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [
-        reduce(lambda x, y: x & y, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, spec)])
-        for spec in specs])
+    if touched is not None:
+        on = reduce(lambda a, b: a & b, [t[p].eqNullSafe(touched[f"__{p}"]) for p in parts])
+        t = t.join(touched, on, "left_semi")
+    return t.count()
 
 
 def append_with_reconcile(df: DataFrame, name: str, *,
@@ -149,27 +124,32 @@ def append_with_reconcile(df: DataFrame, name: str, *,
     it is not read a second time; the target counts come from file footers.
     ``scope="table"`` counts the whole target (what the original load job
     printed).  ``scope="touched"`` (partitioned tables) counts only the
-    partitions the load writes to, found by one pass over the source's
-    partition columns; partition pruning then reads just those partitions.
+    partitions the load writes to: the target is semi-joined with the load's
+    distinct partition values, which are stored first (one pass over the
+    source's partition columns), so any number of them stays on the executors.
     """
     spark = df.sparkSession
     if scope not in ("table", "touched"):
         raise ValueError(f"scope must be 'table' or 'touched', not {scope!r}")
     parts = partition_cols or (_partition_columns(spark, name) if table_exists(spark, name) else [])
-    where = None
+    touched = stage = None
     if scope == "touched":
         if not parts:
             raise ValueError("scope='touched' needs a partitioned table")
-        where = _touched_filter(df, parts)
+        stage = scratch_dir(spark, "touched")
+        df.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct().write.parquet(stage)
+        touched = spark.read.parquet(stage)
     obs = Observation(f"load_{abs(hash(name))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    before = _rows_in(spark, name, where) if table_exists(spark, name) else 0
+    before = _rows_in(spark, name, touched, parts) if table_exists(spark, name) else 0
     if partition_cols:
         append_partitioned(observed, name, partition_cols)
     else:
         append_table(observed, name)
     src = int(obs.get["rows"])
-    after = _rows_in(spark, name, where)
+    after = _rows_in(spark, name, touched, parts)
+    if stage:
+        remove_folder(spark, stage)
     row = (name, src, before, after, after - before, after - before == src)
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
@@ -197,11 +177,11 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _bytes_under(spark: SparkSession, location: str) -> int:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(location)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(path).getLength())
+def _is_file_table(spark: SparkSession, name: str) -> bool:
+    """Whether the session catalog keeps the table as plain files (no commit
+    protocol of a table format), by its provider."""
+    provider = (_describe(spark, name).get("Provider") or "").lower()
+    return provider in ("parquet", "orc", "csv", "json", "text", "avro", "hive")
 
 
 def _has_stream_sink_log(spark: SparkSession, location: str) -> bool:
@@ -210,22 +190,43 @@ def _has_stream_sink_log(spark: SparkSession, location: str) -> bool:
     return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
 
 
+def _salted(df: DataFrame, parts: list[str], target_file_bytes: int, fmt: str) -> DataFrame:
+    """The rows with the number of the output file (within their partition)
+    that they go to: ceil(bytes of the partition / target) files each."""
+    df = df.withColumns({"__file": F.col("_metadata.file_path"), "__bytes": F.col("_metadata.file_size")})
+    if fmt == "parquet":
+        spread = F.xxhash64("__file", F.col("_metadata.row_index"))
+        df = df.withColumn("__at", spread)
+    else:
+        df = df.withColumn("__at", F.xxhash64("__file", *[
+            f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]))
+    files = df.select(*parts, "__file", "__bytes").distinct()
+    if not parts:
+        total = files.agg(F.sum("__bytes")).first()[0] or 0
+        return df.withColumn("__salt", F.pmod("__at", F.lit(max(1, -(-total // target_file_bytes)))).cast("int")) \
+            .drop("__file", "__bytes", "__at")
+    sizes = files.groupBy(*[F.col(p).alias(f"__{p}") for p in parts]).agg(
+        F.greatest(F.lit(1), F.ceil(F.sum("__bytes") / target_file_bytes)).cast("long").alias("__n"))
+    on = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+    # one row a partition
+    df = df.join(F.broadcast(sizes), on)
+    salt = F.pmod(F.col("__at"), F.col("__n")).cast("int")
+    return df.withColumn("__salt", salt).drop("__file", "__bytes", "__at", "__n", *[f"__{p}" for p in parts])
+
+
 def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 128 * 1024 * 1024,
                   where: str | None = None, allow_stream_sink: bool = False) -> dict[str, object]:
     """Rewrite a table (or the partitions selected by ``where``) into files
-    of about ``target_file_bytes``.
+    of about ``target_file_bytes``: ceil(bytes / target) files per partition.
 
     A table format with a rewrite procedure gets
     ``CALL <catalog>.system.rewrite_data_files``.  A file-source table is
-    rewritten by a Spark job: unpartitioned data is packed without a
-    shuffle (scan splits of the target size, then ``coalesce``); partitioned
-    data is rebalanced on the partition columns with AQE's advisory size set
-    to the target, so a huge partition is split and small ones merged.  The
-    result is staged and then swapped in with INSERT OVERWRITE (dynamic
-    partition mode, so only the rewritten partitions change), because Spark
-    refuses to overwrite a table it is reading.  The staged copy stays in
-    the returned ``staging`` folder; should the swap itself be interrupted,
-    ``replace_from_staged`` can be run again from it.
+    rewritten by Spark jobs: rows are dealt to their output file by a hash of
+    where they come from, each file is staged, and the staged files replace the
+    table's (INSERT OVERWRITE, one task a staged file; with partitions only the
+    rewritten ones change), because Spark refuses to overwrite a table it is
+    reading.  The staged copy is deleted once the row counts agree; if the swap
+    fails it stays for ``replace_from_staged``.
     """
     info = _describe(spark, name)
     provider = (info.get("Provider") or "").lower()
@@ -245,7 +246,6 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
         # readers never see files of an unfinished micro-batch
         raise ValueError(f"{name} is written by a streaming file sink; stop the stream and pass "
                          "allow_stream_sink=True to compact it (its sink log is dropped)")
-    total = _bytes_under(spark, location)
     parts = _partition_columns(spark, name)
     if where:
         # the swap replaces whole partitions, so the filter may only select
@@ -258,20 +258,24 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
             spark.createDataFrame([], part_schema).where(where).schema
         except AnalysisException as err:
             raise ValueError(f"where= may only use partition columns {parts}: {where!r}") from err
-    files = max(1, math.ceil(total / target_file_bytes))
+    fmt = provider or "parquet"
     stage = scratch_dir(spark, "compact-stage")
-    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(target_file_bytes)}):
-        df = spark.table(name)
-        if where:
-            df = df.where(where)
-        if parts:
-            with scoped_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes":
-                                     str(target_file_bytes)}):
-                clustered(df, parts).write.partitionBy(*parts).format(provider or "parquet").save(stage)
-        else:
-            df.coalesce(files).write.format(provider or "parquet").save(stage)
-    # the table's own schema, not partition-value inference, types the copy
-    staged = spark.read.format(provider or "parquet").schema(spark.table(name).schema).load(stage)
-    replace_from_staged(staged, name, partitions_only=bool(parts))
-    return {"table": name, "method": "rewrite", "input_bytes": total,
-            "target_files": files, "staging": stage}
+    df = spark.table(name)
+    if where:
+        df = df.where(where)
+    rows, schema = df.count(), spark.table(name).schema
+    keys = [*parts, "__salt"]
+    salted = _salted(df, parts, target_file_bytes, fmt)
+    salted.repartition(*keys).sortWithinPartitions(*keys).write.partitionBy(*keys).format(fmt).save(stage)
+    # the table's own schema, not partition-value inference, types the copy;
+    # an opening cost above the split size makes every staged file one task
+    whole = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+    with scoped_conf(spark, whole):
+        staged = spark.read.format(fmt).schema(T.StructType(schema.fields + [T.StructField("__salt", T.IntegerType())])) \
+            .load(stage).drop("__salt")
+        replace_from_staged(staged, name, partitions_only=bool(parts))
+    after = spark.table(name).where(where) if where else spark.table(name)
+    if after.count() != rows:
+        raise RuntimeError(f"{name}: row counts differ after compaction; the copy is in {stage}")
+    remove_folder(spark, stage)
+    return {"table": name, "method": "rewrite", "rows": rows}

@@ -5,7 +5,9 @@ present, is skipped, not matched.  Bad cells become null (PERMISSIVE).
 ``quote=""`` turns quoting off, so a quoted field holding the separator
 splits in two and keeps its quote characters.  Globs are resolved by
 Spark; splitting, column pruning and filter pushdown into the scan are
-left to the file source.
+left to the file source.  Timestamps are read with Spark's own rules (with
+or without a fraction, a ``T`` or a time of day); ``options`` are the file
+source's and win over everything set here.
 """
 
 from __future__ import annotations
@@ -25,9 +27,7 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: str | T.S
     reader = (spark.read.format(fmt).schema(as_struct(schema))
               .option("header", str(bool(header)).lower())
               .option("sep", sep)
-              .option("mode", "PERMISSIVE")
-              .option("timestampFormat", TIMESTAMP_FORMAT)
-              .option("timestampNTZFormat", TIMESTAMP_FORMAT))
+              .option("mode", "PERMISSIVE"))
     if quote is not None:
         reader = reader.option("quote", quote)
     for k, v in (options or {}).items():

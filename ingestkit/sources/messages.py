@@ -1,11 +1,9 @@
-"""Message-topic streams in the Kafka column layout.
+"""Message-topic streams.
 
-With brokers configured, topics are read with Spark's Kafka source.  A
-topic can also be a folder of parquet files holding the same columns
-(``key, value, topic, partition, offset, timestamp, timestampType``):
-that is how topics are replayed offline, and how a stream publishes to a
-topic when no broker is reachable.  Either way the downstream plan sees
-the same columns, so decoding and SQL are identical.
+With brokers configured, topics are read with Spark's Kafka source.  A topic
+can also be a folder of parquet files with the columns that consumers read
+(``value``, ``topic``): that is how topics are replayed offline.  Either way
+the plan after the source is the same.
 """
 
 from __future__ import annotations
@@ -17,13 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MESSAGE_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
     T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType()),
 ])
 
 
@@ -73,37 +66,7 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
     return reader.parquet(topic_glob(src.folder, src.topics))
 
 
-def as_messages(df: DataFrame, topic: str, value: Column, key: Column | None = None,
-                timestamp: Column | None = None, partitions: int | None = None) -> DataFrame:
-    """Rows shaped as messages of ``topic``.
-
-    With ``partitions``, rows are spread over that many topic partitions as
-    a producer does: by key hash when there is a key, else round-robin.
-    Without it the step is narrow.  Partition is the writing task, offset
-    grows within it.
-    """
-    if partitions:
-        df = (df.repartition(partitions, key) if key is not None
-              else df.repartition(partitions))
-    return df.select(
-        (key.cast("binary") if key is not None else F.lit(None).cast("binary")).alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.spark_partition_id().alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
-        (timestamp if timestamp is not None else F.current_timestamp())
-        .cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"))
-
-
-def publish_batch(df: DataFrame, folder: str, topic: str, value: Column,
-                  key: Column | None = None, timestamp: Column | None = None,
-                  partitions: int | None = None) -> None:
-    """Append a batch of rows to a file-backed topic."""
-    as_messages(df, topic, value, key, timestamp, partitions).write.mode("append").parquet(
-        f"{folder.rstrip('/')}/{topic}")
-
-
-def read_topic_batch(spark: SparkSession, folder: str, topics: str) -> DataFrame:
-    """Everything currently in file-backed topics (batch read)."""
-    return spark.read.schema(MESSAGE_SCHEMA).parquet(topic_glob(folder, topics))
+def publish_batch(df: DataFrame, folder: str, topic: str, value: Column) -> None:
+    """Append a batch of rows to a file-backed topic (a narrow write)."""
+    messages = df.select(value.cast("binary").alias("value"), F.lit(topic).alias("topic"))
+    messages.write.mode("append").parquet(f"{folder.rstrip('/')}/{topic}")

@@ -1,4 +1,7 @@
-"""Republish a JSON topic as Avro, and decode an Avro topic to columns."""
+"""Republish a JSON topic as Avro, and decode an Avro topic to columns.
+
+Both need Spark's Avro module, see :mod:`ingestkit.functions.avro`.
+"""
 
 from __future__ import annotations
 
@@ -7,56 +10,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ingestkit.functions.avro import from_avro, schema_for_spark, to_avro
-from ingestkit.functions.json_codec import JSON_OPTIONS
+from ingestkit.functions.avro import from_avro, message_struct, to_avro
 from ingestkit.functions.schema_text import as_struct
 from ingestkit.sources.messages import TopicSource, read_topic_stream
 from ingestkit.streaming.ingest import with_trigger
 
 
 def avro_stream(spark: SparkSession, source: TopicSource, json_schema: str | T.StructType, *,
-                avro_schema: str | None = None, key: str | None = None) -> DataFrame:
-    """JSON messages re-encoded as Avro binary ``value`` (plus ``key``).
-
-    ``avro_schema`` defaults to the one derived from the JSON schema, so
-    the written field order is the declared order.
-    """
+                avro_schema: str = "", key: str | None = None) -> DataFrame:
+    """JSON messages re-encoded as Avro binary ``value`` (plus ``key``)."""
     st = as_struct(json_schema)
     msgs = read_topic_stream(spark, source)
-    data = F.from_json(F.col("value").cast("string"), st, JSON_OPTIONS)
-    schema = avro_schema or schema_for_spark(st)
-    cols = [to_avro(data, schema).alias("value")]
-    cols.append((data[key].cast("string").cast("binary") if key else
-                 F.lit(None).cast("binary")).alias("key"))
-    return msgs.select(*cols, "partition", "offset")
+    data = msgs.select(F.from_json(F.col("value").cast("string"), st).alias("data"))
+    key_col = F.col("data")[key].cast("string").cast("binary") if key else F.lit(None).cast("binary")
+    return data.select(to_avro(message_struct("data", st.fieldNames()), avro_schema).alias("value"),
+                       key_col.alias("key"))
 
 
 def publish_avro(spark: SparkSession, source: TopicSource, json_schema: str | T.StructType, *,
-                 topic: str, folder: str | None = None, brokers: str | None = None,
-                 checkpoint: str, avro_schema: str | None = None, key: str | None = None,
-                 trigger: str = "default") -> StreamingQuery:
-    """Start the republishing stream (Kafka sink, or a file-backed topic)."""
+                 topic: str, brokers: str, checkpoint: str, avro_schema: str = "",
+                 key: str | None = None, trigger: str = "default") -> StreamingQuery:
+    """Start the republishing stream into a topic."""
     out = avro_stream(spark, source, json_schema, avro_schema=avro_schema, key=key)
-    if brokers:
-        writer = (out.select("key", "value").writeStream.format("kafka")
-                  .option("kafka.bootstrap.servers", brokers).option("topic", topic))
-    else:
-        shaped = out.select(
-            "key", "value", F.lit(topic).alias("topic"), "partition", "offset",
-            F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"))
-        writer = shaped.writeStream.format("parquet").option(
-            "path", f"{folder.rstrip('/')}/{topic}")
-    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", brokers)
+              .option("topic", topic).outputMode("append").option("checkpointLocation", checkpoint))
     return with_trigger(writer, trigger).start()
 
 
 def consume_avro(spark: SparkSession, source: TopicSource, reader_schema: str, *,
-                 writer_schema: str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    """Avro topic decoded to columns (streaming DataFrame).
-
-    Without ``writer_schema`` decoding is positional, as a consumer holding
-    only its own schema gets; with it, fields resolve by name.
-    """
+                 mode: str = "FAILFAST") -> DataFrame:
+    """Avro topic decoded to columns (streaming DataFrame)."""
     msgs = read_topic_stream(spark, source)
-    return msgs.select(from_avro(F.col("value"), reader_schema, writer_schema=writer_schema,
-                                 mode=mode).alias("data")).select("data.*")
+    return msgs.select(from_avro(F.col("value"), reader_schema, mode).alias("data")).select("data.*")

@@ -43,9 +43,9 @@ def with_trigger(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
 
 
 def decoded_stream(spark: SparkSession, source: TopicSource, schema: str | T.StructType,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), options: dict[str, str] | None = None) -> DataFrame:
     """Message stream with its JSON value expanded into columns."""
-    return decode_json(read_topic_stream(spark, source), schema, keep=keep)
+    return decode_json(read_topic_stream(spark, source), schema, keep=keep, options=options)
 
 
 @dataclass
@@ -63,12 +63,14 @@ class StreamIngest:
     # sink options passed through, e.g. {"fanout-enabled": "true"} for a
     # table format whose partitioned writer can keep files open per partition
     options: dict[str, str] = field(default_factory=dict)
+    decode_options: dict[str, str] = field(default_factory=dict)   # of from_json
+    null_on_bad_cast: bool = True                # a CAST in ``statement`` that fails gives null
 
 
 def start_ingest(spark: SparkSession, spec: StreamIngest) -> StreamingQuery:
-    df = decoded_stream(spark, spec.source, spec.schema)
+    df = decoded_stream(spark, spec.source, spec.schema, options=spec.decode_options)
     if spec.statement:
-        df = transform(df, spec.statement, spec.view)
+        df = transform(df, spec.statement, spec.view, null_on_bad_cast=spec.null_on_bad_cast)
     writer = (df.writeStream.outputMode("append").format(spec.table_format)
               .option("checkpointLocation",
                       spec.checkpoint or checkpoint_for(spark, spec.target_table)))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.operators.cdc import classify_changes, scd2_apply, scd2_write_back
+from ingestkit.operators.cdc import classify_changes, scd2_apply, scd2_view, scd2_write_back
 from ingestkit.session import scratch_dir, unique_table
 from ingestkit.sinks.tables import create_table
 from ingestkit.workloads.common import table
@@ -92,20 +92,32 @@ def scd2_delta_compat(spark, sf_dir):
 
 
 def scd2_table_write_back(spark, sf_dir):
-    # the dimension as a table bucketed by key (its side of the join reads
-    # without a shuffle); the same feed applied twice (second run is a no-op)
+    # the dimension as a table that keeps current and closed rows apart; the
+    # same feed applied twice (the second run changes nothing)
     silver, bronze = _inputs(spark, sf_dir)
     name = unique_table(spark, "dim_customer")
-    create_table(silver, name, path=scratch_dir(spark, "tbl-dim"), bucket_by=(8, ["sk_id"]),
-                 empty=False)
+    create_table(silver, name, path=scratch_dir(spark, "tbl-dim"), partition_by=["is_current"], empty=False)
     for _ in range(2):
         scd2_write_back(name, bronze, feed="full", as_of=AS_OF)
     return spark.table(name)
 
 
+def scd2_view_over_tables(spark, sf_dir):
+    # dimension and feed as catalog tables, the result as a view read by SQL
+    silver, bronze = _inputs(spark, sf_dir)
+    dim, feed = unique_table(spark, "dim_view"), unique_table(spark, "feed_view")
+    create_table(silver, dim, path=scratch_dir(spark, "tbl-dim-view"), empty=False)
+    create_table(bronze, feed, path=scratch_dir(spark, "tbl-feed-view"), empty=False)
+    scd2_view(dim, feed, view="merged_dim", feed="full", as_of=AS_OF)
+    return spark.sql("""SELECT is_current, eff_end_dt, count(*) AS n, count(attr) AS n_attr,
+                               min(sk_id) AS first_key, max(sk_id) AS last_key
+                        FROM merged_dim GROUP BY is_current, eff_end_dt""")
+
+
 QUERIES = {
     "scd2_actions": scd2_actions,
     "scd2_table_write_back": scd2_table_write_back,
+    "scd2_view_over_tables": scd2_view_over_tables,
     "scd2_full": scd2_full,
     "scd2_full_compat": scd2_full_compat,
     "scd2_delta": scd2_delta,
@@ -200,3 +212,8 @@ FROM enriched
     "scd2_delta": _default_result("delta"),
     "scd2_delta_compat": _COMPAT_RESULT,
 }
+
+ORACLE["scd2_view_over_tables"] = f"""
+SELECT is_current, eff_end_dt, count(*) AS n, count(attr) AS n_attr, min(sk_id) AS first_key, max(sk_id) AS last_key
+FROM ({_default_result("full")}) GROUP BY is_current, eff_end_dt
+"""

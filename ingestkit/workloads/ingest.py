@@ -14,7 +14,7 @@ from ingestkit.functions.schema_text import all_string_schema, apply_schema
 from ingestkit.plans.ingest import BatchIngest, ingest_batch, ingest_frame
 from ingestkit.plans.sql import run_sql
 from ingestkit.session import scratch_dir, unique_table
-from ingestkit.sinks.tables import compact_table, create_table
+from ingestkit.sinks.tables import append_with_reconcile, compact_table, create_table
 from ingestkit.sources.delimited import read_delimited, write_delimited
 from ingestkit.workloads.common import register_views, table
 
@@ -61,12 +61,33 @@ def apply_schema_text(spark, sf_dir):
     return typed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+# The same instants in several text forms, by event; the forms carry what
+# they can: seconds, milliseconds, microseconds or the day.
+TIMESTAMP_FORMS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS",
+                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd"]
+
+
+def event_time_forms(events):
+    """event_id and the event's time as text, its form chosen by the id."""
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(TIMESTAMP_FORMS):
+        text = F.when(F.col("event_id") % len(TIMESTAMP_FORMS) == i, F.date_format("ts", form)).otherwise(text)
+    return events.select("event_id", text.alias("ts"))
+
+
+def csv_timestamp_forms(spark, sf_dir):
+    path = scratch_dir(spark, "event-times")
+    write_delimited(event_time_forms(table(spark, sf_dir, "events")), path)
+    read = read_delimited(spark, path, "event_id:long,ts:timestamp")
+    return read.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 GSOD_STYLE_SQL = """
 SELECT CAST(event_id AS BIGINT) AS event_id,
-       try_cast(ts AS DATE) AS rep_date,
+       CAST(ts AS DATE) AS rep_date,
        name,
        event_type,
-       try_cast(value AS DOUBLE) AS value
+       CAST(value AS DOUBLE) AS value
 FROM genericTempView
 """
 
@@ -120,6 +141,16 @@ def append_reconcile(spark, sf_dir):
     return report.drop("table_name")
 
 
+def append_reconcile_touched(spark, sf_dir):
+    # orders by year; the second load brings the orders of two years again and
+    # counts the partitions it writes to only
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    name = unique_table(spark, "orders_by_year")
+    create_table(orders, name, path=scratch_dir(spark, "tbl-orders-year"), partition_by=["o_year"], empty=False)
+    again = orders.where("o_year IN (1995, 1996)")
+    return append_with_reconcile(again, name, partition_cols=["o_year"], scope="touched").drop("table_name")
+
+
 def orc_overwrite(spark, sf_dir):
     path = scratch_dir(spark, "part-csv")
     write_delimited(table(spark, sf_dir, "part"), path, sep=",")
@@ -190,7 +221,9 @@ QUERIES = {
     "apply_schema_text": apply_schema_text,
     "gsod_style_cast": gsod_style_cast,
     "prepared_sql_batch": prepared_sql_batch,
+    "csv_timestamp_forms": csv_timestamp_forms,
     "append_reconcile": append_reconcile,
+    "append_reconcile_touched": append_reconcile_touched,
     "orc_overwrite": orc_overwrite,
     "partitioned_append": partitioned_append,
     "compact_table": compact_table_q,
@@ -201,7 +234,16 @@ QUERIES = {
 _ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""
 
+TIME_FORMS_SQL = """SELECT event_id, CASE event_id % 5
+       WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
+       WHEN 2 THEN date_trunc('millisecond', ts) WHEN 3 THEN ts
+       ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS ts FROM events"""
+
 ORACLE = {
+    "csv_timestamp_forms": TIME_FORMS_SQL,
+    "append_reconcile_touched": """SELECT count(*) AS source_rows, count(*) AS target_rows_before,
+       2 * count(*) AS target_rows_after, count(*) AS rows_loaded, TRUE AS reconciled
+       FROM orders WHERE year(o_orderdate) IN (1995, 1996)""",
     "csv_schema_on_read": _ORDERS,
     "csv_quote_off": """SELECT p_partkey, '"' || p_brand AS brand, ' ' || p_type || '"' AS ptype,
        p_size, p_retailprice FROM part""",

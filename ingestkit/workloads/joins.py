@@ -1,7 +1,7 @@
-"""Full outer comparison of ``orders`` with the customers of nations 0-19.
+"""Full outer comparison of all ``orders`` with all customers.
 
-Orders of the other nations' customers have no partner on the right, and
-customers without orders none on the left, so both outer sides occur.
+The customers of nations 20-24 come under another key (an offset), so orders
+without a customer and customers without orders both occur.
 """
 
 from __future__ import annotations
@@ -11,19 +11,23 @@ from pyspark.sql import functions as F
 from ingestkit.operators.joins import full_outer_join
 from ingestkit.workloads.common import table
 
+OFFSET = 10_000_000
+
 
 def full_outer_compare(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    customer = (table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 20)
-                .select("c_custkey", "c_mktsegment"))
+    moved = F.when(F.col("c_nationkey") >= 20, F.col("c_custkey") + OFFSET).otherwise(F.col("c_custkey"))
+    customer = table(spark, sf_dir, "customer").select(moved.alias("c_custkey"), "c_mktsegment")
     return full_outer_join(orders, customer, ["o_custkey"], ["c_custkey"])
 
 
 QUERIES = {"full_outer_compare": full_outer_compare}
 
-ORACLE = {"full_outer_compare": """
-SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_mktsegment
+ORACLE = {"full_outer_compare": f"""
+SELECT o_orderkey, o_custkey, o_totalprice, c.c_custkey, c_mktsegment
 FROM orders
-FULL OUTER JOIN (SELECT c_custkey, c_mktsegment FROM customer WHERE c_nationkey < 20) c
-  ON o_custkey = c_custkey
+FULL OUTER JOIN (
+  SELECT CASE WHEN c_nationkey >= 20 THEN c_custkey + {OFFSET} ELSE c_custkey END AS c_custkey, c_mktsegment
+  FROM customer) c
+  ON o_custkey = c.c_custkey
 """}

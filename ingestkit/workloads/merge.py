@@ -54,7 +54,35 @@ def merge_into_table_q(spark, sf_dir):
     return spark.table(name)
 
 
+LISTED = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+
+
+def merge_column_list(spark, sf_dir):
+    # an insert column list: the other columns are null in inserted rows only
+    li = table(spark, sf_dir, "lineitem")
+    target = li.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("date"))
+    return merge_insert_only(target, li, KEYS, order_by=ORDER, tie_breakers=TIES, columns=LISTED,
+                             bound_column="l_shipdate", lower=LOWER, upper=UPPER)
+
+
+LANDED_MONTHS = ["1996_01", "1996_02", "1996_03"]
+
+
+def merge_partitioned_landing(spark, sf_dir):
+    # the source is a landing table partitioned by month, of which the merge
+    # reads some months; the target holds the lines with an even order key
+    li = table(spark, sf_dir, "lineitem")
+    name = unique_table(spark, "landing")
+    (li.withColumn("year_mon", F.date_format("l_shipdate", "yyyy_MM")).write.partitionBy("year_mon")
+       .format("parquet").option("path", scratch_dir(spark, "tbl-landing")).saveAsTable(name))
+    target = li.where("l_orderkey % 2 = 0")
+    landed = spark.table(name).where(F.col("year_mon").isin(LANDED_MONTHS)).drop("year_mon")
+    return merge_insert_only(target, landed, KEYS, order_by=ORDER, tie_breakers=TIES)
+
+
 QUERIES = {
+    "merge_column_list": merge_column_list,
+    "merge_partitioned_landing": merge_partitioned_landing,
     "merge_into_table": merge_into_table_q,
     "dedup_first": dedup_first_q,
     "merge_insert_only": merge_insert_only_q,
@@ -81,7 +109,27 @@ SELECT * FROM src WHERE NOT EXISTS (
     AND tgt.l_linenumber IS NOT DISTINCT FROM src.l_linenumber)
 """
 
+_MISSING = ", ".join(f"NULL AS {c}" for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
+
 ORACLE = {
+    "merge_column_list": f"""
+WITH {_TGT},
+src AS ({_DEDUP.format(where="WHERE " + _WIN.format(a="lineitem"))})
+SELECT * FROM tgt
+UNION ALL BY NAME
+SELECT {", ".join(LISTED)}, {_MISSING} FROM src WHERE NOT EXISTS (
+  SELECT 1 FROM tgt WHERE {_WIN.format(a="tgt")}
+    AND tgt.l_orderkey = src.l_orderkey AND tgt.l_linenumber = src.l_linenumber)
+""",
+    "merge_partitioned_landing": f"""
+WITH tgt AS (SELECT * FROM lineitem WHERE l_orderkey % 2 = 0),
+src AS ({_DEDUP.format(where="WHERE strftime(l_shipdate, '%Y_%m') IN ('1996_01', '1996_02', '1996_03')")})
+SELECT * FROM tgt
+UNION ALL
+SELECT * FROM src WHERE NOT EXISTS (
+  SELECT 1 FROM tgt WHERE tgt.l_orderkey IS NOT DISTINCT FROM src.l_orderkey
+    AND tgt.l_linenumber IS NOT DISTINCT FROM src.l_linenumber)
+""",
     "dedup_first": _DEDUP.format(where=""),
     "merge_into_table": _DEFAULT_MERGE,
     "merge_insert_only": _DEFAULT_MERGE,

@@ -1,7 +1,7 @@
 """Streaming workloads over ``events`` replayed as a message topic.
 
 Each workload publishes ``events`` as JSON messages into a file-backed
-topic (Kafka column layout) under the work root, runs the streaming job
+topic under the work root, runs the streaming job
 with an ``availableNow`` trigger, and returns a batch read of what the
 job wrote.  Timestamps declared as ``timestamp`` are read in the session
 zone and handed back as wall-clock (``timestamp_ntz``) values.
@@ -9,30 +9,21 @@ zone and handed back as wall-clock (``timestamp_ntz``) values.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
-from ingestkit.functions.avro import schema_for_spark
 from ingestkit.functions.json_codec import encode_json
-from ingestkit.functions.schema_text import as_struct
 from ingestkit.session import scratch_dir, unique_table
-from ingestkit.sources.messages import TopicSource, publish_batch, read_topic_batch
-from ingestkit.streaming.avro import consume_avro, publish_avro
+from ingestkit.sources.messages import TopicSource, publish_batch
 from ingestkit.streaming.ingest import (StreamIngest, batch_folder_writer, run_to_end,
                                         start_ingest, start_microbatch)
 from ingestkit.workloads.common import table
+from ingestkit.workloads.ingest import TIME_FORMS_SQL, event_time_forms
 
 EVENTS_SCHEMA = ("event_id:long,ts:timestamp,user_id:long,event_type:string,value:double,"
                  "props:string")
 SPLIT_TS = "2024-01-16 00:00:00"
 
 
-def _partitions(spark) -> int:
-    # topic partitions for the replays: one per core of the session
-    return spark.sparkContext.defaultParallelism
-
-
 def _json_value(ev, corrupt: bool = False):
     text = encode_json(ev)
     if corrupt:
@@ -44,7 +35,7 @@ def _publish_events(spark, sf_dir, folder, topic="events", *, corrupt=False, whe
     ev = table(spark, sf_dir, "events")
     if where is not None:
         ev = ev.where(where)
-    publish_batch(ev, folder, topic, _json_value(ev, corrupt), partitions=_partitions(spark))
+    publish_batch(ev, folder, topic, _json_value(ev, corrupt))
 
 
 def _wall_clock(df):
@@ -77,9 +68,10 @@ def _two_arrivals(spark, sf_dir, partition_cols):
                         partition_cols=partition_cols, trigger="availableNow",
                         checkpoint=scratch_dir(spark, "ckpt"),
                         table_path=scratch_dir(spark, "tbl-events-stream"))
-    _publish_events(spark, sf_dir, folder, where=F.col("ts") < F.lit(SPLIT_TS))
+    early = F.coalesce(F.col("ts") < F.lit(SPLIT_TS), F.lit(False))
+    _publish_events(spark, sf_dir, folder, where=early)
     run_to_end(start_ingest(spark, spec))
-    _publish_events(spark, sf_dir, folder, where=F.col("ts") >= F.lit(SPLIT_TS))
+    _publish_events(spark, sf_dir, folder, where=~early)
     run_to_end(start_ingest(spark, spec))
     run_to_end(start_ingest(spark, spec))          # nothing new: adds nothing
     return spark.table(spec.target_table)
@@ -93,113 +85,60 @@ def stream_partitioned_append(spark, sf_dir):
     return _two_arrivals(spark, sf_dir, ["event_type"])
 
 
-def stream_microbatch_json(spark, sf_dir):
-    # two topics, one subscription, a micro-batch per topic's worth of files
+def stream_microbatch_json(spark, sf_dir, files_per_trigger=4):
+    # two topics, one subscription, a few files a micro-batch
     folder = scratch_dir(spark, "topics")
-    kinds = F.col("event_type").isin("click", "view", "purchase")
+    kinds = F.coalesce(F.col("event_type").isin("click", "view", "purchase"), F.lit(False))
     _publish_events(spark, sf_dir, folder, "events-a", where=kinds)
     _publish_events(spark, sf_dir, folder, "events-b", where=~kinds)
     out = scratch_dir(spark, "microbatch-out")
     source = TopicSource("events-a,events-b", folder=folder,
-                         max_files_per_trigger=_partitions(spark))
+                         max_files_per_trigger=files_per_trigger)
     run_to_end(start_microbatch(spark, source, EVENTS_SCHEMA, batch_folder_writer(out),
                                 trigger="availableNow", checkpoint=scratch_dir(spark, "ckpt")))
     return _wall_clock(spark.read.parquet(out).drop("batch_id", "topic"))
 
 
-def _avro_topic(spark, sf_dir):
+def json_timestamp_forms(spark, sf_dir):
+    # times in several text forms inside JSON messages, decoded by a stream
     folder = scratch_dir(spark, "topics")
-    _publish_events(spark, sf_dir, folder)
-    run_to_end(publish_avro(spark, TopicSource("events", folder=folder), EVENTS_SCHEMA,
-                            topic="events-avro", folder=folder, key="event_id",
-                            checkpoint=scratch_dir(spark, "ckpt"), trigger="availableNow"))
-    return folder
-
-
-def stream_avro_publish(spark, sf_dir):
-    folder = _avro_topic(spark, sf_dir)
-    msgs = read_topic_batch(spark, folder, "events-avro")
-    return msgs.select(F.col("key").cast("string").cast("long").alias("event_id"),
-                       F.length("value").cast("long").alias("n_bytes"))
-
-
-def stream_avro_roundtrip(spark, sf_dir):
-    folder = _avro_topic(spark, sf_dir)
-    schema = schema_for_spark(as_struct(EVENTS_SCHEMA))
-    decoded = consume_avro(spark, TopicSource("events-avro", folder=folder), schema)
-    target = scratch_dir(spark, "avro-decoded")
-    q = (decoded.writeStream.format("parquet").option("path", target)
-         .option("checkpointLocation", scratch_dir(spark, "ckpt"))
-         .trigger(availableNow=True).start())
-    run_to_end(q)
-    return _wall_clock(spark.read.parquet(target))
-
-
-# The trade message as the producer declares it (schema text)
-# and as the consumer declares it (Avro record; price fields in another
-# order, each a union with null as the second branch).
-TRADES_SCHEMA = ("xchange:string,symbol:string,trdate:string,open:float,high:float,low:float,"
-                 "close:float,volume:integer,adj_close:float")
-TRADE_READER = json.dumps({"type": "record", "name": "trade", "fields": [
-    {"name": "xchange", "type": ["string", "null"]},
-    {"name": "symbol", "type": ["string", "null"]},
-    {"name": "trdate", "type": ["string", "null"]},
-    {"name": "high", "type": ["float", "null"]},
-    {"name": "open", "type": ["float", "null"]},
-    {"name": "close", "type": ["float", "null"]},
-    {"name": "low", "type": ["float", "null"]},
-    {"name": "volume", "type": ["int", "null"]},
-    {"name": "adj_close", "type": ["float", "null"]}]})
-
-
-def _trades_topic(spark, sf_dir):
-    # trade-shaped messages derived from lineitem, republished as Avro with
-    # the producer's own field order
-    li = table(spark, sf_dir, "lineitem")
-    trades = li.select(
-        F.col("l_returnflag").alias("xchange"), F.col("l_linestatus").alias("symbol"),
-        F.to_date("l_shipdate").cast("string").alias("trdate"),
-        F.col("l_quantity").alias("open"), F.col("l_extendedprice").alias("high"),
-        F.col("l_discount").alias("low"), F.col("l_tax").alias("close"),
-        F.col("l_linenumber").alias("volume"), F.col("l_quantity").alias("adj_close"))
-    folder = scratch_dir(spark, "topics")
-    publish_batch(trades, folder, "trades", encode_json(trades), partitions=_partitions(spark))
-    run_to_end(publish_avro(spark, TopicSource("trades", folder=folder), TRADES_SCHEMA,
-                            topic="trades-avro", folder=folder,
-                            checkpoint=scratch_dir(spark, "ckpt"), trigger="availableNow"))
-    return folder
-
-
-def _decode_trades(spark, sf_dir, writer_schema):
-    folder = _trades_topic(spark, sf_dir)
-    decoded = consume_avro(spark, TopicSource("trades-avro", folder=folder), TRADE_READER,
-                           writer_schema=writer_schema)
-    target = scratch_dir(spark, "trades-decoded")
-    run_to_end(decoded.writeStream.format("parquet").option("path", target)
-               .option("checkpointLocation", scratch_dir(spark, "ckpt"))
-               .trigger(availableNow=True).start())
-    return spark.read.parquet(target)
+    times = event_time_forms(table(spark, sf_dir, "events"))
+    publish_batch(times, folder, "times", encode_json(times))
+    spec = StreamIngest(source=TopicSource("times", folder=folder), schema="event_id:long,ts:timestamp",
+                        target_table=unique_table(spark, "event_times"), trigger="availableNow",
+                        checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl-times"))
+    run_to_end(start_ingest(spark, spec))
+    return _wall_clock(spark.table(spec.target_table))
 
 
-def stream_avro_trades_compat(spark, sf_dir):
-    # the consumer holds only its own schema: positional decode swaps prices
-    return _decode_trades(spark, sf_dir, None)
+STREAM_CAST_SQL = """
+SELECT event_id, CAST(value AS DOUBLE) AS value, CAST(ts AS DATE) AS event_date FROM genericTempStreamingView
+"""
 
 
-def stream_avro_trades_by_name(spark, sf_dir):
-    # with the writer schema too, fields resolve by name
-    return _decode_trades(spark, sf_dir, schema_for_spark(as_struct(TRADES_SCHEMA)))
+def stream_bad_casts(spark, sf_dir):
+    # cells that a CAST cannot convert are null; half of the topic arrives
+    # before a restart
+    folder = scratch_dir(spark, "topics")
+    ev = table(spark, sf_dir, "events")
+    text = ev.select("event_id", F.when(F.col("event_type") == "error", "n/a").otherwise(
+        F.col("value").cast("string")).alias("value"), F.col("ts").cast("string").alias("ts"))
+    spec = StreamIngest(source=TopicSource("cells", folder=folder), schema="event_id:long,value:string,ts:string",
+                        target_table=unique_table(spark, "cells"), statement=STREAM_CAST_SQL, trigger="availableNow",
+                        checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl-cells"))
+    for part in (text.where("event_id % 2 = 0"), text.where("event_id % 2 <> 0")):
+        publish_batch(part, folder, "cells", encode_json(part))
+        run_to_end(start_ingest(spark, spec))
+    return spark.table(spec.target_table)
 
 
 QUERIES = {
-    "stream_avro_trades_compat": stream_avro_trades_compat,
-    "stream_avro_trades_by_name": stream_avro_trades_by_name,
     "stream_json_decode": stream_json_decode,
     "stream_sql_append": stream_sql_append,
     "stream_partitioned_append": stream_partitioned_append,
     "stream_microbatch_json": stream_microbatch_json,
-    "stream_avro_publish": stream_avro_publish,
-    "stream_avro_roundtrip": stream_avro_roundtrip,
+    "json_timestamp_forms": json_timestamp_forms,
+    "stream_bad_casts": stream_bad_casts,
 }
 
 
@@ -207,34 +146,10 @@ def _null_if_error(col):
     return f"CASE WHEN event_type = 'error' THEN NULL ELSE {col} END AS {col}"
 
 
-def _varint_len(expr):
-    # bytes of the zigzag varint of a non-negative value: 7 bits per byte
-    bounds = [2 ** (7 * k) for k in range(1, 9)]
-    cases = " ".join(f"WHEN 2 * ({expr}) < {b} THEN {i + 1}" for i, b in enumerate(bounds))
-    return f"(CASE {cases} ELSE 9 END)"
-
-
-# union branch byte per field + value bytes; doubles are 8 bytes
-_AVRO_BYTES = " + ".join([
-    f"1 + {_varint_len('event_id')}",
-    f"1 + {_varint_len('epoch_us(ts)')}",
-    f"1 + {_varint_len('user_id')}",
-    f"1 + {_varint_len('octet_length(encode(event_type))')} + octet_length(encode(event_type))",
-    "1 + 8",
-    f"1 + {_varint_len('octet_length(encode(props))')} + octet_length(encode(props))",
-])
-
-_TRADES_COMMON = """l_returnflag AS xchange, l_linestatus AS symbol,
-       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trdate,
-       l_linenumber AS volume, CAST(l_quantity AS FLOAT) AS adj_close"""
-
 ORACLE = {
-    "stream_avro_trades_compat": f"""SELECT {_TRADES_COMMON},
-       CAST(l_quantity AS FLOAT) AS high, CAST(l_extendedprice AS FLOAT) AS open,
-       CAST(l_discount AS FLOAT) AS close, CAST(l_tax AS FLOAT) AS low FROM lineitem""",
-    "stream_avro_trades_by_name": f"""SELECT {_TRADES_COMMON},
-       CAST(l_quantity AS FLOAT) AS open, CAST(l_extendedprice AS FLOAT) AS high,
-       CAST(l_discount AS FLOAT) AS low, CAST(l_tax AS FLOAT) AS close FROM lineitem""",
+    "json_timestamp_forms": TIME_FORMS_SQL,
+    "stream_bad_casts": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+       CAST(ts AS DATE) AS event_date FROM events""",
     "stream_json_decode": "SELECT " + ", ".join(_null_if_error(c) for c in (
         "event_id", "ts", "user_id", "event_type", "value", "props")) + " FROM events",
     "stream_sql_append": """SELECT event_id, user_id, event_type, value,
@@ -242,6 +157,4 @@ ORACLE = {
     "stream_partitioned_append": """SELECT event_id, user_id, event_type, value,
        CAST(ts AS DATE) AS event_date FROM events""",
     "stream_microbatch_json": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
-    "stream_avro_publish": f"SELECT event_id, CAST({_AVRO_BYTES} AS BIGINT) AS n_bytes FROM events",
-    "stream_avro_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

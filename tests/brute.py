@@ -55,7 +55,8 @@ def scd2_default(target, staging, feed, as_of):
             out.append((t[0], t[1], t[2], t[3], False, t[5], as_of) if feed == "full" else t)
             continue
         s = stg[t[0]]
-        if t[1] == s[1]:
+        late = s[2] is not None and t[5] is not None and s[2] < t[5]
+        if late or t[1] == s[1]:
             out.append(t)
         else:
             out.append((t[0], t[1], t[2], t[3], False, t[5], s[2]))

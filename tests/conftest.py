@@ -12,8 +12,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ingestkit.session import local_session
-    session = local_session(8)
+    session = local_session(8, checkpoint_dir=str(tmp_path_factory.mktemp("work")))
     yield session
     session.stop()

@@ -139,3 +139,38 @@ def test_scd2_view_over_tables(spark):
     scd2_view(tgt, stg, feed="full", as_of="2021-01-02")
     rows = spark.sql("SELECT * FROM merged_cdc")
     assert _rows(rows) == _default_expected("full")
+
+
+def test_a_late_row_changes_nothing(spark):
+    t = spark.createDataFrame([(1, "a", D(2021, 5, 1), "bronze_data", True, D(2021, 5, 1), H)], TGT_SCHEMA)
+    f = spark.createDataFrame([(1, "b", D(2021, 1, 1))], STG_SCHEMA)
+    for feed in ("full", "delta"):
+        assert [tuple(r) for r in scd2_apply(t, f, feed=feed, as_of="2021-06-01").collect()] == [tuple(t.collect()[0])]
+
+
+def test_write_back_touches_current_rows_only(spark):
+    import glob
+    import os
+
+    from ingestkit.operators.cdc import scd2_write_back
+    from ingestkit.session import scratch_dir, unique_table
+    from ingestkit.sinks.tables import create_table
+    name, path = unique_table(spark, "dim"), scratch_dir(spark, "tbl-dim")
+    rows = [(1, "old", D(2019, 1, 1), "bronze_data", False, D(2019, 1, 1), D(2020, 1, 1)),
+            (1, "a", D(2020, 1, 1), "bronze_data", True, D(2020, 1, 1), H),
+            (2, "b", D(2020, 1, 1), "bronze_data", True, D(2020, 1, 1), H)]
+    t = spark.createDataFrame(rows, TGT_SCHEMA)
+    create_table(t, name, path=path, partition_by=["is_current"], empty=False)
+    history = lambda: set(glob.glob(os.path.join(path.removeprefix("file:"), "is_current=false", "*.parquet")))
+    held = history()
+    feed = spark.createDataFrame([(1, "z", D(2021, 1, 1)), (3, "c", D(2021, 1, 1))], STG_SCHEMA)
+    want = sorted(map(str, (r.asDict() for r in scd2_apply(t, feed, as_of="2021-01-02").collect())))
+    for _ in range(2):
+        scd2_write_back(name, feed, as_of="2021-01-02")
+        got = spark.table(name).select(*t.columns)
+        assert sorted(map(str, (r.asDict() for r in got.collect()))) == want
+        assert held <= history()
+    # a feed without any key closes all
+    scd2_write_back(name, feed.where("false"), as_of="2022-01-01")
+    assert spark.table(name).where("is_current").count() == 0
+    assert not glob.glob(os.path.join(spark.conf.get("spark.checkpoint.dir"), "**", "scd2-stage*"), recursive=True)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from ingestkit.operators.merge import dedup_first, merge_insert_only
 
 D = dt.date
@@ -44,3 +46,16 @@ def test_dedup_plan_limits_before_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS o")
     plan = dedup_first(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_merge_needs_an_order(spark):
+    df = spark.createDataFrame([(1, D(2019, 1, 5))], SCHEMA)
+    with pytest.raises(ValueError):
+        merge_insert_only(df, df, ["k"], order_by=[])
+
+
+def test_unlisted_columns_are_null_in_inserted_rows_only(spark):
+    tgt = spark.createDataFrame([(1, "a", 1.0)], "k int, s string, x double")
+    src = spark.createDataFrame([(1, "b", 2.0), (2, "c", 3.0)], "k int, s string, x double")
+    out = merge_insert_only(tgt, src, ["k"], order_by=["x"], columns=["k", "x"])
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 1.0), (2, None, 3.0)]

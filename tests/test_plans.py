@@ -1,5 +1,8 @@
 """Plan shape: one pass, no full outer join, pushdown and pruning."""
 
+import re
+
+import pytest
 from conftest import SF_SMALL
 
 from __spark_entry__ import queries
@@ -13,14 +16,37 @@ def _logical(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_scd2_has_no_full_outer_join_and_no_cache(spark):
-    for name in ("scd2_full", "scd2_full_compat", "scd2_delta"):
+def _counts(spark, name):
+    from ingestkit.session import scoped_conf
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
         plan = _plan(queries()[name](spark, SF_SMALL))
-        assert "FullOuter" not in plan
-        assert "InMemoryRelation" not in plan and "InMemoryTableScan" not in plan
+    reused = plan.count("ReusedExchange")
+    return plan, (plan.count("FileScan"), plan.count("Exchange hash") - reused, len(re.findall(r"\w+Join[ (]", plan)))
+
+
+@pytest.mark.parametrize(("name", "scans", "exchanges", "joins"), [
+    ("scd2_full", 4, 3, 1),            # target, history, two parts of the feed; the feed's reduction
+    ("scd2_full_compat", 4, 2, 1),
+    ("scd2_actions", 4, 2, 1),
+    ("full_outer_compare", 2, 2, 1),
+    ("merge_insert_only", 3, 2, 1),
+    ("merge_insert_only_compat", 3, 2, 1),
+    ("dedup_first", 1, 1, 0),
+])
+def test_number_of_scans_shuffles_and_joins(spark, name, scans, exchanges, joins):
+    plan, found = _counts(spark, name)
+    assert found[0] <= scans and found[1] <= exchanges and found[2] == joins, (found, plan)
+    assert "InMemoryTableScan" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    if name.startswith("scd2_full"):
         assert plan.count("Generate inline") == 1
 
 
+def test_partitioned_landing_is_pruned(spark):
+    plan = _plan(queries()["merge_partitioned_landing"](spark, SF_SMALL))
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "landing" in line)
+    assert "PartitionFilters: [year_mon" in scan and "1996_01" in scan
+
+
 def test_merge_pushes_the_window_into_both_scans(spark):
     plan = _plan(queries()["merge_insert_only"](spark, SF_SMALL))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
@@ -88,7 +114,7 @@ def test_bucketed_dimension_is_not_shuffled(spark):
     with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
                              "spark.sql.shuffle.partitions": "8"}):
         out = scd2_apply(spark.table(name), bronze_from_customer(customer), feed="full",
-                         as_of="2021-01-02")
+                         as_of="2021-01-02", null_keys=False)
         plan = _plan(out)
     assert "Bucketed: true" in plan
     assert "hashpartitioning(sk_id#" not in plan

@@ -2,7 +2,9 @@
 
 from collections import Counter
 
-from ingestkit.operators.joins import full_outer_join
+import pytest
+
+from ingestkit.operators.joins import split_outer_join
 from ingestkit.plans.sql import run_sql
 from ingestkit.session import scoped_conf, scratch_database, unique_table
 
@@ -20,7 +22,7 @@ def test_hot_key_is_split_by_aqe(spark):
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.shuffle.partitions": "16"}
     with scoped_conf(spark, conf):
-        out = full_outer_join(left, right, ["k"], ["rk"])
+        out = split_outer_join(left, right, ["k"], ["rk"])
         rows = out.collect()
         final = out._jdf.queryExecution().executedPlan().toString()
         want = Counter(tuple(r) for r in left.join(right, left.k == right.rk, "full").collect())
@@ -47,3 +49,25 @@ def test_statement_lines_keep_apart(spark):
     text = load_statement(["SELECT id AS temp", "FROM genericTempView;"])
     assert text == "SELECT id AS temp\nFROM genericTempView"
     assert [r.temp for r in transform(spark.range(2), text).collect()] == [0, 1]
+
+
+def test_bad_cells_of_a_supplied_cast_become_null(spark):
+    from pyspark.errors import PySparkException
+
+    from ingestkit.plans.sql import transform
+    rows = spark.createDataFrame([("1.5",), ("n/a",)], "v string")
+    got = transform(rows, "SELECT CAST(v AS DOUBLE) AS v FROM genericTempView").collect()
+    assert [r.v for r in got] == [1.5, None]
+    with pytest.raises(PySparkException):
+        transform(rows, "SELECT CAST(v AS DOUBLE) AS v FROM genericTempView", null_on_bad_cast=False).collect()
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_views_are_bound_for_one_statement(spark):
+    spark.range(7).createOrReplaceTempView("taken")
+    first = run_sql(spark, "SELECT count(*) AS n FROM taken", views={"taken": spark.range(2)})
+    second = run_sql(spark, "SELECT count(*) AS n FROM taken", views={"taken": spark.range(3)})
+    assert (first.collect()[0].n, second.collect()[0].n) == (2, 3)
+    assert spark.table("taken").count() == 7
+    run_sql(spark, "SELECT 1 AS x FROM fresh", views={"fresh": spark.range(1)})
+    assert not spark.catalog.tableExists("fresh")

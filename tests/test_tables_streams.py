@@ -111,14 +111,79 @@ def test_compaction_keeps_string_partition_values(spark):
         ["0000", "0001", "0002"]
 
 
-def test_default_checkpoint_is_stable_across_applications(spark):
-    from ingestkit.session import durable_root, work_root
+def test_default_checkpoint_resumes_after_a_restart(spark):
+    # no checkpoint given: the stream's own folder under spark.checkpoint.dir,
+    # the same one when the stream is started anew
     from ingestkit.streaming.ingest import checkpoint_for
-    path = checkpoint_for(spark, "db.t")
-    assert path.startswith(durable_root(spark))
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        assert work_root(spark) not in path or work_root(spark) == durable_root(spark)
+    folder = scratch_dir(spark, "topics")
+    spec = StreamIngest(source=TopicSource("t", folder=folder), schema="a:long",
+                        target_table=unique_table(spark, "stable"), trigger="availableNow",
+                        table_path=scratch_dir(spark, "tbl"))
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_for(spark, spec.target_table) == f"{root}/streams/{spec.target_table}"
+    for first in (0, 5):
+        rows = spark.range(first, first + 5).select(F.to_json(F.struct(F.col("id").alias("a"))).alias("v"))
+        publish_batch(rows, folder, "t", F.col("v"))
+        run_to_end(start_ingest(spark, spec))
+    assert sorted(r.a for r in spark.table(spec.target_table).collect()) == list(range(10))
+
+
+def test_work_root_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from ingestkit.session import work_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        work_root(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+@pytest.mark.parametrize(("target", "split"), [(200_000, 1 << 27), (2_000_000, 100_000), (1 << 30, 100_000)])
+@pytest.mark.parametrize("parts", [[], ["p"]])
+def test_compaction_meets_its_target(spark, target, split, parts):
+    from ingestkit.session import scoped_conf
+    name, path = unique_table(spark, "target"), scratch_dir(spark, "tbl-target")
+    df = spark.range(60000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS s", "CAST(id % 3 AS INT) AS p")
+    writer = df.repartition(20).write.format("parquet").option("path", path)
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
+
+    def sizes():
+        out = {}
+        for f in _files(path):
+            out.setdefault(os.path.dirname(f), []).append(os.path.getsize(f))
+        return out
+    before = sizes()
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": str(split)}):
+        compact_table(spark, name, target_file_bytes=target)
+    after = sizes()
+    assert set(before) == set(after)
+    for folder, was in before.items():
+        wanted = max(1, -(-sum(was) // target))
+        assert abs(len(after[folder]) - wanted) <= 1
+        assert max(after[folder]) <= 1.5 * max(target, 1)
+    assert spark.table(name).agg(F.count("id"), F.sum("id")).first() == (60000, sum(range(60000)))
+    assert not glob.glob(os.path.join(spark.conf.get("spark.checkpoint.dir"), "**", "compact-stage*"), recursive=True)
+
+
+def test_touched_counts_plan_any_number_of_partitions(spark):
+    # a partitioned table is simulated by its rows: only the semi join matters
+    from ingestkit.sinks.tables import _rows_in
+    name = unique_table(spark, "many")
+    create_table(spark.range(30000).selectExpr("id AS p", "id % 7 AS v"), name, path=scratch_dir(spark, "tbl"), empty=False)
+    touched = spark.range(20000).selectExpr("id AS __p")
+    assert _rows_in(spark, name, touched, ["p"]) == 20000
+
+
+def test_timestamps_are_read_in_any_plain_form(spark):
+    path = scratch_dir(spark, "ts")
+    forms = ["2024-01-01 10:00:00", "2024-01-01T10:00:00", "2024-01-01", "2024-01-01 10:00:00.123456"]
+    spark.createDataFrame([(t,) for t in forms], "t string").coalesce(1).write.csv(path)
+    got = [str(r.t) for r in read_delimited(spark, path, "t:timestamp").collect()]
+    assert got == ["2024-01-01 10:00:00", "2024-01-01 10:00:00", "2024-01-01 00:00:00", "2024-01-01 10:00:00.123456"]
+    odd = scratch_dir(spark, "ts-odd")
+    spark.createDataFrame([("01/02/2024 03h",)], "t string").write.csv(odd)
+    own = read_delimited(spark, odd, "t:timestamp", options={"timestampFormat": "dd/MM/yyyy HH'h'"})
+    assert str(own.collect()[0].t) == "2024-02-01 03:00:00"
 
 
 def test_replayed_batch_replaces_itself(spark):
