@@ -82,13 +82,13 @@ def plan_mix(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     kept = documents.drop(*[c for c in documents.columns if c in own and c not in (doc_id, text, source)])
     sized = kept.withColumn("size", word_count(text))
     targets = source_targets(sized.select(F.col(source).alias("source"), "size"), weights, max_repeat)
-    targets = targets.select(F.col("source").alias("__source"), "source_size", "target", "rate").checkpoint()
+    targets = targets.select(F.col("source").alias("__source"), "source_size", "target", F.col("rate").alias("__rate")).checkpoint()
     if targets.count() <= MAX_BROADCAST_SOURCES:
         targets = F.broadcast(targets)
     joined = sized.join(targets, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
-    whole = F.floor("rate")
-    extra = (hash_fraction(doc_id, seed) < F.col("rate") - whole).cast("long")
-    return joined.withColumn("copies", whole + extra).drop("rate")
+    whole = F.floor("__rate")
+    extra = (hash_fraction(doc_id, seed) < F.col("__rate") - whole).cast("long")
+    return joined.withColumn("copies", whole + extra).drop("__rate")
 
 
 def emit_mix(planned: DataFrame) -> DataFrame:
