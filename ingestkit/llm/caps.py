@@ -1,15 +1,17 @@
 """Embedding near-duplicates by spherical-cap filters.
 
 A filter is the cap of unit vectors whose inner product with the filter's
-direction is at least ``z / sqrt(d)``.  Directions come from a random product
-code: after a seeded rotation the vector is cut into blocks, each block has
+direction is at least some threshold.  Directions come from random product
+codes: after a seeded rotation the vector is cut into blocks, each block has
 ``K`` random code vectors, and a direction is one code vector per block.  A
 vector is list-decoded to all directions it exceeds, block by block, dropping
 partial sums that the best remaining blocks cannot lift over the threshold.
 
-``z`` follows from the number of vectors (a filter holds about ``bucket`` of
-them) and the number of filters from the chance that a pair right at the
-cosine threshold shares one, so that it shares ``expected`` on average.
+The threshold follows from the number of vectors (a filter holds about
+``bucket`` of them).  Directions of one code are not independent, so several
+small codes with rotations of their own are used: as many as bring the chance
+that a pair right at the cosine limit shares no filter below ``miss``, by
+that chance for one code, measured on random pairs of that cosine.
 
 Vectors meet in the groups (label, dimension, filter); a group is dealt into
 blocks of at most ``block`` vectors and every two blocks meet in one task.  A
@@ -34,62 +36,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestkit.llm.components import connected_components
-from ingestkit.session import scratch_dir, work_root
+from ingestkit.session import scoped_conf, scratch_dir, work_root
 
 
-def _tail(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2))
+def _cap(d: int, s: np.ndarray) -> np.ndarray:
+    """Share of the unit sphere in d dimensions above height s."""
+    x = np.linspace(-1, 1, 20001)
+    area = np.cumsum((1 - x * x).clip(0) ** ((d - 3) / 2))
+    return 1 - np.interp(s, x, area / area[-1])
 
 
-def _both(z: float, rho: float) -> float:
-    """P(X > z and Y > z) of standard normals of correlation rho."""
-    x = np.linspace(z, z + 8, 4001)
-    y = np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * \
-        np.array([_tail((z - rho * v) / math.sqrt(1 - rho * rho)) for v in x])
-    return float(np.sum((y[1:] + y[:-1]) / 2) * (x[1] - x[0]))
+def _both(d: int, s: float, rho: float) -> float:
+    """Share of directions that exceed s for both vectors of a pair at rho."""
+    x = np.linspace(-1, 1, 20001)
+    weight = (1 - x * x).clip(0) ** ((d - 3) / 2)
+    up = x >= s
+    need = (s - rho * x[up]) / np.maximum(np.sqrt((1 - rho * rho) * (1 - x[up] ** 2)), 1e-12)
+    return float((weight[up] * _cap(d - 1, np.clip(need, -1, 1))).sum() / weight.sum())
 
 
-def plan_filters(n: int, cosine: float, *, bucket: int, expected: float) -> dict:
-    """Threshold, blocks and code vectors per block for ``n`` vectors."""
+def plan_filters(n: int, d: int, cosine: float, *, bucket: int, each: float = 2.0, miss: float = 1e-4,
+                 seed: int = 5) -> dict:
+    """Threshold, blocks, code vectors per block and number of codes for ``n``
+    vectors of ``d`` dimensions; below 8 dimensions one filter holds all."""
+    if d < 8:
+        return {"d": d, "codes": 0}
     share = min(5e-3, max(bucket / max(n, 1), 1e-12))
-    low, high = 0.0, 9.0
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if _tail(mid) > share else (low, mid)
-    total = expected / _both(low, cosine)
+    heights = np.linspace(0, 1, 20001)
+    height = float(heights[np.argmax(_cap(d, heights) <= share)])
+    total = each / max(_both(d, height, cosine), 1e-15)
     blocks = 2 if total < 1e6 else 4
-    return {"z": low, "blocks": blocks, "codes": math.ceil(total ** (1 / blocks))}
-
-
-def code_vectors(d: int, plan: dict, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(rotation, per block the scaled code vectors) for dimension d."""
-    rng = np.random.default_rng([seed, d])
+    plan = {"d": d, "height": height, "blocks": blocks, "codes": math.ceil(total ** (1 / blocks)), "seed": seed, "repeat": 3}
+    rng = np.random.default_rng(seed + 1)
+    x, side = rng.standard_normal((2, 300, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    found = [list_decode(v, plan) for v in (x, cosine * x + math.sqrt(1 - cosine * cosine) * side)]
+    wide = plan["codes"] ** blocks
+    pairs = [set(zip(row.tolist(), name.tolist(), strict=True)) for row, name in found]
+    hit = {(row, name // wide) for row, name in pairs[0] & pairs[1]}
+    lost = max(1 - len(hit) / (300 * plan["repeat"]), 0.05)
+    return plan | {"repeat": max(2, math.ceil(math.log(miss) / math.log(lost)))}
+
+
+def code_vectors(plan: dict, repetition: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(rotation, per block the scaled code vectors) of one code."""
+    d, blocks = plan["d"], plan["blocks"]
+    rng = np.random.default_rng([plan["seed"], d, repetition])
     rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
     out = []
-    for part in np.array_split(np.arange(d), min(plan["blocks"], d)):
+    for part in np.array_split(np.arange(d), blocks):
         c = rng.standard_normal((plan["codes"], len(part)))
-        out.append(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(min(plan["blocks"], d)))
+        out.append(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(blocks))
     return rotation, out
 
 
-def list_decode(unit: np.ndarray, plan: dict, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def list_decode(unit: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of every direction that a row of ``unit`` exceeds."""
-    d = unit.shape[1]
-    rotation, codes = code_vectors(d, plan, seed)
-    turned, need = unit @ rotation, plan["z"] / math.sqrt(d)
-    cuts = np.cumsum([0] + [c.shape[1] for c in codes])
-    scores = [turned[:, a:b] @ c.T for a, b, c in zip(cuts, cuts[1:], codes, strict=False)]
-    best = np.array([s.max(axis=1) for s in scores])
-    rest = np.vstack([np.cumsum(best[::-1], axis=0)[::-1][1:], np.zeros((1, len(unit)))])
-    row, name, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
-    for s, more in zip(scores, rest, strict=True):
-        sums = total[:, None] + s[row]
-        at, code = np.nonzero(sums >= (need - more[row] - 1e-12)[:, None])
-        row, name, total = row[at], name[at] * s.shape[1] + code, sums[at, code]
-    return row, name
-
-
-def _decode(plan: dict):
+    if not plan["codes"]:
+        return np.arange(len(unit)), np.zeros(len(unit), np.int64)
+    found = []
+    for repetition in range(plan["repeat"]):
+        rotation, codes = code_vectors(plan, repetition)
+        turned = unit @ rotation
+        cuts = np.cumsum([0] + [c.shape[1] for c in codes])
+        scores = [turned[:, a:b] @ c.T for a, b, c in zip(cuts, cuts[1:], codes, strict=False)]
+        best = np.array([s.max(axis=1) for s in scores])
+        rest = np.vstack([np.cumsum(best[::-1], axis=0)[::-1][1:], np.zeros((1, len(unit)))])
+        row, name, total = np.arange(len(unit)), np.full(len(unit), repetition, np.int64), np.zeros(len(unit))
+        for s, more in zip(scores, rest, strict=True):
+            sums = total[:, None] + s[row]
+            at, code = np.nonzero(sums >= (plan["height"] - more[row] - 1e-12)[:, None])
+            row, name, total = row[at], name[at] * s.shape[1] + code, sums[at, code]
+        found.append((row, name))
+    return np.concatenate([r for r, _ in found]), np.concatenate([f for _, f in found])
+
+
+def _decode(plans: dict[int, dict]):
     def run(batches):
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
@@ -99,7 +123,9 @@ def _decode(plan: dict):
                 for d in np.unique(size):
                     rows = np.flatnonzero(size == d)
                     x = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
-                    row, name = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), plan)
+                    row, name = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), plans[int(d)])
+                    order = np.argsort(row, kind="stable")
+                    row, name = row[order], name[order]
                     lengths = np.bincount(row, minlength=len(rows))
                     offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
                     own = part.take(pa.array(rows))
@@ -194,7 +220,7 @@ def _verify(cosine: float):
 
 
 def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-                 cosine: float = 0.93, bucket: int = 24, expected: float = 14.0, block: int = 1024) -> DataFrame:
+                 cosine: float = 0.93, bucket: int = 200, miss: float = 1e-4, block: int = 1024) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     work_root(spark)
@@ -211,10 +237,12 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     path = scratch_dir(spark, "vectors")
     one.write.parquet(path)
     one = spark.read.parquet(path)
-    plan = plan_filters(one.count(), cosine, bucket=bucket, expected=expected)
+    # one row a vector length
+    plans = {r.d: plan_filters(r.n, r.d, cosine, bucket=bucket, miss=miss)
+             for r in one.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     basic = one.select("rep", "copies", "label", "embedding")
-    coded = basic.mapInArrow(_decode(plan), "rep long, copies long, label long, embedding array<float>, filters array<long>")
+    coded = basic.mapInArrow(_decode(plans), "rep long, copies long, label long, embedding array<float>, filters array<long>")
     entries = coded.select("*", F.size("embedding").alias("d"), F.explode("filters").alias("filter"))
     at = ["label", "d", "filter"]
     sizes = entries.groupBy(*at).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -227,7 +255,8 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     key = [*at, "g", "h"]
     found = meet.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(cosine), "rep long, links long, towards long")
     found_path = scratch_dir(spark, "vector-links")
-    found.write.parquet(found_path)
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20)}):
+        found.write.parquet(found_path)
     found = spark.read.parquet(found_path)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("towards").alias("b")))
