@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ingestkit.operators.cdc import classify_changes, scd2_apply, scd2_view, scd2_write_back
 from ingestkit.session import scratch_dir, unique_table
 from ingestkit.sinks.tables import create_table
-from ingestkit.workloads.common import table
+from ingestkit.workloads.common import staging, table
 
 AS_OF = "2021-01-02"
 
@@ -96,7 +96,8 @@ def scd2_table_write_back(spark, sf_dir):
     # same feed applied twice (the second run changes nothing)
     silver, bronze = _inputs(spark, sf_dir)
     name = unique_table(spark, "dim_customer")
-    create_table(silver, name, path=scratch_dir(spark, "tbl-dim"), partition_by=["is_current"], empty=False)
+    with staging():
+        create_table(silver, name, path=scratch_dir(spark, "tbl-dim"), partition_by=["is_current"], empty=False)
     for _ in range(2):
         scd2_write_back(name, bronze, feed="full", as_of=AS_OF)
     return spark.table(name)
@@ -106,8 +107,9 @@ def scd2_view_over_tables(spark, sf_dir):
     # dimension and feed as catalog tables, the result as a view read by SQL
     silver, bronze = _inputs(spark, sf_dir)
     dim, feed = unique_table(spark, "dim_view"), unique_table(spark, "feed_view")
-    create_table(silver, dim, path=scratch_dir(spark, "tbl-dim-view"), empty=False)
-    create_table(bronze, feed, path=scratch_dir(spark, "tbl-feed-view"), empty=False)
+    with staging():
+        create_table(silver, dim, path=scratch_dir(spark, "tbl-dim-view"), empty=False)
+        create_table(bronze, feed, path=scratch_dir(spark, "tbl-feed-view"), empty=False)
     scd2_view(dim, feed, view="merged_dim", feed="full", as_of=AS_OF)
     return spark.sql("""SELECT is_current, eff_end_dt, count(*) AS n, count(attr) AS n_attr,
                                min(sk_id) AS first_key, max(sk_id) AS last_key

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -21,3 +24,17 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str,
         df.createOrReplaceTempView(name)
         frames[name] = df
     return frames
+
+
+# Seconds spent on staging a workload's input (files, topics, tables), which
+# the bench keeps apart from the operators' own time.
+STAGED = {"seconds": 0.0}
+
+
+@contextlib.contextmanager
+def staging():
+    began = time.perf_counter()
+    try:
+        yield
+    finally:
+        STAGED["seconds"] += time.perf_counter() - began

@@ -16,7 +16,7 @@ from ingestkit.plans.sql import run_sql
 from ingestkit.session import scratch_dir, unique_table
 from ingestkit.sinks.tables import append_with_reconcile, compact_table, create_table
 from ingestkit.sources.delimited import read_delimited, write_delimited
-from ingestkit.workloads.common import register_views, table
+from ingestkit.workloads.common import register_views, staging, table
 
 ORDERS_SCHEMA = ("o_orderkey:long,o_custkey:long,o_orderstatus:string,o_totalprice:double,"
                  "o_orderdate:date,o_orderpriority:string")
@@ -30,7 +30,8 @@ LINEITEM_SCHEMA = ("l_orderkey:long,l_partkey:long,l_suppkey:long,l_linenumber:i
 def _orders_csv(spark, sf_dir, *, sep="|", header=True):
     path = scratch_dir(spark, "orders-csv")
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    write_delimited(orders, path, sep=sep, header=header)
+    with staging():
+        write_delimited(orders, path, sep=sep, header=header)
     return path
 
 
@@ -46,7 +47,8 @@ def csv_quote_off(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
         "p_partkey", F.concat_ws(", ", "p_brand", "p_type").alias("label"),
         "p_size", "p_retailprice")
-    write_delimited(part, path, sep=",")
+    with staging():
+        write_delimited(part, path, sep=",")
     return read_delimited(spark, path, "p_partkey:long,brand:string,ptype:string,"
                           "p_size:integer,p_retailprice:double", sep=",", quote="")
 
@@ -54,7 +56,8 @@ def csv_quote_off(spark, sf_dir):
 def apply_schema_text(spark, sf_dir):
     # raw text first (every column a string), then the typed schema text
     path = scratch_dir(spark, "events-text")
-    write_delimited(table(spark, sf_dir, "events"), path, sep=",")
+    with staging():
+        write_delimited(table(spark, sf_dir, "events"), path, sep=",")
     raw = read_delimited(spark, path, all_string_schema(EVENTS_SCHEMA), sep=",")
     typed = apply_schema(raw, EVENTS_SCHEMA)
     # "timestamp" reads in the session zone; hand back the wall-clock value
@@ -77,7 +80,8 @@ def event_time_forms(events):
 
 def csv_timestamp_forms(spark, sf_dir):
     path = scratch_dir(spark, "event-times")
-    write_delimited(event_time_forms(table(spark, sf_dir, "events")), path)
+    with staging():
+        write_delimited(event_time_forms(table(spark, sf_dir, "events")), path)
     read = read_delimited(spark, path, "event_id:long,ts:timestamp")
     return read.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -104,7 +108,8 @@ def gsod_style_cast(spark, sf_dir):
         F.when(F.col("event_type") == "error", F.lit("n/a"))
          .otherwise(F.col("value").cast("string")).alias("value"),
         "props", F.lit("x").alias("pad1"), F.lit("y").alias("pad2"))
-    write_delimited(wide, path, sep=",", header=True)
+    with staging():
+        write_delimited(wide, path, sep=",", header=True)
     spec = BatchIngest(source_path=path, schema=",".join(
         f"{c}:string" for c in wide.columns), target_table="unused", header=True,
         statement=GSOD_STYLE_SQL)
@@ -121,7 +126,8 @@ FROM genericTempView
 def prepared_sql_batch(spark, sf_dir):
     path = scratch_dir(spark, "lineitem-csv")
     li = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
-    write_delimited(li, path, sep=",")
+    with staging():
+        write_delimited(li, path, sep=",")
     spec = BatchIngest(source_path=path, schema=LINEITEM_SCHEMA,
                        target_table=unique_table(spark, "lineitem_slim"), statement=PREPARED_SQL)
     create_table(ingest_frame(spark, spec), spec.target_table,
@@ -146,14 +152,16 @@ def append_reconcile_touched(spark, sf_dir):
     # counts the partitions it writes to only
     orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
     name = unique_table(spark, "orders_by_year")
-    create_table(orders, name, path=scratch_dir(spark, "tbl-orders-year"), partition_by=["o_year"], empty=False)
+    with staging():
+        create_table(orders, name, path=scratch_dir(spark, "tbl-orders-year"), partition_by=["o_year"], empty=False)
     again = orders.where("o_year IN (1995, 1996)")
     return append_with_reconcile(again, name, partition_cols=["o_year"], scope="touched").drop("table_name")
 
 
 def orc_overwrite(spark, sf_dir):
     path = scratch_dir(spark, "part-csv")
-    write_delimited(table(spark, sf_dir, "part"), path, sep=",")
+    with staging():
+        write_delimited(table(spark, sf_dir, "part"), path, sep=",")
     spec = BatchIngest(source_path=path, target_table=unique_table(spark, "part_orc"),
                        schema="p_partkey:long,p_name:string,p_brand:string,p_type:string,"
                               "p_size:integer,p_retailprice:double",
@@ -186,8 +194,9 @@ def compact_table_q(spark, sf_dir):
     name = unique_table(spark, "orders_small_files")
     orders = table(spark, sf_dir, "orders")
     # many small files, as left behind by frequent small appends
-    orders.repartition(64).write.format("parquet").option(
-        "path", scratch_dir(spark, "tbl-orders-small")).saveAsTable(name)
+    with staging():
+        orders.repartition(64).write.format("parquet").option(
+            "path", scratch_dir(spark, "tbl-orders-small")).saveAsTable(name)
     compact_table(spark, name, target_file_bytes=1024 * 1024)
     return spark.table(name)
 

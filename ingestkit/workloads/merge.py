@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.operators.merge import dedup_first, merge_insert_only, merge_into_table
 from ingestkit.session import scratch_dir, unique_table
-from ingestkit.workloads.common import table
+from ingestkit.workloads.common import staging, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
 ORDER = ["l_shipdate"]
@@ -45,9 +45,10 @@ def merge_into_table_q(spark, sf_dir):
     # the earlier load as a table; the same merge twice (second adds nothing)
     li = table(spark, sf_dir, "lineitem")
     name = unique_table(spark, "lineitem_tgt")
-    (li.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("date"))
-       .write.format("parquet").option("path", scratch_dir(spark, "tbl-lineitem-tgt"))
-       .saveAsTable(name))
+    with staging():
+        (li.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("date"))
+           .write.format("parquet").option("path", scratch_dir(spark, "tbl-lineitem-tgt"))
+           .saveAsTable(name))
     for _ in range(2):
         merge_into_table(name, li, KEYS, order_by=ORDER, tie_breakers=TIES,
                          bound_column="l_shipdate", lower=LOWER, upper=UPPER)
@@ -73,8 +74,9 @@ def merge_partitioned_landing(spark, sf_dir):
     # reads some months; the target holds the lines with an even order key
     li = table(spark, sf_dir, "lineitem")
     name = unique_table(spark, "landing")
-    (li.withColumn("year_mon", F.date_format("l_shipdate", "yyyy_MM")).write.partitionBy("year_mon")
-       .format("parquet").option("path", scratch_dir(spark, "tbl-landing")).saveAsTable(name))
+    with staging():
+        (li.withColumn("year_mon", F.date_format("l_shipdate", "yyyy_MM")).write.partitionBy("year_mon")
+           .format("parquet").option("path", scratch_dir(spark, "tbl-landing")).saveAsTable(name))
     target = li.where("l_orderkey % 2 = 0")
     landed = spark.table(name).where(F.col("year_mon").isin(LANDED_MONTHS)).drop("year_mon")
     return merge_insert_only(target, landed, KEYS, order_by=ORDER, tie_breakers=TIES)

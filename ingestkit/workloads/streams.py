@@ -16,7 +16,7 @@ from ingestkit.session import scratch_dir, unique_table
 from ingestkit.sources.messages import TopicSource, publish_batch
 from ingestkit.streaming.ingest import (StreamIngest, batch_folder_writer, run_to_end,
                                         start_ingest, start_microbatch)
-from ingestkit.workloads.common import table
+from ingestkit.workloads.common import staging, table
 from ingestkit.workloads.ingest import TIME_FORMS_SQL, event_time_forms
 
 EVENTS_SCHEMA = ("event_id:long,ts:timestamp,user_id:long,event_type:string,value:double,"
@@ -35,7 +35,8 @@ def _publish_events(spark, sf_dir, folder, topic="events", *, corrupt=False, whe
     ev = table(spark, sf_dir, "events")
     if where is not None:
         ev = ev.where(where)
-    publish_batch(ev, folder, topic, _json_value(ev, corrupt))
+    with staging():
+        publish_batch(ev, folder, topic, _json_value(ev, corrupt))
 
 
 def _wall_clock(df):
@@ -103,7 +104,8 @@ def json_timestamp_forms(spark, sf_dir):
     # times in several text forms inside JSON messages, decoded by a stream
     folder = scratch_dir(spark, "topics")
     times = event_time_forms(table(spark, sf_dir, "events"))
-    publish_batch(times, folder, "times", encode_json(times))
+    with staging():
+        publish_batch(times, folder, "times", encode_json(times))
     spec = StreamIngest(source=TopicSource("times", folder=folder), schema="event_id:long,ts:timestamp",
                         target_table=unique_table(spark, "event_times"), trigger="availableNow",
                         checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl-times"))
@@ -127,7 +129,8 @@ def stream_bad_casts(spark, sf_dir):
                         target_table=unique_table(spark, "cells"), statement=STREAM_CAST_SQL, trigger="availableNow",
                         checkpoint=scratch_dir(spark, "ckpt"), table_path=scratch_dir(spark, "tbl-cells"))
     for part in (text.where("event_id % 2 = 0"), text.where("event_id % 2 <> 0")):
-        publish_batch(part, folder, "cells", encode_json(part))
+        with staging():
+            publish_batch(part, folder, "cells", encode_json(part))
         run_to_end(start_ingest(spark, spec))
     return spark.table(spec.target_table)
 
