@@ -10,8 +10,8 @@ margins).  The score is the product of the family's and the duels' logistic
 confidences.
 
 ``sample_per_language`` bounds the training rows: each language's rows pass a
-hash threshold of bound / count, so the sample is a fixed one of that expected
-size.  Prediction is one narrow pass over whole texts.
+threshold of bound / count on the text's hash, so the sample is a fixed one of
+that expected size.  Prediction is one narrow pass over whole texts.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; so is
 everything when there is no labelled row; with one language all texts with a
@@ -87,15 +87,15 @@ def _featurize(batches):
 
 
 def train(rows: DataFrame, *, sample_per_language: int = 800, max_iter: int = 25, reg: float = 1e-4) -> dict:
-    """The model from rows with doc_id, text and lang (the rows to learn from)."""
+    """The model from the text and lang of the rows to learn from."""
     spark = rows.sparkSession
     work_root(spark)
     rows = rows.where("lang is not null and text is not null")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows_of"))
     share = F.least(F.lit(1.0), F.lit(sample_per_language) / F.col("rows_of"))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), "doc_id", F.xxhash64("text")), F.lit(1_000_000)) / 1_000_000
+    draw = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1_000_000)) / 1_000_000
     # one row a language
-    sample = rows.select("doc_id", "text", "lang").join(F.broadcast(counts), "lang").where(draw < share)
+    sample = rows.select("text", "lang").join(F.broadcast(counts), "lang").where(draw < share)
     path = scratch_dir(spark, "langid-sample")
     sample.select("lang", "text").mapInArrow(_featurize, "lang string, x array<float>").write.parquet(path)
     sample = spark.read.parquet(path)
