@@ -91,6 +91,11 @@ def scd2_delta_compat(spark, sf_dir):
     return scd2_apply(silver, bronze, feed="delta", mode="compat")
 
 
+def scd2_full_sorted(spark, sf_dir):
+    silver, bronze = _inputs(spark, sf_dir)
+    return scd2_apply(silver, bronze, feed="full", as_of=AS_OF, order_by_key=True)
+
+
 def scd2_table_write_back(spark, sf_dir):
     # the dimension as a table that keeps current and closed rows apart; the
     # same feed applied twice (the second run changes nothing)
@@ -121,6 +126,7 @@ QUERIES = {
     "scd2_table_write_back": scd2_table_write_back,
     "scd2_view_over_tables": scd2_view_over_tables,
     "scd2_full": scd2_full,
+    "scd2_full_sorted": scd2_full_sorted,
     "scd2_full_compat": scd2_full_compat,
     "scd2_delta": scd2_delta,
     "scd2_delta_compat": scd2_delta_compat,
@@ -209,6 +215,7 @@ SELECT sk_id, attr, mod_dt, data_src_cd, is_current, eff_start_dt, eff_end_dt,
 FROM enriched
 """,
     "scd2_full": _default_result("full"),
+    "scd2_full_sorted": _default_result("full"),
     "scd2_table_write_back": _default_result("full"),
     "scd2_full_compat": _COMPAT_RESULT,
     "scd2_delta": _default_result("delta"),
