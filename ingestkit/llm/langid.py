@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
-from ingestkit.session import scratch_dir, work_root
+from ingestkit.session import remove_folder, scratch_dir, work_root
 
 # Which languages are close relatives.
 FAMILIES = {
@@ -116,6 +116,7 @@ def train(rows: DataFrame, *, sample_per_language: int = 800, max_iter: int = 25
         top.append(-top[0])
     duels = {f: [(a, b, fit(data.where(F.col("lang").isin(a, b)), [a])) for a, b in itertools.combinations(members[f], 2)]
              for f in names}
+    remove_folder(spark, path)
     return {"families": names, "members": members, "top": top, "duels": duels}
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
-from ingestkit.session import scratch_dir, work_root
+from ingestkit.session import remove_folder, scratch_dir, work_root
 
 WORD_LUT = textscan.word_bytes([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 
@@ -176,6 +176,7 @@ def cross_entropy_difference(documents: DataFrame, targets: DataFrame, *, doc_id
     frequent = counts.where(F.col("n") * max_words >= total).select("word").toArrow()
     vocabulary = np.sort(frequent.column("word").to_numpy().view(np.uint64))
     held = spark.sparkContext.broadcast(vocabulary)
+    remove_folder(spark, path)
 
     chosen = targets.where(F.col(target_id).isNotNull()).select(F.col(target_id).cast("long").alias("__id")).distinct()
     flagged = rows.join(chosen.withColumn("target", F.lit(True)), F.col("doc_id") == F.col("__id"), "left") \

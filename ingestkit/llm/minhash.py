@@ -309,9 +309,10 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     class_of = with_set.join(classes.drop("sketch", "n"), same).select("doc_id", "rep")
     exact = class_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     found = connected_components(first.unionByName(second).unionByName(exact))
-    for path in paths[1:]:
+    sizes = stored(sketched.select("doc_id", "n_shingles"), "set-sizes")
+    for path in paths[:-1]:
         remove_folder(spark, path)
-    return sketched.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left").select(
+    return sizes.join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

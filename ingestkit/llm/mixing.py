@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ingestkit.session import work_root
+
 # Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_BROADCAST_SOURCES = 50_000
@@ -78,6 +80,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), max_rep
 def plan_mix(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3, seed: str = "mix") -> DataFrame:
     """The documents with size, source_size, target and copies."""
+    work_root(documents.sparkSession)
     own = {"size", "source_size", "target", "copies"}
     kept = documents.drop(*[c for c in documents.columns if c in own and c not in (doc_id, text, source)])
     sized = kept.withColumn("size", word_count(text))
