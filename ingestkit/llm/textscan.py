@@ -139,9 +139,16 @@ def words(data: np.ndarray, offsets: np.ndarray, lut: np.ndarray = NON_SPACE):
 
 
 def word_hashes(data, offsets, lut=NON_SPACE, table=TABLE_LOWER):
-    """(hash, document index, words per document) for all words of a batch."""
+    """(hash, document index, words per document) for all words of a batch.
+    Long texts are hashed a stretch of words at a time."""
     start, end, doc = words(data, offsets, lut)
-    h = span_hash(prefix_sums(data, table), start, end) if len(start) else np.zeros(0, np.uint64)
+    h, first = np.zeros(len(start), np.uint64), 0
+    while first < len(start):
+        last = max(int(np.searchsorted(end, start[first] + 2 * CHUNK_BYTES, "right")), first + 1)
+        at = start[first]
+        part = prefix_sums(data[at:end[last - 1]], table)
+        h[first:last] = span_hash(part, start[first:last] - at, end[first:last] - at)
+        first = last
     return h, doc, np.bincount(doc, minlength=len(offsets) - 1)
 
 

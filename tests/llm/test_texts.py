@@ -14,6 +14,20 @@ from ingestkit.llm import decontam, langid, lmscore, textscan, tokencount
 from ingestkit.session import work_root
 
 
+def test_word_hashes_do_not_depend_on_the_stretch(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcXYZé", k=rng.randint(1, 9))) for _ in range(n)) for n in (0, 1, 300, 2000)] + ["x" * 5000]
+    data, offsets = textscan.as_buffer(pa.array(texts))
+    whole, doc, n = textscan.word_hashes(data, offsets)
+    assert n.tolist() == [len(t.split()) for t in texts]
+    by_word = {}
+    for w, h in zip([w.translate({i: i + 32 for i in range(65, 91)}) for t in texts for w in t.split()], whole, strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    monkeypatch.setattr(textscan, "CHUNK_BYTES", 50)
+    assert (textscan.word_hashes(data, offsets)[0] == whole).all()
+
+
 # ---- token counts
 
 @pytest.fixture(scope="module")
