@@ -39,15 +39,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
-from ingestkit.session import scratch_dir, work_root
+from ingestkit.session import remove_folder, scoped_conf, scratch_dir, work_root
 
 PIECE = 4 << 20
-SHARD = 1 << 19
-TASK_BYTES = 3 << 20
+SHARD = 1 << 18
+TASK_BYTES = 1 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -129,6 +129,21 @@ def _emit_contexts(length: int, gram: int):
     return run
 
 
+def stable_order(*keys: np.ndarray) -> np.ndarray:
+    """Stable order by non-negative integers below 2**32, the last key first
+    in rank: numpy sorts 16-bit keys by counting."""
+    order = None
+    for key in keys:
+        key = key.astype(np.uint32)
+        for half in (key & np.uint32(0xFFFF), key >> np.uint32(16)):
+            half = half.astype(np.uint16)
+            if order is None:
+                order = np.argsort(half, kind="stable")
+            elif half.any():
+                order = order[np.argsort(half[order], kind="stable")]
+    return order
+
+
 class Shards:
     """Suffixes of strings, dealt into shards, over an alphabet of blocks.
 
@@ -148,7 +163,7 @@ class Shards:
         self.last = np.arange(n) + left // symbol * symbol               # the end that a suffix leads to
         full = np.flatnonzero(~self.is_end)
         block = textscan.span_hash(textscan.prefix_sums(data, textscan.TABLE_EXACT), full, full + symbol)
-        self.symbols = np.full(n, -1, np.int64)
+        self.symbols = np.full(n, -1, np.int32)
         self.symbols[full] = np.unique(block, return_inverse=True)[1]
         self.has_before = np.arange(n) - self.begin[string] >= symbol
         # whole strings to shards of about shard_bytes
@@ -169,9 +184,9 @@ class Shards:
             more = np.flatnonzero(place + step <= self.last[a:b] - a)
             follow = np.zeros(n, np.int64)
             follow[more] = rank[more + step] + 1
-            key = rank * (int(rank.max()) + 2) + follow
-            order = np.argsort(key, kind="stable")
-            fresh = np.r_[False, key[order][1:] != key[order][:-1]]
+            order = stable_order(follow, rank)
+            one, two = rank[order], follow[order]
+            fresh = np.r_[False, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
             if fresh.sum() == n - 1:
                 return order + a
             rank = np.empty(n, np.int64)
@@ -195,18 +210,18 @@ def merge_transforms(transforms: list[np.ndarray], ends: list[int], rounds: int)
     z = np.repeat(shards, [len(t) for t in transforms])
     before = np.concatenate(transforms)
     end_z = np.repeat(shards, ends)
-    interval = np.zeros(len(z), np.int64)
+    interval = np.zeros(len(z), np.int32)
     for _ in range(rounds):
         # the k-th suffix of a shard in the interleave is the k-th of its transform
         where = np.argsort(z, kind="stable")
-        block = np.empty(len(z), np.int64)
+        block = np.empty(len(z), np.int32)
         block[where] = before
         some = np.flatnonzero(block >= 0)
-        order = some[np.argsort(block[some], kind="stable")]
-        fresh = np.ones(len(order), np.int64)
+        order = some[stable_order(block[some])]
+        fresh = np.ones(len(order), np.int32)
         fresh[1:] = (block[order][1:] != block[order][:-1]) | (interval[order][1:] != interval[order][:-1])
         z = np.r_[end_z, z[order]]
-        interval = np.r_[np.arange(len(end_z)), len(end_z) - 1 + np.cumsum(fresh)]
+        interval = np.r_[np.arange(len(end_z)), len(end_z) - 1 + np.cumsum(fresh)].astype(np.int32)
     return z, interval
 
 
@@ -303,18 +318,44 @@ def _cut(length: int):
     return run
 
 
+def _merged(spans: DataFrame, key: list[str]) -> DataFrame:
+    """Spans (key, first, last) with those of a text that touch made one, as
+    an array per text; one shuffle by the key serves all steps."""
+    order = Window.partitionBy(*key).orderBy("first", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("first") > reach, F.lit(True)).cast("int")
+    island = F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = spans.withColumn("apart", apart).withColumn("island", island)
+    one = runs.groupBy(*key, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return one.groupBy(*key).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+
+
 def remove_repeats(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 200,
-                   gram: int = 48, symbol: int = 40, hot: int = 4096) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (byte spans)."""
+                   gram: int = 48, symbol: int = 40, hot: int = 16_384,
+                   max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (byte spans).
+
+    The texts are joined with their anchors and with their spans by content
+    hash.  A side of at most ``max_broadcast_bytes`` (counted first) is
+    broadcast, so the texts stay where they are; a larger one makes Spark
+    shuffle the texts.
+    """
     if length % symbol or not 0 < gram < length:
         raise ValueError("length must be a multiple of symbol and longer than gram")
     spark = documents.sparkSession
     work_root(spark)
 
+    paths: list[str] = []
+
     def stored(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+        paths.append(scratch_dir(spark, name))
+        with scoped_conf(spark, textscan.SMALL_BATCHES):
+            df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    def joined_with_texts(texts: DataFrame, side: DataFrame, on, how: str, items: str, item_bytes: int) -> DataFrame:
+        size = side.agg(F.sum(F.size(items).cast("long") * item_bytes + 64)).first()[0] or 0
+        return texts.join(F.broadcast(side) if size <= max_broadcast_bytes else side, on, how)
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text")) \
@@ -327,14 +368,17 @@ def remove_repeats(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     place = F.xxhash64("h1", "h2", "at")
     again = found.groupBy("fp").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("fp")
     lists = found.join(again, "fp", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("ats"))
-    lists = lists.join(texts, key).select(*key, "rep", "ats")
+    lists = stored(lists.join(texts, key).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "rep", "ats"), "lists")
     # one document of each text
-    wide = long_.join(lists.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "rep", "ats"),
-                      (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    wide = joined_with_texts(long_, lists, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+                             & F.col("doc_id").eqNullSafe(F.col("rep")), "inner", "ats", 8)
     contexts = wide.select(*key, "text", "ats").mapInArrow(
         _emit_contexts(length, gram), "h1 long, h2 long, fp long, first long, lead long, ctx binary")
     contexts = stored(contexts.withColumn("c1", F.xxhash64("fp", "lead", "ctx")).withColumn("c2", F.xxhash64("ctx", "lead")),
                       "contexts")
+    for path in paths[:-1]:
+        remove_folder(spark, path)
+    del paths[:-1]
 
     ctx = ["c1", "c2"]
     one = stored(contexts.groupBy("fp", *ctx).agg(F.count(F.lit(1)).alias("n"), F.first("ctx").alias("ctx")), "distinct-contexts")
@@ -353,12 +397,19 @@ def remove_repeats(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     runs = cold.unionByName(warm).unionByName(whole)
 
     # runs of starts [a, b) of a context -> bytes of the text
-    spans = contexts.select(*key, "first", *ctx).join(runs, ctx).groupBy(*key).agg(F.collect_set(F.struct(
-        (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("b") + length - 1).alias("last"))).alias("spans"))
-    of_text = texts.select(*key, "copies").join(spans, key, "left")
-    return rows.join(of_text, key).select("doc_id", "text", "copies", "spans").mapInArrow(
+    spans = contexts.select(*key, "first", *ctx).join(runs, ctx).select(
+        *key, (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("b") + length - 1).alias("last"))
+    # only the texts that lose something
+    spans = texts.join(_merged(spans, key), key, "left").where("copies > 1 or spans is not null").select(
+        *key, "copies", F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>")).alias("spans"))
+    spans = stored(spans, "spans")
+    whole_texts = joined_with_texts(rows, spans, key, "left", "spans", 16)
+    left = stored(whole_texts.select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "spans").mapInArrow(
         _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-                      "removed array<struct<start:long,end:long>>")
+                      "removed array<struct<start:long,end:long>>"), "left")
+    for path in paths[:-1]:
+        remove_folder(spark, path)
+    return left
 
 
 def repeats_digest(found: DataFrame) -> DataFrame:

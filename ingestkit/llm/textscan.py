@@ -18,7 +18,9 @@ import pyarrow as pa
 _SEED = 20240607
 _POWER = np.uint64(0x9E3779B97F4A7C15)          # odd, hence invertible mod 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+# For writes that pass texts or sets through Python: bounds what a batch holds.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def _table(lower: bool) -> np.ndarray:
