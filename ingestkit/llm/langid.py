@@ -98,7 +98,8 @@ def train(rows: DataFrame, *, sample_per_language: int = 800, max_iter: int = 25
     sample = rows.select("text", "lang").join(F.broadcast(counts), "lang").where(draw < share)
     path = scratch_dir(spark, "langid-sample")
     sample.select("lang", "text").mapInArrow(_featurize, "lang string, x array<float>").write.parquet(path)
-    sample = spark.read.parquet(path)
+    # the sample is bounded: a few tasks a pass of the solver, not one a file
+    sample = spark.read.parquet(path).coalesce(4)
     langs = sorted(r.lang for r in sample.select("lang").distinct().collect())
     family = {x: FAMILIES.get(x, x) for x in langs}
     names = sorted(set(family.values()))
