@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from ingestkit.llm import textscan
 from ingestkit.session import remove_folder, scratch_dir, work_root
 
+MAX_BROADCAST_IDS = 2_000_000      # 16 MB of ids; beyond, the texts are shuffled by id
 WORD_LUT = textscan.word_bytes([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 
 
@@ -178,8 +179,11 @@ def cross_entropy_difference(documents: DataFrame, targets: DataFrame, *, doc_id
     held = spark.sparkContext.broadcast(vocabulary)
     remove_folder(spark, path)
 
-    chosen = targets.where(F.col(target_id).isNotNull()).select(F.col(target_id).cast("long").alias("__id")).distinct()
-    flagged = rows.join(chosen.withColumn("target", F.lit(True)), F.col("doc_id") == F.col("__id"), "left") \
+    chosen = targets.where(F.col(target_id).isNotNull()).select(F.col(target_id).cast("long").alias("__id")).distinct() \
+        .withColumn("target", F.lit(True))
+    if chosen.count() <= MAX_BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
+    flagged = rows.join(chosen, F.col("doc_id") == F.col("__id"), "left") \
         .select("text", F.coalesce("target", F.lit(False)).alias("target"))
     pairs = flagged.mapInArrow(_bigram_counts(held), "pair long, n long, t long") \
         .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
