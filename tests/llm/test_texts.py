@@ -199,3 +199,22 @@ def test_scores_equal_brute_force(spark, max_words, max_bigrams):
             assert r.loss_target is None and r.score is None
     assert lmscore.cross_entropy_difference(df.where("false"), target).count() == 0
     assert lmscore.cross_entropy_difference(df, target.where("false")).where("n_tokens > 0 and score is null").count() == 0
+
+
+def test_rare_words_and_bigrams_count_in_a_large_corpus(spark):
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choices("abcdefghij", k=rng.randint(0, 40)) + [f"rare{i}"] * (i % 7 == 0))) for i in range(60)]
+    docs += [(60, None), (61, "!!"), (62, "filler text " * 600_000)]    # seen once is a share below 2^-20
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    target = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id long")
+    want = _scores(docs, set(range(0, 60, 3)), 10**12, 10**12)
+    for sizes in ({}, {"block_tokens": 200, "bucket_keys": 10}):
+        out = lmscore.cross_entropy_difference(df, target, **sizes).collect()
+        assert len(out) == len(docs)
+        for r in out:
+            n, t, b = want[r.doc_id]
+            assert r.n_tokens == n
+            if n:
+                assert abs(r.loss_target - t) < 1e-9 and abs(r.loss_background - b) < 1e-9
+            else:
+                assert r.loss_target is None and r.score is None
