@@ -10,8 +10,8 @@ next stage's documents.  All but the last return the columns of documents.
 4. mix_sources: documents are repeated or left out for the target weights.
 5. shard: every copy gets a shard and a slot.
 
-Cases: null ids pass the second stage as they are; an empty table passes
-through; columns of any other name come along untouched.
+Cases: rows of one id, and rows without an id, are documents of their own in
+the second stage; an empty table passes through; columns of any other name come along untouched.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -323,3 +323,23 @@ def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
     kept = near_duplicates(documents, **options).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
     with_id = documents.where(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("__kept"), "left_semi")
     return with_id.dropDuplicates([doc_id]).unionByName(documents.where(F.col(doc_id).isNull()))
+
+
+def drop_near_copies(documents: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
+    """One row of each component of rows, that of the smallest id: rows of one
+    id are documents of their own, and those without an id are linked too."""
+    spark = documents.sparkSession
+    work_root(spark)
+    ids = documents.select(F.col(doc_id).cast("long").alias("__id"))
+    odd = ids.groupBy("__id").agg(F.count(F.lit(1)).alias("__n")).where("__id is null or __n > 1")
+    if odd.isEmpty():
+        return drop_near_duplicates(documents, doc_id=doc_id, **options)
+    path = scratch_dir(spark, "keyed-rows")       # read again with the same keys
+    with scoped_conf(spark, textscan.SMALL_BATCHES):
+        documents.withColumn("__key", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = near_duplicates(rows, doc_id="__key", **options).select(F.col("doc_id").alias("__key"), "component_id")
+    own = rows.select("__key", F.col(doc_id).cast("long").alias("__id")).join(found, "__key")
+    first = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__key")))
+    kept = own.groupBy("component_id").agg(first.alias("__first")).select(F.col("__first.__key").alias("__key"))
+    return rows.join(kept, "__key", "left_semi").select(*documents.columns)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ingestkit.llm import caps, minhash, repeats
 from ingestkit.llm.components import connected_components
 from ingestkit.session import work_root
@@ -90,6 +91,17 @@ def test_near_duplicates_of_odd_rows(spark):
     assert minhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    t = "a b c d e f g h"
+    docs = spark.createDataFrame([(None, t, 1), (3, "other words here", 2), (3, t, 3), (2, t, 4), (None, "no id at all", 5),
+                                  (None, "no id at all", 6), (7, "other words here", 7), (3, "others", 8)], "doc_id long, text string, n long")
+    stage = dict(corpus_pipeline.STAGES)["minhash_dedup"]
+    out = stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = {(r.doc_id, r.text) for r in out.collect()}
+    assert got == {(2, t), (3, "other words here"), (3, "others"), (None, "no id at all")} and out.count() == 4
+
+
 def test_union_estimate_is_exact_for_whole_sets():
     a, b = np.array([[1, 2, 3, 4, -1, -1]]), np.array([[2, 3, 9, 10, 11, -2]])
     assert minhash.union_estimates(a, b, 6)[0] == 2 / 6          # of the 6 smallest of 7: 2 shared
