@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir), works on all that the stage before
 kept and returns a DataFrame, which is written as Parquet and read back as the
 next stage's documents.  All but the last return the columns of documents.
 
-1. language_id: texts without a recognisable language (null, no letter) go.
+1. language_id: texts without a recognisable language (null, no letter) go,
+   also when there is no label to learn languages from.
 2. minhash_dedup: one document of each group of near copies stays.
 3. decontaminate: documents that hold a benchmark passage go.
 4. mix_sources: documents are repeated or left out for the target weights.
@@ -42,6 +43,8 @@ def _unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train_on(docs)
+    if not model["families"]:                     # no label to learn from
+        return langid.with_letter(docs)
     return _unpacked(langid.identify(_packed(docs), model).where(F.col("lang_pred") != langid.UNKNOWN), docs.columns)
 
 

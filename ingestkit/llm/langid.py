@@ -170,6 +170,14 @@ def identify(documents: DataFrame, model: dict, *, text: str = "text") -> DataFr
     return rows.mapInArrow(run, schema)
 
 
+def with_letter(documents: DataFrame, *, text: str = "text") -> DataFrame:
+    """The documents whose text has a letter."""
+    def run(batches):
+        for batch in textscan.chunks(batches, text):
+            yield batch.filter(pa.array(has_letter(*textscan.as_buffer(batch.column(text)))))
+    return documents.mapInArrow(run, documents.schema)
+
+
 def train_on(documents: DataFrame, **options) -> dict:
     """A model from the labelled documents that are not held out."""
     return train(documents.where(~held_out("doc_id")), **options)

@@ -50,6 +50,13 @@ def test_stages_keep_odd_rows_and_extra_columns(spark, tmp_path):
             assert None in ids and 9003 in ids and not ids & {9001, 9002}
 
 
+def test_language_stage_without_labels_keeps_texts_with_a_letter(spark):
+    docs = spark.createDataFrame([(1, "some words", None, "s", 1), (2, None, None, "s", 1), (3, "12 !", None, None, 1), (4, "\u00e9", None, "s", 1),
+                                  (None, "\u4e2d", None, "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, SF_SMALL)
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {1, 4, None}
+
+
 def test_library_works_without_the_subpackage(tmp_path):
     import shutil
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
