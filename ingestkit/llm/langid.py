@@ -9,9 +9,9 @@ language that wins most of its family's duels (ties: the larger sum of
 margins).  The score is the product of the family's and the duels' logistic
 confidences.
 
-``sample_per_language`` bounds the training rows: each language's rows pass a
-threshold of bound / count on the text's hash, so the sample is a fixed one of
-that expected size.  Prediction is one narrow pass over whole texts.
+``sample_per_language`` bounds the training rows: the distinct texts of each
+language with the smallest hashes, one row each, so the sample is a fixed one
+that copies of a text do not change.  Prediction is one narrow pass over whole texts.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; so is
 everything when there is no labelled row; with one language all texts with a
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
@@ -91,11 +91,16 @@ def train(rows: DataFrame, *, sample_per_language: int = 800, max_iter: int = 25
     spark = rows.sparkSession
     work_root(spark)
     rows = rows.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows_of"))
-    share = F.least(F.lit(1.0), F.lit(sample_per_language) / F.col("rows_of"))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1_000_000)) / 1_000_000
-    # one row a language
-    sample = rows.select("text", "lang").join(F.broadcast(counts), "lang").where(draw < share)
+    rows = rows.select("lang", "text", F.xxhash64(F.lit("langid"), "text").alias("h"))
+    texts = rows.select("lang", "h").distinct()
+    counts = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("texts_of"))
+    # four times as many as wanted, or all, are ranked
+    few = texts.join(F.broadcast(counts), "lang").where(
+        F.pmod("h", F.lit(1 << 40)) * F.col("texts_of").cast("double") <= F.lit(4.0 * sample_per_language * (1 << 40)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h"))
+    drawn = few.withColumn("rank", rank).where(F.col("rank") <= sample_per_language).select("lang", "h")
+    # at most sample_per_language rows a language
+    sample = rows.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("h", "lang")
     path = scratch_dir(spark, "langid-sample")
     sample.select("lang", "text").mapInArrow(_featurize, "lang string, x array<float>").write.parquet(path)
     # the sample is bounded: a few tasks a pass of the solver, not one a file

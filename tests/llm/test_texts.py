@@ -155,6 +155,17 @@ def test_languages(spark):
     assert {r.lang_pred for r in one} == {"fr"}
 
 
+def test_training_sample_is_bounded_and_has_every_language(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "remove_folder", lambda s, path: seen.append(path))
+    rows = [(f"word{i} le chat", "fr") for i in range(300)] + [(f"copies of a text {i}", "en") for i in range(2) for _ in range(2000)]
+    rows += [(f"der hund {i}", "de") for i in range(30) for _ in range(100)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), sample_per_language=20)
+    assert {x for m in model["members"].values() for x in m} == {"fr", "en", "de"}
+    count = {r.lang: r["count"] for r in spark.read.parquet(seen[0]).groupBy("lang").count().collect()}
+    assert count == {"fr": 20, "en": 2, "de": 20}
+
+
 # ---- LM scores
 
 def _scores(docs, target, max_words, max_bigrams, mix=0.7, add=0.5):
