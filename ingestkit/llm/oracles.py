@@ -155,3 +155,111 @@ FROM lowered LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 ORACLE |= {"op2_cap_filters": CAPS, "op3_minhash": MINHASH, "op9_decontaminate": DECONTAM}
+
+EXACT = r"""
+WITH bodies AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+groups_ AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM bodies GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM bodies JOIN groups_ USING (body)
+"""
+
+
+def _crc(table: str, column: str, name: str) -> str:
+    """CTEs: the CRC of a column's distinct texts, as ``name`` (body, crc)."""
+    return f"""
+bits AS (
+  SELECT i AS entry, i::BIGINT AS c, 0 AS step FROM range(256) r(i)
+  UNION ALL SELECT entry, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY entry) AS tab FROM bits WHERE step = 8),
+{name} AS (
+  SELECT body, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT {column}::VARCHAR AS body FROM {table} WHERE {column} IS NOT NULL), crc_table)"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || ({f}), '-')" for f in fields) + ")"
+
+
+def _levels(leaves: str, prefix: str, n: int) -> str:
+    """CTEs of n levels: a node alone in its tree is carried up unchanged."""
+    out = [f"{prefix}0 AS (SELECT tree, i, digest, count(*) OVER (PARTITION BY tree) AS c FROM {leaves})"]
+    for k in range(1, n + 1):
+        out.append(f"""{prefix}s{k} AS (
+  SELECT tree, i, CASE WHEN c = 1 THEN '' ELSE coalesce(string_agg(digest, '') OVER (PARTITION BY tree, i // 16 ORDER BY i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+         CASE WHEN c = 1 THEN '' ELSE coalesce(string_agg(digest, '') OVER (PARTITION BY tree, i // 16 ORDER BY i
+           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r, c > 1 AS up
+  FROM {prefix}{k - 1})""")
+        out.append(f"""{prefix}{k} AS (
+  SELECT tree, i, digest, count(*) OVER (PARTITION BY tree) AS c FROM (
+    SELECT tree, i // 16 AS i, CASE WHEN any_value(c) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY i)) END AS digest
+    FROM {prefix}{k - 1} GROUP BY tree, i // 16))""")
+    return ",\n".join(out)
+
+
+_HIGH, _UPPER = 6, 4            # 16**6 leaves a source, 16**4 sources
+
+
+def _merkle() -> str:
+    joins = "\n".join(f"JOIN lows{k} ON lows{k}.tree = named.tree AND lows{k}.i = named.i // {16**(k - 1)}" for k in range(1, _HIGH + 1)) + "\n" + \
+        "\n".join(f"JOIN tops{k} ON tops{k}.i = named.tree // {16**(k - 1)}" for k in range(1, _UPPER + 1))
+    steps = [f"lows{k}" for k in range(1, _HIGH + 1)] + [f"tops{k}" for k in range(1, _UPPER + 1)]
+    proof = " || ".join(f"{s}.l || {s}.r" for s in steps)
+    sides = ", ".join(f"{s}.l AS l{j}, {s}.r AS r{j}, {s}.up AS u{j}" for j, s in enumerate(steps))
+    folds = ",\n".join(f"fold{j + 1} AS (SELECT * EXCLUDE h, CASE WHEN u{j} THEN sha256(l{j} || h || r{j}) ELSE h END AS h FROM fold{j})"
+                       for j in range(len(steps)))
+    return f"""
+WITH RECURSIVE {_crc("documents", "doc_id", "crcs")},
+leaves AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN crc % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf("text")} END AS seen
+  FROM documents LEFT JOIN crcs ON body = doc_id::VARCHAR),
+named AS MATERIALIZED (
+  SELECT *, leaf AS digest, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves),
+{_levels("named", "low", _HIGH)},
+subroots AS (SELECT 0 AS tree, tree AS i, digest FROM low{_HIGH}),
+{_levels("subroots", "top", _UPPER)},
+fold0 AS (
+  SELECT doc_id, leaf, subroots.digest AS subroot, top{_UPPER}.digest AS root, sha256({proof}) AS proof_sha256, seen AS h, {sides}
+  FROM named JOIN subroots ON subroots.i = named.tree JOIN top{_UPPER} ON true
+{joins}),
+{folds}
+SELECT doc_id, leaf, subroot, root, proof_sha256, h AS folded_root, h = root AS verified FROM fold{len(steps)}
+"""
+
+
+TRIE = f"""
+WITH RECURSIVE {_crc("conversations", "conv_id", "crcs")},
+own AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS w
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+heads AS (SELECT conv_id, w, (crc % 9)::INT AS h FROM own JOIN crcs ON body = conv_id::VARCHAR),
+built AS (
+  SELECT heads.conv_id, coalesce(first_.w, [])[1:h] || heads.w[h + 1:] AS w
+  FROM heads LEFT JOIN own first_ ON first_.conv_id = heads.conv_id - heads.conv_id % 5),
+prefixes AS (
+  SELECT conv_id, d, len(w) = d AS ends, md5(w[1:d]::VARCHAR || d) AS node, md5(w[1:d - 1]::VARCHAR || (d - 1)) AS parent,
+         CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(w[d].text)) END AS n_bytes
+  FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT node, any_value(CASE WHEN d = 0 THEN NULL ELSE parent END) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(n_bytes) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent),
+above AS (
+  SELECT nodes.node AS low, prefixes.node AS high FROM nodes JOIN prefixes ON prefixes.conv_id = nodes.conv_id AND prefixes.d <= nodes.depth),
+totals AS (
+  SELECT high AS node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+  FROM above JOIN nodes ON nodes.node = low LEFT JOIN kids ON kids.node = low GROUP BY high)
+SELECT nodes.conv_id, nodes.depth, over_.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN totals USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes over_ ON over_.node = nodes.parent
+"""
+
+ORACLE |= {"op11_merkle": _merkle(), "op12_prefix_trie": TRIE, "op13_exact": EXACT}

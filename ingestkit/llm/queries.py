@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import caps, chat, decontam, langid, lmscore, minhash, mixing, repeats, sharding, tokencount
+from ingestkit.llm import (caps, chat, decontam, exact, langid, lmscore, merkle, minhash, mixing, repeats, sharding,
+                           tokencount, trie)
 from ingestkit.llm.oracles import ORACLE  # noqa: F401
 from ingestkit.session import work_root
 from ingestkit.workloads.common import table
@@ -74,6 +75,21 @@ def op10_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering: where 5 divides the checksum of the id, the text's A-Z are lower-cased."""
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.tamper_report(table(spark, sf_dir, "documents"), F.when(struck, merkle.lower_ascii(F.col("text"))))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = trie.prefix_trie(*trie.branch(trie.turn_rows(table(spark, sf_dir, "conversations"))))
+    return nodes.drop("name", "token")
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_cap_filters": op2_cap_filters,
@@ -85,4 +101,7 @@ QUERIES = {
     "op8_remove_repeats": op8_remove_repeats,
     "op9_decontaminate": op9_decontaminate,
     "op10_shard_tree": op10_shard_tree,
+    "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_exact": op13_exact,
 }
