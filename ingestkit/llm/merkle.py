@@ -153,6 +153,9 @@ def build_manifest(documents: DataFrame, *, fields: Sequence[str] = FIELDS, sour
                    carry: dict[str, Column] | None = None) -> Manifest:
     """The manifest over ``fields``; ``carry`` adds columns to the leaves."""
     work_root(documents.sparkSession)
+    clash = {"tree", "lo", "hi", "n", "digest", "path", "kids"} & set(carry or {})
+    if clash:
+        raise ValueError(f"carried columns have names of the manifest's own: {sorted(clash)}")
     leaves = documents.select(F.col(source).alias("__source"), F.col(order).alias("__order"),
                               leaf_digest(*[F.col(f) for f in fields]).alias("digest"),
                               *[c.alias(n) for n, c in (carry or {}).items()]).checkpoint()

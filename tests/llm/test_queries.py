@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 def test_one_query_an_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_dedup", "decontaminate", "mix_sources", "shard"]
     assert "pipeline" in queries() and "pipeline" in oracle_sql()
 
