@@ -13,10 +13,13 @@ Two semantics are offered:
 
 * ``mode="default"`` - only current rows are compared; history passes
   through untouched; keys and attributes are compared null-safely; a vanished key
-  is closed on ``as_of`` (full feed) instead of being dropped; staging is
-  reduced to one row per key; a late row (dated before the current version
-  began) changes nothing, so no interval ends before it starts.  Applying
-  the same feed twice is a no-op.
+  is closed on ``as_of`` (full feed) instead of being dropped, unless its
+  version begins after ``as_of``; staging is reduced to one row per key; a
+  late row (dated before the current version began or, for a key without a
+  current row, before its last version ended) changes nothing, and neither does
+  a row without a date, so no interval ends before it starts and none overlap.
+  Applying the same feed twice is a no-op.  Feeds with several changes a key,
+  and late rows that belong in the history: :mod:`ingestkit.operators.history`.
 * ``mode="compat"`` - the original job's results, row for row: every
   target row (history included) is compared with a null-unsafe ``<>``,
   rows classified DELETE are left out of the result, the new version
@@ -24,7 +27,10 @@ Two semantics are offered:
   times feed rows of a key, which a hot key makes large by definition).
 
 Plan shape: target and feed are joined by one full outer join (one scan and
-one shuffle a side, plus the feed's reduction).  A default-mode delta feed is
+one shuffle a side, plus the feed's reduction).  In the default mode the reduced
+feed also learns when a closed key ended: from (key, end) of the history rows
+that end after the feed's first date, which are few or none for a feed that is
+in time.  A default-mode delta feed is
 small against the dimension by nature, so it takes the split form of the join
 that lets Spark broadcast it (:mod:`ingestkit.operators.joins`).  Every joined
 row is turned into its 1-2 output rows by a single
@@ -40,6 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ingestkit.operators.joins import full_outer_join, split_outer_join
+from ingestkit.operators.merge import dedup_first
 
 # Fixed values used by the original jobs.
 HIGH_DATE = "9999-12-31"
@@ -48,6 +55,7 @@ ACTIONS = ("UPSERT", "DELETE", "INSERT", "NOACTION")
 
 _S_KEY = "__s_key"
 _S_MOD = "__s_mod"
+_S_ENDED = "__s_ended"          # when the key's last closed version ended
 
 
 def _s_attr(i: int) -> str:
@@ -96,7 +104,6 @@ def latest_per_key(stg: DataFrame, c: Scd2Columns) -> DataFrame:
     as a two-phase top-1 (partial before the shuffle, so a hot key is cut
     to one row per map task); its output is hash-partitioned by key, which
     the join reuses."""
-    from ingestkit.operators.merge import dedup_first
     payload = [_s_attr(i) for i in range(len(c.attrs))]
     return dedup_first(stg, [_S_KEY], [F.col(_S_MOD).desc_nulls_last()],
                        [F.col(p).desc_nulls_last() for p in payload])
@@ -107,6 +114,7 @@ def _join_with_staging(target: DataFrame, stg: DataFrame, c: Scd2Columns, *,
     """``target FULL OUTER JOIN staging ON key`` with presence markers."""
     tcols = c.target_columns + list(c.extra)
     s_cols = [_S_KEY, *[_s_attr(i) for i in range(len(c.attrs))], _S_MOD]
+    s_cols += [_S_ENDED] if _S_ENDED in stg.columns else []
     left = target.select(*tcols, F.lit(True).alias("__t_present"))
     right = stg.select(*s_cols, F.lit(True).alias("__s_present"))
     join = split_outer_join if small_feed else full_outer_join
@@ -131,12 +139,15 @@ def _compat_action(c: Scd2Columns) -> Column:
             .otherwise("NOACTION"))
 
 
-def _default_action(c: Scd2Columns, feed: str) -> Column:
+def _default_action(c: Scd2Columns, feed: str, as_of: Column) -> Column:
     n = len(c.attrs)
     changed = _any([~F.col(c.attrs[i]).eqNullSafe(F.col(_s_attr(i))) for i in range(n)])
-    return (F.when(F.col("__t_present").isNull(), "INSERT")
-            .when(F.col("__s_present").isNull(), "DELETE" if feed == "full" else "NOACTION")
-            .when(F.col(_S_MOD) < F.col(c.start), "NOACTION")      # late: older than this version
+    absent = F.when(F.col(c.start) > as_of, "NOACTION").otherwise("DELETE") if feed == "full" else F.lit("NOACTION")
+    undated = F.col(_S_MOD).isNull()
+    return (F.when(F.col("__t_present").isNull(),
+                   F.when(undated | (F.col(_S_MOD) < F.col(_S_ENDED)), "NOACTION").otherwise("INSERT"))
+            .when(F.col("__s_present").isNull(), absent)
+            .when(undated | (F.col(_S_MOD) < F.col(c.start)), "NOACTION")      # late: older than this version
             .when(changed, "UPSERT")
             .otherwise("NOACTION"))
 
@@ -146,7 +157,7 @@ def _is_current(c: Scd2Columns) -> Column:
 
 
 def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "compat",
-                     feed: str = "full", columns: Scd2Columns | None = None,
+                     feed: str = "full", columns: Scd2Columns | None = None, as_of: str | Column | None = None,
                      dedup_staging: bool | None = None, null_keys: bool = True) -> DataFrame:
     """Joined target/staging rows with an ``action`` column.
 
@@ -156,7 +167,7 @@ def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "comp
     part of this output).
     """
     c = columns or Scd2Columns()
-    joined, _history = _classified(target, staging, c, mode, feed, dedup_staging, null_keys)
+    joined, _history = _classified(target, staging, c, mode, feed, _as_date(as_of), dedup_staging, null_keys)
     out = [*c.target_columns, *c.extra,
            F.col(_S_KEY).alias(c.src_key),
            *[F.col(_s_attr(i)).alias(sa) for i, sa in enumerate(c.src_attrs)],
@@ -164,7 +175,21 @@ def classify_changes(target: DataFrame, staging: DataFrame, *, mode: str = "comp
     return joined.select(*out)
 
 
-def _classified(target, staging, c, mode, feed, dedup_staging, null_keys):
+def _as_date(as_of: str | Column | None) -> Column:
+    return F.current_date() if as_of is None else as_of if isinstance(as_of, Column) else F.to_date(F.lit(as_of))
+
+
+def _with_last_end(stg: DataFrame, history: DataFrame, c: Scd2Columns, null_keys: bool, feed_from) -> DataFrame:
+    """The reduced feed with the date on which the key's closed versions ended,
+    where that is after the feed's first date."""
+    since = stg.agg(F.min(_S_MOD)).scalar() if feed_from is None else F.lit(feed_from)
+    ended = history.where(F.col(c.end) > since).groupBy(F.col(c.key).alias("__h_key")).agg(F.max(c.end).alias(_S_ENDED))
+    same = F.col(_S_KEY).eqNullSafe(F.col("__h_key")) if null_keys else F.col(_S_KEY) == F.col("__h_key")
+    return stg.join(ended, same, "left").drop("__h_key")
+
+
+def _classified(target, staging, c, mode, feed, as_of, dedup_staging, null_keys, feed_from=None,
+                closed=None):
     if mode not in ("default", "compat"):
         raise ValueError(f"mode must be 'default' or 'compat', not {mode!r}")
     if feed not in ("full", "delta"):
@@ -181,9 +206,11 @@ def _classified(target, staging, c, mode, feed, dedup_staging, null_keys):
         return joined.withColumn("action", _compat_action(c)), None
     # default: a null key is one more key value, so a re-run finds its row
     live = _is_current(c)
+    history = target.where(~live)
+    stg = _with_last_end(stg, history if closed is None else closed, c, null_keys, feed_from)
     joined = _join_with_staging(target.where(live), stg, c, null_safe=null_keys,
                                 small_feed=feed == "delta")
-    return joined.withColumn("action", _default_action(c, feed)), target.where(~live)
+    return joined.withColumn("action", _default_action(c, feed, as_of)), history
 
 
 def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
@@ -191,21 +218,24 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
                columns: Scd2Columns | None = None, high_date: str = HIGH_DATE,
                insert_source_code: str = INSERT_SOURCE_CODE,
                dedup_staging: bool | None = None, flag_deletes: bool = False,
-               order_by_key: bool = False, null_keys: bool = True) -> DataFrame:
+               order_by_key: bool = False, null_keys: bool = True, feed_from=None,
+               closed: DataFrame | None = None) -> DataFrame:
     """The dimension after applying ``staging``; see the module docstring.
 
     ``as_of`` is the close date of deleted keys (full feed, default mode);
     it defaults to ``current_date()``, which is not reproducible, so pass
     it explicitly in jobs that must be re-runnable.  ``null_keys=False`` says
     that the key is never null: the join then compares with plain ``=`` and
-    keeps a dimension bucketed by key where it is.
+    keeps a dimension bucketed by key where it is.  ``feed_from`` (a date) says
+    that no feed row is dated earlier, so that the filter on history reaches the
+    scan; without it Spark finds the date first.  ``closed`` are the history rows
+    when ``target`` holds current rows only (they are looked up, not returned).
     """
     c = columns or Scd2Columns()
-    joined, history = _classified(target, staging, c, mode, feed, dedup_staging, null_keys)
+    as_of_col = _as_date(as_of)
+    joined, history = _classified(target, staging, c, mode, feed, as_of_col, dedup_staging, null_keys, feed_from, closed)
     tt = _types(target)
     n = len(c.attrs)
-    as_of_col = (F.current_date() if as_of is None
-                 else as_of if isinstance(as_of, Column) else F.to_date(F.lit(as_of)))
     high = F.to_date(F.lit(high_date))
 
     def row(key, attrs, mod, src_cd, current, start, end, deleted):
@@ -237,8 +267,9 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
     action = F.col("action")
     emitted = (F.when(action == "UPSERT", F.array(closed, new_version))
                .when(action == "INSERT", F.array(inserted))
-               .when(action == "NOACTION", F.array(keep)))
+               .when((action == "NOACTION") & F.col("__t_present"), F.array(keep)))
     if mode == "default":
+        # a late or undated row of a key without a current row adds nothing
         emitted = emitted.when(action == "DELETE", F.array(deleted))
     # compat: DELETE rows produce nothing (the original union leaves them out)
     out_cols = c.target_columns + list(c.extra) + (["is_deleted"] if flag_deletes else [])
@@ -255,45 +286,10 @@ def scd2_apply(target: DataFrame, staging: DataFrame, *, feed: str = "full",
 
 
 def scd2_write_back(target_table: str, staging: DataFrame, **options) -> dict[str, object]:
-    """Apply ``staging`` to a dimension *table* and store the result.
-
-    A table partitioned by the current flag (default mode) keeps its history
-    in place: only current rows are read and replaced, newly closed rows are
-    appended.  Closed rows go first, without those that are there already, and
-    the current partition is overwritten last, so a run that was interrupted can
-    be repeated.  Any other table is replaced as a whole.
-
-    Either way the new rows are staged under the work root first, because Spark
-    refuses to overwrite a table it is reading; the staged copy is deleted once
-    the table is written.  With the default semantics a repeated run with the
-    same feed leaves the table as it is.
-    """
-    from ingestkit.session import remove_folder, scratch_dir
-    from ingestkit.sinks.tables import _partition_columns, append_table, replace_from_staged
-
-    spark = staging.sparkSession
-    c = options.get("columns") or Scd2Columns()
-    stage = scratch_dir(spark, "scd2-stage")
-    if _partition_columns(spark, target_table) != [c.is_current] or options.get("mode") == "compat":
-        scd2_apply(spark.table(target_table), staging, **options).write.parquet(stage)
-        replace_from_staged(spark.read.parquet(stage), target_table)
-        remove_folder(spark, stage)
-        return {"table": target_table, "replaced": "table"}
-    live = spark.table(target_table).where(F.col(c.is_current))
-    scd2_apply(live, staging, **options).write.partitionBy(c.is_current).parquet(stage)
-    new = spark.read.schema(spark.table(target_table).schema).parquet(stage)
-    closed = new.where(~F.col(c.is_current))
-    held = spark.table(target_table).where(~F.col(c.is_current))
-    again = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in (c.key, c.start, c.end)]
-    held = held.select(*[F.col(k).alias(f"__{k}") for k in (c.key, c.start, c.end)])
-    append_table(closed.join(held, _all(again), "left_anti").select(*new.columns), target_table)
-    current = new.where(F.col(c.is_current))
-    if current.isEmpty():      # every key was closed
-        spark.sql(f"ALTER TABLE {target_table} DROP IF EXISTS PARTITION (`{c.is_current}` = true)")
-    else:
-        replace_from_staged(current, target_table, partitions_only=True)
-    remove_folder(spark, stage)
-    return {"table": target_table, "replaced": "current rows"}
+    """Apply a feed to a dimension table: :func:`ingestkit.operators.dimension.write_back`."""
+    from ingestkit.operators.dimension import write_back
+
+    return write_back(target_table, staging, **options)
 
 
 def scd2_view(target_table: str, staging_table: str, *, view: str = "merged_cdc",

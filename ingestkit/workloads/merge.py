@@ -67,17 +67,19 @@ def merge_column_list(spark, sf_dir):
 
 
 LANDED_MONTHS = ["1996_01", "1996_02", "1996_03"]
+LANDED_BEFORE = "1996-02-15"
 
 
 def merge_partitioned_landing(spark, sf_dir):
     # the source is a landing table partitioned by month, of which the merge
-    # reads some months; the target holds the lines with an even order key
+    # reads some months; the target is an earlier load, the lines shipped before
+    # the middle of February
     li = table(spark, sf_dir, "lineitem")
     name = unique_table(spark, "landing")
     with staging():
         (li.withColumn("year_mon", F.date_format("l_shipdate", "yyyy_MM")).write.partitionBy("year_mon")
            .format("parquet").option("path", scratch_dir(spark, "tbl-landing")).saveAsTable(name))
-    target = li.where("l_orderkey % 2 = 0")
+    target = li.where(F.col("l_shipdate") < F.lit(LANDED_BEFORE).cast("date"))
     landed = spark.table(name).where(F.col("year_mon").isin(LANDED_MONTHS)).drop("year_mon")
     return merge_insert_only(target, landed, KEYS, order_by=ORDER, tie_breakers=TIES)
 
@@ -124,7 +126,7 @@ SELECT {", ".join(LISTED)}, {_MISSING} FROM src WHERE NOT EXISTS (
     AND tgt.l_orderkey = src.l_orderkey AND tgt.l_linenumber = src.l_linenumber)
 """,
     "merge_partitioned_landing": f"""
-WITH tgt AS (SELECT * FROM lineitem WHERE l_orderkey % 2 = 0),
+WITH tgt AS (SELECT * FROM lineitem WHERE l_shipdate < DATE '{LANDED_BEFORE}'),
 src AS ({_DEDUP.format(where="WHERE strftime(l_shipdate, '%Y_%m') IN ('1996_01', '1996_02', '1996_03')")})
 SELECT * FROM tgt
 UNION ALL

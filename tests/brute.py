@@ -48,25 +48,62 @@ def _latest(staging):
 def scd2_default(target, staging, feed, as_of):
     current = [t for t in target if t[4] is True]
     out = [t for t in target if t[4] is not True]
+    ended = {}
+    for t in out:
+        if t[6] is not None:
+            ended[t[0]] = max(t[6], ended.get(t[0], t[6]))
     stg = _latest(staging)
     cur_keys = {t[0] for t in current}
     for t in current:
         if t[0] not in stg:
-            out.append((t[0], t[1], t[2], t[3], False, t[5], as_of) if feed == "full" else t)
+            gone = feed == "full" and not (t[5] is not None and t[5] > as_of)
+            out.append((t[0], t[1], t[2], t[3], False, t[5], as_of) if gone else t)
             continue
         s = stg[t[0]]
-        late = s[2] is not None and t[5] is not None and s[2] < t[5]
+        late = s[2] is None or (t[5] is not None and s[2] < t[5])
         if late or t[1] == s[1]:
             out.append(t)
         else:
             out.append((t[0], t[1], t[2], t[3], False, t[5], s[2]))
             out.append((t[0], s[1], s[2], t[3], True, s[2], H))
     for k, s in stg.items():
-        if k not in cur_keys:
+        if k not in cur_keys and s[2] is not None and not (k in ended and s[2] < ended[k]):
             out.append((k, s[1], s[2], "bronze_data", True, s[2], H))
     return out
 
 
+def spliced(target, changes):
+    """The timeline of every key, rebuilt from versions and changes."""
+    rank = lambda a: (a is not None, a or "")
+    out, lines = [], {}
+    for t in target:
+        if t[5] is None or t[6] is None or t[5] >= t[6]:
+            out.append(t)
+            continue
+        line = lines.setdefault(t[0], {})
+        line.setdefault(t[5], []).append((rank(t[1]), 1, t))
+        if t[6] < H:
+            line.setdefault(t[6], []).append(None)
+    for c in changes:
+        if c[2] is not None:
+            lines.setdefault(c[0], {}).setdefault(c[2], []).append((rank(c[1]), 0, c))
+    for key, line in lines.items():
+        dates, code = sorted(line), None
+        for i, d in enumerate(dates):
+            best = max((x for x in line[d] if x is not None), default=None, key=lambda x: x[:2])
+            if None in line[d]:
+                code = "bronze_data"
+            if best is None:
+                continue
+            until = dates[i + 1] if i + 1 < len(dates) else H
+            if best[1]:
+                _, attr, mod, code = best[2][:4]
+            else:
+                attr, mod, code = best[2][1], best[2][2], code or "bronze_data"
+            out.append((key, attr, mod, code, i + 1 == len(dates), d, until))
+    return out
+
+
 def _first(rows, keyf, orderf):
     best = {}
     for r in rows:

@@ -14,6 +14,8 @@ TGT = ("sk_id long, attr string, mod_dt date, data_src_cd string, is_current boo
 STG = "src_id long, src_attr string, src_mod_dt date"
 D = [dt.date(2020, 1, 1), dt.date(2021, 1, 1), dt.date(2021, 6, 1)]
 AS_OF = dt.date(2022, 1, 1)
+# feed dates, starts, ends and the close date all fall in one range
+DAYS = [dt.date(2021, m, 1) for m in range(1, 7)]
 
 keys = st.one_of(st.none(), st.integers(0, 4))
 attrs = st.sampled_from([None, "a", "b"])
@@ -75,3 +77,39 @@ def test_invariants_on_a_valid_dimension(spark, dim, staging, feed):
     assert all(r.eff_start_dt <= r.eff_end_dt for r in once.collect() if r.sk_id is not None)
     twice = _spark_rows(scd2_apply(once, s, feed=feed, as_of=AS_OF.isoformat()))
     assert _norm(twice) == _norm(_spark_rows(once))
+
+
+days = st.sampled_from(DAYS)
+
+
+@st.composite
+def dimensions(draw):
+    """Per key up to two closed versions and perhaps a current one, in order."""
+    rows = []
+    for key in draw(st.lists(keys, unique_by=lambda k: (k is None, k), max_size=4)):
+        cuts = sorted(draw(st.lists(days, min_size=1, max_size=4, unique=True)))
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if i < 2 and draw(st.booleans()):
+                rows.append((key, draw(attrs), a, "src", False, a, b))
+        if draw(st.booleans()):
+            rows.append((key, draw(attrs), cuts[-1], "src", True, cuts[-1], H))
+    return rows
+
+
+feeds = st.lists(st.tuples(keys, attrs, st.one_of(st.none(), days)), max_size=6)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=dimensions(), staging=feeds, feed=st.sampled_from(["full", "delta"]), as_of=days)
+def test_dates_of_one_range(spark, target, staging, feed, as_of):
+    t, s = spark.createDataFrame(target, TGT), spark.createDataFrame(staging, STG)
+    got = _spark_rows(scd2_apply(t, s, feed=feed, as_of=as_of.isoformat()))
+    assert _norm(got) == _norm(scd2_default(target, staging, feed, as_of))
+    by_key = {}
+    for r in got:
+        assert r[5] <= r[6], r                                  # no interval ends before it starts
+        by_key.setdefault(r[0], []).append(r)
+    for rows in by_key.values():
+        rows.sort(key=lambda r: (r[5], r[6]))
+        assert all(a[6] <= b[5] for a, b in zip(rows, rows[1:])), rows      # none overlap
+        assert sum(r[4] is True for r in rows) <= 1
