@@ -215,15 +215,11 @@ def prefix_trie(turns: DataFrame, members: DataFrame) -> DataFrame:
     paths = _paths(stretches, stage)
     kids = stage(paths[0].groupBy("root").agg(F.count(F.lit(1)).alias("n_children")), "children")
     bytes_of = turns.select("conv_id", F.col("at").alias("j"), "n_bytes")
-    nodes = stage(
-        paths[0].join(bytes_of, ["conv_id", "j"]).join(kids.select(F.col("root").alias("end"), "n_children"), "end", "left")
-        .select("root", "end", "g", "conv_id", "j", "n", "last", F.coalesce("n_children", F.lit(0)).alias("n_children"),
-                ((F.col("n") - 1) * F.col("n_bytes")).alias("saved")), "nodes")
-    below = _below(nodes, paths, stage)
-
-    root = _root_row(members).join(kids.select(F.col("root").alias("end"), "n_children"), "end", "left") \
-        .withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    every = stage(nodes.unionByName(root), "all-nodes")
+    found = paths[0].join(bytes_of, ["conv_id", "j"]).select(
+        "root", "end", "g", "conv_id", "j", "n", "last", ((F.col("n") - 1) * F.col("n_bytes")).alias("saved"))
+    every = stage(found.unionByName(_root_row(members)).join(kids.select(F.col("root").alias("end"), "n_children"), "end", "left")
+                  .withColumn("n_children", F.coalesce("n_children", F.lit(0))), "nodes")
+    below = _below(every.where("j >= 0"), paths, stage)
     parents = stage(every.where("n_children > 0").select(F.col("end").alias("root"), F.col("conv_id").alias("parent_conv_id")), "parents")
 
     whole = stretches[depth].select("conv_id", "g").unionByName(
