@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ingestkit.operators.cdc import HIGH_DATE, Scd2Columns, scd2_apply
 from ingestkit.session import remove_folder, scratch_dir
 from ingestkit.sinks import files
-from ingestkit.sinks.ledger import DONE, DROPPED, OPEN, STAGED, RunLedger
+from ingestkit.sinks.ledger import DONE, DROPPED, OPEN, STAGED, Run, RunLedger
 from ingestkit.sinks.tables import _describe, _partition_columns, replace_from_staged
 
 
@@ -54,24 +54,28 @@ def switch_partition(spark: SparkSession, table: str, spec: dict[str, object], f
     spark.catalog.refreshTable(table)
 
 
-def _clear(spark: SparkSession, ledger: RunLedger, root: str, flag: str, keep: set[str]) -> None:
+def _clear(spark: SparkSession, runs: list[Run], root: str, flag: str, keep: set[str]) -> None:
     """Remove the folders of earlier runs, but for those in ``keep``."""
-    for r in ledger.runs():
-        if r.state in (DONE, DROPPED) and r.place and r.place not in keep:
+    for r in runs:
+        if r.state in (DONE, DROPPED) and r.place not in keep:
             files.delete(spark, r.place)
-    if all(place != f"{root}/{flag}=true" for place in keep):
+    if f"{root}/{flag}=true" not in keep:
         files.delete(spark, f"{root}/{flag}=true")
 
 
-def finish_runs(spark: SparkSession, table: str, ledger: RunLedger, flag: str) -> None:
-    """Finish the runs that were cut after they had stored their rows, drop the others."""
-    for r in ledger.unfinished():
+def finish_runs(spark: SparkSession, table: str, ledger: RunLedger, flag: str) -> list[Run]:
+    """Finish the runs that were cut after they had stored their rows, drop the
+    others; returns all runs so far."""
+    found = []
+    for r in ledger.runs():
         if r.state == STAGED:
             _publish(spark, table, flag, r.run, r.place)
-            ledger.record(r.run, r.feed_id, DONE, r.place)
-        else:
+            r = ledger.mark(r, DONE)
+        elif r.state == OPEN:
             files.delete(spark, r.place)
-            ledger.record(r.run, r.feed_id, DROPPED, r.place)
+            r = ledger.mark(r, DROPPED)
+        found.append(r)
+    return found
 
 
 def write_back(target_table: str, staging: DataFrame, *, feed_id: str | None = None, **options) -> dict[str, object]:
@@ -85,31 +89,30 @@ def write_back(target_table: str, staging: DataFrame, *, feed_id: str | None = N
     """
     spark = staging.sparkSession
     c = options.get("columns") or Scd2Columns()
-    if _partition_columns(spark, target_table) != [c.is_current] or options.get("mode") == "compat":
+    flag = c.is_current
+    if _partition_columns(spark, target_table) != [flag] or options.get("mode") == "compat":
         return _replace_whole(spark, target_table, staging, options)
-    ledger = RunLedger(spark, target_table)
-    finish_runs(spark, target_table, ledger, c.is_current)
-    if feed_id is not None and ledger.is_done(feed_id):
+    info = _describe(spark, target_table)
+    root, provider = info["Location"].rstrip("/"), (info.get("Provider") or "parquet").lower()
+    ledger = RunLedger(spark, root + "__runs")
+    earlier = finish_runs(spark, target_table, ledger, flag)
+    if feed_id is not None and any(r.state == DONE and r.feed_id == feed_id for r in earlier):
         return {"table": target_table, "replaced": "nothing", "feed_id": feed_id}
 
-    info = _describe(spark, target_table)
-    root, provider = files.table_location(spark, target_table), (info.get("Provider") or "parquet").lower()
-    run = files.new_id("run")
-    place = f"{root}/{run}"
-    ledger.record(run, feed_id, OPEN, place)
+    name = files.new_id("run")
+    run = ledger.begin(feed_id, name, f"{root}/{name}")
     table = spark.table(target_table)
     began = staging.agg(F.min(F.col(c.src_mod_dt).cast(table.schema[c.end].dataType))).first()[0]
-    closed = table.where(~F.col(c.is_current))
-    result = scd2_apply(table.where(F.col(c.is_current)), staging, closed=closed,
+    result = scd2_apply(table.where(F.col(flag)), staging, closed=table.where(~F.col(flag)),
                         feed_from=began if began is not None else HIGH_DATE, **options)
-    result.select(*table.columns).write.partitionBy(c.is_current).format(provider).save(place)
-    ledger.record(run, feed_id, STAGED, place)
-
-    before = f"{root}/{c.is_current}=true"
-    if spark.sql(f"SHOW PARTITIONS {target_table} {files.spec_sql({c.is_current: True})}").count():
-        before = files.partition_location(spark, target_table, {c.is_current: True})
-    _publish(spark, target_table, c.is_current, run, place)
-    ledger.record(run, feed_id, DONE, place)
-    previous = before.removesuffix(f"/{c.is_current}=true")
-    _clear(spark, ledger, root, c.is_current, {place, previous if previous != root else before})
-    return {"table": target_table, "replaced": "current rows", "run": run, "feed_id": feed_id}
+    result.select(*table.columns).write.partitionBy(flag).format(provider).save(run.place)
+    run = ledger.mark(run, STAGED)
+
+    before = f"{root}/{flag}=true"
+    if spark.sql(f"SHOW PARTITIONS {target_table} {files.spec_sql({flag: True})}").count():
+        before = files.partition_location(spark, target_table, {flag: True})
+    _publish(spark, target_table, flag, run.run, run.place)
+    ledger.mark(run, DONE)
+    previous = before.removesuffix(f"/{flag}=true")
+    _clear(spark, earlier, root, flag, {run.place, previous if previous != root else before})
+    return {"table": target_table, "replaced": "current rows", "run": run.run, "feed_id": feed_id}

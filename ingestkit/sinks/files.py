@@ -50,6 +50,27 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete as soon as it is visible."""
+    fs, where = _path(spark, path)
+    hidden = _path(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}")[1]
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(where, False)
+    if not fs.rename(hidden, where):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _path(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")

@@ -1,48 +1,62 @@
-"""A small table of runs beside a target table.
+"""A ledger of the runs that write to a table.
 
-Every step of a run is a row (run, feed_id, state, place, at): the run is open
-while it computes its rows, staged once they are stored under ``place``, and
-done when the target shows them.  A run that was cut between staged and done is
-finished from what it stored; one that was cut before is dropped.  The ledger
-holds a few rows a run and is the only thing that a repeat has to read.
+A run has one small JSON file in a folder beside the table: run, feed_id, state
+and place.  It is open while it computes its rows, staged once they are stored
+under ``place``, and done when the target shows them.  A run that was cut between
+staged and done is finished from what it stored; one that was cut before is
+dropped.  The file is replaced at every step, so the ledger has one entry a run
+and is the only thing that a repeat has to read; ``spark.read.json`` reads it too.
 
-One writer a target at a time.
+One writer a table at a time.
 """
 
 from __future__ import annotations
 
+import json
 import time
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import SparkSession
 
-from ingestkit.sinks.tables import table_exists
+from ingestkit.sinks import files
 
 OPEN, STAGED, DONE, DROPPED = "open", "staged", "done", "dropped"
-_ORDER = {OPEN: 0, STAGED: 1, DONE: 2, DROPPED: 2}
-_SCHEMA = "run string, feed_id string, state string, place string, at double"
+
+
+@dataclass(frozen=True)
+class Run:
+    run: str
+    feed_id: str | None
+    state: str
+    place: str
+    began: float
 
 
 class RunLedger:
-    def __init__(self, spark: SparkSession, target: str, suffix: str = "__runs"):
-        self.spark, self.name = spark, target + suffix
-        if not table_exists(spark, self.name):
-            spark.createDataFrame([], _SCHEMA).write.format("parquet").saveAsTable(self.name)
-
-    def record(self, run: str, feed_id: str | None, state: str, place: str | None) -> None:
-        row = self.spark.createDataFrame([(run, feed_id, state, place, time.time())], _SCHEMA)
-        row.coalesce(1).write.mode("append").saveAsTable(self.name)
-
-    def runs(self) -> list:
-        """The last row of every run, in the order in which they began."""
-        self.spark.catalog.refreshTable(self.name)
-        last, began = {}, {}
-        for r in sorted(self.spark.table(self.name).collect(), key=lambda r: (r.at, _ORDER[r.state])):
-            last[r.run] = r
-            began.setdefault(r.run, r.at)
-        return sorted(last.values(), key=lambda r: began[r.run])
-
-    def unfinished(self) -> list:
-        return [r for r in self.runs() if _ORDER[r.state] < 2]
-
-    def is_done(self, feed_id: str) -> bool:
-        return any(r.state == DONE and r.feed_id == feed_id for r in self.runs())
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        files.make_folder(spark, folder)
+
+    @classmethod
+    def of_table(cls, spark: SparkSession, table: str) -> RunLedger:
+        return cls(spark, files.table_location(spark, table) + "__runs")
+
+    def _write(self, run: Run) -> Run:
+        files.write_text(self.spark, f"{self.folder}/{run.run}.json", json.dumps(asdict(run)))
+        return run
+
+    def begin(self, feed_id: str | None, run: str, place: str) -> Run:
+        return self._write(Run(run, feed_id, OPEN, place, time.time()))
+
+    def mark(self, run: Run, state: str) -> Run:
+        return self._write(replace(run, state=state))
+
+    def runs(self) -> list[Run]:
+        """All runs in the order in which they began."""
+        found = [Run(**json.loads(files.read_text(self.spark, f"{self.folder}/{name}")))
+                 for name, _ in files.data_files(self.spark, self.folder)]
+        return sorted(found, key=lambda r: r.began)
+
+    def forget(self, runs: list[Run]) -> None:
+        for r in runs:
+            files.delete(self.spark, f"{self.folder}/{r.run}.json")

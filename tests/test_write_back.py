@@ -93,7 +93,7 @@ def test_a_cut_run_can_be_repeated(spark, monkeypatch, where):
     for _ in range(2):
         scd2_write_back(name, feed, as_of="2021-04-01", feed_id="f1")
         assert _rows(spark.table(name)) == want
-    states = Counter(r.state for r in RunLedger(spark, name).runs())
+    states = Counter(r.state for r in RunLedger.of_table(spark, name).runs())
     assert states == ({DONE: 1, DROPPED: 1} if where == "before storing" else {DONE: 1})
 
 
