@@ -30,12 +30,15 @@ def to_avro(data: Column, schema: str = "") -> Column:
     return A.to_avro(data, schema)
 
 
-def from_avro(value: Column, schema: str, mode: str = "FAILFAST") -> Column:
-    """Avro binary decoded with the reader's schema."""
+def from_avro(value: Column, writer_schema: str, reader_schema: str | None = None, mode: str = "FAILFAST") -> Column:
+    """Avro binary decoded with the schema it was written with, and resolved to
+    ``reader_schema`` by field names (Avro itself is positional: decoding with
+    the reader's schema alone would swap fields that changed places)."""
     from pyspark.sql.avro import functions as A
 
     _require_module()
-    return A.from_avro(value, schema, {"mode": mode})
+    options = {"mode": mode} | ({"avroSchema": reader_schema} if reader_schema else {})
+    return A.from_avro(value, writer_schema, options)
 
 
 def message_struct(data: str, fields: list[str]) -> Column:

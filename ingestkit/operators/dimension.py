@@ -25,6 +25,7 @@ from ingestkit.operators.cdc import HIGH_DATE, Scd2Columns, scd2_apply
 from ingestkit.session import remove_folder, scratch_dir
 from ingestkit.sinks import files
 from ingestkit.sinks.ledger import DONE, DROPPED, OPEN, STAGED, Run, RunLedger
+from ingestkit.sinks.publish import switch_partition
 from ingestkit.sinks.tables import _describe, _partition_columns, replace_from_staged
 
 
@@ -46,14 +47,6 @@ def _publish(spark: SparkSession, table: str, flag: str, run: str, place: str) -
     switch_partition(spark, table, {flag: True}, f"{place}/{flag}=true")
 
 
-def switch_partition(spark: SparkSession, table: str, spec: dict[str, object], folder: str) -> None:
-    """Point one partition at a folder: one catalog call."""
-    files.make_folder(spark, folder)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {files.spec_sql(spec)} LOCATION '{folder}'")
-    spark.sql(f"ALTER TABLE {table} {files.spec_sql(spec)} SET LOCATION '{folder}'")
-    spark.catalog.refreshTable(table)
-
-
 def _clear(spark: SparkSession, runs: list[Run], root: str, flag: str, keep: set[str]) -> None:
     """Remove the folders of earlier runs, but for those in ``keep``."""
     for r in runs:

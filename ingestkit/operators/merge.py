@@ -58,6 +58,8 @@ def _bounds(col: Column, lower, upper) -> Column:
 
 
 # What stands for null in a key column, next to a flag that says so.
+_SIMPLE = ("string", "date", "timestamp", "timestamp_ntz", "boolean", "binary", "tinyint", "smallint", "int", "bigint",
+           "float", "double", "decimal")
 _STAND_IN = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
              "timestamp_ntz": "1970-01-01 00:00:00", "boolean": "false", "binary": ""}
 
@@ -71,15 +73,56 @@ def _key_parts(df: DataFrame, keys: Sequence[str], prefix: str, null_safe: bool)
             out.append(F.col(k).alias(f"{prefix}{i}"))
             continue
         kind = df.schema[k].dataType
+        if kind.simpleString().split("(")[0] not in _SIMPLE:
+            raise ValueError(f"key {k} is of type {kind.simpleString()}; merge keys are of simple types")
         stand_in = F.lit(_STAND_IN.get(kind.simpleString().split("(")[0], "0")).cast(kind)
         out += [F.coalesce(F.col(k), stand_in).alias(f"{prefix}{i}"), F.col(k).isNull().alias(f"{prefix}{i}n")]
     return out
 
 
+FILTER_BYTES = 8 << 20          # of the key filter, whatever the number of keys
+_PIECE = 4096                   # bytes of one bitmap
+MAX_PARTITION_VALUES = 10_000
+
+
+def _slot(parts: Sequence[str], filter_bytes: int) -> Column:
+    return F.pmod(F.xxhash64(*parts), F.lit(filter_bytes * 8))
+
+
+def with_key_filter(target: DataFrame, source: DataFrame, target_keys: Sequence[str], source_keys: Sequence[str],
+                    filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """The target rows whose key may be in the source: a Bloom filter of the
+    source's keys, built by an aggregation of bitmaps (one hash, so many keys make
+    it let more rows pass) and broadcast: at most ``filter_bytes``, however large
+    the source is."""
+    slots = source.select(_slot(source_keys, filter_bytes).alias("__slot"))
+    pieces = slots.groupBy(F.expr(f"__slot div {_PIECE * 8}").alias("__piece")).agg(
+        F.bitmap_construct_agg(F.expr(f"__slot % {_PIECE * 8}")).alias("__bits"))
+    marked = target.withColumn("__slot", _slot(target_keys, filter_bytes))
+    marked = marked.join(F.broadcast(pieces), F.expr(f"__slot div {_PIECE * 8}") == F.col("__piece"))
+    at = F.expr(f"cast((__slot % {_PIECE * 8}) div 8 as int)") + 1
+    byte = F.conv(F.hex(F.substring("__bits", at, F.lit(1))), 16, 10).cast("int")
+    return marked.where(F.getbit(byte, F.expr("cast(__slot % 8 as int)")) == 1).select(*target.columns)
+
+
+def with_source_partitions(target: DataFrame, source: DataFrame, partition_keys: Sequence[str],
+                           limit: int = MAX_PARTITION_VALUES) -> DataFrame:
+    """The target's partitions that the source has rows for, as a filter that
+    reaches the scan.  ``partition_keys`` are merge keys that the target is
+    partitioned by.  Beyond ``limit`` values a column is not filtered."""
+    for key in partition_keys:
+        values = [r[0] for r in source.select(key).distinct().limit(limit + 1).collect()]
+        if len(values) <= limit:
+            there = F.col(key).isin([v for v in values if v is not None])
+            target = target.where(there | F.col(key).isNull() if None in values else there)
+    return target
+
+
 def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                    order_by: Sequence[str | Column], tie_breakers: Sequence[str | Column] = (),
                    bound_column: str | None = None, lower=None, upper=None,
-                   mode: str = "default", columns: Sequence[str] | None = None) -> DataFrame:
+                   mode: str = "default", columns: Sequence[str] | None = None,
+                   partition_keys: Sequence[str] = (), key_filter: bool = False) -> DataFrame:
     """The rows an insert-only merge adds to ``target`` (not yet appended),
     in the target's columns.
 
@@ -87,6 +130,12 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     inserted.  ``lower``/``upper`` form the half-open window ``[lower, upper)``
     on ``bound_column`` for both sides.  ``columns`` is the insert column list
     (default: all); the target's other columns are null in the inserted rows.
+
+    A source that is small against the target can prune it, at the price of
+    reading the source once more for each: ``partition_keys`` (merge keys that
+    the target is partitioned by) skips partitions without a source row, and
+    ``key_filter`` drops target rows before their shuffle by a Bloom filter of the
+    source's keys.  The exact join decides either way.
     """
     if mode not in ("default", "compat"):
         raise ValueError(f"mode must be 'default' or 'compat', not {mode!r}")
@@ -106,7 +155,14 @@ def merge_new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     tgt = target
     if bound_column is not None:
         tgt = tgt.where(_bounds(F.col(bound_column), lower, upper))
-    there = tgt.select(*_key_parts(target, keys, "__t", null_safe)).distinct()
+    if set(partition_keys) - set(keys):
+        raise ValueError(f"partition_keys must be merge keys: {sorted(set(partition_keys) - set(keys))}")
+    incoming = source.where(_bounds(F.col(bound_column), lower, upper)) if null_safe and bound_column is not None else source
+    tgt = with_source_partitions(tgt, incoming, partition_keys)
+    held = tgt.select(*_key_parts(target, keys, "__t", null_safe))
+    if key_filter:
+        held = with_key_filter(held, incoming.select(*parts), held.columns, names)
+    there = held.distinct()
     on = reduce(lambda x, y: x & y, [F.col(n) == F.col("__t" + n[3:]) for n in names])
     if not null_safe and bound_column is not None:
         # compat: the source window is part of the match condition

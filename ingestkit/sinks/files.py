@@ -29,6 +29,12 @@ def listed(spark: SparkSession, folder: str) -> list[tuple[str, int, bool]]:
     return sorted(x for x in found if not x[0].startswith(("_", ".")))
 
 
+def all_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of everything in a folder, hidden things too."""
+    fs, where = _path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     return [(name, size) for name, size, is_folder in listed(spark, folder) if not is_folder]
 

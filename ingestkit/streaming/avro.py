@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ingestkit.functions.avro import from_avro, message_struct, to_avro
 from ingestkit.functions.schema_text import as_struct
 from ingestkit.sources.messages import TopicSource, read_topic_stream
-from ingestkit.streaming.ingest import with_trigger
+from ingestkit.streaming.ingest import checkpoint_for, with_trigger
 
 
 def avro_stream(spark: SparkSession, source: TopicSource, json_schema: str | T.StructType, *,
@@ -37,8 +37,21 @@ def publish_avro(spark: SparkSession, source: TopicSource, json_schema: str | T.
     return with_trigger(writer, trigger).start()
 
 
-def consume_avro(spark: SparkSession, source: TopicSource, reader_schema: str, *,
+def consume_avro(spark: SparkSession, source: TopicSource, writer_schema: str, reader_schema: str | None = None, *,
                  mode: str = "FAILFAST") -> DataFrame:
-    """Avro topic decoded to columns (streaming DataFrame)."""
+    """Avro topic decoded to columns (streaming DataFrame): written with
+    ``writer_schema``, read as ``reader_schema`` (default: as written)."""
     msgs = read_topic_stream(spark, source)
-    return msgs.select(from_avro(F.col("value"), reader_schema, mode).alias("data")).select("data.*")
+    return msgs.select(from_avro(F.col("value"), writer_schema, reader_schema, mode).alias("data")).select("data.*")
+
+
+def ingest_avro(spark: SparkSession, source: TopicSource, writer_schema: str, target_table: str, *,
+                reader_schema: str | None = None, mode: str = "FAILFAST", checkpoint: str | None = None,
+                trigger: str = "default", table_format: str = "parquet", table_path: str | None = None) -> StreamingQuery:
+    """The decoded stream appended to a table."""
+    out = consume_avro(spark, source, writer_schema, reader_schema, mode=mode)
+    writer = out.writeStream.outputMode("append").format(table_format).option(
+        "checkpointLocation", checkpoint or checkpoint_for(spark, target_table))
+    if table_path:
+        writer = writer.option("path", table_path)
+    return with_trigger(writer, trigger).toTable(target_table)

@@ -113,3 +113,28 @@ def batch_folder_writer(folder: str, fmt: str = "parquet") -> Callable[[DataFram
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").format(fmt).save(f"{folder.rstrip('/')}/batch_id={batch_id}")
     return write
+
+
+def start_checked_ingest(spark: SparkSession, spec: StreamIngest, reject_table: str, *, name: str) -> StreamingQuery:
+    """JSON messages appended to ``spec.target_table`` (which exists), those
+    that do not fit the schema to ``reject_table``; either table gets every
+    micro-batch of the stream ``name`` once, however often it is replayed."""
+    from ingestkit.functions.rejects import REJECT_SCHEMA, decode_json_checked, split_rejects
+    from ingestkit.sinks.publish import table_batch_writer
+    from ingestkit.sinks.tables import table_exists
+
+    if not table_exists(spark, reject_table):
+        spark.createDataFrame([], REJECT_SCHEMA).write.format("parquet").saveAsTable(reject_table)
+    to_target, to_rejects = table_batch_writer(spec.target_table, name), table_batch_writer(reject_table, name)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        checked = decode_json_checked(batch, spec.schema, options=spec.decode_options)
+        good, rejects = split_rejects(checked)
+        if spec.statement:
+            good = transform(good, spec.statement, spec.view, null_on_bad_cast=spec.null_on_bad_cast)
+        to_target(good, batch_id)
+        to_rejects(rejects, batch_id)
+
+    writer = read_topic_stream(spark, spec.source).writeStream.foreachBatch(each).option(
+        "checkpointLocation", spec.checkpoint or checkpoint_for(spark, name))
+    return with_trigger(writer, spec.trigger).start()

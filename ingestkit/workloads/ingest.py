@@ -11,9 +11,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ingestkit.functions.schema_text import all_string_schema, apply_schema
+from ingestkit.functions.rejects import load_checked, read_delimited_checked
 from ingestkit.plans.ingest import BatchIngest, ingest_batch, ingest_frame
 from ingestkit.plans.sql import run_sql
 from ingestkit.session import scratch_dir, unique_table
+from ingestkit.sinks.content import append_with_content_check
+from ingestkit.sinks.publish import append_once, pack_small_files, replace_partitions, replace_table
 from ingestkit.sinks.tables import append_with_reconcile, compact_table, create_table
 from ingestkit.sources.delimited import read_delimited, write_delimited
 from ingestkit.workloads.common import register_views, staging, table
@@ -201,6 +204,87 @@ def compact_table_q(spark, sf_dir):
     return spark.table(name)
 
 
+def pack_small_files_q(spark, sf_dir):
+    # small files in every partition, merged without touching large ones
+    name = unique_table(spark, "orders_packed")
+    orders = table(spark, sf_dir, "orders")
+    with staging():
+        orders.repartition(24).write.partitionBy("o_orderstatus").format("parquet").option(
+            "path", scratch_dir(spark, "tbl-orders-packed")).saveAsTable(name)
+    pack_small_files(spark, name, target_file_bytes=256 * 1024)
+    return spark.table(name)
+
+
+def orc_publish_versions(spark, sf_dir):
+    # a table replaced by pointer, first by all parts, then by the larger ones
+    part = table(spark, sf_dir, "part")
+    name, root = unique_table(spark, "part_versions"), scratch_dir(spark, "tbl-part-versions")
+    for rows in (part, part.where("p_size > 10")):
+        replace_table(rows, name, root=root)
+    return spark.table(name)
+
+
+def publish_partitions(spark, sf_dir):
+    # two of three partitions replaced by pointer
+    orders = table(spark, sf_dir, "orders")
+    name = unique_table(spark, "orders_published")
+    with staging():
+        create_table(orders, name, path=scratch_dir(spark, "tbl-orders-published"), partition_by=["o_orderstatus"], empty=False)
+    replace_partitions(orders.where("o_orderstatus in ('O', 'P')").withColumn("o_totalprice", -F.col("o_totalprice")), name)
+    return spark.table(name)
+
+
+def append_content_check(spark, sf_dir):
+    # the second load's content, partition by partition
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    name = unique_table(spark, "orders_checked")
+    with staging():
+        create_table(orders, name, path=scratch_dir(spark, "tbl-orders-checked"), partition_by=["o_year"], empty=False)
+    return append_with_content_check(orders.where("o_year >= 1994"), name, ["o_year"])
+
+
+def append_runs_once(spark, sf_dir):
+    # two runs, the first one repeated
+    orders = table(spark, sf_dir, "orders")
+    name = unique_table(spark, "orders_runs")
+    with staging():
+        create_table(orders, name, path=scratch_dir(spark, "tbl-orders-runs"), partition_by=["o_orderpriority"])
+    for run, rows in (("low", "o_totalprice < 100000"), ("high", "o_totalprice >= 100000"), ("low", "o_totalprice < 100000")):
+        append_once(orders.where(rows), name, run)
+    return spark.table(name)
+
+
+def _events_with_bad_lines(spark, sf_dir):
+    """Lines of events: every 50th lacks a cell, every 50th has one too many,
+    every 50th an id that is no number."""
+    ev = table(spark, sf_dir, "events")
+    cells = [F.col("event_id").cast("string"), F.col("user_id").cast("string"), F.coalesce("event_type", F.lit("")),
+             F.coalesce(F.col("value").cast("string"), F.lit(""))]
+    nth = F.col("event_id") % 50
+    line = (F.when(nth == 1, F.concat_ws("|", *cells[:3])).when(nth == 2, F.concat_ws("|", *cells, F.lit("more")))
+            .when(nth == 3, F.concat_ws("|", F.concat(F.lit("x"), cells[0]), *cells[1:])).otherwise(F.concat_ws("|", *cells)))
+    path = scratch_dir(spark, "events-lines")
+    with staging():
+        ev.select(line.alias("value")).write.text(path)
+    return read_delimited_checked(spark, path, "event_id:long,user_id:long,event_type:string,value:double", sep="|")
+
+
+def _load_events(spark, sf_dir):
+    good, rejects = unique_table(spark, "events_good"), unique_table(spark, "events_rejects")
+    checked = _events_with_bad_lines(spark, sf_dir)
+    create_table(checked.drop("_reject"), good, path=scratch_dir(spark, "tbl-events-good"))
+    report = load_checked(checked, lambda rows: rows.write.mode("append").saveAsTable(good), rejects)
+    return good, rejects, report
+
+
+def csv_checked_rows(spark, sf_dir):
+    return spark.table(_load_events(spark, sf_dir)[0])
+
+
+def csv_rejects(spark, sf_dir):
+    return spark.table(_load_events(spark, sf_dir)[1]).select("text", "reason")
+
+
 SQL_ON_TABLES = """
 SELECT o.o_orderpriority, l.l_returnflag, count(*) AS n_lines,
        CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
@@ -236,6 +320,13 @@ QUERIES = {
     "orc_overwrite": orc_overwrite,
     "partitioned_append": partitioned_append,
     "compact_table": compact_table_q,
+    "pack_small_files": pack_small_files_q,
+    "orc_publish_versions": orc_publish_versions,
+    "publish_partitions": publish_partitions,
+    "append_content_check": append_content_check,
+    "append_runs_once": append_runs_once,
+    "csv_checked_rows": csv_checked_rows,
+    "csv_rejects": csv_rejects,
     "sql_on_tables": sql_on_tables,
     "sql_top_k": sql_top_k,
 }
@@ -269,6 +360,20 @@ ORACLE = {
        CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
        CAST(year(o_orderdate) AS INTEGER) AS o_year, o_orderstatus FROM orders""",
     "compact_table": "SELECT * FROM orders",
+    "pack_small_files": "SELECT * FROM orders",
+    "orc_publish_versions": "SELECT * FROM part WHERE p_size > 10",
+    "publish_partitions": """SELECT * REPLACE (CASE WHEN o_orderstatus IN ('O', 'P') THEN -o_totalprice ELSE o_totalprice END AS o_totalprice)
+       FROM orders""",
+    "append_content_check": """SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, count(*) AS source_rows, count(*) AS loaded_rows,
+       TRUE AS equal FROM orders WHERE year(o_orderdate) >= 1994 GROUP BY 1""",
+    "append_runs_once": "SELECT * FROM orders",
+    "csv_checked_rows": "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 50 NOT IN (1, 2, 3)",
+    "csv_rejects": """WITH cells AS (
+         SELECT event_id % 50 AS nth, event_id::VARCHAR AS id, user_id::VARCHAR AS u, coalesce(event_type, '') AS t,
+                CASE WHEN value IS NULL THEN '' ELSE value::VARCHAR END AS v FROM events)
+       SELECT CASE nth WHEN 1 THEN concat_ws('|', id, u, t) WHEN 2 THEN concat_ws('|', id, u, t, v, 'more')
+                       ELSE concat_ws('|', 'x' || id, u, t, v) END AS text,
+              CASE nth WHEN 3 THEN 'value of event_id' ELSE 'columns' END AS reason FROM cells WHERE nth IN (1, 2, 3)""",
     "sql_on_tables": SQL_ON_TABLES,
     "sql_top_k": SQL_TOP_K,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ingestkit.operators.merge import dedup_first, merge_insert_only, merge_into_table
+from ingestkit.operators.merge import dedup_first, merge_insert_only, merge_into_table, merge_new_rows
 from ingestkit.session import scratch_dir, unique_table
 from ingestkit.workloads.common import staging, table
 
@@ -84,7 +84,21 @@ def merge_partitioned_landing(spark, sf_dir):
     return merge_insert_only(target, landed, KEYS, order_by=ORDER, tie_breakers=TIES)
 
 
+def merge_runtime_pruned(spark, sf_dir):
+    # the target is partitioned by month, which is a merge key; a few landed
+    # months prune it by their months and a filter of their keys
+    li = table(spark, sf_dir, "lineitem").withColumn("year_mon", F.date_format("l_shipdate", "yyyy_MM"))
+    name = unique_table(spark, "by_month")
+    with staging():
+        (li.where(F.col("l_shipdate") < F.lit(LANDED_BEFORE).cast("date")).write.partitionBy("year_mon")
+           .format("parquet").option("path", scratch_dir(spark, "tbl-by-month")).saveAsTable(name))
+    landed = li.where(F.col("year_mon").isin(LANDED_MONTHS))
+    return merge_new_rows(spark.table(name), landed, [*KEYS, "year_mon"], order_by=ORDER, tie_breakers=TIES,
+                          partition_keys=["year_mon"], key_filter=True)
+
+
 QUERIES = {
+    "merge_runtime_pruned": merge_runtime_pruned,
     "merge_column_list": merge_column_list,
     "merge_partitioned_landing": merge_partitioned_landing,
     "merge_into_table": merge_into_table_q,
@@ -116,6 +130,15 @@ SELECT * FROM src WHERE NOT EXISTS (
 _MISSING = ", ".join(f"NULL AS {c}" for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
 
 ORACLE = {
+    "merge_runtime_pruned": f"""
+WITH li AS (SELECT *, strftime(l_shipdate, '%Y_%m') AS year_mon FROM lineitem),
+src AS (
+  SELECT * FROM li WHERE year_mon IN ('1996_01', '1996_02', '1996_03')
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, year_mon ORDER BY l_shipdate, l_partkey, l_suppkey) = 1)
+SELECT * FROM src WHERE NOT EXISTS (
+  SELECT 1 FROM li WHERE li.l_shipdate < DATE '{LANDED_BEFORE}' AND li.l_orderkey = src.l_orderkey
+    AND li.l_linenumber = src.l_linenumber AND li.year_mon = src.year_mon)
+""",
     "merge_column_list": f"""
 WITH {_TGT},
 src AS ({_DEDUP.format(where="WHERE " + _WIN.format(a="lineitem"))})

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ingestkit.functions.json_codec import encode_json
 from ingestkit.session import scratch_dir, unique_table
+from ingestkit.sinks.publish import table_batch_writer
+from ingestkit.sinks.tables import create_table
 from ingestkit.sources.messages import TopicSource, publish_batch
 from ingestkit.streaming.ingest import (StreamIngest, batch_folder_writer, run_to_end,
-                                        start_ingest, start_microbatch)
+                                        start_checked_ingest, start_ingest, start_microbatch)
 from ingestkit.workloads.common import staging, table
 from ingestkit.workloads.ingest import TIME_FORMS_SQL, event_time_forms
 
@@ -135,7 +137,47 @@ def stream_bad_casts(spark, sf_dir):
     return spark.table(spec.target_table)
 
 
+def stream_batches_once(spark, sf_dir):
+    # micro-batches appended to a partitioned table, then all of them replayed
+    # by the same stream from a lost checkpoint
+    folder, name = scratch_dir(spark, "topics"), unique_table(spark, "events_once")
+    _publish_events(spark, sf_dir, folder)
+    ev = table(spark, sf_dir, "events")
+    with staging():
+        create_table(ev.select(*[c for c in ev.columns if c != "ts"]), name, path=scratch_dir(spark, "tbl-events-once"), partition_by=["event_type"])
+    write = table_batch_writer(name, "events")
+    for _ in range(2):
+        run_to_end(start_microbatch(spark, TopicSource("events", folder=folder, max_files_per_trigger=2), EVENTS_SCHEMA, write,
+                                    trigger="availableNow", checkpoint=scratch_dir(spark, "ckpt")))
+    return spark.table(name)
+
+
+def _checked_stream(spark, sf_dir):
+    folder, good, rejects = scratch_dir(spark, "topics"), unique_table(spark, "events_good"), unique_table(spark, "events_bad")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    nth = F.col("event_id") % 50
+    text = F.when(nth == 1, F.lit("bad{")).when(nth == 2, F.concat(F.lit('{"event_id": "x'), "event_id", F.lit('"}'))).otherwise(encode_json(ev))
+    with staging():
+        publish_batch(ev, folder, "checked", text)
+        create_table(ev, good, path=scratch_dir(spark, "tbl-events-good"))
+    spec = StreamIngest(source=TopicSource("checked", folder=folder, max_files_per_trigger=2), target_table=good, trigger="availableNow",
+                        schema="event_id:long,user_id:long,event_type:string,value:double", checkpoint=scratch_dir(spark, "ckpt"))
+    run_to_end(start_checked_ingest(spark, spec, rejects, name="checked"))
+    return good, rejects
+
+
+def stream_checked_rows(spark, sf_dir):
+    return spark.table(_checked_stream(spark, sf_dir)[0])
+
+
+def stream_rejects(spark, sf_dir):
+    return spark.table(_checked_stream(spark, sf_dir)[1])
+
+
 QUERIES = {
+    "stream_batches_once": stream_batches_once,
+    "stream_checked_rows": stream_checked_rows,
+    "stream_rejects": stream_rejects,
     "stream_json_decode": stream_json_decode,
     "stream_sql_append": stream_sql_append,
     "stream_partitioned_append": stream_partitioned_append,
@@ -150,6 +192,11 @@ def _null_if_error(col):
 
 
 ORACLE = {
+    "stream_batches_once": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "stream_checked_rows": "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 50 NOT IN (1, 2)",
+    "stream_rejects": """SELECT 'checked' AS file,
+       CASE WHEN event_id % 50 = 1 THEN 'bad{' ELSE '{"event_id": "x' || event_id || '"}' END AS text,
+       CASE WHEN event_id % 50 = 1 THEN 'not JSON' ELSE 'value of event_id' END AS reason FROM events WHERE event_id % 50 IN (1, 2)""",
     "json_timestamp_forms": TIME_FORMS_SQL,
     "stream_bad_casts": """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
        CAST(ts AS DATE) AS event_date FROM events""",
