@@ -18,11 +18,9 @@ as the one before) go with their counts to the bucket of their hash range; a
 bucket adds them up and answers each block with the sums, in the order of the
 block's keys.  So one shuffle both counts and looks up, a task holds one block or
 one bucket (about ``bucket_keys`` keys) at a time, and a key is met once a block
-however common it is.  Neither the texts nor the models are shipped.
-
-``max_words`` and ``max_bigrams`` are for comparison with a model of limited size:
-words (bigrams) of a smaller share of all tokens than ``1 / max_words``
-(``1 / max_bigrams``) are the unknown word (not listed).  By default nothing is cut.
+however common it is.  Neither the texts nor the models are shipped.  A block sends
+a bucket one row if it has keys for it, so there are never more rows than keys:
+blocks times buckets at most, and as many as there are keys beyond that.
 
 Cases: null and word-free texts have no tokens and null losses; target ids
 that are null or unknown are ignored; an empty target leaves the target model
@@ -45,52 +43,11 @@ from ingestkit.session import remove_folder, scoped_conf, scratch_dir, work_root
 
 MAX_BROADCAST_IDS = 2_000_000      # 16 MB of ids; beyond, the texts are shuffled by id
 MIN_BUCKETS = 48
-START, UNKNOWN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)     # in the place of a word's hash
+START = np.uint64(0x5851F42D4C957F2D)     # in the place of a word's hash
 PAIR, WORD, BEFORE = 0, 1, 2       # kinds of key, in its two lowest bits
 WORD_LUT = textscan.word_bytes([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 
 
-class Tally:
-    """Sums of rows (key, numbers) within a task, handed on when large."""
-
-    def __init__(self, width: int, limit: int = 1_500_000):
-        self.width, self.limit, self.held, self.size = width, limit, [], 0
-
-    def _sum(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in self.held])
-        values = np.concatenate([v for _, v in self.held])
-        names, inverse = np.unique(keys, return_inverse=True)
-        return names, np.stack([np.bincount(inverse, values[:, j], len(names)) for j in range(self.width)], axis=1).astype(np.int64)
-
-    def add(self, keys: np.ndarray, values: np.ndarray):
-        self.held.append((keys, values))
-        self.size += len(keys)
-        if self.size > 2 * self.limit:
-            names, sums = self._sum()
-            if len(names) > self.limit:
-                self.held, self.size = [], 0
-                yield names, sums
-            else:
-                self.held, self.size = [(names, sums)], len(names)
-
-    def rest(self):
-        if self.held:
-            yield self._sum()
-
-
-def _word_counts(batches):
-    tally = Tally(1)
-    out = lambda k, v: pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(v[:, 0])], names=["word", "n"])
-    for batch in textscan.chunks(batches, "text"):
-        h, _, _ = textscan.word_hashes(*textscan.as_buffer(batch.column("text")), WORD_LUT)
-        if len(h):
-            names, count = np.unique(h, return_counts=True)
-            for k, v in tally.add(names, count[:, None]):
-                yield out(k, v)
-    for k, v in tally.rest():
-        yield out(k, v)
-
-
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes, compressed by the place of a byte in its number."""
     parts = []
@@ -134,9 +91,8 @@ def _open(body: bytes) -> list[np.ndarray]:
     return [*rest, np.cumsum(names, dtype=np.uint64), np.cumsum(pairs), np.cumsum(at)]
 
 
-def _blocks(held, block_tokens: int):
+def _blocks(block_tokens: int):
     def run(batches):
-        vocabulary = held.value if held else None
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << 32
         waiting, size, done = [], 0, 0
@@ -144,11 +100,6 @@ def _blocks(held, block_tokens: int):
                                                  names=["block", "tokens", "target_tokens", "keys", "body"])
         for batch in textscan.chunks(batches, "text"):
             h, _, tokens = textscan.word_hashes(*textscan.as_buffer(batch.column("text")), WORD_LUT)
-            if vocabulary is not None:
-                known = np.zeros(len(h), bool)
-                if len(vocabulary):
-                    known = vocabulary[np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)] == h
-                h = np.where(known, h, UNKNOWN)
             if waiting and size + len(h) > block_tokens:
                 yield row()
                 waiting, size, done = [], 0, done + 1
@@ -205,7 +156,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "words": words, "body": pa.array(bodies, pa.binary())})
 
 
-def _score(totals: tuple[int, int], n_words: int, max_bigrams: int | None, mix: float, add: float):
+def _score(totals: tuple[int, int], n_words: int, mix: float, add: float):
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True), key=lambda r: r[0])
         null, ids, tokens, _, names, pairs, at = _open(rows[0][1])
@@ -218,7 +169,6 @@ def _score(totals: tuple[int, int], n_words: int, max_bigrams: int | None, mix:
             order, counts = np.argsort(keys), np.empty((2, len(keys)))
             for j in range(2):
                 counts[j, order] = np.concatenate([x[j] for x in answers])
-            listed = True if max_bigrams is None else counts[0, :len(pairs)] * max_bigrams >= totals[0]
             doc = np.repeat(np.arange(len(tokens)), tokens)
         for j in (1, 0):
             mean = np.zeros(len(tokens))
@@ -226,36 +176,19 @@ def _score(totals: tuple[int, int], n_words: int, max_bigrams: int | None, mix:
                 two, one, before = np.split(counts[j], [len(pairs), len(pairs) + len(names)])
                 alone = (1 - mix) * (one + add) / (totals[j] + add * (n_words + 1))
                 known = mix * two / np.maximum(before[pairs // len(names)], 1)
-                loss = -np.log(np.where(listed, known, 0) + alone[pairs % len(names)])
+                loss = -np.log(known + alone[pairs % len(names)])
                 mean = np.bincount(doc, loss[at], len(tokens)) / np.maximum(tokens, 1)
             columns.append(pa.array(mean, pa.float64(), mask=tokens == 0))
         return pa.Table.from_arrays(columns, names=["doc_id", "n_tokens", "loss_target", "loss_background"])
     return run
 
 
-def _vocabulary(rows: DataFrame, max_words: int) -> np.ndarray:
-    """Hashes of the words of share at least 1 / max_words, sorted."""
-    spark = rows.sparkSession
-    path = scratch_dir(spark, "word-counts")
-    rows.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")) \
-        .write.parquet(path)
-    counts = spark.read.parquet(path)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # shares add up to 1: at most max_words rows
-    frequent = counts.where(F.col("n") * max_words >= total).select("word").toArrow()
-    remove_folder(spark, path)
-    return np.sort(frequent.column("word").to_numpy().view(np.uint64))
-
-
 def cross_entropy_difference(documents: DataFrame, targets: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                             target_id: str = "doc_id", max_words: int | None = None, max_bigrams: int | None = None,
-                             mix: float = 0.7, add: float = 0.5, block_tokens: int = 1 << 20, bucket_keys: int = 2_000_000) -> DataFrame:
+                             target_id: str = "doc_id", mix: float = 0.7, add: float = 0.5, block_tokens: int = 1 << 20, bucket_keys: int = 2_000_000) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background, score."""
     spark = documents.sparkSession
     work_root(spark)
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    vocabulary = None if max_words is None else _vocabulary(rows, max_words)
-    held = None if vocabulary is None else spark.sparkContext.broadcast(vocabulary)
 
     chosen = targets.where(F.col(target_id).isNotNull()).select(F.col(target_id).cast("long").alias("__id")).distinct() \
         .withColumn("target", F.lit(True))
@@ -265,7 +198,7 @@ def cross_entropy_difference(documents: DataFrame, targets: DataFrame, *, doc_id
         .select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
     staged, answered = scratch_dir(spark, "lm-blocks"), scratch_dir(spark, "lm-counts")
     with scoped_conf(spark, textscan.SMALL_BATCHES):
-        flagged.mapInArrow(_blocks(held, block_tokens), "block long, tokens long, target_tokens long, keys long, body binary") \
+        flagged.mapInArrow(_blocks(block_tokens), "block long, tokens long, target_tokens long, keys long, body binary") \
             .write.parquet(staged)
         blocks = spark.read.parquet(staged)
         *totals, keys = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("target_tokens"), F.sum("keys")).first())
@@ -273,8 +206,11 @@ def cross_entropy_difference(documents: DataFrame, targets: DataFrame, *, doc_id
         blocks.select("block", "body").mapInArrow(_requests(buckets), "block long, bucket long, body binary") \
             .groupBy("bucket").applyInArrow(_add_up, "block long, bucket long, words long, body binary").write.parquet(answered)
     answers = spark.read.parquet(answered)
-    n_words = (answers.agg(F.sum("words")).first()[0] or 0) if vocabulary is None else len(vocabulary)
+    n_words = answers.agg(F.sum("words")).first()[0] or 0
     scored = blocks.select("block", F.lit(-1).cast("long").alias("bucket"), "body").unionByName(answers.drop("words")) \
-        .groupBy("block").applyInArrow(_score(tuple(totals), n_words, max_bigrams, mix, add),
+        .groupBy("block").applyInArrow(_score(tuple(totals), n_words, mix, add),
                                        "doc_id long, n_tokens long, loss_target double, loss_background double")
-    return scored.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+    scored = scored.withColumn("score", F.col("loss_target") - F.col("loss_background")).checkpoint()
+    for path in (staged, answered):
+        remove_folder(spark, path)
+    return scored
