@@ -22,7 +22,8 @@ component, never the pairs.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite values,
 and vectors with a null label or id, link with nothing; vectors of different
-length do not link; repeated rows are links of each other; a null id has a
+length do not link; repeated rows are links of each other; rows that share an id
+share their links; components may be floats, doubles or whole numbers; a null id has a
 null component; an empty table gives no rows; other columns are ignored.
 """
 
@@ -228,7 +229,10 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     e = F.col("embedding")
     sane = (F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(e, lambda x: x != 0) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"),
+    # components stay floats if they are, all other numbers are doubles
+    held = vectors.schema[embedding].dataType.elementType.simpleString()
+    kind = "float" if held == "float" else "double"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast(f"array<{kind}>").alias("embedding"),
                           F.col(label).cast("long").alias("label"))
     rows = rows.withColumn("ok", F.coalesce(sane, F.lit(False))) \
         .withColumn("h1", F.xxhash64(e)).withColumn("h2", F.xxhash64(F.lit(1), e))
@@ -243,7 +247,7 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
              for r in one.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     basic = one.select("rep", "copies", "label", "embedding")
-    coded = basic.mapInArrow(_decode(plans), "rep long, copies long, label long, embedding array<float>, filters array<long>")
+    coded = basic.mapInArrow(_decode(plans), f"rep long, copies long, label long, embedding array<{kind}>, filters array<long>")
     entries = coded.select("*", F.size("embedding").alias("d"), F.explode("filters").alias("filter"))
     at = ["label", "d", "filter"]
     sizes = entries.groupBy(*at).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
