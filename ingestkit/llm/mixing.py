@@ -101,5 +101,9 @@ def emit_mix(planned: DataFrame) -> DataFrame:
 
 
 def mix_digest(planned: DataFrame) -> DataFrame:
-    return planned.select("doc_id", "size", "source_size", "target",
-                          (F.col("copies") * F.col("size")).alias("taken"))
+    """One row per document with the words that the emitted copies hold."""
+    narrow = planned.select("doc_id", "size", "source_size", "target", "copies",
+                            F.monotonically_increasing_id().alias("__row")).checkpoint()
+    emitted = emit_mix(narrow).groupBy(F.col("__row").alias("__of")).agg(F.sum("size").alias("taken"))
+    return narrow.join(emitted, F.col("__row") == F.col("__of"), "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
