@@ -9,7 +9,8 @@ last word, and the words' places in the original give byte offsets.
 
 The patterns are broadcast after their size was checked.  A benchmark beyond
 ``max_pattern_bytes`` is dealt into slices of items, each with an automaton of
-its own; the documents then pass one scan per slice, still without a shuffle.
+its own; the documents are then scanned for one slice after another, stored
+between the scans, still without a shuffle.
 
 Cases: null or word-free texts have no words and no hits; null or word-free
 items have no windows; items with the same text are all listed; an item with
@@ -19,6 +20,8 @@ empty tables give no rows or no hits; other columns are not returned.
 
 from __future__ import annotations
 
+import uuid
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
+from ingestkit.session import remove_folder, scratch_dir
 
 WORD_LUT = textscan.word_bytes([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 _NORMAL = bytes(32 if not WORD_LUT[b] else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -85,9 +89,12 @@ def scan_text(a, raw: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
     return len(words), _merge(spans), items
 
 
-def _scan(patterns, text: str):
+def _scan(patterns, text: str, name: str):
     def run(batches):
-        a = automaton(patterns.value)
+        cache = textscan.process_cache()            # one automaton at a time, kept between tasks
+        if cache.get("automaton", ("",))[0] != name:
+            cache["automaton"] = (name, automaton(patterns.value))
+        a = cache["automaton"][1]
         for batch in textscan.chunks(batches, text):
             data, offsets = textscan.as_buffer(batch.column(text))
             raw = data.tobytes()
@@ -114,6 +121,29 @@ def _scan(patterns, text: str):
     return run
 
 
+def _held(items: DataFrame, window: int):
+    spark = items.sparkSession
+    return spark.sparkContext.broadcast(patterns_of([(r.id, r.body) for r in items.collect()], window))
+
+
+def _scan_in_turn(none: DataFrame, items: DataFrame, window: int, slices: int, text: str) -> DataFrame:
+    """The documents scanned for one slice of the items after another; what a
+    slice finds is added to the rows and stored, so that one automaton is held
+    at a time, by the driver and by every worker."""
+    spark, found, before = none.sparkSession, none, None
+    for k in range(slices):
+        part = items.where(F.pmod(F.xxhash64("id", "body"), F.lit(slices)) == k)
+        held = _held(part, window)
+        path = scratch_dir(spark, "scanned")
+        found.mapInArrow(_scan(held, text, uuid.uuid4().hex), none.schema).write.parquet(path)
+        held.destroy()
+        found = spark.read.schema(none.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
+    return found
+
+
 def find_overlaps(documents: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = 10, max_pattern_bytes: int = 64 << 20) -> DataFrame:
     """The documents with n_words, word_spans, byte_spans, items and n_hit."""
@@ -128,11 +158,10 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
                       F.array().cast("array<struct<first:int,last:int>>").alias("word_spans"),
                       F.array().cast("array<struct<start:long,end:long>>").alias("byte_spans"),
                       F.array().cast("array<string>").alias("items"))
-    found = none
-    for k in range(slices):
-        part = items if slices == 1 else items.where(F.pmod(F.xxhash64("id", "body"), F.lit(slices)) == k)
-        held = spark.sparkContext.broadcast(patterns_of([(r.id, r.body) for r in part.collect()], window))
-        found = found.mapInArrow(_scan(held, text), none.schema)
+    if slices == 1:
+        found = none.mapInArrow(_scan(_held(items, window), text, uuid.uuid4().hex), none.schema)
+    else:
+        found = _scan_in_turn(none, items, window, slices, text)
     hit = F.aggregate("word_spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
     return found.withColumn("n_hit", hit)
 
