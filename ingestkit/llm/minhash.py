@@ -6,10 +6,10 @@ smallest hash values of the set.
 1. Documents with equal sets (two independent 63-bit sums and the size) are
    one class, represented by its smallest id.
 2. Inverted lists: sketch values that at least two classes retain.  Two sets
-   of similarity ``threshold`` share ``need`` sketch values (half the sketch:
-   4.6 standard deviations below the mean of a pair right at 0.75; all that
-   the threshold asks for when the sketch is the whole set), so they share one
-   among each one's ``size - need + 1`` rarest values.  Only those are kept
+   right at the threshold share fewer than ``need`` of ``k`` sketch values with
+   a probability of at most ``loss`` (a binomial tail; sets that fit into the
+   sketch share all that the threshold asks for), so they share one among each
+   one's ``size - need + 1`` rarest values.  Only those are kept
    in lists; very frequent values are only kept by documents made of them.
 3. First round: each member of a list is compared with its hub, the member
    that shares most of its sketch with others (the original of edited copies).
@@ -18,7 +18,9 @@ smallest hash values of the set.
    other and that component, dealt into blocks of bounded size, two of which
    meet in one task.  A task returns one edge a member, never the pairs.
 4. A pair goes on if the sketch of its union estimates a similarity of at
-   least ``estimate``; the exact similarity of the full sets decides.
+   least ``need / k``, which is the same tail; the exact similarity of the full
+   sets decides.  ``exact=True`` takes whole sets as sketches: it loses no link,
+   at the price of lists of all shingles.
 
 Cases: null, empty or word-free texts have no set and link with nothing; a
 text of fewer than ``n`` words is one shingle; rows that share an id count as
@@ -28,6 +30,8 @@ has a null component; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -105,6 +109,17 @@ def _compatible(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def least_shared(k: int, percent: int, loss: float) -> int:
+    """The largest m such that fewer than m of k independent draws of chance
+    ``percent`` come out with a probability of at most ``loss``."""
+    p, tail = percent / 100, 0.0
+    for m in range(k + 1):
+        tail += math.comb(k, m) * p**m * (1 - p) ** (k - m)
+        if tail > loss:
+            return m
+    return k
+
+
 def listed(classes: DataFrame, need: int, percent: int) -> DataFrame:
     """(v, rep, n, shares): the rarest sketch values of each class that others
     retain too, and how many of its values others retain."""
@@ -120,8 +135,11 @@ def listed(classes: DataFrame, need: int, percent: int) -> DataFrame:
         .select(F.col("s.v").alias("v"), "rep", "n", "shares")
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, k: int, estimate: float) -> DataFrame:
-    """Pairs whose union sketch estimates at least ``estimate``."""
+def _estimated(pairs: DataFrame, classes: DataFrame, k: int | None, estimate: float) -> DataFrame:
+    """Pairs whose union sketch estimates at least ``estimate``; without ``k``
+    all of them, as the sketches are the sets."""
+    if k is None:
+        return pairs
     sk = classes.select("rep", "sketch")
     both = (pairs.join(sk.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
             .join(sk.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b"))
@@ -159,15 +177,15 @@ def shared_counts(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray,
     return out.astype(np.int64)
 
 
-def _links_of_blocks(sets: list[np.ndarray], part: np.ndarray, left: np.ndarray, *, k: int, percent: int,
-                     estimate: float) -> np.ndarray:
+def _links_of_blocks(sets: list[np.ndarray], part: np.ndarray, left: np.ndarray, *, k: int | None, need: int,
+                     percent: int, estimate: float) -> np.ndarray:
     """For each member, the first member of its component within the two
     blocks; ``part`` is the component that a member is in already."""
     n = len(sets)
     rows, columns = (np.flatnonzero(left), np.flatnonzero(~left)) if not left.all() else (np.arange(n), np.arange(n))
     low = [s[:k] for s in sets]
     size = np.array([len(s) for s in sets])
-    must = np.minimum(k // 2, -(-np.array([len(s) for s in low]) * percent // 100))
+    must = np.minimum(need, -(-np.array([len(s) for s in low]) * percent // 100))
     shared = shared_counts(low, rows, columns)
     ok = shared >= np.maximum(must[rows][:, None], must[columns][None, :])
     ok &= part[rows][:, None] != part[columns][None, :]
@@ -180,12 +198,13 @@ def _links_of_blocks(sets: list[np.ndarray], part: np.ndarray, left: np.ndarray,
     near = np.arange(n)
     if not len(i):
         return near
-    filled = [np.full((n, k), fill, np.int64) for fill in (-1, -2)]
-    for r, s in enumerate(low):
-        filled[0][r, :len(s)] = filled[1][r, :len(s)] = s
-    good = np.concatenate([union_estimates(filled[0][i[p:p + 8192]], filled[1][j[p:p + 8192]], k) >= estimate
-                           for p in range(0, len(i), 8192)])
-    i, j = i[good], j[good]
+    if k is not None:
+        filled = [np.full((n, k), fill, np.int64) for fill in (-1, -2)]
+        for r, s in enumerate(low):
+            filled[0][r, :len(s)] = filled[1][r, :len(s)] = s
+        good = np.concatenate([union_estimates(filled[0][i[p:p + 8192]], filled[1][j[p:p + 8192]], k) >= estimate
+                               for p in range(0, len(i), 8192)])
+        i, j = i[good], j[good]
     if not len(i):
         return near
     if len(i) <= 256:
@@ -269,9 +288,13 @@ def _groups(lists: DataFrame, found: DataFrame, block: int, block_shingles: int)
 
 
 def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, k: int = 64,
-                    percent: int = 75, estimate: float = 0.5, block: int = 256, block_shingles: int = 1_000_000) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+                    percent: int = 75, loss: float = 1e-8, exact: bool = False, block: int = 256,
+                    block_shingles: int = 1_000_000) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.  ``loss``
+    bounds the chance to miss a pair right at the threshold; ``exact`` misses none."""
     spark = documents.sparkSession
+    need = 1 << 40 if exact else least_shared(k, percent, loss)
+    estimate, k = need / k, None if exact else k
     work_root(spark)
     paths: list[str] = []
 
@@ -287,7 +310,7 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     classes = with_set.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")) \
         .select("rep", F.col("n_shingles").alias("n"), *same, "sketch")
     classes = stored(classes, "classes")
-    lists = stored(listed(classes, k // 2, percent), "lists")
+    lists = stored(listed(classes, need, percent), "lists")
     sets = stored(_full_sets(documents, lists.select("rep").distinct(), doc_id=doc_id, text=text, n=n), "sets")
 
     hubs = lists.groupBy("v").agg(F.max(F.struct("shares", (-F.col("rep")).alias("x"), "rep", "n")).alias("h"))
@@ -302,7 +325,7 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
 
     groups = _groups(lists, found, block, block_shingles)
     key = ["top", "g", "h"]
-    options = {"k": k, "percent": percent, "estimate": estimate}
+    options = {"k": k, "need": need, "percent": percent, "estimate": estimate}
     second = stored(groups.join(sets, "rep").select("rep", "part", "left", "set", *key).repartition(*key)
                     .sortWithinPartitions(*key).mapInArrow(_solve_groups(options), "a long, b long"), "links")
 
@@ -317,6 +340,15 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _without_copies(documents: DataFrame, doc_id: str, **options) -> DataFrame:
+    """The documents, of distinct ids, without the copies.  The ids that go are
+    broadcast after a count, so that no text is shuffled."""
+    gone = near_duplicates(documents, doc_id=doc_id, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).checkpoint()
+    if gone.count() <= MAX_BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return documents.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+
+
 def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
     """The documents without the copies: one of each component stays."""
     doc_id = options.get("doc_id", "doc_id")
@@ -333,7 +365,7 @@ def drop_near_copies(documents: DataFrame, *, doc_id: str = "doc_id", **options)
     ids = documents.select(F.col(doc_id).cast("long").alias("__id"))
     odd = ids.groupBy("__id").agg(F.count(F.lit(1)).alias("__n")).where("__id is null or __n > 1")
     if odd.isEmpty():
-        return drop_near_duplicates(documents, doc_id=doc_id, **options)
+        return _without_copies(documents, doc_id, **options)
     path = scratch_dir(spark, "keyed-rows")       # read again with the same keys
     with scoped_conf(spark, textscan.SMALL_BATCHES):
         documents.withColumn("__key", F.monotonically_increasing_id()).write.parquet(path)
