@@ -263,3 +263,53 @@ FROM nodes JOIN totals USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes
 """
 
 ORACLE |= {"op11_merkle": _merkle(), "op12_prefix_trie": TRIE, "op13_exact": EXACT}
+
+
+SCORES = r"""
+WITH docs AS (
+  SELECT doc_id, EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id AND quality = 1) AS target,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+pairs AS (
+  SELECT doc_id, target, CASE WHEN i = 1 THEN NULL ELSE w[i - 1] END AS u, w[i] AS v
+  FROM (SELECT doc_id, target, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+two AS (SELECT u, v, count(*) AS b, count(*) FILTER (target) AS t FROM pairs GROUP BY u, v),
+one AS (SELECT v, count(*) AS b, count(*) FILTER (target) AS t FROM pairs GROUP BY v),
+before AS (SELECT u, count(*) AS b, count(*) FILTER (target) AS t FROM pairs GROUP BY u),
+whole AS (SELECT count(*) AS b, count(*) FILTER (target) AS t, (SELECT count(*) FROM one) AS n_words FROM pairs),
+losses AS (
+  SELECT two.u, two.v,
+         -ln(0.7 * two.b / greatest(before.b, 1) + 0.3 * (one.b + 0.5) / (whole.b + 0.5 * (n_words + 1))) AS loss_b,
+         -ln(0.7 * two.t / greatest(before.t, 1) + 0.3 * (one.t + 0.5) / (whole.t + 0.5 * (n_words + 1))) AS loss_t
+  FROM two JOIN one USING (v) JOIN before ON before.u IS NOT DISTINCT FROM two.u CROSS JOIN whole),
+per AS (
+  SELECT doc_id, avg(loss_t) AS loss_t, avg(loss_b) AS loss_b
+  FROM pairs JOIN losses ON losses.u IS NOT DISTINCT FROM pairs.u AND losses.v = pairs.v GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_tokens, round(loss_t, 9) AS loss_target, round(loss_b, 9) AS loss_background, round(loss_t - loss_b, 9) AS score
+FROM docs LEFT JOIN per USING (doc_id)
+"""
+
+ORACLE |= {"op1_lm_scores": SCORES}
+
+REPEATS = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 199, 0))) AS i FROM docs)),
+repeated AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+starts AS (SELECT doc_id, i FROM windows SEMI JOIN repeated USING (k)),
+runs AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+    SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM starts)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+before AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_b,
+         string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS kept
+  FROM before JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE |= {"op8_remove_repeats": REPEATS}

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ingestkit.llm import (caps, chat, decontam, exact, langid, lmscore, merkle, minhash, mixing, repeats, sharding,
                            tokencount, trie)
 from ingestkit.llm.oracles import ORACLE  # noqa: F401
-from ingestkit.session import work_root
 from ingestkit.workloads.common import table
 
 
@@ -19,7 +18,9 @@ TOKENIZER = "byte_bpe_50k.json"
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents labelled as of good quality."""
     good = table(spark, sf_dir, "labels").where("quality = 1")
-    return lmscore.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    scored = lmscore.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    # nine decimals: sums of logarithms differ in the last bits by their order
+    return scored.select("doc_id", "n_tokens", *[F.round(c, 9).alias(c) for c in ("loss_target", "loss_background", "score")])
 
 
 def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,6 @@ def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work_root(spark)
     return mixing.mix_digest(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 

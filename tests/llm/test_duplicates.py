@@ -1,6 +1,7 @@
 """Near duplicates, cap filters, repeated strings and components against brute force."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -48,8 +49,8 @@ def _lower(text):
     return (text or "").translate({i: i + 32 for i in range(65, 91)})
 
 
-@pytest.mark.parametrize("block", [256, 4])
-def test_near_duplicates_equal_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "exact"), [(256, False), (4, False), (256, True)])
+def test_near_duplicates_equal_brute_force(spark, block, exact):
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(2000)]
     texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 120))) for _ in range(60)]
@@ -70,7 +71,7 @@ def test_near_duplicates_equal_brute_force(spark, block):
     ids = list(range(0, 3 * len(texts), 3))
     rng.shuffle(ids)
     docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").withColumn("rep", F.lit("clash"))
-    got = {r.doc_id: r for r in minhash.near_duplicates(docs, block=block).collect()}
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs, block=block, exact=exact).collect()}
     sets = {i: _shingles(t) for i, t in zip(ids, texts, strict=True)}
     some = [i for i in ids if sets[i]]
     links = [(a, b) for a in some for b in some if a < b
@@ -108,6 +109,22 @@ def test_union_estimate_is_exact_for_whole_sets():
     assert minhash.union_estimates(a, b, 99)[0] == 2 / 7
 
 
+def test_loss_sets_what_must_be_shared():
+    tail = lambda m: sum(math.comb(64, i) * 0.75**i * 0.25**(64 - i) for i in range(m))
+    for loss in (1e-4, 5e-6, 1e-8):
+        need = minhash.least_shared(64, 75, loss)
+        assert tail(need) <= loss < tail(need + 1)
+    assert minhash.least_shared(64, 75, 5e-6) == 32 and minhash.least_shared(4, 100, 0.5) == 4
+
+
+def test_distinct_ids_are_dropped_without_a_shuffle_of_the_texts(spark):
+    docs = spark.range(200).selectExpr("id AS doc_id", "CONCAT('a b c d e f g ', id % 150) AS text", "id AS n")
+    out = minhash.drop_near_copies(docs)
+    assert out.columns == docs.columns and out.count() == 150
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(doc_id" not in plan
+
+
 def test_shared_counts():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 80)) for _ in range(20)]
@@ -147,6 +164,23 @@ def test_links_equal_brute_force(spark, block):
     assert caps.near_vectors(df.where("false")).count() == 0
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    # two pairs that rounding to float would move over the limit, one each way
+    x = np.array([1.0, 0.0])
+    limit = math.acos(0.93)
+    rows = [(0, [1.0, 0.0], 0), (1, [math.cos(limit - 1e-12), math.sin(limit - 1e-12)], 0),
+            (2, [1.0, 0.0], 1), (3, [math.cos(limit + 1e-12), math.sin(limit + 1e-12)], 1),
+            (4, [3.0, 4.0], 2), (4, [3.0, 4.0], 2), (5, [6.0, 8.0], 2), (5, [-1.0, 0.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in caps.near_vectors(df).collect())
+    near = [[float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)) >= 0.93 for _, b, _ in rows] for _, a, _ in rows]
+    assert near[0][1] and not near[2][3] and np.float32(x).dtype == np.float32
+    # rows that share an id share their links
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3), (4, 2, 4), (4, 2, 4), (5, 2, 4), (5, 2, 4)]
+    whole = spark.createDataFrame([(0, [1, 0], 0), (1, [2, 0], 0)], "vec_id long, embedding array<int>, label int")
+    assert [r.n_links for r in caps.near_vectors(whole).collect()] == [1, 1]
+
+
 def test_list_decoding_finds_all_directions():
     import itertools
     rng = np.random.default_rng(1)
@@ -225,6 +259,13 @@ def test_repeats_equal_brute_force(spark, hot):
     assert repeats.remove_repeats(docs.where("false")).count() == 0
 
 
+def test_repeats_in_rows_without_or_with_one_id(spark):
+    t, u = "ab" * 60 + "c" * 130, "".join(chr(97 + i * i % 26) for i in range(190))
+    docs = spark.createDataFrame([(1, t), (1, t), (None, t), (None, u), (2, u)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in repeats.remove_repeats(docs).collect())
+    assert got == [("1", 250, 250), ("1", 250, 250), ("2", 190, 0), ("None", 190, 0), ("None", 250, 250)]
+
+
 def test_long_texts_are_cut_into_pieces(monkeypatch):
     import pyarrow as pa
     rng = random.Random(11)
