@@ -58,8 +58,9 @@ def test_language_stage_without_labels_keeps_texts_with_a_letter(spark):
 
 
 def test_library_works_without_the_subpackage(tmp_path):
+    """Also with the pipeline's module left in place."""
     import shutil
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "corpus_pipeline.py", "__pycache__"))
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'scd2_full' in q and not any(n.startswith('op') and n[2].isdigit() for n in q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True)
