@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ingestkit.session import scoped_conf
@@ -27,13 +28,21 @@ def load_statement(text: str | list[str]) -> str:
 _BINDING = threading.Lock()
 
 
+def _temp_view(spark: SparkSession, name: str) -> DataFrame | None:
+    """The temporary view of this name, if there is one."""
+    try:
+        found = spark.catalog.getTable(name)
+    except AnalysisException:
+        return None
+    return spark.table(name) if found.isTemporary else None
+
+
 @contextlib.contextmanager
 def _bound(spark: SparkSession, views: dict[str, DataFrame]):
     """The frames under their view names while a statement is analyzed.  One
     statement at a time; views of the same names are put back afterwards."""
     with _BINDING:
-        before = {n: spark.table(n) for n in views if any(
-            t.isTemporary and t.name.lower() == n.lower() for t in spark.catalog.listTables())}
+        before = {n: held for n in views if (held := _temp_view(spark, n)) is not None}
         for name, df in views.items():
             df.createOrReplaceTempView(name)
         try:
@@ -54,7 +63,11 @@ def run_sql(spark: SparkSession, statement: str, *, database: str | None = None,
 
     ``null_on_bad_cast=True`` analyzes it without ANSI mode: a cell that a
     CAST cannot convert becomes null instead of failing the job.  The choice
-    is part of the analyzed plan, batch or stream.
+    is part of the analyzed plan, batch or stream.  It holds for the whole
+    statement: whole numbers that overflow wrap, as they did before ANSI mode.  The
+    session's switch is off while the statement is analyzed, so a statement that
+    another thread analyzes in the same session at that moment, not through
+    ``run_sql``, is analyzed without ANSI mode too.
     """
     previous = spark.catalog.currentDatabase()
     mode = {"spark.sql.ansi.enabled": "false"} if null_on_bad_cast else {}

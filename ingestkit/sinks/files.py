@@ -5,6 +5,7 @@ pass through the driver."""
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +94,15 @@ def spec_sql(spec: dict[str, object]) -> str:
     return "PARTITION (" + ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items()) + ")"
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_spec(text: str) -> dict[str, str | None]:
+    """The values in a partition's name, e.g. ``a=1/b=x%2Fy``."""
+    pairs = [x.split("=", 1) for x in text.split("/")]
+    return {k: None if v == NULL_PARTITION else unquote(v) for k, v in pairs}
+
+
 def partition_location(spark: SparkSession, name: str, spec: dict[str, object]) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec_sql(spec)}").collect()
     return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")

@@ -14,7 +14,6 @@ File tables of the session catalog only (a table format commits by itself).
 from __future__ import annotations
 
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +22,6 @@ from ingestkit.sinks import files
 from ingestkit.sinks.ledger import DONE, DROPPED, OPEN, STAGED, RunLedger
 from ingestkit.sinks.tables import TableMissing, _describe, _is_file_table, _partition_columns, table_exists
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 
 def switch_table(spark: SparkSession, table: str, folder: str) -> None:
     """Point a table at a folder: one catalog call."""
@@ -49,8 +46,7 @@ def partition_folders(spark: SparkSession, place: str, columns: list[str]) -> li
         for spec, folder in found:
             for name, _, is_folder in files.listed(spark, folder):
                 if is_folder and name.startswith(f"{column}="):
-                    value = unquote(name.split("=", 1)[1])
-                    deeper.append((spec | {column: None if value == NULL_PARTITION else value}, f"{folder}/{name}"))
+                    deeper.append((spec | files.partition_spec(name), f"{folder}/{name}"))
         found = deeper
     return found
 
@@ -214,8 +210,7 @@ def pack_small_files(spark: SparkSession, table: str, *, target_file_bytes: int
     folders = [({}, root)]
     if parts:
         rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-        specs = [{k: None if (v := unquote(x.split("=", 1)[1])) == NULL_PARTITION else v
-                  for x in r.partition.split("/") for k in [x.split("=", 1)[0]]} for r in rows]
+        specs = [files.partition_spec(r.partition) for r in rows]
         folders = [(spec, files.partition_location(spark, table, spec)) for spec in specs]
     work = [(spec, folder, names) for spec, folder in folders
             for names in packed([f for f in files.data_files(spark, folder) if f[1] < target_file_bytes], target_file_bytes)]

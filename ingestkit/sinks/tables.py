@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestkit.session import remove_folder, scoped_conf, scratch_dir
+from ingestkit.sinks import files
+
+MAX_BROADCAST_PARTITIONS = 50_000
 
 
 class TableMissing(RuntimeError):
@@ -190,28 +193,35 @@ def _has_stream_sink_log(spark: SparkSession, location: str) -> bool:
     return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
 
 
-def _salted(df: DataFrame, parts: list[str], target_file_bytes: int, fmt: str) -> DataFrame:
+def _partition_bytes(spark: SparkSession, name: str, parts: list[str], location: str) -> list[tuple[dict[str, object], int]]:
+    """Partition values and bytes, from the list of the table's files."""
+    if not parts:
+        return [({}, sum(size for _, size in files.data_files(spark, location)))]
+    specs = [files.partition_spec(r.partition) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return [(spec, sum(size for _, size in files.data_files(spark, files.partition_location(spark, name, spec)))) for spec in specs]
+
+
+def _salted(df: DataFrame, sizes: list[tuple[dict[str, object], int]], parts: list[str], target_file_bytes: int, fmt: str) -> DataFrame:
     """The rows with the number of the output file (within their partition)
     that they go to: ceil(bytes of the partition / target) files each."""
-    df = df.withColumns({"__file": F.col("_metadata.file_path"), "__bytes": F.col("_metadata.file_size")})
+    columns = df.schema.fields
+    df = df.withColumn("__file", F.col("_metadata.file_path"))
     if fmt == "parquet":
-        spread = F.xxhash64("__file", F.col("_metadata.row_index"))
-        df = df.withColumn("__at", spread)
+        df = df.withColumn("__at", F.xxhash64("__file", F.col("_metadata.row_index")))
     else:
         df = df.withColumn("__at", F.xxhash64("__file", *[
-            f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]))
-    files = df.select(*parts, "__file", "__bytes").distinct()
+            f.name for f in columns if not isinstance(f.dataType, T.MapType | T.VariantType)]))
+    counts = [(*[spec[p] for p in parts], max(1, -(-size // target_file_bytes))) for spec, size in sizes]
     if not parts:
-        total = files.agg(F.sum("__bytes")).first()[0] or 0
-        return df.withColumn("__salt", F.pmod("__at", F.lit(max(1, -(-total // target_file_bytes)))).cast("int")) \
-            .drop("__file", "__bytes", "__at")
-    sizes = files.groupBy(*[F.col(p).alias(f"__{p}") for p in parts]).agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("__bytes") / target_file_bytes)).cast("long").alias("__n"))
+        return df.withColumn("__salt", F.pmod("__at", F.lit(counts[0][0])).cast("int")).drop("__file", "__at")
+    # one row a partition of the table
+    kinds = {f.name: f.dataType for f in columns}
+    listed = df.sparkSession.createDataFrame(counts, ", ".join([*[f"`__{p}` string" for p in parts], "__n long"]))
+    listed = listed.select(*[F.col(f"__{p}").cast(kinds[p]).alias(f"__{p}") for p in parts], "__n")
     on = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
-    # one row a partition
-    df = df.join(F.broadcast(sizes), on)
+    df = df.join(F.broadcast(listed) if len(counts) <= MAX_BROADCAST_PARTITIONS else listed, on)
     salt = F.pmod(F.col("__at"), F.col("__n")).cast("int")
-    return df.withColumn("__salt", salt).drop("__file", "__bytes", "__at", "__n", *[f"__{p}" for p in parts])
+    return df.withColumn("__salt", salt).drop("__file", "__at", "__n", *[f"__{p}" for p in parts])
 
 
 def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 128 * 1024 * 1024,
@@ -265,7 +275,7 @@ def compact_table(spark: SparkSession, name: str, *, target_file_bytes: int = 12
         df = df.where(where)
     rows, schema = df.count(), spark.table(name).schema
     keys = [*parts, "__salt"]
-    salted = _salted(df, parts, target_file_bytes, fmt)
+    salted = _salted(df, _partition_bytes(spark, name, parts, location), parts, target_file_bytes, fmt)
     salted.repartition(*keys).sortWithinPartitions(*keys).write.partitionBy(*keys).format(fmt).save(stage)
     # the table's own schema, not partition-value inference, types the copy;
     # an opening cost above the split size makes every staged file one task
