@@ -367,6 +367,9 @@ def remove_repeats(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     found = stored(long_.select(*key, "text").mapInArrow(_emit_anchors(length, gram), "h1 long, h2 long, fp long, at long"), "anchors")
     place = F.xxhash64("h1", "h2", "at")
     again = found.groupBy("fp").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("fp")
+    # stored, so that either side of the join is shuffled for it and AQE can
+    # split the places of a very frequent anchor
+    again = stored(again, "repeated-anchors")
     lists = found.join(again, "fp", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("ats"))
     lists = stored(lists.join(texts, key).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "rep", "ats"), "lists")
     # one document of each text
@@ -382,7 +385,7 @@ def remove_repeats(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
 
     ctx = ["c1", "c2"]
     one = stored(contexts.groupBy("fp", *ctx).agg(F.count(F.lit(1)).alias("n"), F.first("ctx").alias("ctx")), "distinct-contexts")
-    width = one.groupBy("fp").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    width = stored(one.groupBy("fp").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "widths")     # for AQE, as above
     met = one.join(width, "fp")
     cold = met.where(F.col("m") <= hot).select("fp", *ctx, "ctx").repartition("fp").sortWithinPartitions("fp") \
         .mapInArrow(_merge_contexts(length, symbol), "c1 long, c2 long, a array<long>, b array<long>")
