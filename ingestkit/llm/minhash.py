@@ -120,11 +120,12 @@ def least_shared(k: int, percent: int, loss: float) -> int:
     return k
 
 
-def listed(classes: DataFrame, need: int, percent: int) -> DataFrame:
+def listed(classes: DataFrame, need: int, percent: int, stored) -> DataFrame:
     """(v, rep, n, shares): the rarest sketch values of each class that others
-    retain too, and how many of its values others retain."""
+    retain too, and how many of its values others retain.  Counts are stored, so
+    that a join with them shuffles both sides and AQE can split a hot value."""
     entries = classes.select("rep", "n", F.size("sketch").alias("sz"), F.explode("sketch").alias("v"))
-    df = entries.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = stored(entries.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
     # values that no other class retains are the rarest and need no list
     mine = entries.join(df, "v").groupBy("rep", "n", "sz").agg(
         F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
@@ -259,7 +260,7 @@ def _solve_groups(options: dict):
     return run
 
 
-def _groups(lists: DataFrame, found: DataFrame, block: int, block_shingles: int) -> DataFrame:
+def _groups(lists: DataFrame, found: DataFrame, block: int, block_shingles: int, stored) -> DataFrame:
     """(rep, part, top, g, h, left): the members that lists hold apart, once
     for every two blocks that meet."""
     marked = lists.join(found, F.col("rep") == F.col("node"), "left") \
@@ -267,6 +268,7 @@ def _groups(lists: DataFrame, found: DataFrame, block: int, block_shingles: int)
     sizes = marked.groupBy("v", "part").agg(F.count(F.lit(1)).alias("m"))
     apart = sizes.groupBy("v").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "part")).alias("top")) \
         .where("parts > 1").select("v", F.col("top.part").alias("top"))
+    apart = stored(apart, "lists-apart")
     members = marked.join(apart, "v").select("top", "rep", "n", "part").distinct() \
         .withColumn("minor", F.col("part") != F.col("top"))
 
@@ -310,10 +312,10 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     classes = with_set.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")) \
         .select("rep", F.col("n_shingles").alias("n"), *same, "sketch")
     classes = stored(classes, "classes")
-    lists = stored(listed(classes, need, percent), "lists")
+    lists = stored(listed(classes, need, percent, stored), "lists")
     sets = stored(_full_sets(documents, lists.select("rep").distinct(), doc_id=doc_id, text=text, n=n), "sets")
 
-    hubs = lists.groupBy("v").agg(F.max(F.struct("shares", (-F.col("rep")).alias("x"), "rep", "n")).alias("h"))
+    hubs = stored(lists.groupBy("v").agg(F.max(F.struct("shares", (-F.col("rep")).alias("x"), "rep", "n")).alias("h")), "hubs")
     star = lists.join(hubs, "v").where(_compatible("n", "h.n", percent)).select(
         F.col("h.rep").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
     star = stored(_estimated(star, classes, k, estimate), "star")
@@ -323,7 +325,7 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     first = stored(both.where(inter * 100 >= (F.size("set_a") + F.size("set_b") - inter) * percent).select("a", "b"), "links")
     found = connected_components(first)
 
-    groups = _groups(lists, found, block, block_shingles)
+    groups = _groups(lists, found, block, block_shingles, stored)
     key = ["top", "g", "h"]
     options = {"k": k, "need": need, "percent": percent, "estimate": estimate}
     second = stored(groups.join(sets, "rep").select("rep", "part", "left", "set", *key).repartition(*key)
