@@ -44,6 +44,10 @@ LETTER, STMD, RV, EL, EE, NUMBER, BLANK, SPACE, OTHER, QUOTE, END = range(11)
 # Splitter states: what the piece being read is.
 (START, IN_L, IN_N, IN_O, ONE_BLANK, ONE_SPACE, BLANKS, SPACES, Q, Q_RV, Q_L, DONE) = range(12)
 N_STATES = 12
+# The encoder: its first state; pieces longer than LONG bytes are cut into chunks, whose
+# states are guessed from the WARM bytes before them.
+FIRST = ((b"", 0, 0),)
+LONG, CHUNK, WARM = 4096, 512, 64
 NOW, BACK1 = 1, 2        # a piece begins at this character; at the one before
 
 
@@ -183,8 +187,7 @@ class Encoder:
         return parts
 
     def _reset(self) -> None:
-        first = ((b"", 0, 0),)
-        self.states, self.names = [first], {first: 0}
+        self.states, self.names = [FIRST], {FIRST: 0}
         self.columns = np.full(256, -1, np.int64)     # byte -> column, given when first read
         self.used = 0
         self.next = np.full((1024, 32), -1, np.int32)
@@ -215,6 +218,10 @@ class Encoder:
         going.append(ended)
         least = min(x[2] for x in going)
         made = tuple((a, n, d - least) for a, n, d in going)
+        self.next[state, column], self.emit[state, column] = self._named(made), least
+
+    def _named(self, made: tuple) -> int:
+        """The number of a state; its last element says what is due at the end."""
         to = self.names.get(made)
         if to is None:
             to = self.names[made] = len(self.states)
@@ -224,8 +231,8 @@ class Encoder:
                 self.next = np.vstack([self.next, np.full((more, self.next.shape[1]), -1, np.int32)])
                 self.emit = np.vstack([self.emit, np.zeros((more, self.emit.shape[1]), np.int16)])
                 self.final = np.r_[self.final, np.zeros(more, np.int16)]
-            self.final[to] = ended[2] - least
-        self.next[state, column], self.emit[state, column] = to, least
+            self.final[to] = made[-1][2]
+        return to
 
     def _column(self, byte: int) -> int:
         if self.columns[byte] < 0:
@@ -236,19 +243,30 @@ class Encoder:
             self.used += 1
         return int(self.columns[byte])
 
-    def walk(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Token counts of the pieces ``data[start:start + size]``."""
+    def _walked(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, begin: list[tuple]) -> tuple[list[tuple], np.ndarray]:
+        """The states in which ``data[start:start + size]`` end, each from its own
+        state, and the tokens emitted on the way."""
         order = np.argsort(-size, kind="stable")
         start, size = start[order], size[order]
-        if len(self.states) > self.max_states:
-            self._reset()
         for b in np.flatnonzero(np.bincount(data, minlength=256)):
             self._column(int(b))
-        count, state, live, i = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64), len(start), 0
+        state = np.array([self._named(begin[i]) for i in order], np.int64)
+        count, live, i = np.zeros(len(start), np.int64), len(start), 0
+        out: list[tuple] = [()] * len(start)
         while live:
-            live = int(np.searchsorted(-size[:live], -i, "left"))      # the first ``live`` are longer than i
+            longer = int(np.searchsorted(-size[:live], -i, "left"))      # the first ``longer`` are longer than i
+            for k in range(longer, live):
+                out[order[k]] = self.states[state[k]]
+            live = longer
             if not live:
                 break
+            if len(self.states) > self.max_states:                 # made anew from the states in use
+                used, place = np.unique(state[:live], return_inverse=True)
+                held = [self.states[x] for x in used]
+                self._reset()
+                for b in np.flatnonzero(np.bincount(data, minlength=256)):
+                    self._column(int(b))
+                state[:live] = np.array([self._named(x) for x in held])[place]
             column = self.columns[data[start[:live] + i]]
             to = self.next[state[:live], column]
             if (missing := np.flatnonzero(to < 0)).size:
@@ -259,11 +277,51 @@ class Encoder:
             count[:live] += self.emit[state[:live], column]
             state[:live] = to
             i += 1
-        count += self.final[state]
+        back = np.empty(len(start), np.int64)
+        back[order] = count
+        return out, back
+
+    def walk(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Token counts of the pieces ``data[start:start + size]``."""
         out = np.empty(len(start), np.int64)
-        out[order] = count
+        short = np.flatnonzero(size <= LONG)
+        ends, out[short] = self._walked(data, start[short], size[short], [FIRST] * len(short))
+        out[short] += np.array([e[-1][2] for e in ends], np.int64)
+        for i in np.flatnonzero(size > LONG):
+            out[i] = self._long(data[start[i]:start[i] + size[i]])
         return out
 
+    def _long(self, data: np.ndarray) -> int:
+        """Token count of one long piece, from the maps of its chunks."""
+        at = np.arange(0, len(data), CHUNK)
+        size = np.minimum(CHUNK, len(data) - at)
+        guess, _ = self._walked(data, at[1:] - WARM, np.full(len(at) - 1, WARM), [FIRST] * (len(at) - 1))
+        maps: list[dict[tuple, tuple[tuple, int]]] = [{} for _ in at]
+        todo = list(enumerate([FIRST, *guess]))
+        while todo:
+            chunk = np.array([j for j, _ in todo])
+            ends, counts = self._walked(data, at[chunk], size[chunk], [s for _, s in todo])
+            for (j, s), end, n in zip(todo, ends, counts, strict=True):
+                maps[j][s] = (end, int(n))
+            todo = sorted({(j + 1, end) for (j, _), end in zip(todo, ends, strict=True) if j + 1 < len(at) and end not in maps[j + 1]},
+                          key=lambda x: x[0])
+        # the maps as arrays: from the i-th state of a chunk to which state of the next, with how many tokens
+        places = [{s: i for i, s in enumerate(m)} for m in maps]
+        last = list({e for e, _ in maps[-1].values()})
+        places.append({s: i for i, s in enumerate(last)})
+        width = max(len(m) for m in maps)
+        to, add = np.zeros((len(at), width), np.int64), np.zeros((len(at), width), np.int64)
+        for j, m in enumerate(maps):
+            for i, (end, n) in enumerate(m.values()):
+                to[j, i], add[j, i] = places[j + 1][end], n
+        while len(to) > 1:                                 # compose neighbours, all pairs at once
+            even = len(to) // 2 * 2
+            first, second = to[0:even:2], to[1:even:2]
+            joined = np.take_along_axis(second, first, 1), add[0:even:2] + np.take_along_axis(add[1:even:2], first, 1)
+            to, add = np.vstack([joined[0], to[even:]]), np.vstack([joined[1], add[even:]])
+        end = places[0][FIRST]
+        return int(add[0, end]) + last[to[0, end]][-1][2]
+
     def count(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Token counts of pieces; pieces seen before are looked up by hash."""
         if not len(start):
@@ -300,6 +358,9 @@ def compile_tokenizer(spec: str) -> dict:
     if d["model"]["type"] != "BPE" or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") \
             or not splitter.get("use_regex", True) or d.get("normalizer") or d["model"].get("ignore_merges"):
         raise ValueError("only byte-level BPE files with the ByteLevel splitter are supported")
+    odd = [t["content"] for t in d.get("added_tokens", []) if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]
+    if odd:
+        raise ValueError(f"added tokens that take in blanks or want whole words are not supported: {odd}")
     return {"digest": hashlib.sha256(spec.encode()).hexdigest(), "model": {"merges": d["model"]["merges"]},
             "special": sorted(t["content"] for t in d.get("added_tokens", []))}
 

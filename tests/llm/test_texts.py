@@ -1,11 +1,13 @@
 """Token counts, language ID, decontamination and LM scores on small fixtures."""
 
 import hashlib
+import json
 import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -46,12 +48,51 @@ def test_counts_equal_the_library(spark, tokenizer):
               " " * 3000, "a<|endoftext|>b <|endoftext|>  <|endoftext|>", "<|endoftext|>", "<|endoftext", "lorem ipsum " * 20000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
     got = {r.doc_id: r for r in tokencount.count_tokens(df, path).collect()}
+    again = tokencount.count_tokens(df.where("doc_id < 5").unionByName(df.where("doc_id < 5")), path).groupBy("doc_id", "n_tokens").count()
+    assert sorted((r.doc_id, r.n_tokens, r["count"]) for r in again.collect()) == [(i, got[i].n_tokens, 2) for i in range(5)]
     for i, t in enumerate(texts):
         want = len(library.encode(t or "", add_special_tokens=False).ids)
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (want, len((t or "").encode()), want > 1024), t
     assert tokencount.count_tokens(df.where("false"), path).count() == 0
 
 
+def _one(compiled, text, **limits):
+    data = np.frombuffer(text.encode(), np.uint8)
+    machine = tokencount.Encoder(compiled["model"], **limits) if limits else None
+    if machine:
+        return int(machine.walk(data, np.array([0]), np.array([len(data)]))[0]), machine
+    return int(tokencount.count_batch(data, np.array([0, len(data)]), compiled)[0]), None
+
+
+def test_long_pieces_are_composed_from_chunks(tokenizer, monkeypatch):
+    path, library = tokenizer
+    with open(path) as f:
+        compiled = tokencount.compile_tokenizer(f.read())
+    rng = random.Random(6)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = ["x" * 5001, "xyz" * 3000, "ab" * 2100 + "c", draw("ACGT", 9000), draw("abcdefghijklmnopqrstuvwxyzABCDEFG", 5000), "=" * 4500,
+             "international" * 500, "é" * 3000, "中文" * 1500, "a" * 4096, "a" * 4097, draw("0123456789", 4300)]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [_one(compiled, t)[0] for t in texts] == want
+    monkeypatch.setattr(tokencount, "LONG", 100)
+    for chunk, warm in ((17, 3), (64, 64), (16, 0)):
+        monkeypatch.setattr(tokencount, "CHUNK", chunk)
+        monkeypatch.setattr(tokencount, "WARM", warm)
+        for t, n in zip(texts, want, strict=True):
+            assert _one(compiled, t[:600], max_states=10**6, max_known=10)[0] == len(library.encode(t[:600], add_special_tokens=False).ids)
+        # the table of states stays bounded while a piece is walked
+        got, machine = _one(compiled, texts[4], max_states=300, max_known=10)
+        assert got == want[4] and len(machine.states) < 300 + 5000 // chunk * 2 + 1
+
+
+def test_unsupported_added_tokens_are_refused(tokenizer):
+    with open(tokenizer[0]) as f:
+        spec = json.load(f)
+    spec["added_tokens"].append({"content": "<x>", "lstrip": True})
+    with pytest.raises(ValueError, match="<x>"):
+        tokencount.compile_tokenizer(json.dumps(spec))
+
+
 def test_states_can_be_thrown_away(tokenizer):
     path, library = tokenizer
     with open(path) as f:
