@@ -2,16 +2,18 @@
 
 Features are hashed byte trigrams of the lower-cased text, everything but
 letters read as one blank, square-rooted and scaled to length one.  Linear
-support vector machines (Spark ML) are trained on a bounded sample of the
-labelled rows: one machine a family against the rest, and one for every two
-languages of a family.  A text gets the family of the largest margin, then the
+support vector machines are trained on a bounded sample of the labelled rows:
+one machine a family against the rest, and one for every two languages of a
+family, all in one job, a machine a group.  A text gets the family of the largest margin, then the
 language that wins most of its family's duels (ties: the larger sum of
 margins).  The score is the product of the family's and the duels' logistic
 confidences.
 
 ``sample_per_language`` bounds the training rows: the distinct texts of each
 language with the smallest hashes, one row each, so the sample is a fixed one
-that copies of a text do not change.  Prediction is one narrow pass over whole texts.
+that copies of a text do not change.  ``rows_per_machine`` bounds the rows of one
+machine: with more, it takes the same smaller number of each language.  More
+than ``max_languages`` different labels are an error.  Prediction is one narrow pass over whole texts.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; so is
 everything when there is no labelled row; with one language all texts with a
@@ -26,8 +28,6 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +41,7 @@ FAMILIES = {
     "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "bg": "slavic", "sk": "slavic",
 }
 DIMENSIONS = 2048
+ROWS = 1024                 # texts whose features are held at a time
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -79,51 +80,105 @@ def held_out(doc_id: str, folds: int = 5) -> Column:
 
 
 def _featurize(batches):
-    for batch in textscan.chunks(batches, "text"):
+    for batch in textscan.chunks(batches, "text", rows=ROWS):
         x = features(*textscan.as_buffer(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), textscan.list_column(x.ravel(), [DIMENSIONS] * len(x), pa.float32())],
-            names=["lang", "x"])
-
-
-def train(rows: DataFrame, *, sample_per_language: int = 800, max_iter: int = 25, reg: float = 1e-4) -> dict:
+            [*[batch.column(c) for c in ("lang", "h", "rank")],
+             textscan.list_column(x.ravel(), [DIMENSIONS] * len(x), pa.float32())], names=["lang", "h", "rank", "x"])
+
+
+def fit_machine(x: np.ndarray, y: np.ndarray, *, reg: float, max_iter: int) -> np.ndarray:
+    """Weights and intercept of the linear support vector machine (squared
+    hinge loss, intercept free) for rows ``x`` and classes ``y`` of 1 and -1,
+    by Newton steps whose systems conjugate gradients solve."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    keep = np.r_[np.full(x.shape[1] - 1, reg), 1e-9]
+
+    def loss(w):
+        return 0.5 * (keep * w * w).sum() + 0.5 * np.square(np.maximum(1 - y * (x @ w), 0)).mean()
+
+    w = np.zeros(x.shape[1])
+    for _ in range(max_iter):
+        miss = np.maximum(1 - y * (x @ w), 0)
+        gradient = keep * w - x.T @ (y * miss) / len(y)
+        size = np.linalg.norm(gradient)
+        if size < 1e-7:
+            break
+        inside = x[miss > 0]
+        step, left, way = np.zeros_like(w), -gradient, -gradient
+        for _ in range(60):
+            bent = keep * way + inside.T @ (inside @ way) / len(y)
+            far = left @ left / (way @ bent)
+            step, rest = step + far * way, left - far * bent
+            if np.linalg.norm(rest) < 1e-3 * size:
+                break
+            left, way = rest, rest + (rest @ rest) / (left @ left) * way
+        now, length = loss(w), 1.0
+        while loss(w + length * step) > now + 1e-4 * length * (gradient @ step) and length > 1e-6:
+            length /= 2
+        w = w + length * step
+    return w
+
+
+def _fit_group(max_iter: int, reg: float):
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("h", "ascending"), ("lang", "ascending")])     # the same sums whatever the order of arrival
+        x = t.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, DIMENSIONS)
+        w = fit_machine(x, t.column("y").to_numpy(), reg=reg, max_iter=max_iter)
+        return pa.table({"machine": t.column("machine").slice(0, 1), "w": pa.array([w], pa.list_(pa.float64()))})
+    return run
+
+
+def train(rows: DataFrame, *, sample_per_language: int = 800, rows_per_machine: int = 16384, max_languages: int = 64,
+          max_iter: int = 25, reg: float = 1e-4) -> dict:
     """The model from the text and lang of the rows to learn from."""
     spark = rows.sparkSession
     work_root(spark)
     rows = rows.where("lang is not null and text is not null")
     rows = rows.select("lang", "text", F.xxhash64(F.lit("langid"), "text").alias("h"))
-    texts = rows.select("lang", "h").distinct()
+    names_path, path = scratch_dir(spark, "langid-texts"), scratch_dir(spark, "langid-sample")
+    rows.select("lang", "h").distinct().write.parquet(names_path)
+    texts = spark.read.parquet(names_path)
     counts = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("texts_of"))
-    # four times as many as wanted, or all, are ranked
+    langs = sorted(r.lang for r in counts.limit(max_languages + 1).collect())
+    if len(langs) > max_languages:
+        raise ValueError(f"column lang has more than {max_languages} values (max_languages)")
+    # four times as many as wanted, or all, are ranked; one count a language is broadcast
     few = texts.join(F.broadcast(counts), "lang").where(
         F.pmod("h", F.lit(1 << 40)) * F.col("texts_of").cast("double") <= F.lit(4.0 * sample_per_language * (1 << 40)))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h"))
-    drawn = few.withColumn("rank", rank).where(F.col("rank") <= sample_per_language).select("lang", "h")
+    drawn = few.withColumn("rank", rank).where(F.col("rank") <= sample_per_language).select("lang", "h", "rank")
     # at most sample_per_language rows a language
-    sample = rows.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("h", "lang")
-    path = scratch_dir(spark, "langid-sample")
-    sample.select("lang", "text").mapInArrow(_featurize, "lang string, x array<float>").write.parquet(path)
-    # the sample is bounded: a few tasks a pass of the solver, not one a file
-    sample = spark.read.parquet(path).coalesce(4)
-    langs = sorted(r.lang for r in sample.select("lang").distinct().collect())
-    family = {x: FAMILIES.get(x, x) for x in langs}
-    names = sorted(set(family.values()))
-    data = sample.select("lang", array_to_vector(F.col("x").cast("array<double>")).alias("features"))
-
-    def fit(frame: DataFrame, positive: list[str]) -> np.ndarray:
-        frame = frame.select("features", F.col("lang").isin(positive).cast("double").alias("label"))
-        model = LinearSVC(maxIter=max_iter, regParam=reg).fit(frame)
-        return np.r_[model.coefficients.toArray(), model.intercept]
-
-    zero = np.zeros(DIMENSIONS + 1)
-    members = {f: [x for x in langs if family[x] == f] for f in names}
-    top = [fit(data, members[f]) for f in names[:1 if len(names) == 2 else None]] if len(names) > 1 else [zero] * len(names)
-    if len(names) == 2:
-        top.append(-top[0])
-    duels = {f: [(a, b, fit(data.where(F.col("lang").isin(a, b)), [a])) for a, b in itertools.combinations(members[f], 2)]
-             for f in names}
+    sample = rows.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h", "rank").agg(F.min("text").alias("text"))
+    sample.mapInArrow(_featurize, "lang string, h long, rank int, x array<float>").write.parquet(path)
+    sample = spark.read.parquet(path)
+
+    families = sorted({FAMILIES.get(x, x) for x in langs})
+    members = {f: [x for x in langs if FAMILIES.get(x, x) == f] for f in families}
+    # (machine, languages of class 1, languages of class -1); with two families one machine serves both
+    machines = [((f,), members[f], [x for x in langs if x not in members[f]])
+                for f in families[:1 if len(families) == 2 else None]] if len(families) > 1 else []
+    machines += [((f, a, b), [a], [b]) for f in families for a, b in itertools.combinations(members[f], 2)]
+    model = {"families": families, "members": members, "top": [np.zeros(DIMENSIONS + 1)] * len(families),
+             "duels": {f: [] for f in families}}
+    if machines:
+        part = [(i, x, y, max(1, rows_per_machine // len(yes + no)))
+                for i, (_, yes, no) in enumerate(machines) for y, side in ((1.0, yes), (-1.0, no)) for x in side]
+        part = spark.createDataFrame(part, "machine int, lang string, y double, most int")
+        # a group holds at most rows_per_machine rows, or one a language
+        fitted = sample.join(F.broadcast(part), "lang").where("rank <= most").groupBy("machine") \
+            .applyInArrow(_fit_group(max_iter, reg), "machine int, w array<double>")
+        weights = {r.machine: np.array(r.w) for r in fitted.collect()}          # one row a machine
+        for i, (name, _, _) in enumerate(machines):
+            if len(name) == 3:
+                model["duels"][name[0]].append((*name[1:], weights[i]))
+            else:
+                model["top"][families.index(name[0])] = weights[i]
+        if len(families) == 2:
+            model["top"][1] = -model["top"][0]
     remove_folder(spark, path)
-    return {"families": names, "members": members, "top": top, "duels": duels}
+    remove_folder(spark, names_path)
+    return model
 
 
 def _logistic(x):
@@ -166,7 +221,7 @@ def identify(documents: DataFrame, model: dict, *, text: str = "text") -> DataFr
     held = documents.sparkSession.sparkContext.broadcast(model)   # machines * DIMENSIONS numbers
 
     def run(batches):
-        for batch in textscan.chunks(batches, text):
+        for batch in textscan.chunks(batches, text, rows=ROWS):
             lang, score = predict(*textscan.as_buffer(batch.column(text)), held.value)
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=batch.schema.names + ["lang_pred", "score"])

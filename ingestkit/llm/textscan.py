@@ -108,8 +108,8 @@ def as_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Sub-batches of at most ``limit`` text bytes (or one single text)."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, rows: int = 1 << 31) -> Iterator[pa.RecordBatch]:
+    """Sub-batches of at most ``limit`` text bytes (or one single text) and at most ``rows`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -117,7 +117,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
         first = 0
         while first < batch.num_rows:
             last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-            last = min(max(last, first + 1), batch.num_rows)
+            last = min(max(last, first + 1), first + rows, batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
 
