@@ -15,7 +15,10 @@ that chance for one code, measured on random pairs of that cosine.
 
 Vectors meet in the groups (label, dimension, filter); a group is dealt into
 blocks of at most ``block`` vectors and every two blocks meet in one task.  A
-pair counts in the smallest filter it shares, hence once.  Equal vectors of a
+pair counts in the smallest filter it shares, hence once; a vector travels with
+the number of its filter only, and the task decodes those that have a near one
+again.  Decoding therefore works on whole numbers held in doubles: every sum is
+exact, so a vector exceeds the same filters wherever it is decoded.  Equal vectors of a
 label are one vector with a number of copies.  A task returns the number of
 links of each vector and, per group, one edge a vector towards the group's
 component, never the pairs.
@@ -38,7 +41,8 @@ from pyspark.sql import functions as F
 
 from ingestkit.llm import textscan
 from ingestkit.llm.components import connected_components
-from ingestkit.session import scoped_conf, scratch_dir, work_root
+from ingestkit.llm.stage import Stage
+from ingestkit.session import scoped_conf
 
 
 def _cap(d: int, s: np.ndarray) -> np.ndarray:
@@ -65,7 +69,7 @@ def plan_filters(n: int, d: int, cosine: float, *, bucket: int, each: float = 2.
         return {"d": d, "codes": 0}
     share = min(5e-3, max(bucket / max(n, 1), 1e-12))
     heights = np.linspace(0, 1, 20001)
-    height = float(heights[np.argmax(_cap(d, heights) <= share)])
+    height = round(float(heights[np.argmax(_cap(d, heights) <= share)]) * GRID) / GRID
     total = each / max(_both(d, height, cosine), 1e-15)
     blocks = 2 if total < 1e6 else 4
     plan = {"d": d, "height": height, "blocks": blocks, "codes": math.ceil(total ** (1 / blocks)), "seed": seed, "repeat": 3}
@@ -82,26 +86,38 @@ def plan_filters(n: int, d: int, cosine: float, *, bucket: int, each: float = 2.
     return plan | {"repeat": max(2, math.ceil(math.log(miss) / math.log(lost)))}
 
 
+# Coordinates are whole multiples of 1 / GRID; sums of products stay below 2**53.
+GRID = 2.0 ** 24
+
+
 def code_vectors(plan: dict, repetition: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(rotation, per block the scaled code vectors) of one code."""
+    """(rotation, per block the scaled code vectors) of one code, on the grid."""
+    cache = textscan.process_cache()
+    key = ("cap codes", *sorted(plan.items()), repetition)
+    if key not in cache:
+        cache[key] = _code_vectors(plan, repetition)
+    return cache[key]
+
+
+def _code_vectors(plan: dict, repetition: int) -> tuple[np.ndarray, list[np.ndarray]]:
     d, blocks = plan["d"], plan["blocks"]
     rng = np.random.default_rng([plan["seed"], d, repetition])
     rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
     out = []
     for part in np.array_split(np.arange(d), blocks):
         c = rng.standard_normal((plan["codes"], len(part)))
-        out.append(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(blocks))
-    return rotation, out
+        out.append(np.round(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(blocks) * GRID) / GRID)
+    return np.round(rotation * GRID) / GRID, out
 
 
 def list_decode(unit: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of every direction that a row of ``unit`` exceeds."""
     if not plan["codes"]:
         return np.arange(len(unit)), np.zeros(len(unit), np.int64)
-    found = []
+    found, unit = [], np.round(unit * GRID) / GRID
     for repetition in range(plan["repeat"]):
         rotation, codes = code_vectors(plan, repetition)
-        turned = unit @ rotation
+        turned = np.round(unit @ rotation * GRID) / GRID
         cuts = np.cumsum([0] + [c.shape[1] for c in codes])
         scores = [turned[:, a:b] @ c.T for a, b, c in zip(cuts, cuts[1:], codes, strict=False)]
         best = np.array([s.max(axis=1) for s in scores])
@@ -109,31 +125,42 @@ def list_decode(unit: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
         row, name, total = np.arange(len(unit)), np.full(len(unit), repetition, np.int64), np.zeros(len(unit))
         for s, more in zip(scores, rest, strict=True):
             sums = total[:, None] + s[row]
-            at, code = np.nonzero(sums >= (plan["height"] - more[row] - 1e-12)[:, None])
+            at, code = np.nonzero(sums >= (plan["height"] - more[row])[:, None])
             row, name, total = row[at], name[at] * s.shape[1] + code, sums[at, code]
         found.append((row, name))
     return np.concatenate([r for r, _ in found]), np.concatenate([f for _, f in found])
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _decode(plans: dict[int, dict]):
+    """A row for every filter of every vector; the vector itself comes along."""
     def run(batches):
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
                 vectors = part.column("embedding")
                 size = np.diff(vectors.offsets.to_numpy())
                 for d in np.unique(size):
                     rows = np.flatnonzero(size == d)
                     x = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
-                    row, name = list_decode(x / np.linalg.norm(x, axis=1, keepdims=True), plans[int(d)])
-                    order = np.argsort(row, kind="stable")
-                    row, name = row[order], name[order]
-                    lengths = np.bincount(row, minlength=len(rows))
-                    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
-                    own = part.take(pa.array(rows))
+                    row, name = list_decode(_unit(x), plans[int(d)])
+                    own = part.take(pa.array(rows[row]))
                     yield pa.RecordBatch.from_arrays(
-                        own.columns + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(name))],
-                        names=own.schema.names + ["filters"])
+                        own.columns + [pa.array(np.full(len(row), d, np.int32)), pa.array(name)],
+                        names=own.schema.names + ["d", "filter"])
+    return run
+
+
+def _count_filters(plans: dict[int, dict]):
+    """(label, d, filter, m) with m vectors, added up within the task."""
+    def run(batches):
+        for batch in _decode(plans)(batches):
+            t = pa.Table.from_batches([batch.select(["label", "d", "filter"])])
+            t = t.group_by(["label", "d", "filter"]).aggregate([([], "count_all")])
+            yield from t.rename_columns(["label", "d", "filter", "m"]).to_batches()
     return run
 
 
@@ -163,7 +190,19 @@ def _common_before(a: np.ndarray, b: np.ndarray, lists: list[np.ndarray], own: i
     return shared[at[:len(a)], at[len(a):]] > 0
 
 
-def _links_of_group(rows: dict, cosine: float):
+def _lists(x: np.ndarray, at: np.ndarray, plan: dict) -> list:
+    """The filters of the rows ``at`` of x (none for the others)."""
+    lists = [None] * len(x)
+    for first in range(0, len(at), 256):
+        some = at[first:first + 256]
+        row, name = list_decode(_unit(x[some]), plan)
+        name = name[np.argsort(row, kind="stable")]
+        for i, own in zip(some, np.split(name, np.cumsum(np.bincount(row, minlength=len(some)))[:-1]), strict=True):
+            lists[i] = own
+    return lists
+
+
+def _links_of_group(rows: dict, cosine: float, plan: dict):
     """(ids, links) and (id, towards) of one pair of blocks."""
     ids, x = rows["rep"], rows["x"]
     near = (x @ x.T) / (rows["norm"][:, None] * rows["norm"][None, :]) >= cosine
@@ -174,7 +213,8 @@ def _links_of_group(rows: dict, cosine: float):
     if not len(a):
         return None
     label = _component_labels(near)
-    fresh = ~_common_before(a, b, rows["filters"], rows["filter"])
+    lists = _lists(x, np.flatnonzero(near.any(axis=1)), plan) if plan["codes"] else [np.zeros(1, np.int64)] * len(ids)
+    fresh = ~_common_before(a, b, lists, rows["filter"])
     count = np.zeros(len(ids), np.int64)
     np.add.at(count, a[fresh], rows["copies"][b[fresh]])
     np.add.at(count, b[fresh], rows["copies"][a[fresh]])
@@ -184,19 +224,16 @@ def _links_of_group(rows: dict, cosine: float):
     return ids[some], count[some], smallest[label][some]
 
 
-def _verify(cosine: float):
+def _verify(cosine: float, plans: dict[int, dict]):
     key = ["label", "d", "filter", "g", "h"]
 
     def group(t: pa.Table):
         d = t.column("d")[0].as_py()
         x = t.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
-        lists = t.column("filters").combine_chunks()
-        flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
         return _links_of_group({
             "rep": t.column("rep").to_numpy(), "copies": t.column("copies").to_numpy(), "x": x,
             "norm": np.sqrt((x * x).sum(axis=1)), "left": t.column("left").to_numpy(),
-            "filters": [flat[p:q] for p, q in zip(offs, offs[1:], strict=False)],
-            "filter": t.column("filter")[0].as_py()}, cosine)
+            "filter": t.column("filter")[0].as_py()}, cosine, plans[d])
 
     def run(batches):
         held = None
@@ -225,7 +262,7 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
                  cosine: float = 0.93, bucket: int = 200, miss: float = 1e-4, block: int = 1024) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    work_root(spark)
+    stage = Stage(spark)
     e = F.col("embedding")
     sane = (F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(e, lambda x: x != 0) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
@@ -239,36 +276,34 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     same = ["label", "h1", "h2"]
     one = rows.where("ok").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                               F.first("embedding").alias("embedding"))
-    path = scratch_dir(spark, "vectors")
-    one.write.parquet(path)
-    one = spark.read.parquet(path)
+    one = stage(one, "vectors")
     # one row a vector length
     plans = {r.d: plan_filters(r.n, r.d, cosine, bucket=bucket, miss=miss)
              for r in one.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     basic = one.select("rep", "copies", "label", "embedding")
-    coded = basic.mapInArrow(_decode(plans), f"rep long, copies long, label long, embedding array<{kind}>, filters array<long>")
-    entries = coded.select("*", F.size("embedding").alias("d"), F.explode("filters").alias("filter"))
     at = ["label", "d", "filter"]
-    sizes = entries.groupBy(*at).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    entries = basic.mapInArrow(_decode(plans), f"rep long, copies long, label long, embedding array<{kind}>, d int, filter long")
+    # only groups above one block are cut; stored, so that their size is known when the join is planned
+    sizes = one.select("label", "embedding").mapInArrow(_count_filters(plans), "label long, d int, filter long, m long")
+    wide = stage(sizes.groupBy(*at).agg(F.sum("m").alias("m")).where(F.col("m") > block), "vector-groups")
     # blocks of a group; each two of them meet once, a block also meets itself
-    dealt = entries.join(sizes, at).withColumn("nb", F.ceil(F.col("m") / block).cast("int")) \
+    dealt = entries.join(wide, at, "left").withColumn("nb", F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    meet = dealt.select("rep", "copies", "embedding", "filters", *at, F.least("own", "other").alias("g"),
+    meet = dealt.select("rep", "copies", "embedding", *at, F.least("own", "other").alias("g"),
                         F.greatest("own", "other").alias("h"), (F.col("own") < F.col("other")).alias("left"))
     key = [*at, "g", "h"]
-    found = meet.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(cosine), "rep long, links long, towards long")
-    found_path = scratch_dir(spark, "vector-links")
+    found = meet.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(cosine, plans), "rep long, links long, towards long")
     with scoped_conf(spark, textscan.SMALL_BATCHES):
-        found.write.parquet(found_path)
-    found = spark.read.parquet(found_path)
+        found = stage(found, "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("towards").alias("b")))
     per = one.select(*same, "rep", "copies").join(links, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left") \
         .select(*same, F.lit(True).alias("ok"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
                 F.coalesce("component", "rep").alias("c"))
-    return rows.drop("embedding").join(per, [*same, "ok"], "left").select(
+    result = rows.drop("embedding").join(per, [*same, "ok"], "left").select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("c", "vec_id").alias("component_id")) \
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return stage.finish(result)

@@ -196,6 +196,17 @@ def test_list_decoding_finds_all_directions():
     assert set(zip(*caps.list_decode(x, plan), strict=True)) == want
 
 
+@pytest.mark.parametrize("d", [8, 33, 64])
+def test_a_vector_exceeds_the_same_filters_in_any_company(d):
+    rng = np.random.default_rng(4)
+    plan = caps.plan_filters(20_000, d, 0.93, bucket=200)
+    x = rng.standard_normal((300, d)).astype(np.float32).astype(np.float64)
+    whole = caps._lists(x, np.arange(300), plan)
+    for some in ([7], [0, 299], list(range(0, 300, 3))):
+        for i, names in zip(some, caps._lists(x[some], np.arange(len(some)), plan), strict=True):
+            assert sorted(names) == sorted(whole[i])
+
+
 @pytest.mark.parametrize(("n", "d"), [(500, 64), (50_000, 64), (2_000_000, 64), (50_000, 16)])
 def test_recall_of_pairs_at_the_limit(n, d):
     rng = np.random.default_rng(2)
