@@ -110,12 +110,13 @@ def _code_vectors(plan: dict, repetition: int) -> tuple[np.ndarray, list[np.ndar
     return np.round(rotation * GRID) / GRID, out
 
 
-def list_decode(unit: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of every direction that a row of ``unit`` exceeds."""
+def list_decode(unit: np.ndarray, plan: dict, upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of every direction that a row of ``unit`` exceeds, of the
+    first ``upto`` codes or of all."""
     if not plan["codes"]:
         return np.arange(len(unit)), np.zeros(len(unit), np.int64)
     found, unit = [], np.round(unit * GRID) / GRID
-    for repetition in range(plan["repeat"]):
+    for repetition in range(plan["repeat"] if upto is None else upto):
         rotation, codes = code_vectors(plan, repetition)
         turned = np.round(unit @ rotation * GRID) / GRID
         cuts = np.cumsum([0] + [c.shape[1] for c in codes])
@@ -190,30 +191,33 @@ def _common_before(a: np.ndarray, b: np.ndarray, lists: list[np.ndarray], own: i
     return shared[at[:len(a)], at[len(a):]] > 0
 
 
-def _lists(x: np.ndarray, at: np.ndarray, plan: dict) -> list:
+def _lists(x: np.ndarray, at: np.ndarray, plan: dict, upto: int | None = None) -> list:
     """The filters of the rows ``at`` of x (none for the others)."""
     lists = [None] * len(x)
     for first in range(0, len(at), 256):
         some = at[first:first + 256]
-        row, name = list_decode(_unit(x[some]), plan)
+        row, name = list_decode(_unit(x[some]), plan, upto)
         name = name[np.argsort(row, kind="stable")]
         for i, own in zip(some, np.split(name, np.cumsum(np.bincount(row, minlength=len(some)))[:-1]), strict=True):
             lists[i] = own
     return lists
 
 
-def _links_of_group(rows: dict, cosine: float, plan: dict):
-    """(ids, links) and (id, towards) of one pair of blocks."""
-    ids, x = rows["rep"], rows["x"]
+def _near(rows: dict, cosine: float) -> np.ndarray:
+    """Which vectors of one pair of blocks are near."""
+    x = rows["x"]
     near = (x @ x.T) / (rows["norm"][:, None] * rows["norm"][None, :]) >= cosine
     np.fill_diagonal(near, False)
     if rows["left"].any() and not rows["left"].all():     # two different blocks
         near &= rows["left"][:, None] != rows["left"][None, :]
+    return near
+
+
+def _links_of_group(rows: dict, lists: list, cosine: float):
+    """(ids, links) and (id, towards) of one pair of blocks."""
+    ids, near = rows["rep"], _near(rows, cosine)
     a, b = np.nonzero(np.triu(near))
-    if not len(a):
-        return None
     label = _component_labels(near)
-    lists = _lists(x, np.flatnonzero(near.any(axis=1)), plan) if plan["codes"] else [np.zeros(1, np.int64)] * len(ids)
     fresh = ~_common_before(a, b, lists, rows["filter"])
     count = np.zeros(len(ids), np.int64)
     np.add.at(count, a[fresh], rows["copies"][b[fresh]])
@@ -227,13 +231,28 @@ def _links_of_group(rows: dict, cosine: float, plan: dict):
 def _verify(cosine: float, plans: dict[int, dict]):
     key = ["label", "d", "filter", "g", "h"]
 
-    def group(t: pa.Table):
+    def read(t: pa.Table) -> dict:
         d = t.column("d")[0].as_py()
         x = t.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
-        return _links_of_group({
-            "rep": t.column("rep").to_numpy(), "copies": t.column("copies").to_numpy(), "x": x,
-            "norm": np.sqrt((x * x).sum(axis=1)), "left": t.column("left").to_numpy(),
-            "filter": t.column("filter")[0].as_py()}, cosine, plans[d])
+        return {"rep": t.column("rep").to_numpy(), "copies": t.column("copies").to_numpy(), "x": x, "d": d,
+                "norm": np.sqrt((x * x).sum(axis=1)), "left": t.column("left").to_numpy(),
+                "filter": t.column("filter")[0].as_py()}
+
+    def link(groups: list[dict]):
+        """Of groups of one length: their near vectors are decoded together."""
+        some = [_near(g, cosine).any(axis=1) for g in groups]
+        groups, some = zip(*[(g, at) for g, at in zip(groups, some, strict=True) if at.any()], strict=True) \
+            if any(at.any() for at in some) else ((), ())
+        if not groups:
+            return
+        plan, sizes = plans[groups[0]["d"]], np.cumsum([0] + [len(at) for at in some])
+        if plan["codes"]:   # only codes up to a filter's own can hold a smaller one
+            upto = int(max(g["filter"] for g in groups) // plan["codes"] ** plan["blocks"]) + 1
+            lists = _lists(np.concatenate([g["x"] for g in groups]), np.flatnonzero(np.concatenate(some)), plan, upto)
+        else:
+            lists = [np.zeros(1, np.int64)] * int(sizes[-1])
+        for g, p, q in zip(groups, sizes, sizes[1:], strict=False):
+            yield _links_of_group(g, lists[p:q], cosine)
 
     def run(batches):
         held = None
@@ -251,7 +270,8 @@ def _verify(cosine: float, plans: dict[int, dict]):
             yield from emit(held, np.array([0, held.num_rows]))
 
     def emit(t: pa.Table, cuts: np.ndarray):
-        found = [r for p, q in zip(cuts, cuts[1:], strict=False) if q - p > 1 and (r := group(t.slice(p, q - p)))]
+        groups = [read(t.slice(p, q - p)) for p, q in zip(cuts, cuts[1:], strict=False) if q - p > 1]
+        found = [r for d in {g["d"] for g in groups} for r in link([g for g in groups if g["d"] == d])]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)],
                                              names=["rep", "links", "towards"])
