@@ -28,6 +28,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ FAMILIES = {
     "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "bg": "slavic", "sk": "slavic",
 }
 DIMENSIONS = 2048
-ROWS = 1024                 # texts whose features are held at a time
+ROWS = 256                  # texts whose features are held at a time, as single or as double precision numbers
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -80,7 +81,7 @@ def held_out(doc_id: str, folds: int = 5) -> Column:
 
 
 def _featurize(batches):
-    for batch in textscan.chunks(batches, "text", rows=ROWS):
+    for batch in textscan.chunks(batches, "text", textscan.SMALL_CHUNK, ROWS):
         x = features(*textscan.as_buffer(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c) for c in ("lang", "h", "rank")],
@@ -90,24 +91,52 @@ def _featurize(batches):
 def fit_machine(x: np.ndarray, y: np.ndarray, *, reg: float, max_iter: int) -> np.ndarray:
     """Weights and intercept of the linear support vector machine (squared
     hinge loss, intercept free) for rows ``x`` and classes ``y`` of 1 and -1,
-    by Newton steps whose systems conjugate gradients solve."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    keep = np.r_[np.full(x.shape[1] - 1, reg), 1e-9]
+    by Newton steps whose systems conjugate gradients solve.  Sums are of
+    double precision; ``x`` is not copied, but ``ROWS`` rows at a time."""
+    every = np.arange(len(x))
+    keep = np.r_[np.full(x.shape[1], reg), 1e-9]
+
+    def blocks(rows):
+        for p in range(0, len(rows), ROWS):
+            yield slice(p, p + ROWS), x[rows[p:p + ROWS]].astype(np.float64)
+
+    def margins(w):
+        out = np.empty(len(x))
+        for at, b in blocks(every):
+            out[at] = b @ w[:-1] + w[-1]
+        return out
+
+    def weighed(rows, v):
+        """The sum of the rows, each times its number in ``v``."""
+        out = np.zeros(x.shape[1] + 1)
+        for at, b in blocks(rows):
+            out[:-1] += b.T @ v[at]
+        out[-1] = v.sum()
+        return out
+
+    def bend(rows, way):
+        """The sum of the rows, each times its product with ``way``."""
+        out = np.zeros(x.shape[1] + 1)
+        for _, b in blocks(rows):
+            v = b @ way[:-1] + way[-1]
+            out[:-1] += b.T @ v
+            out[-1] += v.sum()
+        return out
 
     def loss(w):
-        return 0.5 * (keep * w * w).sum() + 0.5 * np.square(np.maximum(1 - y * (x @ w), 0)).mean()
+        return 0.5 * (keep * w * w).sum() + 0.5 * np.square(np.maximum(1 - y * margins(w), 0)).mean()
 
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(max_iter):
-        miss = np.maximum(1 - y * (x @ w), 0)
-        gradient = keep * w - x.T @ (y * miss) / len(y)
+        miss = np.maximum(1 - y * margins(w), 0)
+        gradient = keep * w - weighed(every, y * miss) / len(y)
         size = np.linalg.norm(gradient)
         if size < 1e-7:
             break
-        inside = x[miss > 0]
+        inside = np.flatnonzero(miss > 0)
         step, left, way = np.zeros_like(w), -gradient, -gradient
         for _ in range(60):
-            bent = keep * way + inside.T @ (inside @ way) / len(y)
+            bent = keep * way + bend(inside, way) / len(y)
             far = left @ left / (way @ bent)
             step, rest = step + far * way, left - far * bent
             if np.linalg.norm(rest) < 1e-3 * size:
@@ -122,9 +151,14 @@ def fit_machine(x: np.ndarray, y: np.ndarray, *, reg: float, max_iter: int) -> n
 
 def _fit_group(max_iter: int, reg: float):
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("h", "ascending"), ("lang", "ascending")])     # the same sums whatever the order of arrival
-        x = t.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, DIMENSIONS)
-        w = fit_machine(x, t.column("y").to_numpy(), reg=reg, max_iter=max_iter)
+        # the same sums whatever the order of arrival
+        order = pc.sort_indices(t.select(["h", "lang"]), [("h", "ascending"), ("lang", "ascending")]).to_numpy()
+        place, x, first = np.argsort(order), np.empty((len(order), DIMENSIONS), np.float32), 0
+        for chunk in t.column("x").chunks:
+            part = chunk.flatten().to_numpy().reshape(-1, DIMENSIONS)
+            x[place[first:first + len(part)]] = part
+            first += len(part)
+        w = fit_machine(x, t.column("y").to_numpy()[order], reg=reg, max_iter=max_iter)
         return pa.table({"machine": t.column("machine").slice(0, 1), "w": pa.array([w], pa.list_(pa.float64()))})
     return run
 
@@ -221,7 +255,7 @@ def identify(documents: DataFrame, model: dict, *, text: str = "text") -> DataFr
     held = documents.sparkSession.sparkContext.broadcast(model)   # machines * DIMENSIONS numbers
 
     def run(batches):
-        for batch in textscan.chunks(batches, text, rows=ROWS):
+        for batch in textscan.chunks(batches, text, textscan.SMALL_CHUNK, ROWS):
             lang, score = predict(*textscan.as_buffer(batch.column(text)), held.value)
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=batch.schema.names + ["lang_pred", "score"])
@@ -233,7 +267,7 @@ def identify(documents: DataFrame, model: dict, *, text: str = "text") -> DataFr
 def with_letter(documents: DataFrame, *, text: str = "text") -> DataFrame:
     """The documents whose text has a letter."""
     def run(batches):
-        for batch in textscan.chunks(batches, text):
+        for batch in textscan.chunks(batches, text, textscan.SMALL_CHUNK):
             yield batch.filter(pa.array(has_letter(*textscan.as_buffer(batch.column(text)))))
     return documents.mapInArrow(run, documents.schema)
 

@@ -68,7 +68,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.nda
 
 def _sketches(n: int, k: int):
     def run(batches):
-        for batch in textscan.chunks(batches, "text"):
+        for batch in textscan.chunks(batches, "text", textscan.SMALL_CHUNK):
             sets = shingle_hashes(*textscan.as_buffer(batch.column("text")), n)
             low = [s[:k] for s in sets]
             sig = [(textscan.mix(s).sum(), textscan.mix(s + np.uint64(1)).sum()) if len(s) else (0, 0) for s in sets]
@@ -83,7 +83,7 @@ def _sketches(n: int, k: int):
 
 def _sets(n: int):
     def run(batches):
-        for batch in textscan.chunks(batches, "text"):
+        for batch in textscan.chunks(batches, "text", textscan.SMALL_CHUNK):
             sets = shingle_hashes(*textscan.as_buffer(batch.column("text")), n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), textscan.list_column(np.concatenate(sets).astype(np.int64), [len(s) for s in sets], pa.int64())],

@@ -19,6 +19,7 @@ _SEED = 20240607
 _POWER = np.uint64(0x9E3779B97F4A7C15)          # odd, hence invertible mod 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CHUNK_BYTES = 1 << 20
+SMALL_CHUNK = 1 << 18         # where a pass holds many numbers a byte; a worker keeps what its largest chunk took
 # For writes that pass texts or sets through Python: bounds what a batch holds.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
@@ -66,7 +67,7 @@ def _cached_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > CHUNK_BYTES * 2:       # one very long text: not kept
         return powers(n, _POWER), powers(n, _INVERSE)
     if len(cache.get("p", ())) < n:
-        size = min(CHUNK_BYTES * 2, max(n, CHUNK_BYTES + 1))
+        size = min(CHUNK_BYTES * 2, 1 << n.bit_length())
         cache["p"], cache["q"] = powers(size, _POWER), powers(size, _INVERSE)
     return cache["p"][:n], cache["q"][:n]
 

@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ingestkit.llm import decontam, langid, lmscore, textscan, tokencount
+from ingestkit.llm import decontam, langid, lmscore, minhash, textscan, tokencount
 from ingestkit.session import work_root
 
 
@@ -207,6 +208,42 @@ def test_training_sample_is_bounded_and_has_every_language(spark, monkeypatch):
     assert count == {"fr": 20, "en": 2, "de": 20}
 
 
+def _peak_mb(run):
+    textscan.process_cache().clear()
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_machine_is_trained_without_copies_of_its_rows():
+    n, rng = 1200, np.random.default_rng(9)
+    x = rng.random((n, langid.DIMENSIONS), np.float32) * (rng.random((n, langid.DIMENSIONS)) < 0.05)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y, h = np.where(x[:, 0] + x[:, 1] > x[:, 2], 1.0, -1.0), rng.permutation(n)
+    t = pa.table({"machine": [3] * n, "lang": ["a"] * n, "h": h, "y": y, "x": textscan.list_column(x.ravel(), [x.shape[1]] * n, pa.float32())})
+    t = pa.concat_tables([t.slice(0, 500), t.slice(500)])
+    out, peak = _peak_mb(lambda: langid._fit_group(25, 1e-4)(t))
+    assert peak < 2.5 * x.nbytes / 1e6
+    w = np.array(out.column("w")[0].as_py())
+    wide = np.hstack([x.astype(float), np.ones((n, 1))])
+    miss = np.maximum(1 - y * (wide @ w), 0)
+    assert np.linalg.norm(np.r_[np.full(x.shape[1], 1e-4), 1e-9] * w - wide.T @ (y * miss) / n) < 1e-6
+    other = pa.concat_tables([t.slice(700), t.slice(0, 700)])           # whatever the order of arrival
+    assert langid._fit_group(25, 1e-4)(other).column("w") == out.column("w")
+
+
+def test_a_worker_holds_little_at_a_time():
+    rng = random.Random(10)
+    texts = [" ".join(rng.choices("abcdefghijklm", k=rng.randint(0, 800))) for _ in range(3000)]
+    n = len(texts)
+    batch = pa.record_batch({"doc_id": range(n), "rep": range(n), "lang": ["en"] * n, "h": range(n), "rank": range(n), "text": texts})
+    for run in (langid._featurize, minhash._sketches(5, 64), minhash._sets(5)):
+        rows, peak = _peak_mb(lambda: sum(b.num_rows for b in run([batch])))  # noqa: B023
+        assert rows == n and peak < 24
+
+
 # ---- LM scores
 
 def _scores(docs, target, mix=0.7, add=0.5):
